@@ -10,11 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from termweave.functions import text as T
+from termweave.operators.ordering import dense_row_number
 from termweave.session import read_table
 
 TERM_LANGS = ("en", "fr")  # French stands in for the target language
 N_TERMS = 50
 N_KEYWORDS = 19
+API_TIMEOUT = "LLM API error: timeout"
 
 
 class Fixtures:
@@ -50,3 +53,72 @@ class Fixtures:
         """KEYWORDS(lang, keyword): ranks 51-69."""
         return (self.ranked_tokens().where(F.col("rk") > N_TERMS)
                 .select("lang", F.col("term").alias("keyword")))
+
+    # -- prompting inputs ---------------------------------------------------
+    def pairs(self) -> DataFrame:
+        """PAIRS(term_id, en_term, vi_term): EN and FR terms of equal rank."""
+        t = self.terms()
+        en = t.where(F.col("lang") == "en").select(F.col("rk").alias("term_id"),
+                                                   F.col("term").alias("en_term"))
+        fr = t.where(F.col("lang") == "fr").select(F.col("rk").alias("term_id"),
+                                                   F.col("term").alias("vi_term"))
+        return en.join(fr, "term_id")
+
+    def rows(self) -> DataFrame:
+        """ROWS: prompt-input rows, one per EN document (see FIXTURES.md §3)."""
+        docs = self.docs()
+        en = docs.where(F.col("lang") == "en").select(
+            "doc_id", T.split_sentences(T.clean_text("text")).alias("sents"))
+        en = dense_row_number(en, "doc_id", "row_no", start=1)
+        fr = docs.where(F.col("lang") == "fr").select(
+            "doc_id", F.coalesce(F.get(T.split_sentences(T.clean_text("text")), 0), F.lit(""))
+            .alias("first_fr"))
+        fr = dense_row_number(fr, "doc_id", "fr_no", start=0).select("fr_no", "first_fr")
+        n_fr = fr.select(F.count(F.lit(1))).scalar()
+        # PAIRS has at most N_TERMS rows, a fixed bound: broadcast is safe.
+        x = (en.withColumn("term_id", F.lit(1) + F.col("doc_id") % N_TERMS)
+             .join(F.broadcast(self.pairs()), "term_id", "left")
+             .withColumn("fr_no", F.col("row_no") % n_fr)
+             .join(fr, "fr_no", "left"))
+        d = F.col("doc_id")
+        first_hit = F.get(F.filter("sents", lambda s: F.contains(F.lower(s), F.lower(F.col("en_term")))), 0)
+        en_s = F.coalesce(first_hit, F.get("sents", 0), F.lit(""))
+        return x.select(
+            "row_no",
+            F.when(d % 4 == 0, F.lit("")).when(d % 4 == 1, F.lit("x"))
+            .when(d % 4 == 2, d.cast("string"))
+            .otherwise(F.concat(F.lit("  "), d.cast("string"), F.lit(" "))).alias("index"),
+            F.when(d % 17 == 0, F.lit("")).otherwise(F.col("en_term")).alias("English"),
+            F.when(d % 19 == 0, F.lit("  ")).otherwise(F.col("vi_term")).alias("Vietnamese"),
+            F.when(d % 5 == 0, F.concat(F.lit('"'), en_s, F.lit('"'))).otherwise(en_s)
+            .alias("English Sentence"),
+            F.when(d % 23 == 0, F.lit("")).otherwise(F.coalesce("first_fr", F.lit("")))
+            .alias("Vietnamese Sentence"),
+        )
+
+    def attempts(self, validated: DataFrame) -> DataFrame:
+        """ATTEMPTS(row_no, attempt, raw_response, error) for accepted rows, six
+        behaviours by ``row_no % 6`` (FIXTURES.md §3)."""
+        a = validated.where(F.col("reason").isNull())
+        idx = F.col("index").cast("string")
+        valid = F.concat(idx, F.lit(" | "), F.col("en_sentence"), F.lit(" | "), F.col("vi_term"),
+                         F.lit(" "), F.col("vi_sentence"))
+        noterm = F.concat(idx, F.lit(" | "), F.col("en_sentence"), F.lit(" | "), F.col("vi_sentence"))
+        two = F.concat(idx, F.lit(" | "), F.col("en_sentence"))
+        nonint = F.concat(F.lit("x | "), F.col("en_sentence"), F.lit(" | "), F.col("vi_term"),
+                          F.lit(" "), F.col("vi_sentence"))
+        ok, err = F.lit("success"), F.lit(API_TIMEOUT)
+        none = F.lit(None).cast("string")
+
+        def att(*items):
+            return F.array(*[F.struct(r.alias("raw_response"), e.alias("error")) for r, e in items])
+
+        case = F.col("row_no") % 6
+        arr = (F.when(case == 0, att((valid, ok), (noterm, ok)))
+               .when(case == 1, att((noterm, ok), (valid, ok)))
+               .when(case == 2, att((noterm, ok), (noterm, ok), (noterm, ok)))
+               .when(case == 3, att((none, err), (none, err), (valid, ok)))
+               .when(case == 4, att((two, ok), (two, ok), (F.lit(""), ok)))
+               .otherwise(att((nonint, ok), (nonint, ok), (none, err))))
+        return (a.select("row_no", F.posexplode(arr).alias("attempt", "a"))
+                .select("row_no", "attempt", "a.raw_response", "a.error"))

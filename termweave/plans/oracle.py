@@ -151,3 +151,158 @@ ORACLE["clean_text"] = sql("SELECT doc_id, clean FROM dclean", "dclean")
 ORACLE["split_sentences"] = sql(f"""
 SELECT doc_id, pos::INTEGER AS pos, sentence, {word_count('sentence')}::INTEGER AS n_words
 FROM sents""", "sents")
+
+
+# -- prompting -------------------------------------------------------------------
+
+INT_RE = q(r"^[+-]?[0-9]+(_[0-9]+)*$")
+
+
+def python_int(x: str) -> str:
+    s = strip(x)
+    return f"(CASE WHEN regexp_matches({s}, {INT_RE}) THEN TRY_CAST(replace({s}, '_', '') AS BIGINT) END)"
+
+
+def prepare_vi_examples(x: str) -> str:
+    s = clean_sentence(x)
+    parts = split_examples(s)
+    return (f"(CASE WHEN {s} = '' THEN '' "
+            f"WHEN len({parts}) >= 2 THEN {parts}[1] || chr(10) || {parts}[2] "
+            f"WHEN len({parts}) = 1 THEN {parts}[1] || chr(10) || {parts}[1] "
+            f"ELSE {s} || chr(10) || {s} END)")
+
+
+cte("pairs", """
+SELECT e.rk AS term_id, e.term AS en_term, f.term AS vi_term
+FROM terms e JOIN terms f ON e.rk = f.rk AND e.lang = 'en' AND f.lang = 'fr'""", "terms")
+cte("en_docs", f"""
+SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS row_no,
+       {split_sentences(clean_text('text'))} AS sents
+FROM d WHERE lang = 'en'""", "d")
+cte("fr_docs", f"""
+SELECT row_number() OVER (ORDER BY doc_id) - 1 AS fr_no,
+       coalesce(({split_sentences(clean_text('text'))})[1], '') AS first_fr
+FROM d WHERE lang = 'fr'""", "d")
+_EN_S = ("coalesce(list_filter(e.sents, lambda s: contains(lower(s), lower(p.en_term)))[1], "
+         "e.sents[1], '')")
+cte("rows", f"""
+SELECT e.row_no,
+  CASE e.doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'x' WHEN 2 THEN e.doc_id::VARCHAR
+       ELSE '  ' || e.doc_id::VARCHAR || ' ' END AS "index",
+  CASE WHEN e.doc_id % 17 = 0 THEN '' ELSE p.en_term END AS "English",
+  CASE WHEN e.doc_id % 19 = 0 THEN '  ' ELSE p.vi_term END AS "Vietnamese",
+  CASE WHEN e.doc_id % 5 = 0 THEN '"' || {_EN_S} || '"' ELSE {_EN_S} END AS "English Sentence",
+  CASE WHEN e.doc_id % 23 = 0 THEN '' ELSE coalesce(f.first_fr, '') END AS "Vietnamese Sentence"
+FROM en_docs e
+LEFT JOIN pairs p ON p.term_id = 1 + e.doc_id % 50
+LEFT JOIN fr_docs f ON f.fr_no = e.row_no % (SELECT count(*) FROM fr_docs)""",
+    "en_docs", "fr_docs", "pairs")
+cte("indexed", f"""
+SELECT * EXCLUDE (pidx, "index"),
+       coalesce(pidx, sum(CASE WHEN pidx IS NULL THEN 1 ELSE 0 END)
+                      OVER (ORDER BY row_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT
+         AS "index",
+       pidx IS NULL AS is_auto
+FROM (SELECT *, {python_int('coalesce("index", \'\')')} AS pidx FROM rows)""", "rows")
+cte("validated", f"""
+SELECT *,
+  CASE WHEN en_term = '' THEN {q(K.REASON_MISSING_EN_TERM)}
+       WHEN vi_term = '' THEN {q(K.REASON_MISSING_VI_TERM)}
+       WHEN en_sentence = '' THEN {q(K.REASON_MISSING_EN_SENTENCE)}
+       WHEN vi_sentence = '' THEN {q(K.REASON_MISSING_VI_SENTENCE)}
+       WHEN NOT contains(lower(en_sentence), lower(en_term))
+         THEN {q(K.REASON_TERM_NOT_IN_SENTENCE.split('{term}')[0])} || en_term
+              || {q(K.REASON_TERM_NOT_IN_SENTENCE.split('{term}')[1])}
+  END AS reason
+FROM (SELECT *, {strip('coalesce("English", \'\')')} AS en_term,
+             {strip('coalesce("Vietnamese", \'\')')} AS vi_term,
+             {clean_sentence('"English Sentence"')} AS en_sentence,
+             {clean_sentence('"Vietnamese Sentence"')} AS vi_sentence
+      FROM indexed)""", "indexed")
+cte("accepted", """
+SELECT *, concat_ws(' ', "index"::VARCHAR, en_term, vi_term, en_sentence, vi_examples) AS prompt_input
+FROM (SELECT *, {ex} AS vi_examples FROM validated WHERE reason IS NULL)""".replace(
+    "{ex}", prepare_vi_examples("vi_sentence")), "validated")
+
+_VALID = "\"index\"::VARCHAR || ' | ' || en_sentence || ' | ' || vi_term || ' ' || vi_sentence"
+_NOTERM = "\"index\"::VARCHAR || ' | ' || en_sentence || ' | ' || vi_sentence"
+_TWO = "\"index\"::VARCHAR || ' | ' || en_sentence"
+_NONINT = "'x | ' || en_sentence || ' | ' || vi_term || ' ' || vi_sentence"
+_ERR = q("LLM API error: timeout")
+cte("attempts", f"""
+SELECT row_no, 0 AS attempt,
+  CASE row_no % 6 WHEN 0 THEN {_VALID} WHEN 1 THEN {_NOTERM} WHEN 2 THEN {_NOTERM}
+       WHEN 3 THEN NULL WHEN 4 THEN {_TWO} ELSE {_NONINT} END AS raw_response,
+  CASE row_no % 6 WHEN 3 THEN {_ERR} ELSE 'success' END AS error
+FROM accepted
+UNION ALL
+SELECT row_no, 1 AS attempt,
+  CASE row_no % 6 WHEN 0 THEN {_NOTERM} WHEN 1 THEN {_VALID} WHEN 2 THEN {_NOTERM}
+       WHEN 3 THEN NULL WHEN 4 THEN {_TWO} ELSE {_NONINT} END,
+  CASE row_no % 6 WHEN 3 THEN {_ERR} ELSE 'success' END
+FROM accepted
+UNION ALL
+SELECT row_no, 2 AS attempt,
+  CASE row_no % 6 WHEN 2 THEN {_NOTERM} WHEN 3 THEN {_VALID} WHEN 4 THEN '' ELSE NULL END,
+  CASE row_no % 6 WHEN 5 THEN {_ERR} ELSE 'success' END
+FROM accepted WHERE row_no % 6 NOT IN (0, 1)""", "accepted")
+cte("parsed", f"""
+SELECT row_no, attempt, raw_response, error,
+  CASE WHEN ok THEN pidx END AS parsed_index,
+  CASE WHEN ok THEN {strip('parts[2]')} END AS en_echo,
+  CASE WHEN ok THEN {strip('parts[3]')} END AS vi_gen,
+  coalesce(ok, false) AS parsed
+FROM (SELECT *, len(parts) >= 3 AND pidx IS NOT NULL AS ok
+      FROM (SELECT *, {python_int('parts[1]')} AS pidx
+            FROM (SELECT *, string_split(raw_response, '|') AS parts FROM attempts)))""", "attempts")
+cte("att_v", """
+SELECT p.*, (p.raw_response IS NOT NULL AND p.raw_response <> '' AND p.vi_gen IS NOT NULL
+             AND p.vi_gen <> '' AND a.vi_term <> '' AND contains(p.vi_gen, a.vi_term)) AS valid
+FROM parsed p JOIN accepted a USING (row_no)""", "parsed", "accepted")
+cte("resolved", f"""
+SELECT a.row_no, a."index", a.en_term, a.vi_term, a.en_sentence, a.prompt_input,
+  CASE WHEN r.fv IS NOT NULL THEN 'success'
+       WHEN coalesce(l.raw_response, '') <> '' THEN {q(K.STATUS_FAILED_VALIDATION)} || l.error
+       ELSE {q(K.STATUS_FAILED_API)} || l.error END AS status,
+  CASE WHEN r.fv IS NOT NULL THEN f.raw_response
+       WHEN coalesce(l.raw_response, '') <> '' THEN l.raw_response ELSE '' END AS raw_response,
+  CASE WHEN r.fv IS NOT NULL THEN f.vi_gen END AS vi_sentence_gen
+FROM accepted a
+JOIN (SELECT row_no, min(attempt) FILTER (WHERE valid) AS fv, max(attempt) AS la
+      FROM att_v GROUP BY row_no) r USING (row_no)
+LEFT JOIN att_v f ON f.row_no = r.row_no AND f.attempt = r.fv
+JOIN att_v l ON l.row_no = r.row_no AND l.attempt = r.la""", "att_v", "accepted")
+cte("rejects", """
+SELECT row_no, "index", coalesce("English", '') AS en_term, coalesce("Vietnamese", '') AS vi_term, reason
+FROM validated WHERE reason IS NOT NULL
+UNION ALL
+SELECT row_no, "index", en_term, vi_term, status AS reason FROM resolved WHERE status <> 'success'""",
+    "validated", "resolved")
+
+ORACLE["clean_quotes"] = sql(f"""
+SELECT row_no, {clean_sentence('"English Sentence"')} AS en_clean,
+       {clean_sentence('"Vietnamese Sentence"')} AS vi_clean FROM rows""", "rows")
+ORACLE["auto_index"] = sql('SELECT row_no, "index", is_auto FROM indexed', "indexed")
+ORACLE["validate_rows"] = sql('SELECT row_no, "index", reason FROM validated', "validated")
+ORACLE["vi_examples"] = sql("SELECT row_no, vi_examples FROM accepted", "accepted")
+ORACLE["prompt_text"] = sql(f"""
+SELECT row_no, "index", prompt_input,
+       {q(K.DEFAULT_PROMPT_TEMPLATE + chr(10) + chr(10))} || prompt_input AS full_prompt,
+       {q(K.DEFAULT_PROMPT_TEMPLATE + chr(10) + chr(10))} || prompt_input
+         || {q(K.RETRY_INSTRUCTION.split('{term}')[0])} || vi_term
+         || {q(K.RETRY_INSTRUCTION.split('{term}')[1])} AS retry_prompt
+FROM accepted""", "accepted")
+ORACLE["parse_responses"] = sql(
+    "SELECT row_no, attempt, parsed_index, en_echo, vi_gen, parsed FROM parsed", "parsed")
+ORACLE["resolve_attempts"] = sql(
+    'SELECT row_no, "index", prompt_input, raw_response, status FROM resolved', "resolved")
+ORACLE["synthetic_pairs"] = sql("""
+SELECT row_no, "index", en_term, vi_term, en_sentence, vi_sentence_gen
+FROM resolved WHERE status = 'success'""", "resolved")
+ORACLE["reject_table"] = sql("SELECT * FROM rejects", "rejects")
+ORACLE["reject_reasons"] = sql("SELECT reason, count(*) AS n FROM rejects GROUP BY reason", "rejects")
+ORACLE["run_counts"] = sql("""
+SELECT outcome, count(*) AS n FROM (
+  SELECT CASE WHEN status = 'success' THEN 'success' ELSE 'failed' END AS outcome FROM resolved
+  UNION ALL SELECT 'failed' FROM validated WHERE reason IS NOT NULL)
+GROUP BY outcome""", "resolved", "validated")

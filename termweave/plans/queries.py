@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termweave.functions import text as T
-from termweave.operators import mining
+from termweave.operators import mining, prompting
 from termweave.plans.fixtures import Fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,81 @@ def split_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixtures(spark, sf_dir)
     return (mining.sentences(fx.docs())
             .select("doc_id", "pos", "sentence", T.word_count("sentence").alias("n_words")))
+
+
+# -- prompting -----------------------------------------------------------------
+
+def _validated(fx: Fixtures) -> DataFrame:
+    return prompting.validation_reason(prompting.assign_index(fx.rows()))
+
+
+def _resolved(fx: Fixtures):
+    v = _validated(fx)
+    acc = prompting.accepted(v)
+    return v, acc, prompting.resolve_attempts(acc, fx.attempts(v))
+
+
+@query
+def clean_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = Fixtures(spark, sf_dir).rows()
+    return r.select("row_no", T.clean_sentence("English Sentence").alias("en_clean"),
+                    T.clean_sentence("Vietnamese Sentence").alias("vi_clean"))
+
+
+@query
+def auto_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prompting.assign_index(Fixtures(spark, sf_dir).rows()).select("row_no", "index", "is_auto")
+
+
+@query
+def validate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _validated(Fixtures(spark, sf_dir)).select("row_no", "index", "reason")
+
+
+@query
+def vi_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    acc = prompting.accepted(_validated(Fixtures(spark, sf_dir)))
+    return acc.select("row_no", "vi_examples")
+
+
+@query
+def prompt_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    acc = prompting.accepted(_validated(Fixtures(spark, sf_dir)))
+    return prompting.prompts(acc)
+
+
+@query
+def parse_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = Fixtures(spark, sf_dir)
+    att = prompting.parse_attempts(fx.attempts(_validated(fx)))
+    return att.select("row_no", "attempt", "parsed_index", "en_echo", "vi_gen", "parsed")
+
+
+@query
+def resolve_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, _, res = _resolved(Fixtures(spark, sf_dir))
+    return prompting.prompt_log(res)
+
+
+@query
+def synthetic_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, _, res = _resolved(Fixtures(spark, sf_dir))
+    return prompting.results(res)
+
+
+@query
+def reject_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v, _, res = _resolved(Fixtures(spark, sf_dir))
+    return prompting.reject_table(v, res)
+
+
+@query
+def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v, _, res = _resolved(Fixtures(spark, sf_dir))
+    return prompting.reject_counts(prompting.reject_table(v, res))
+
+
+@query
+def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v, _, res = _resolved(Fixtures(spark, sf_dir))
+    return prompting.run_counts(v, res)
