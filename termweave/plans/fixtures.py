@@ -18,6 +18,7 @@ TERM_LANGS = ("en", "fr")  # French stands in for the target language
 N_TERMS = 50
 N_KEYWORDS = 19
 API_TIMEOUT = "LLM API error: timeout"
+SIGNATURE_LINE = "BLEU|nrefs:1|case:mixed|eff:no|tok:13a|smooth:exp|version:2.4.0 = "
 
 
 class Fixtures:
@@ -122,3 +123,47 @@ class Fixtures:
                .otherwise(att((nonint, ok), (nonint, ok), (none, err))))
         return (a.select("row_no", F.posexplode(arr).alias("attempt", "a"))
                 .select("row_no", "attempt", "a.raw_response", "a.error"))
+
+    # -- evaluation inputs ----------------------------------------------------
+    def refs(self) -> DataFrame:
+        """REFS(line_no, text): benchmark items, newline -> space."""
+        return self.table("benchmark").select(F.col("item_id").alias("line_no"),
+                                              F.replace("text", F.lit("\n"), F.lit(" ")).alias("text"))
+
+    def preds(self) -> DataFrame:
+        """PREDS(system, line_no, text): REFS without every 5th (baseline) / 9th (tuned)
+        space-separated word."""
+        r = self.refs()
+
+        def drop_every(k):
+            return F.array_join(F.filter(F.split("text", " ", -1), lambda w, i: (i + 1) % k != 0), " ")
+
+        return (r.select(F.lit("baseline").alias("system"), "line_no", drop_every(5).alias("text"))
+                .unionByName(r.select(F.lit("tuned").alias("system"), "line_no",
+                                      drop_every(9).alias("text"))))
+
+    def reports(self, scores: DataFrame) -> DataFrame:
+        """REPORTS(system, line_no, text) rendered from computed BLEU statistics."""
+        dec2 = F.col("bleu").cast("decimal(10,2)").cast("string")
+        base = F.col("system") == "baseline"
+        l1 = F.when(base, F.concat(F.lit("score: "), F.col("sys_len").cast("string"))) \
+            .otherwise(F.lit("chrF not computed"))
+        l2 = F.when(base, F.concat(F.lit("BLEU = "), dec2, F.lit(" (hyp_len = "),
+                                   F.col("sys_len").cast("string"), F.lit(" ref_len = "),
+                                   F.col("ref_len").cast("string"), F.lit(")"))) \
+            .otherwise(F.concat(F.lit(SIGNATURE_LINE), dec2))
+        return scores.select("system", F.inline(F.array(
+            F.struct(F.lit(1).alias("line_no"), l1.alias("text")),
+            F.struct(F.lit(2).alias("line_no"), l2.alias("text")))))
+
+    def term_map(self) -> DataFrame:
+        """Source -> target term map for monolingual scoring: EN terms to themselves."""
+        return (self.terms().where(F.col("lang") == "en")
+                .select(F.col("term").alias("src_term"), F.col("term").alias("tgt_term")))
+
+    def lexicon(self) -> DataFrame:
+        """LEXICON(src, tgt): EN token -> FR token of equal rank, ranks 1-69."""
+        r = self.ranked_tokens()
+        en = r.where(F.col("lang") == "en").select("rk", F.col("term").alias("src"))
+        fr = r.where(F.col("lang") == "fr").select("rk", F.col("term").alias("tgt"))
+        return en.join(fr, "rk").select("src", "tgt")

@@ -306,3 +306,163 @@ SELECT outcome, count(*) AS n FROM (
   SELECT CASE WHEN status = 'success' THEN 'success' ELSE 'failed' END AS outcome FROM resolved
   UNION ALL SELECT 'failed' FROM validated WHERE reason IS NOT NULL)
 GROUP BY outcome""", "resolved", "validated")
+
+
+# -- evaluation --------------------------------------------------------------------
+
+_SYMBOLS = r"([\x{7b}-\x{7e}\x{5b}-\x{60}\x{20}-\x{26}\x{28}-\x{2b}\x{3a}-\x{40}/])"
+
+
+def tokens(x: str) -> str:
+    return f"list_filter(regexp_split_to_array({x}, {q(WS + '+')}), lambda t: t <> '')"
+
+
+def tokenize_13a(x: str) -> str:
+    s = f"replace(replace(replace({x}, '<skipped>', ''), '-' || chr(10), ''), chr(10), ' ')"
+    s = f"replace(replace(replace(replace({s}, '&quot;', '\"'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>')"
+    s = f"(' ' || {s} || ' ')"
+    s = f"regexp_replace({s}, {q(_SYMBOLS)}, ' \\1 ', 'g')"
+    s = f"regexp_replace({s}, '([^0-9])([.,])', '\\1 \\2 ', 'g')"
+    s = f"regexp_replace({s}, '([.,])([^0-9])', ' \\1 \\2', 'g')"
+    s = f"regexp_replace({s}, '([0-9])(-)', '\\1 \\2 ', 'g')"
+    return tokens(s)
+
+
+cte("refs", "SELECT item_id AS line_no, replace(text, chr(10), ' ') AS text FROM benchmark")
+cte("preds", """
+SELECT 'baseline' AS system, line_no,
+       array_to_string(list_filter(string_split(text, ' '), lambda w, i: i % 5 <> 0), ' ') AS text
+FROM refs
+UNION ALL
+SELECT 'tuned' AS system, line_no,
+       array_to_string(list_filter(string_split(text, ' '), lambda w, i: i % 9 <> 0), ' ') AS text
+FROM refs""", "refs")
+cte("bl_lines", f"""
+SELECT p.system, p.line_no, {tokenize_13a('p.text')} AS ht, {tokenize_13a('r.text')} AS rt
+FROM preds p JOIN refs r USING (line_no)""", "preds", "refs")
+cte("bl_h", """
+SELECT system, line_no, n, gram, count(*) AS h FROM (
+  SELECT system, line_no, n, array_to_string(ht[i:i + n - 1], ' ') AS gram
+  FROM (SELECT system, line_no, ht, n, unnest(generate_series(1, len(ht) - n + 1)) AS i
+        FROM bl_lines, (SELECT unnest([1, 2, 3, 4]) AS n)))
+GROUP BY ALL""", "bl_lines")
+cte("bl_r", """
+SELECT system, line_no, n, gram, count(*) AS r FROM (
+  SELECT system, line_no, n, array_to_string(rt[i:i + n - 1], ' ') AS gram
+  FROM (SELECT system, line_no, rt, n, unnest(generate_series(1, len(rt) - n + 1)) AS i
+        FROM bl_lines, (SELECT unnest([1, 2, 3, 4]) AS n)))
+GROUP BY ALL""", "bl_lines")
+cte("bl_stats", """
+SELECT l.system, l.sys_len, l.ref_len, l.t1, l.t2, l.t3, l.t4,
+       coalesce(c.c1, 0)::BIGINT AS c1, coalesce(c.c2, 0)::BIGINT AS c2,
+       coalesce(c.c3, 0)::BIGINT AS c3, coalesce(c.c4, 0)::BIGINT AS c4
+FROM (SELECT system, sum(len(ht))::BIGINT AS sys_len, sum(len(rt))::BIGINT AS ref_len,
+             sum(greatest(len(ht) - 0, 0))::BIGINT AS t1, sum(greatest(len(ht) - 1, 0))::BIGINT AS t2,
+             sum(greatest(len(ht) - 2, 0))::BIGINT AS t3, sum(greatest(len(ht) - 3, 0))::BIGINT AS t4
+      FROM bl_lines GROUP BY system) l
+LEFT JOIN (SELECT h.system,
+             sum(CASE WHEN h.n = 1 THEN least(h.h, coalesce(r.r, 0)) ELSE 0 END) AS c1,
+             sum(CASE WHEN h.n = 2 THEN least(h.h, coalesce(r.r, 0)) ELSE 0 END) AS c2,
+             sum(CASE WHEN h.n = 3 THEN least(h.h, coalesce(r.r, 0)) ELSE 0 END) AS c3,
+             sum(CASE WHEN h.n = 4 THEN least(h.h, coalesce(r.r, 0)) ELSE 0 END) AS c4
+           FROM bl_h h LEFT JOIN bl_r r USING (system, line_no, n, gram) GROUP BY h.system) c
+USING (system)""", "bl_h", "bl_r")
+
+
+def _prec(n: int) -> str:
+    zeros = " + ".join(f"(CASE WHEN c{m} = 0 THEN 1 ELSE 0 END)" for m in range(1, n + 1))
+    return f"(CASE WHEN c{n} = 0 THEN 100.0 / (pow(2.0, {zeros}) * t{n}) ELSE 100.0 * c{n} / t{n} END)"
+
+
+cte("bl_scores", f"""
+SELECT *, CASE WHEN c1 + c2 + c3 + c4 = 0 OR t1 = 0 OR t2 = 0 OR t3 = 0 OR t4 = 0 THEN 0.0
+               ELSE bp * exp((ln({_prec(1)}) + ln({_prec(2)}) + ln({_prec(3)}) + ln({_prec(4)})) / 4) END
+          AS bleu
+FROM (SELECT *, CASE WHEN sys_len >= ref_len THEN 1.0 WHEN sys_len > 0 THEN exp(1.0 - ref_len / sys_len)
+                     ELSE 0.0 END AS bp FROM bl_stats)""", "bl_stats")
+cte("term_map", "SELECT term AS src_term, term AS tgt_term FROM terms WHERE lang = 'en'", "terms")
+_SIG = q("BLEU|nrefs:1|case:mixed|eff:no|tok:13a|smooth:exp|version:2.4.0 = ")
+cte("reports", f"""
+SELECT system, 1 AS line_no,
+       CASE WHEN system = 'baseline' THEN 'score: ' || sys_len::VARCHAR ELSE 'chrF not computed' END AS text
+FROM bl_scores
+UNION ALL
+SELECT system, 2 AS line_no,
+       CASE WHEN system = 'baseline'
+            THEN 'BLEU = ' || bleu::DECIMAL(10, 2)::VARCHAR || ' (hyp_len = ' || sys_len::VARCHAR
+                 || ' ref_len = ' || ref_len::VARCHAR || ')'
+            ELSE {_SIG} || bleu::DECIMAL(10, 2)::VARCHAR END
+FROM bl_scores""", "bl_scores")
+_FALLBACK = q("BLEU" + WS + "*=" + WS + r"*([0-9]+\.[0-9]+)")
+
+ORACLE["corpus_bleu"] = sql("""
+SELECT system, round(bleu, 6) AS bleu, sys_len, ref_len, c1, c2, c3, c4, t1, t2, t3, t4
+FROM bl_scores""", "bl_scores")
+ORACLE["bleu_delta"] = sql("""
+SELECT round(b, 6) AS baseline_bleu, round(t, 6) AS tuned_bleu, round(t - b, 6) AS delta,
+       CASE WHEN t - b > 0 THEN 'improved' WHEN t - b < 0 THEN 'decreased'
+            WHEN t - b = 0 THEN 'unchanged' END AS verdict
+FROM (SELECT max(CASE WHEN system = 'baseline' THEN bleu END) AS b,
+             max(CASE WHEN system = 'tuned' THEN bleu END) AS t FROM bl_scores)""", "bl_scores")
+ORACLE["term_accuracy"] = sql("""
+SELECT p.system, count(*)::BIGINT AS n_pairs, count_if(contains(p.text, x.tgt_term))::BIGINT AS n_hits,
+       round(count_if(contains(p.text, x.tgt_term)) / count(*), 6) AS term_accuracy
+FROM (SELECT r.line_no, m.tgt_term FROM refs r JOIN term_map m
+      ON contains(lower(r.text), lower(m.src_term))) x
+JOIN preds p USING (line_no)
+GROUP BY p.system""", "refs", "preds", "term_map")
+ORACLE["report_score"] = sql(f"""
+SELECT system,
+       coalesce(arg_min(v, line_no) FILTER (WHERE v IS NOT NULL),
+                CASE WHEN regexp_extract(string_agg(text, chr(10) ORDER BY line_no), {_FALLBACK}, 1) <> ''
+                     THEN regexp_extract(string_agg(text, chr(10) ORDER BY line_no), {_FALLBACK}, 1)::DOUBLE
+                END) AS bleu
+FROM (SELECT *, CASE WHEN (contains(text, 'BLEU') OR contains(lower(text), 'score'))
+                      AND regexp_extract(text, '([0-9]+\\.[0-9]+)', 1) <> ''
+                     THEN regexp_extract(text, '([0-9]+\\.[0-9]+)', 1)::DOUBLE END AS v
+      FROM reports)
+GROUP BY system""", "reports")
+ORACLE["zip_lines"] = sql(f"""
+SELECT coalesce(r.line_no, p.line_no) AS line_no, r.text AS left_text, p.text AS right_text,
+       CASE WHEN r.text IS NULL THEN 'missing_left' WHEN p.text IS NULL THEN 'missing_right'
+            WHEN {strip('r.text')} = '' OR {strip('p.text')} = '' THEN 'blank' ELSE 'ok' END AS status
+FROM refs r FULL OUTER JOIN (SELECT * FROM preds WHERE system = 'baseline') p USING (line_no)""",
+                          "refs", "preds")
+
+# -- corpus ------------------------------------------------------------------------
+
+cte("vocab", f"""
+SELECT token, n, (row_number() OVER (ORDER BY n DESC, token) + 1)::INTEGER AS id FROM (
+  SELECT token, count(*) AS n FROM (SELECT unnest({tokens('text')}) AS token FROM d)
+  GROUP BY token ORDER BY n DESC, token LIMIT 32000)""", "d")
+cte("lexicon", """
+SELECT e.term AS src, f.term AS tgt FROM ranked e JOIN ranked f
+ON e.rk = f.rk AND e.lang = 'en' AND f.lang = 'fr'""", "ranked")
+cte("pairs_ok", f"""
+SELECT row_no, {strip("coalesce(en_sentence, '')")} AS src, {strip("coalesce(vi_sentence_gen, '')")} AS tgt
+FROM resolved WHERE status = 'success'""", "resolved")
+
+ORACLE["pair_corpus"] = sql("""
+SELECT row_no, src, tgt FROM pairs_ok
+WHERE src <> '' AND tgt <> '' AND row_no IN (SELECT row_no FROM accepted)""", "pairs_ok", "accepted")
+ORACLE["train_config"] = sql("""
+SELECT 'base-model' AS base_model, 'checkpoints/ft_model' AS checkpoint_dir,
+       count(*)::BIGINT AS num_training_samples, 42 AS seed, 'transformers' AS framework
+FROM pairs_ok WHERE src <> '' AND tgt <> '' AND row_no IN (SELECT row_no FROM accepted)""",
+                             "pairs_ok", "accepted")
+ORACLE["vocabulary"] = sql("SELECT token, n, id FROM vocab", "vocab")
+ORACLE["encode_fixed"] = sql(f"""
+SELECT d.doc_id, coalesce(len(e.arr), 0)::INTEGER AS n_tokens,
+       list_resize(coalesce(e.arr, []::INTEGER[]), 512, 0) AS input_ids
+FROM d LEFT JOIN (
+  SELECT doc_id, list(coalesce(v.id, 1) ORDER BY pos) AS arr FROM (
+    SELECT doc_id, unnest(toks[1:512]) AS token, generate_subscripts(toks[1:512], 1) AS pos
+    FROM (SELECT doc_id, {tokens('text')} AS toks FROM d)) tk
+  LEFT JOIN vocab v USING (token) GROUP BY doc_id) e USING (doc_id)""", "d", "vocab")
+ORACLE["lexicon_translate"] = sql(f"""
+SELECT r.line_no, coalesce(string_agg(coalesce(l.tgt, tk.token), ' ' ORDER BY tk.pos), '') AS text
+FROM refs r
+LEFT JOIN (SELECT line_no, unnest(toks) AS token, generate_subscripts(toks, 1) AS pos
+           FROM (SELECT line_no, {tokens('text')} AS toks FROM refs)) tk USING (line_no)
+LEFT JOIN lexicon l ON lower(tk.token) = l.src
+GROUP BY r.line_no""", "refs", "lexicon")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termweave.functions import text as T
-from termweave.operators import mining, prompting
+from termweave.operators import corpus, evaluation, mining, prompting
 from termweave.plans.fixtures import Fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,77 @@ def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     v, _, res = _resolved(Fixtures(spark, sf_dir))
     return prompting.run_counts(v, res)
+
+
+# -- evaluation ----------------------------------------------------------------
+
+def _scores(fx: Fixtures) -> DataFrame:
+    return evaluation.corpus_bleu(fx.refs(), fx.preds())
+
+
+@query
+def corpus_bleu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _scores(Fixtures(spark, sf_dir))
+    return s.select("system", F.round("bleu", 6).alias("bleu"), "sys_len", "ref_len",
+                    "c1", "c2", "c3", "c4", "t1", "t2", "t3", "t4")
+
+
+@query
+def bleu_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = evaluation.bleu_delta(_scores(Fixtures(spark, sf_dir)))
+    return d.select(F.round("baseline_bleu", 6).alias("baseline_bleu"),
+                    F.round("tuned_bleu", 6).alias("tuned_bleu"),
+                    F.round("delta", 6).alias("delta"), "verdict")
+
+
+@query
+def term_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = Fixtures(spark, sf_dir)
+    t = evaluation.term_accuracy(fx.refs(), fx.preds(), fx.term_map())
+    return t.select("system", "n_pairs", "n_hits", F.round("term_accuracy", 6).alias("term_accuracy"))
+
+
+@query
+def report_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = Fixtures(spark, sf_dir)
+    return evaluation.report_scores(fx.reports(_scores(fx)))
+
+
+@query
+def zip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = Fixtures(spark, sf_dir)
+    return corpus.zip_lines(fx.refs(), fx.preds().where(F.col("system") == "baseline"))
+
+
+# -- corpus --------------------------------------------------------------------
+
+@query
+def pair_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = Fixtures(spark, sf_dir)
+    v, acc, res = _resolved(fx)
+    return corpus.pair_corpus(prompting.results(res), keep=acc)
+
+
+@query
+def train_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = Fixtures(spark, sf_dir)
+    v, acc, res = _resolved(fx)
+    pairs = corpus.pair_corpus(prompting.results(res), keep=acc)
+    return corpus.train_config(pairs, "base-model", "checkpoints/ft_model")
+
+
+@query
+def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus.vocabulary(Fixtures(spark, sf_dir).docs())
+
+
+@query
+def encode_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = Fixtures(spark, sf_dir).docs()
+    return corpus.encode_fixed(docs, corpus.vocabulary(docs), "doc_id")
+
+
+@query
+def lexicon_translate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = Fixtures(spark, sf_dir)
+    return corpus.lexicon_translate(fx.refs(), fx.lexicon())
