@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from termweave.functions import text as T
+from termweave.operators.matching import contains_join
 from termweave.operators.ordering import dense_row_number
 from termweave.session import read_table
 
@@ -167,3 +168,90 @@ class Fixtures:
         en = r.where(F.col("lang") == "en").select("rk", F.col("term").alias("src"))
         fr = r.where(F.col("lang") == "fr").select("rk", F.col("term").alias("tgt"))
         return en.join(fr, "rk").select("src", "tgt")
+
+    # -- enrichment inputs ----------------------------------------------------
+    def hits(self) -> DataFrame:
+        """HITS(term, lang, query_rank, result_rank, url, body): documents of the term's
+        language with ``doc_id % 50 = rk - 1``; three queries; at most 5 results each."""
+        t = self.terms()
+        d = self.docs().withColumn("res", F.col("doc_id") % N_TERMS + 1)
+        h = (d.join(t.withColumnRenamed("rk", "res"), ["lang", "res"])
+             .withColumn("query_rank", (F.lit(1) + F.floor(F.col("doc_id") / 50) % 3).cast("int")))
+        w = Window.partitionBy("term", "lang", "query_rank").orderBy("doc_id")
+        url = F.concat(F.lit("http://example.org/"), F.col("doc_id").cast("string"),
+                       F.when(F.col("doc_id") % 7 == 0, F.lit(".pdf")).otherwise(F.lit("")))
+        return (h.withColumn("result_rank", F.row_number().over(w)).where(F.col("result_rank") <= 5)
+                .select("term", "lang", "query_rank", "result_rank", url.alias("url"),
+                        F.col("text").alias("body")))
+
+    def abstracts(self) -> DataFrame:
+        """ABSTRACTS(term, url, body): per EN term the lowest benchmark item containing
+        it (case-insensitive)."""
+        t = self.terms().where(F.col("lang") == "en").select("term")
+        b = self.table("benchmark").select("item_id", "text")
+        pairs = contains_join(b.select("item_id", "text", F.lower("text").alias("text_l"),
+                                       F.lit("en").alias("lang")),
+                              t.withColumn("lang", F.lit("en")), "text_l", "term", on=["lang"])
+        m = (pairs.groupBy("term").agg(F.min_by(F.struct("item_id", "text"), "item_id").alias("a")))
+        return m.select("term", F.concat(F.lit("http://abstracts.example.org/"),
+                                         F.col("a.item_id").cast("string")).alias("url"),
+                        F.col("a.text").alias("body"))
+
+    def enrichment_input(self) -> DataFrame:
+        """ENRICHED: the enrichment table with existing values by rank % 5."""
+        p = self.pairs()
+
+        def existing(r):
+            return (F.when(r % 5 == 0, F.lit("PENDING")).when(r % 5 == 1, F.lit("UNOBSERVED"))
+                    .when(r % 5 == 2, F.lit(None).cast("string")).when(r % 5 == 3, F.lit("short"))
+                    .otherwise(F.concat(F.lit("kept example "), F.lpad(r.cast("string"), 7, "0"))))
+
+        r = F.col("term_id")
+        url = F.concat(F.lit("http://kept.example.org/"), r.cast("string"))
+        return p.select(
+            r.cast("bigint").alias("row_no"), F.col("en_term").alias("English"),
+            F.when(r % 13 == 0, F.lit(" ")).otherwise(F.col("vi_term")).alias("Vietnamese"),
+            existing(r).alias("English example"), existing(r + 2).alias("Vietnamese example"),
+            url.alias("English source URL"), url.alias("Vietnamese source URL"))
+
+    # -- question answering inputs --------------------------------------------
+    def questions(self) -> DataFrame:
+        """QUESTIONS(id, question, options, question_type) per benchmark item."""
+        b = self.table("benchmark").select("item_id", "text")
+        t = F.broadcast(self.terms().where(F.col("lang") == "en").select("rk", "term"))
+        letters = F.array(*[F.lit(x) for x in "ABCD"])
+        opts = (b.select("item_id", F.posexplode(letters).alias("k", "letter"))
+                .withColumn("rk", (F.lit(4) * F.col("item_id") + F.col("k")) % N_TERMS + 1)
+                .join(t, "rk")
+                .groupBy("item_id").agg(F.map_from_entries(F.transform(
+                    F.sort_array(F.collect_list(F.struct("letter", "term"))),
+                    lambda e: F.struct(e["letter"], e["term"]))).alias("options")))
+        types = F.array(*[F.lit(x) for x in
+                          ("multi_choice", "open_ended_multi_choice", "open_ended", "other")])
+        words = F.filter(F.split("text", T.WS + "+", -1), lambda x: x != F.lit(""))
+        return b.join(opts, "item_id", "left").select(
+            F.concat(F.lit("q"), F.col("item_id").cast("string")).alias("id"),
+            F.array_join(F.slice(words, 1, 6), " ").alias("question"),
+            "options",
+            F.element_at(types, (F.col("item_id") % 4 + 1).cast("int")).alias("question_type"))
+
+    def answers_raw(self) -> DataFrame:
+        """ANSWERS_RAW(id, response): six response shapes by ``item_id % 6``."""
+        q = self.questions().withColumn("item_id", F.substring("id", 2, 20).cast("bigint"))
+        letter = F.element_at(F.array(*[F.lit(x) for x in "ABCD"]), (F.col("item_id") % 4 + 1).cast("int"))
+        reason = F.concat(F.lit("Evidence supports "), F.coalesce(F.element_at("options", F.lit("A")), F.lit("")))
+        c = F.col("item_id") % 6
+        resp = (F.when(c == 0, F.concat(F.lit('{"selected_option": "'), letter, F.lit('", "reasoning": "'),
+                                        reason, F.lit('"}')))
+                .when(c == 1, F.concat(F.lit('{"reasoning": "'), reason, F.lit('"}')))
+                .when(c == 2, reason)
+                .when(c == 3, F.concat(F.lit('{"selected_option": null, "reasoning": "'), reason, F.lit('"}')))
+                .when(c == 4, F.lit("[1]"))
+                .otherwise(F.concat(F.lit('```json\n{"selected_option": "'), letter, F.lit('"}\n```'))))
+        return q.select("id", resp.alias("response"))
+
+    def snippets(self) -> DataFrame:
+        """Search snippets: first-query hits with the first sentence of their body."""
+        h = self.hits().where(F.col("query_rank") == 1)
+        first = F.coalesce(F.get(T.split_sentences(T.clean_text("body")), 0), F.lit(""))
+        return h.select("term", "lang", "result_rank", "url", first.alias("body"))

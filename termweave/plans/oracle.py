@@ -466,3 +466,246 @@ LEFT JOIN (SELECT line_no, unnest(toks) AS token, generate_subscripts(toks, 1) A
            FROM (SELECT line_no, {tokens('text')} AS toks FROM refs)) tk USING (line_no)
 LEFT JOIN lexicon l ON lower(tk.token) = l.src
 GROUP BY r.line_no""", "refs", "lexicon")
+
+
+# -- web pages, search and enrichment ------------------------------------------------
+
+_FILE_EXT = q(r"(?i)\.(pdf|docx?|xlsx?|pptx?|zip)\z")
+_URL_PATH = q(r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)")
+
+
+def url_usable(x: str) -> str:
+    return (f"coalesce(starts_with({x}, 'http') AND NOT regexp_matches(regexp_extract({x}, {_URL_PATH}, 1), "
+            f"{_FILE_EXT}), false)")
+
+
+def html_to_text(x: str) -> str:
+    h = f"regexp_replace({x}, '(?s)<!--.*?-->', '', 'g')"
+    h = f"regexp_replace({h}, '(?i)<!doctype[^>]*>', '', 'g')"
+    for tag in K.DROPPED_HTML_ELEMENTS:
+        h = f"regexp_replace({h}, {q(rf'(?is)<{tag}\b[^>]*>.*?</{tag}\s*>')}, chr(1), 'g')"
+    h = f"regexp_replace({h}, '</?[a-zA-Z][^>]*>', chr(1), 'g')"
+    p = "p"
+    for a, b in [("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"),
+                 ("&nbsp;", " "), ("&#39;", "'"), ("&amp;", "&")]:
+        p = f"replace({p}, {q(a)}, {q(b)})"
+    return (f"array_to_string(list_filter(list_transform(string_split({h}, chr(1)), lambda p: {strip(p)}), "
+            f"lambda p: p <> ''), chr(10))")
+
+
+def last_word(x: str) -> str:
+    return f"(regexp_split_to_array({strip(x)}, {q(WS + '+')}))[-1]"
+
+
+def ascii_share(x: str) -> str:
+    s = f"coalesce({x}, '')"
+    return f"(length(regexp_replace({s}, '[^\\x00-\\x7F]', '', 'g')) / greatest(length({s}), 1))"
+
+
+cte("hits", """
+SELECT term, lang, query_rank, result_rank::INTEGER AS result_rank, url, body FROM (
+  SELECT t.term, d.lang, (1 + floor(d.doc_id / 50) % 3)::INTEGER AS query_rank, d.text AS body,
+         'http://example.org/' || d.doc_id::VARCHAR
+           || CASE WHEN d.doc_id % 7 = 0 THEN '.pdf' ELSE '' END AS url,
+         row_number() OVER (PARTITION BY t.term, d.lang, (1 + floor(d.doc_id / 50) % 3)::INTEGER
+                            ORDER BY d.doc_id) AS result_rank
+  FROM d JOIN terms t ON d.lang = t.lang AND d.doc_id % 50 + 1 = t.rk)
+WHERE result_rank <= 5""", "d", "terms")
+cte("abstracts", """
+SELECT t.term, 'http://abstracts.example.org/' || min(b.item_id)::VARCHAR AS url,
+       arg_min(b.text, b.item_id) AS body
+FROM benchmark b JOIN terms t ON t.lang = 'en' AND contains(lower(b.text), t.term)
+GROUP BY t.term""", "terms")
+
+
+def _existing(r: str) -> str:
+    return (f"CASE WHEN {r} % 5 = 0 THEN 'PENDING' WHEN {r} % 5 = 1 THEN 'UNOBSERVED' "
+            f"WHEN {r} % 5 = 2 THEN NULL WHEN {r} % 5 = 3 THEN 'short' "
+            f"ELSE 'kept example ' || lpad(({r})::VARCHAR, 7, '0') END")
+
+
+cte("enriched", f"""
+SELECT term_id::BIGINT AS row_no, en_term AS "English",
+       CASE WHEN term_id % 13 = 0 THEN ' ' ELSE vi_term END AS "Vietnamese",
+       {_existing('term_id')} AS "English example", {_existing('(term_id + 2)')} AS "Vietnamese example",
+       'http://kept.example.org/' || term_id::VARCHAR AS "English source URL",
+       'http://kept.example.org/' || term_id::VARCHAR AS "Vietnamese source URL"
+FROM pairs""", "pairs")
+cte("items", f"""
+SELECT *, CASE WHEN value IS NOT NULL AND value NOT IN ('PENDING', 'UNOBSERVED') AND length(value) > 10
+               THEN 'done'
+               WHEN coalesce({strip('term')}, '') = '' THEN 'blank' ELSE 'todo' END AS state
+FROM (SELECT row_no, 'en' AS side, 'en' AS lang, "English" AS term, "English example" AS value,
+             "English source URL" AS url FROM enriched
+      UNION ALL
+      SELECT row_no, 'vi', 'fr', "Vietnamese", "Vietnamese example", "Vietnamese source URL"
+      FROM enriched)""", "enriched")
+cte("enrich_cand", f"""
+SELECT i.row_no, i.side, i.lang, i.term, l.url, l.body, 0 AS source_rank, l.url_rank
+FROM items i JOIN (
+  SELECT *, row_number() OVER (PARTITION BY term, lang ORDER BY result_rank) AS url_rank FROM (
+    SELECT *, min(query_rank) OVER (PARTITION BY term, lang) AS q0
+    FROM hits WHERE result_rank <= 2 AND {url_usable('url')})
+  WHERE query_rank = q0) l ON l.term = i.term AND l.lang = i.lang
+WHERE i.state = 'todo' AND length(l.body) >= 50
+UNION ALL
+SELECT i.row_no, i.side, i.lang, i.term, a.url, a.body, 1 AS source_rank, 0 AS url_rank
+FROM items i JOIN abstracts a ON a.term = i.term
+WHERE i.state = 'todo' AND i.side = 'en'""", "items", "hits", "abstracts")
+cte("enrich_found", f"""
+SELECT row_no, side, sentence, url FROM (
+  SELECT *, row_number() OVER (PARTITION BY row_no, side ORDER BY source_rank, url_rank, term_rank) AS pick
+  FROM (
+    SELECT *, row_number() OVER (PARTITION BY row_no, side, source_rank, url_rank, term_rank
+                                 ORDER BY score DESC, pos) AS rn
+    FROM (
+      SELECT c.*, {score_sentence('c.sentence', 'c.kwd', 'k.keywords')} AS score
+      FROM (
+        SELECT *, unnest(arr) AS sentence, generate_subscripts(arr, 1) - 1 AS pos FROM (
+          SELECT c.*, t.term_rank,
+                 CASE WHEN t.term_rank = 0 THEN c.term ELSE {last_word('c.term')} END AS kwd,
+                 {split_sentences(clean_text('c.body'))} AS arr
+          FROM enrich_cand c, (SELECT unnest([0, 1]) AS term_rank) t)) c
+      LEFT JOIN kw k ON k.lang = c.lang
+      WHERE contains(lower(c.sentence), lower(c.kwd)) AND {word_count('c.sentence')} >= 8)
+    WHERE score > 0)
+  WHERE rn = 1)
+WHERE pick = 1""", "enrich_cand", "kw")
+cte("enrich_out", """
+SELECT i.row_no, i.side,
+       CASE WHEN i.state = 'done' THEN i.value WHEN f.sentence IS NOT NULL THEN f.sentence
+            ELSE 'UNOBSERVED' END AS example,
+       CASE WHEN i.state = 'done' THEN i.url WHEN f.sentence IS NOT NULL THEN f.url ELSE '' END AS source_url
+FROM items i LEFT JOIN enrich_found f USING (row_no, side)""", "items", "enrich_found")
+
+ORACLE["html_text"] = sql(f"""
+SELECT page_id, text FROM (SELECT page_id, {html_to_text('html')} AS text FROM pages)
+WHERE length(text) >= 50""")
+ORACLE["url_filter"] = sql(f"""
+SELECT url, regexp_extract(url, {_URL_PATH}, 1) AS path, {url_usable('url')} AS usable
+FROM (SELECT url FROM hits UNION ALL SELECT url FROM pages)""", "hits")
+ORACLE["enrich_terms"] = sql("SELECT * FROM enrich_out", "enrich_out")
+ORACLE["enriched_table"] = sql("""
+SELECT e.row_no, e."English", e."Vietnamese", en.example AS en_example, en.source_url AS en_source_url,
+       vi.example AS vi_example, vi.source_url AS vi_source_url
+FROM enriched e
+LEFT JOIN enrich_out en ON en.row_no = e.row_no AND en.side = 'en'
+LEFT JOIN enrich_out vi ON vi.row_no = e.row_no AND vi.side = 'vi'""", "enriched", "enrich_out")
+ORACLE["resume_work_set"] = sql(
+    "SELECT row_no, side, lang, term FROM items WHERE state = 'todo'", "items")
+_SFX = ", ".join(f"({q('en' if lang == 'en' else 'vi')}, {i + 1}, {q(s)})"
+                 for lang in ("en", "vi") for i, s in enumerate(K.SEARCH_QUERY_SUFFIXES[lang]))
+ORACLE["search_queries"] = sql(f"""
+SELECT t.lang, t.term, s.query_rank, '"' || t.term || '"' || s.sfx AS query,
+       replace(url_encode(t.term), '%2F', '/') AS quoted_term
+FROM terms t JOIN (VALUES {_SFX}) s(l, query_rank, sfx)
+  ON s.l = CASE WHEN t.lang = 'en' THEN 'en' ELSE 'vi' END""", "terms")
+
+# -- evidence and answers --------------------------------------------------------------
+
+cte("snippets", f"""
+SELECT term, lang, result_rank, url, coalesce(({split_sentences(clean_text('body'))})[1], '') AS body
+FROM hits WHERE query_rank = 1""", "hits")
+cte("ascii_ev", f"""
+SELECT term, lang,
+       CASE WHEN count(*) FILTER (WHERE keep) > 0
+            THEN string_agg(body, ' | ' ORDER BY result_rank) FILTER (WHERE keep)
+            ELSE {q(K.NO_ENGLISH_EVIDENCE)} END AS evidence
+FROM (SELECT *, {ascii_share('body')} > 0.8 AS keep FROM (
+        SELECT *, row_number() OVER (PARTITION BY term, lang ORDER BY result_rank) AS rn FROM snippets)
+      WHERE rn <= 3)
+GROUP BY term, lang""", "snippets")
+cte("questions", f"""
+SELECT 'q' || b.item_id::VARCHAR AS id, b.item_id,
+       array_to_string(({tokens('b.text')})[1:6], ' ') AS question, o.options,
+       ['multi_choice', 'open_ended_multi_choice', 'open_ended', 'other'][b.item_id % 4 + 1] AS question_type
+FROM benchmark b LEFT JOIN (
+  SELECT x.item_id, list({{'k': x.letter, 'v': t.term}} ORDER BY x.letter) AS options
+  FROM (SELECT b.item_id, l.k, l.letter FROM benchmark b,
+        (VALUES (0, 'A'), (1, 'B'), (2, 'C'), (3, 'D')) l(k, letter)) x
+  JOIN terms t ON t.lang = 'en' AND t.rk = (4 * x.item_id + x.k) % 50 + 1
+  GROUP BY x.item_id) o USING (item_id)""", "terms")
+cte("answers_raw", """
+SELECT id, CASE item_id % 6
+  WHEN 0 THEN '{"selected_option": "' || letter || '", "reasoning": "' || reason || '"}'
+  WHEN 1 THEN '{"reasoning": "' || reason || '"}'
+  WHEN 2 THEN reason
+  WHEN 3 THEN '{"selected_option": null, "reasoning": "' || reason || '"}'
+  WHEN 4 THEN '[1]'
+  ELSE '```json' || chr(10) || '{"selected_option": "' || letter || '"}' || chr(10) || '```' END AS response
+FROM (SELECT id, item_id, ['A', 'B', 'C', 'D'][item_id % 4 + 1] AS letter,
+             'Evidence supports ' || coalesce(list_filter(options, lambda e: e.k = 'A')[1].v, '') AS reason
+      FROM questions)""", "questions")
+
+
+def _field(f: str) -> str:
+    return (f"CASE WHEN NOT json_exists(response, '$.{f}') THEN '' "
+            f"WHEN json_type(json_extract(response, '$.{f}')) = 'NULL' THEN NULL "
+            f"ELSE json_extract_string(response, '$.{f}') END")
+
+
+cte("parsed_answers", f"""
+SELECT id, response, coalesce(json_valid(response), false) AS valid,
+       coalesce(jt = 'OBJECT', false) AS is_object,
+       CASE WHEN jt = 'OBJECT' THEN {_field('selected_option')} END AS selected_option,
+       CASE WHEN jt = 'OBJECT' THEN {_field('reasoning')} END AS reasoning
+FROM (SELECT *, CASE WHEN json_valid(response) THEN json_type(response) END AS jt FROM answers_raw)""",
+    "answers_raw")
+_CHOICE = "q.question_type IN ('multi_choice', 'open_ended_multi_choice')"
+_OPEN = "q.question_type = 'open_ended'"
+cte("answer_rows", f"""
+SELECT q.id, {_CHOICE} AS is_choice, {_OPEN} AS is_open,
+       CASE WHEN p.is_object THEN p.selected_option ELSE '' END AS sel,
+       CASE WHEN p.is_object THEN p.reasoning ELSE coalesce(p.response, '') END AS rea,
+       ({_CHOICE} OR {_OPEN}) AND coalesce(p.valid, false) AND NOT coalesce(p.is_object, false) AS failed
+FROM questions q LEFT JOIN parsed_answers p USING (id)""", "questions", "parsed_answers")
+
+ORACLE["top_hits"] = sql(
+    "SELECT term, lang, query_rank, result_rank, url FROM hits WHERE result_rank <= 3", "hits")
+ORACLE["ascii_evidence"] = sql("SELECT term, lang, evidence FROM ascii_ev", "ascii_ev")
+cte("evidence_text", f"""
+SELECT id, string_agg(e.k || ': ' || coalesce(ev.evidence, {q(K.NO_EVIDENCE)}), chr(10) ORDER BY pos)
+         AS evidence_text
+FROM (SELECT id, unnest(options) AS e, generate_subscripts(options, 1) AS pos FROM questions) o
+LEFT JOIN (SELECT term, evidence FROM ascii_ev WHERE lang = 'en') ev ON ev.term = o.e.v
+GROUP BY id""", "questions", "ascii_ev")
+ORACLE["evidence_map"] = sql("SELECT id, evidence_text FROM evidence_text", "evidence_text")
+
+
+def _fill(tpl: str, with_options: bool) -> str:
+    parts, rest = [], tpl
+    for key, col in (("{stem}", "q.question"),
+                     ("{options}", "array_to_string(list_transform(q.options, lambda e: e.k || ': ' || e.v), chr(10))"
+                      if with_options else None),
+                     ("{evidence}", "m.evidence_text")):
+        if key not in rest:
+            continue
+        head, rest = rest.split(key, 1)
+        parts += [q(head), col]
+    parts.append(q(rest))
+    return " || ".join(parts)
+
+
+def _answer_prompt_sql() -> str:
+    from termweave.operators.answering import CHOICE_PROMPT, OPEN_PROMPT
+    return sql(f"""
+SELECT q.id, CASE WHEN q.question_type IN ('multi_choice', 'open_ended_multi_choice')
+                  THEN {_fill(CHOICE_PROMPT, True)}
+                  WHEN q.question_type = 'open_ended' THEN {_fill(OPEN_PROMPT, False)} END AS prompt
+FROM questions q LEFT JOIN evidence_text m USING (id)
+WHERE q.question_type IN ('multi_choice', 'open_ended_multi_choice', 'open_ended')""",
+               "questions", "evidence_text")
+
+
+ORACLE["answer_prompts"] = _answer_prompt_sql()
+ORACLE["parse_answers"] = sql(
+    "SELECT id, valid, is_object, selected_option, reasoning FROM parsed_answers", "parsed_answers")
+ORACLE["answers"] = sql(f"""
+SELECT id,
+       CASE WHEN is_choice THEN sel WHEN is_open THEN rea ELSE '' END AS prediction,
+       CASE WHEN is_choice OR is_open THEN rea ELSE {q(K.UNSUPPORTED_REASONING)} END AS reasoning_trace,
+       CASE WHEN is_choice THEN sel
+            WHEN is_open THEN CASE WHEN coalesce(sel, '') <> '' THEN sel ELSE 'A' END ELSE '' END AS choice
+FROM answer_rows WHERE NOT failed""", "answer_rows")
+ORACLE["answer_rejects"] = sql(
+    "SELECT id, 'response is not a JSON object' AS reason FROM answer_rows WHERE failed", "answer_rows")

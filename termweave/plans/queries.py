@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termweave.functions import text as T
-from termweave.operators import corpus, evaluation, mining, prompting
+from termweave.functions import constants as K
+from termweave.operators import answering, corpus, evaluation, mining, prompting
 from termweave.plans.fixtures import Fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -197,3 +198,116 @@ def encode_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lexicon_translate(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixtures(spark, sf_dir)
     return corpus.lexicon_translate(fx.refs(), fx.lexicon())
+
+
+# -- web pages, search and enrichment ---------------------------------------------
+
+@query
+def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mining.page_text(Fixtures(spark, sf_dir).table("pages")).select("page_id", "text")
+
+
+@query
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = Fixtures(spark, sf_dir)
+    urls = (fx.hits().select("url").unionByName(fx.table("pages").select("url")))
+    return urls.select("url", mining.url_path("url").alias("path"),
+                       mining.url_usable("url").alias("usable"))
+
+
+def _enrich(fx: Fixtures) -> DataFrame:
+    return mining.enrich(fx.enrichment_input(), fx.hits(), fx.abstracts(), fx.keywords(),
+                         lang_map={"en": "en", "vi": "fr"})
+
+
+@query
+def enrich_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _enrich(Fixtures(spark, sf_dir))
+
+
+@query
+def enriched_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = Fixtures(spark, sf_dir)
+    t = mining.enriched_table(fx.enrichment_input(), _enrich(fx))
+    return t.select("row_no", "English", "Vietnamese",
+                    F.col("English example").alias("en_example"),
+                    F.col("English source URL").alias("en_source_url"),
+                    F.col("Vietnamese example").alias("vi_example"),
+                    F.col("Vietnamese source URL").alias("vi_source_url"))
+
+
+@query
+def resume_work_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = Fixtures(spark, sf_dir)
+    items = mining.work_items(fx.enrichment_input(), lang_map={"en": "en", "vi": "fr"})
+    done = items.where(F.col("state") == "done").select("row_no", "side")
+    # JOIN-7: only rows without a finished value are (re)processed.
+    return (items.where(F.col("state") != "blank")
+            .join(done, ["row_no", "side"], "left_anti")
+            .select("row_no", "side", "lang", "term"))
+
+
+@query
+def search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Fixtures(spark, sf_dir).terms()
+    return t.select("lang", "term", F.posexplode(T.search_queries("term", "lang")).alias("q", "query"),
+                    T.url_quote("term").alias("quoted_term")).select(
+        "lang", "term", (F.col("q") + 1).alias("query_rank"), "query", "quoted_term")
+
+
+# -- evidence and answers -------------------------------------------------------------
+
+def _evidence(fx: Fixtures) -> DataFrame:
+    return answering.ascii_evidence(fx.snippets(), ["term", "lang"])
+
+
+@query
+def top_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = answering.top_hits(Fixtures(spark, sf_dir).hits(), ["term", "lang"], K.SNIPPETS_PER_QUERY)
+    return h.select("term", "lang", "query_rank", "result_rank", "url")
+
+
+@query
+def ascii_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _evidence(Fixtures(spark, sf_dir))
+
+
+@query
+def evidence_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = Fixtures(spark, sf_dir)
+    ev = _evidence(fx).where(F.col("lang") == "en").select(F.col("term").alias("opt_val"), "evidence")
+    return answering.evidence_map(fx.questions(), ev).select("id", "evidence_text")
+
+
+@query
+def answer_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = Fixtures(spark, sf_dir)
+    q = fx.questions()
+    ev = _evidence(fx).where(F.col("lang") == "en").select(F.col("term").alias("opt_val"), "evidence")
+    m = answering.evidence_map(q, ev)
+    j = q.join(m, "id", "left")
+    p = answering.answer_prompt(F.col("question"), F.col("options"), F.col("evidence_text"),
+                                F.col("question_type"))
+    return j.select("id", p.alias("prompt")).where(F.col("prompt").isNotNull())
+
+
+@query
+def parse_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = Fixtures(spark, sf_dir).answers_raw()
+    p = answering.parse_response("response")
+    return r.select("id", p["valid"].alias("valid"), p["is_object"].alias("is_object"),
+                    F.when(p["is_object"], p["selected_option"]).alias("selected_option"),
+                    F.when(p["is_object"], p["reasoning"]).alias("reasoning"))
+
+
+@query
+def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = Fixtures(spark, sf_dir)
+    a, _ = answering.assemble_answers(fx.questions(), fx.answers_raw())
+    return answering.answers_csv(a)
+
+
+@query
+def answer_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = Fixtures(spark, sf_dir)
+    return answering.assemble_answers(fx.questions(), fx.answers_raw())[1]
