@@ -41,15 +41,6 @@ def zip_lines(left: DataFrame, right: DataFrame, key: str = "line_no") -> DataFr
     return j.withColumn("status", status)
 
 
-def read_line_file(spark, path: str) -> DataFrame:
-    """SRC-3: a text file as (line_no, text) with the raw 0-based line position.
-    Positions come from ``zipWithIndex`` over the file's splits in order, which is
-    stable across jobs (unlike ``monotonically_increasing_id``)."""
-    raw = spark.read.text(path)
-    rdd = raw.rdd.zipWithIndex().map(lambda r: (r[1], r[0][0]))
-    return spark.createDataFrame(rdd, "line_no bigint, text string")
-
-
 def whitespace_tokens(c) -> Column:
     """``s.split()`` as an array."""
     return F.filter(F.split(c if not isinstance(c, str) else F.col(c), T.WS + "+", -1),

@@ -709,3 +709,15 @@ SELECT id,
 FROM answer_rows WHERE NOT failed""", "answer_rows")
 ORACLE["answer_rejects"] = sql(
     "SELECT id, 'response is not a JSON object' AS reason FROM answer_rows WHERE failed", "answer_rows")
+
+
+# -- incremental runs, batching and slices ------------------------------------------------
+
+ORACLE["incremental_mine"] = ORACLE["best_sentence"]
+ORACLE["slice_rows"] = """
+SELECT doc_id, row_no, row_no < 100 AS in_head, row_no >= 100 AND row_no < 300 AS in_slice,
+       row_no >= 50 AS after_skip
+FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_no FROM documents)"""
+ORACLE["batch_ids"] = """
+SELECT doc_id, row_no, (row_no // 5)::BIGINT AS q_batch, (row_no // 8)::BIGINT AS t_batch
+FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_no FROM documents)"""

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from termweave.functions import text as T
 from termweave.functions import constants as K
-from termweave.operators import answering, corpus, evaluation, mining, prompting
+from termweave.operators import answering, corpus, evaluation, generation, mining, prompting
+from termweave.operators.ordering import dense_row_number
+from termweave.streaming import incremental
 from termweave.plans.fixtures import Fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -311,3 +313,43 @@ def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def answer_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixtures(spark, sf_dir)
     return answering.assemble_answers(fx.questions(), fx.answers_raw())[1]
+
+
+# -- incremental runs, batching and slices ---------------------------------------------
+
+@query
+def incremental_mine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-1: the flagship mined incrementally from the documents file as a stream;
+    equal to ``best_sentence``."""
+    fx = Fixtures(spark, sf_dir)
+    sink, ckpt = incremental.scratch_paths(spark, "incremental_mine")
+    incremental.incremental_best_sentences(spark, sf_dir, fx.terms(), fx.keywords(), sink, ckpt,
+                                           glob="documents.parquet")
+    return spark.read.parquet(sink).drop("epoch")
+
+
+@query
+def slice_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LIM-1..3 as flags over every document in file (doc_id) order: head of 100,
+    slice [100, 300), and everything after skipping 50."""
+    d = dense_row_number(Fixtures(spark, sf_dir).docs().select("doc_id"), "doc_id", "row_no", start=0)
+    r = F.col("row_no")
+    return d.select("doc_id", "row_no", (r < 100).alias("in_head"),
+                    ((r >= 100) & (r < 300)).alias("in_slice"), (r >= 50).alias("after_skip"))
+
+
+@query
+def batch_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN-5: question batches of 5 and translation batches of 8 over documents."""
+    d = dense_row_number(Fixtures(spark, sf_dir).docs().select("doc_id"), "doc_id", "row_no", start=0)
+    d = incremental.batch_ids(d, "row_no", K.QUESTION_BATCH_SIZE, "q_batch")
+    return incremental.batch_ids(d, "row_no", K.TRANSLATE_BATCH_SIZE, "t_batch")
+
+
+@query
+def generate_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """UDF-1 with the deterministic echo generator over accepted rows (rows-only)."""
+    acc = prompting.accepted(_validated(Fixtures(spark, sf_dir)))
+    att = generation.generate_with_retries(acc, generation.echo_generator)
+    res = prompting.resolve_attempts(acc, att)
+    return prompting.prompt_log(res)
