@@ -43,7 +43,7 @@ def zip_lines(left: DataFrame, right: DataFrame, key: str = "line_no") -> DataFr
 
 def whitespace_tokens(c) -> Column:
     """``s.split()`` as an array."""
-    return F.filter(F.split(c if not isinstance(c, str) else F.col(c), T.WS + "+", -1),
+    return F.filter(F.split(c if not isinstance(c, str) else F.col(c), T.JWS + "+", -1),
                     lambda x: x != F.lit(""))
 
 

@@ -34,7 +34,7 @@ def tokenize_13a(c) -> Column:
     s = F.regexp_replace(s, r"([^0-9])([.,])", "$1 $2 ")
     s = F.regexp_replace(s, r"([.,])([^0-9])", " $1 $2")
     s = F.regexp_replace(s, r"([0-9])(-)", "$1 $2 ")
-    return F.filter(F.split(s, T.WS + "+", -1), lambda x: x != F.lit(""))
+    return F.filter(F.split(s, T.JWS + "+", -1), lambda x: x != F.lit(""))
 
 
 def ngrams(tokens, n: int) -> Column:
@@ -139,7 +139,7 @@ def term_accuracy(sources: DataFrame, preds: DataFrame, term_map: DataFrame,
         .withColumn("term_accuracy", F.col("n_hits") / F.col("n_pairs")))
 
 
-_FALLBACK_RE = "BLEU" + T.WS + "*=" + T.WS + r"*([0-9]+\.[0-9]+)"
+_FALLBACK_RE = "BLEU" + T.JWS + "*=" + T.JWS + r"*([0-9]+\.[0-9]+)"
 
 
 def report_scores(reports: DataFrame) -> DataFrame:

@@ -80,6 +80,8 @@ def contains_join(texts: DataFrame, terms: DataFrame, text_col: str, term_col: s
     or ``anchor``.  ``auto`` counts the term rows once and broadcasts only below
     ``broadcast_limit``."""
     if strategy == "auto":
+        # The size check materializes the (small) term table once; keep it for the join.
+        terms = terms.persist()
         strategy = "broadcast" if terms.count() <= broadcast_limit else "anchor"
     if strategy == "broadcast":
         return _broadcast_join(texts, terms, text_col, term_col, list(on))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from termweave.functions import text as T
 from termweave.operators.matching import contains_join
 from termweave.operators.ordering import dense_row_number
+from termweave.operators.parallel import spread
 from termweave.session import read_table
 
 TERM_LANGS = ("en", "fr")  # French stands in for the target language
@@ -31,7 +32,10 @@ class Fixtures:
         return read_table(self.spark, self.sf_dir, name)
 
     def docs(self) -> DataFrame:
-        return self.table("documents").select("doc_id", "lang", "text")
+        return spread(self.table("documents").select("doc_id", "lang", "text"), "doc_id")
+
+    def pages(self) -> DataFrame:
+        return spread(self.table("pages"), "page_id")
 
     # -- vocabulary ranking -------------------------------------------------
     def ranked_tokens(self, max_rank: int = N_TERMS + N_KEYWORDS) -> DataFrame:
@@ -228,7 +232,7 @@ class Fixtures:
                     lambda e: F.struct(e["letter"], e["term"]))).alias("options")))
         types = F.array(*[F.lit(x) for x in
                           ("multi_choice", "open_ended_multi_choice", "open_ended", "other")])
-        words = F.filter(F.split("text", T.WS + "+", -1), lambda x: x != F.lit(""))
+        words = F.filter(F.split("text", T.JWS + "+", -1), lambda x: x != F.lit(""))
         return b.join(opts, "item_id", "left").select(
             F.concat(F.lit("q"), F.col("item_id").cast("string")).alias("id"),
             F.array_join(F.slice(words, 1, 6), " ").alias("question"),

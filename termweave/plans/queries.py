@@ -206,13 +206,13 @@ def lexicon_translate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mining.page_text(Fixtures(spark, sf_dir).table("pages")).select("page_id", "text")
+    return mining.page_text(Fixtures(spark, sf_dir).pages()).select("page_id", "text")
 
 
 @query
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixtures(spark, sf_dir)
-    urls = (fx.hits().select("url").unionByName(fx.table("pages").select("url")))
+    urls = (fx.hits().select("url").unionByName(fx.pages().select("url")))
     return urls.select("url", mining.url_path("url").alias("path"),
                        mining.url_usable("url").alias("usable"))
 
