@@ -283,3 +283,10 @@ def report_score(text) -> Column:
     hit = F.contains(t, F.lit("BLEU")) | F.contains(F.lower(t), F.lit("score"))
     num = F.regexp_extract(t, r"([0-9]+\.[0-9]+)", 1)
     return F.when(hit & (num != F.lit("")), num.cast("double"))
+
+
+def json_line(*cols) -> Column:
+    """SCA-16: ``json.dumps(obj, ensure_ascii=False)`` of a flat record; null fields are
+    written as ``null`` rather than dropped.  (Key order follows the columns; the
+    separators are Spark's compact ones.)"""
+    return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})

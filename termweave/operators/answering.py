@@ -138,3 +138,21 @@ def assemble_answers(questions: DataFrame, responses: DataFrame) -> tuple[DataFr
 def answers_csv(answers: DataFrame) -> DataFrame:
     """SNK-7 column selection: reasoning is written as reasoning_trace."""
     return answers.select("id", "prediction", F.col("reasoning").alias("reasoning_trace"), "choice")
+
+
+def answer_questions(questions: DataFrame, evidence: DataFrame, fn, batch_size: int = 5,
+                     choice_template: str = CHOICE_PROMPT, open_template: str = OPEN_PROMPT
+                     ) -> tuple[DataFrame, DataFrame]:
+    """UDF-3 end to end: evidence map -> prompts (SCA-21) -> caller's batch generator
+    (``mapInPandas``) -> strict parsing and assembly.  Unsupported question types are
+    never sent to the generator.  Returns (answers, rejects)."""
+    from termweave.operators.generation import generate
+
+    m = evidence_map(questions, evidence)
+    q = questions.join(m, "id", "left").withColumn(
+        "prompt", answer_prompt(F.col("question"), F.col("options"), F.col("evidence_text"),
+                                F.col("question_type"), choice_template, open_template))
+    asked = q.where(F.col("prompt").isNotNull()).select("id", "prompt")
+    resp = generate(asked, fn, "prompt", "id", 0, batch_size).select(
+        "id", F.col("raw_response").alias("response"))
+    return assemble_answers(questions, resp)

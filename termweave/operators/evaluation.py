@@ -118,6 +118,14 @@ def bleu_delta(scores: DataFrame, baseline: str = "baseline", tuned: str = "tune
         .when(delta == 0, F.lit("unchanged")))
 
 
+def evaluation_report(scores: DataFrame, baseline: str = "baseline", tuned: str = "tuned") -> DataFrame:
+    """SNK-9: one row per system with its BLEU and, on the tuned row, the delta."""
+    d = bleu_delta(scores, baseline, tuned).select("delta")
+    s = scores.select("system", "bleu", "sys_len", "ref_len")
+    return (s.join(F.broadcast(d.withColumn("system", F.lit(tuned))), "system", "left")
+            .select("system", "bleu", "delta", "sys_len", "ref_len"))
+
+
 def term_accuracy(sources: DataFrame, preds: DataFrame, term_map: DataFrame,
                   broadcast_limit: int = 20_000) -> DataFrame:
     """AGG-4: for every (line, source term) with the source term contained in the source

@@ -42,8 +42,9 @@ def generate(df: DataFrame, fn: BatchFn, prompt_col: str, key: str = "row_no",
             yield pd.DataFrame({key: pdf[key].to_numpy(), "attempt": attempt,
                                 "raw_response": texts, "error": errors})
 
+    key_type = df.schema[key].dataType.simpleString()
     return df.select(key, prompt_col).mapInPandas(
-        run, f"{key} bigint, attempt int, raw_response string, error string")
+        run, f"{key} {key_type}, attempt int, raw_response string, error string")
 
 
 def generate_with_retries(acc: DataFrame, fn: BatchFn, template: str = K.DEFAULT_PROMPT_TEMPLATE,

@@ -40,3 +40,18 @@ def dense_row_number(df: DataFrame, key: str, out: str = "row_no", start: int =
     """WIN-2: dense position in ``key`` order, from ``start``."""
     r = prefix_sum(df, key, F.lit(1), out, bucket_size)
     return r.withColumn(out, F.col(out) + F.lit(start - 1)) if start != 1 else r
+
+
+def first_rows(df: DataFrame, key: str, n: int) -> DataFrame:
+    """LIM-1: the first ``n`` rows in ``key`` order (the testing-mode row cap of the
+    original).  Planned as a per-partition top-n plus a merge of n x partitions rows."""
+    return df.orderBy(key).limit(n)
+
+
+def slice_rows(df: DataFrame, row_no: str, start: int = 0, end: int | None = None) -> DataFrame:
+    """LIM-2/LIM-3: rows with dense position in ``[start, end)`` (``end`` None = all);
+    ``row_no`` is a 0-based dense position (``dense_row_number(..., start=0)``)."""
+    cond = F.col(row_no) >= start
+    if end is not None:
+        cond = cond & (F.col(row_no) < end)
+    return df.where(cond)

@@ -259,3 +259,16 @@ class Fixtures:
         h = self.hits().where(F.col("query_rank") == 1)
         first = F.coalesce(F.get(T.split_sentences(T.clean_text("body")), 0), F.lit(""))
         return h.select("term", "lang", "result_rank", "url", first.alias("body"))
+
+    def page_hits(self) -> DataFrame:
+        """PAGE_HITS(term, lang, query_rank, result_rank, url): result links that point at
+        the driver's ``pages`` (language from the URL path, ``page_id % 50 = rk - 1``)."""
+        t = self.terms()
+        p = (self.table("pages").select("page_id", "url")
+             .withColumn("lang", F.regexp_extract("url", "/(en|fr|de|es)/", 1))
+             .withColumn("res", F.col("page_id") % N_TERMS + 1))
+        h = (p.join(t.withColumnRenamed("rk", "res"), ["lang", "res"])
+             .withColumn("query_rank", (F.lit(1) + F.floor(F.col("page_id") / 50) % 3).cast("int")))
+        w = Window.partitionBy("term", "lang", "query_rank").orderBy("page_id")
+        return (h.withColumn("result_rank", F.row_number().over(w)).where(F.col("result_rank") <= 5)
+                .select("term", "lang", "query_rank", "result_rank", "url"))

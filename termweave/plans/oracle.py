@@ -721,3 +721,34 @@ FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_no FROM docu
 ORACLE["batch_ids"] = """
 SELECT doc_id, row_no, (row_no // 5)::BIGINT AS q_batch, (row_no // 8)::BIGINT AS t_batch
 FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_no FROM documents)"""
+
+
+# -- JOIN-3: links to pages by URL ----------------------------------------------------
+
+cte("page_hits", """
+SELECT term, lang, query_rank, result_rank::INTEGER AS result_rank, url FROM (
+  SELECT t.term, p.lang, (1 + floor(p.page_id / 50) % 3)::INTEGER AS query_rank, p.url,
+         row_number() OVER (PARTITION BY t.term, p.lang, (1 + floor(p.page_id / 50) % 3)::INTEGER
+                            ORDER BY p.page_id) AS result_rank
+  FROM (SELECT page_id, url, regexp_extract(url, '/(en|fr|de|es)/', 1) AS lang FROM pages) p
+  JOIN terms t ON p.lang = t.lang AND p.page_id % 50 + 1 = t.rk)
+WHERE result_rank <= 5""", "terms")
+cte("page_hits_body", f"""
+SELECT h.*, x.text AS body FROM page_hits h LEFT JOIN (
+  SELECT url, text FROM (SELECT url, {html_to_text('html')} AS text FROM pages) WHERE length(text) >= 50) x
+USING (url)""", "page_hits")
+
+
+def _enrich_with(hits_view: str) -> str:
+    cand = CTES["enrich_cand"][0].replace("FROM hits WHERE", f"FROM {hits_view} WHERE").replace(
+        "WHERE i.state = 'todo' AND length(l.body) >= 50",
+        "WHERE i.state = 'todo' AND l.body IS NOT NULL AND length(l.body) >= 50")
+    found = CTES["enrich_found"][0].replace("FROM enrich_cand c", "FROM enrich_cand2 c")
+    out = CTES["enrich_out"][0].replace("LEFT JOIN enrich_found f", "LEFT JOIN enrich_found2 f")
+    cte("enrich_cand2", cand, "items", hits_view, "abstracts")
+    cte("enrich_found2", found, "enrich_cand2", "kw")
+    cte("enrich_out2", out, "items", "enrich_found2")
+    return sql("SELECT * FROM enrich_out2", "enrich_out2")
+
+
+ORACLE["enrich_from_pages"] = _enrich_with("page_hits_body")

@@ -227,6 +227,16 @@ def enrich_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _enrich(Fixtures(spark, sf_dir))
 
 
+@query
+def enrich_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOIN-3: search links joined to the pages table by URL, page HTML to text, then the
+    enrichment chain."""
+    fx = Fixtures(spark, sf_dir)
+    hits = mining.hits_with_pages(fx.page_hits(), fx.pages())
+    return mining.enrich(fx.enrichment_input(), hits, fx.abstracts(), fx.keywords(),
+                         lang_map={"en": "en", "vi": "fr"})
+
+
 @query
 def enriched_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixtures(spark, sf_dir)
