@@ -99,29 +99,44 @@ def contains_ci(text, term) -> Column:
     return F.contains(F.lower(_col(text)), F.lower(_col(term)))
 
 
-def sentence_base(sentence, keywords) -> Column:
-    """Term-independent part of SCA-8: SCORE_REJECT for short / noisy / boilerplate
-    sentences, else keyword bonus + word-count term + end-punctuation term.  Computed
-    once per sentence, however many terms it meets."""
-    raw = _col(sentence)
-    s = F.lower(raw)
+def sentence_rejected(sentence_lower) -> Column:
+    """SCA-8 rejection tests on the lower-cased sentence: too short, web noise, or a
+    boilerplate prefix."""
+    s = _col(sentence_lower)
     noise = _any([F.contains(s, F.lit(w)) for w in K.NOISE_WORDS])
     prefix = _any([F.startswith(s, F.lit(p)) for p in K.BOILERPLATE_PREFIXES])
-    wc = word_count(raw)
+    return (F.length(s) < K.MIN_SHORT_SENTENCE_CHARS) | noise | prefix
+
+
+def sentence_bonus(sentence_lower, n_words, keywords) -> Column:
+    """SCA-8 term-independent bonus: keywords contained, word-count range, final
+    punctuation."""
+    s = _col(sentence_lower)
+    wc = _col(n_words)
     kw_hits = F.size(F.filter(F.coalesce(_col(keywords), F.array().cast("array<string>")),
                               lambda x: F.contains(s, x)))
-    base = (
-        kw_hits * K.SCORE_PER_KEYWORD
-        + F.when(wc.between(K.MIN_WORDS, K.MAX_WORDS), K.SCORE_WORDS_IN_RANGE)
-        .otherwise(K.SCORE_WORDS_OUT_OF_RANGE)
-        + F.when(F.regexp_like(s, F.lit(r"[.!?]\z")), K.SCORE_END_PUNCT).otherwise(K.SCORE_NO_END_PUNCT)
-    )
-    return (
-        F.when(F.length(s) < K.MIN_SHORT_SENTENCE_CHARS, K.SCORE_REJECT)
-        .when(noise | prefix, K.SCORE_REJECT)
-        .otherwise(base)
-        .cast("int")
-    )
+    end = F.endswith(s, F.lit(".")) | F.endswith(s, F.lit("!")) | F.endswith(s, F.lit("?"))
+    return (kw_hits * K.SCORE_PER_KEYWORD
+            + F.when(wc.between(K.MIN_WORDS, K.MAX_WORDS), K.SCORE_WORDS_IN_RANGE)
+            .otherwise(K.SCORE_WORDS_OUT_OF_RANGE)
+            + F.when(end, K.SCORE_END_PUNCT).otherwise(K.SCORE_NO_END_PUNCT))
+
+
+def sentence_base(sentence, keywords) -> Column:
+    """Term-independent part of SCA-8: SCORE_REJECT for short / noisy / boilerplate
+    sentences, else keyword bonus + word-count term + end-punctuation term.  Computed
+    once per sentence, however many terms it meets."""
+    s = F.lower(_col(sentence))
+    return (F.when(sentence_rejected(s), K.SCORE_REJECT)
+            .otherwise(sentence_bonus(s, word_count(_col(sentence)), keywords)).cast("int"))
+
+
+def word_count_clean(c) -> Column:
+    """SCA-7 for text produced by ``clean_text`` (single spaces, no edge whitespace):
+    spaces + 1, without a regex.  Empty string -> 0."""
+    x = _col(c)
+    return F.when(x == F.lit(""), F.lit(0)).otherwise(
+        F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + F.lit(1)).cast("int")
 
 
 def term_score(base, sentence_lower, term_lower) -> Column:
