@@ -9,11 +9,13 @@ Two exact plans:
 * **broadcast** — the term table is small (its row count is checked first): broadcast
   hash join on ``on`` with a ``contains`` residual.  No shuffle of the text side.
 * **anchor-gram** — large dictionaries: every term picks its rarest character trigram
-  (frequency measured over the texts) as anchor; texts explode their *distinct*
-  trigrams, pre-filtered to the anchors; an equi-join on ``(on, gram)`` produces
-  candidates that are verified with ``contains``.  A term contained in a text has all its
-  trigrams there, so no pair is lost.  Terms shorter than three characters (a set bounded
-  by the alphabet, not by the data) stay on the broadcast path.
+  (frequency estimated on a sample of the texts) as anchor; texts explode their
+  *distinct* trigrams and probe the anchor table with an equi-join on ``(on, gram)``;
+  candidates are verified with ``contains``.  A term contained in a text has all its
+  trigrams there, so no pair is lost whichever anchor was chosen.  The anchor table
+  (one row per term) is broadcast below a checked row count, otherwise hash-joined
+  (AQE splits skewed gram keys).  Terms shorter than three characters (a set bounded by
+  the alphabet, not by the data) stay on the broadcast path.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_TERM_LIMIT = 20_000
+ANCHOR_BROADCAST_ROWS = 2_000_000
 GRAM = 3
 
 
@@ -45,32 +48,31 @@ def _broadcast_join(texts: DataFrame, terms: DataFrame, text_col: str, term_col:
 
 
 def _anchor_join(texts: DataFrame, terms: DataFrame, text_col: str, term_col: str,
-                 on: Sequence[str]) -> DataFrame:
+                 on: Sequence[str], sample_fraction: float = 0.02,
+                 broadcast_rows: int = ANCHOR_BROADCAST_ROWS, seed: int = 17) -> DataFrame:
     on = list(on)
-    tkey = "__term_id"
-    xkey = "__text_id"
-    t = terms.withColumn(tkey, F.monotonically_increasing_id())
-    x = texts.withColumn(xkey, F.monotonically_increasing_id())
-    # Persist the keyed inputs so the ids stay stable across the branches below.
-    t = t.checkpoint()
-    x = x.checkpoint()
-    long_t = t.where(F.length(term_col) >= GRAM)
-    short_t = t.where(F.length(term_col) < GRAM)
-
-    term_grams = long_t.select(*on, tkey, F.explode(grams(term_col)).alias("gram"))
-    wanted = term_grams.select(*on, "gram").distinct()
-    text_grams = (x.select(*on, xkey, F.explode(grams(text_col)).alias("gram"))
-                  .join(wanted, on + ["gram"], "left_semi"))
-    freq = text_grams.groupBy(*on, "gram").agg(F.count(F.lit(1)).alias("freq"))
+    long_t = terms.where(F.length(term_col) >= GRAM)
+    short_t = terms.where(F.length(term_col) < GRAM)
+    term_grams = long_t.select(*on, term_col, F.explode(grams(term_col)).alias("gram")).distinct()
+    # Gram frequencies from a sample of the texts.  They only steer the choice of anchor
+    # (any trigram of a term is a correct anchor), so the result stays exact; a rare
+    # anchor keeps both the candidate count and the per-key skew low.
+    sample = texts.sample(fraction=sample_fraction, seed=seed).select(
+        *on, F.explode(grams(text_col)).alias("gram"))
+    freq = (sample.join(term_grams.select(*on, "gram").distinct(), on + ["gram"], "left_semi")
+            .groupBy(*on, "gram").agg(F.count(F.lit(1)).alias("__freq")))
     anchors = (term_grams.join(freq, on + ["gram"], "left")
-               .groupBy(*on, tkey)
-               .agg(F.min_by("gram", F.struct(F.coalesce("freq", F.lit(0)), "gram")).alias("gram")))
-    cand = text_grams.join(anchors, on + ["gram"], "inner").select(xkey, tkey)
-    long_pairs = (cand.join(x, xkey).join(long_t.drop(*on), tkey)
-                  .where(F.contains(F.col(text_col), F.col(term_col))))
-    short_pairs = _broadcast_join(x, short_t, text_col, term_col, on)
-    cols = [c for c in long_pairs.columns if c not in (xkey, tkey)]
-    return long_pairs.select(*cols).unionByName(short_pairs.select(*cols))
+               .groupBy(*on, term_col)
+               .agg(F.min_by("gram", F.struct(F.coalesce("__freq", F.lit(0)), "gram")).alias("__anchor")))
+    anchored = long_t.join(anchors, on + [term_col]).persist()
+    n = anchored.count()  # one anchor row per term row: checked before broadcasting
+    side = F.broadcast(anchored) if n <= broadcast_rows else anchored
+    x = texts.select("*", F.explode(grams(text_col)).alias("__gram"))
+    cond = [x[k] == side[k] for k in on]
+    cond += [x["__gram"] == side["__anchor"], F.contains(x[text_col], side[term_col])]
+    long_pairs = x.join(side, cond, "inner").drop(*[side[k] for k in on]).drop("__gram", "__anchor")
+    short_pairs = _broadcast_join(texts, short_t, text_col, term_col, on)
+    return long_pairs.unionByName(short_pairs.select(*long_pairs.columns))
 
 
 def contains_join(texts: DataFrame, terms: DataFrame, text_col: str, term_col: str,

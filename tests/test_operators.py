@@ -177,3 +177,14 @@ def test_dense_row_number_partition_independent(spark, parts):
     df = spark.range(0, 500, 3).withColumnRenamed("id", "k").repartition(parts)
     got = [r["row_no"] for r in ordering.dense_row_number(df, "k", bucket_size=17).orderBy("k").collect()]
     assert got == list(range(1, len(got) + 1))
+
+
+def test_best_sentences_anchor_strategy_equals_broadcast(spark):
+    from termweave.plans.fixtures import Fixtures
+    from tests.conftest import SMALL
+
+    fx = Fixtures(spark, SMALL)
+    a = mining.best_sentences(fx.docs(), fx.terms(), fx.keywords(), strategy="anchor")
+    b = mining.best_sentences(fx.docs(), fx.terms(), fx.keywords(), strategy="broadcast")
+    assert a.count() > 0
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
