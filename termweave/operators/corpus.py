@@ -87,14 +87,18 @@ def train_config(pairs: DataFrame, base_model: str, checkpoint_dir: str,
         "num_training_samples", F.lit(seed).alias("seed"), F.lit(framework).alias("framework"))
 
 
+LEXICON_BROADCAST_ROWS = 1_000_000
+
+
 def lexicon_translate(lines: DataFrame, lexicon: DataFrame, key: str = "line_no",
-                      text_col: str = "text") -> DataFrame:
+                      text_col: str = "text", broadcast_rows: int = LEXICON_BROADCAST_ROWS) -> DataFrame:
     """UDF-2 default translator: word-by-word lexicon lookup (lower-cased source
-    token), unknown tokens kept; order kept by position.  The lexicon is a small
-    dictionary (checked size) and is broadcast."""
+    token), unknown tokens kept; order kept by position.  The lexicon is broadcast only
+    after its row count is checked; a larger one is hash-joined on the token."""
     toks = lines.select(key, F.posexplode(whitespace_tokens(text_col)).alias("pos", "token"))
-    lex = lexicon.select(F.col("src").alias("__src"), F.col("tgt").alias("__tgt"))
-    joined = toks.join(F.broadcast(lex), F.lower(F.col("token")) == F.col("__src"), "left")
+    lex = lexicon.select(F.col("src").alias("__src"), F.col("tgt").alias("__tgt")).persist()
+    side = F.broadcast(lex) if lex.count() <= broadcast_rows else lex
+    joined = toks.join(side, F.lower(F.col("token")) == F.col("__src"), "left")
     out = (joined.groupBy(key).agg(F.sort_array(F.collect_list(
         F.struct("pos", F.coalesce("__tgt", "token").alias("w")))).alias("e")))
     full = lines.select(key).join(out, key, "left")
