@@ -15,24 +15,48 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKET = 100_000
+MAX_BUCKETS = 100_000
+
+
+def _bucket_column(df: DataFrame, key: str, bucket_size: int, max_buckets: int):
+    """Bucket expression for ``key``: fixed-width ranges when the key range allows at
+    most ``max_buckets`` of them (unique keys then put at most ``bucket_size`` rows in a
+    bucket); otherwise approximate-quantile ranges (sparse or clustered keys), which
+    keep every bucket near ``rows / max_buckets`` rows.  One small aggregation job."""
+    lo, hi = df.agg(F.min(key), F.max(key)).first()
+    if lo is None:
+        return F.lit(0), df
+    if (hi - lo) // bucket_size + 1 <= max_buckets:
+        return F.floor((F.col(key) - F.lit(lo)) / F.lit(bucket_size)), df
+    from pyspark.ml.feature import Bucketizer
+
+    probs = [i / max_buckets for i in range(1, max_buckets)]
+    cuts = sorted(set(df.approxQuantile(key, probs, 1.0 / max_buckets)))
+    splits = [float("-inf")] + [c for c in cuts if c not in (float("-inf"), float("inf"))] + [float("inf")]
+    tmp = "__kd"
+    b = Bucketizer(splits=splits, inputCol=tmp, outputCol="__bq")
+    out = b.transform(df.withColumn(tmp, F.col(key).cast("double"))).drop(tmp)
+    return F.col("__bq").cast("bigint"), out
 
 
 def prefix_sum(df: DataFrame, key: str, value, out: str,
-               bucket_size: int = DEFAULT_BUCKET) -> DataFrame:
+               bucket_size: int = DEFAULT_BUCKET, max_buckets: int = MAX_BUCKETS) -> DataFrame:
     """Add ``out`` = inclusive running sum of ``value`` in ``key`` order (key unique,
     integer)."""
     v = F.col(value) if isinstance(value, str) else value
     b = "__bucket"
-    x = df.withColumn(b, F.floor(F.col(key) / F.lit(bucket_size))).withColumn("__v", v.cast("bigint"))
+    bucket, src = _bucket_column(df, key, bucket_size, max_buckets)
+    x = src.withColumn(b, bucket).withColumn("__v", v.cast("bigint"))
     totals = x.groupBy(b).agg(F.sum("__v").alias("__t"))
-    # The bucket table has one row per non-empty bucket: bounded by key range / bucket_size.
+    # One row per non-empty bucket, at most max_buckets: bounded broadcast and window.
     offsets = totals.select(
         b, (F.sum("__t").over(Window.orderBy(b).rowsBetween(Window.unboundedPreceding, -1)))
         .alias("__off"))
     w = Window.partitionBy(b).orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-    return (x.join(F.broadcast(offsets), b, "left")
-            .withColumn(out, F.coalesce(F.col("__off"), F.lit(0)) + F.sum("__v").over(w))
-            .drop(b, "__v", "__off"))
+    res = (x.join(F.broadcast(offsets), b, "left")
+           .withColumn(out, F.coalesce(F.col("__off"), F.lit(0)) + F.sum("__v").over(w))
+           .drop(b, "__v", "__off"))
+    return res.drop("__bq") if "__bq" in res.columns else res
 
 
 def dense_row_number(df: DataFrame, key: str, out: str = "row_no", start: int = 1,

@@ -188,3 +188,13 @@ def test_best_sentences_anchor_strategy_equals_broadcast(spark):
     b = mining.best_sentences(fx.docs(), fx.terms(), fx.keywords(), strategy="broadcast")
     assert a.count() > 0
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_dense_row_number_sparse_keys_use_quantile_buckets(spark):
+    import random
+
+    rnd = random.Random(5)
+    keys = sorted(rnd.sample(range(1, 10**15), 300))
+    df = spark.createDataFrame([(k,) for k in keys], "k bigint").repartition(3)
+    got = [r["row_no"] for r in ordering.dense_row_number(df, "k", bucket_size=10).orderBy("k").collect()]
+    assert got == list(range(1, 301))
