@@ -23,8 +23,9 @@ def assign_index(rows: DataFrame, bucket_size: int = 100_000) -> DataFrame:
     """PRJ-2 / WIN-1: keep a valid integer ``index``; otherwise take the next number of
     a counter shared by all rows without one, starting at 1, in ``row_no`` order."""
     parsed = rows.withColumn("__idx", T.python_int(F.coalesce(F.col("index"), F.lit(""))))
+    # row_no is the dense file position (1..N), so fixed-width buckets are bounded.
     counted = prefix_sum(parsed, "row_no", F.col("__idx").isNull().cast("int"), "__auto",
-                         bucket_size)
+                         bucket_size, dense_keys=True)
     return (counted.withColumn("index", F.coalesce(F.col("__idx"), F.col("__auto")))
             .withColumn("is_auto", F.col("__idx").isNull())
             .drop("__idx", "__auto"))
