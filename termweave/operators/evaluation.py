@@ -127,7 +127,7 @@ def evaluation_report(scores: DataFrame, baseline: str = "baseline", tuned: str
 
 
 def term_accuracy(sources: DataFrame, preds: DataFrame, term_map: DataFrame,
-                  broadcast_limit: int = 20_000) -> DataFrame:
+                  broadcast_limit: int = 1_000) -> DataFrame:
     """AGG-4: for every (line, source term) with the source term contained in the source
     line (case-insensitive), whether the system's prediction contains the mapped target
     term (case-sensitive).  Returns per system ``n_pairs``, ``n_hits``, ``term_accuracy``.
