@@ -58,6 +58,9 @@ def generate_with_retries(acc: DataFrame, fn: BatchFn, template: str = K.DEFAULT
     prompts = acc.select("row_no", "vi_term",
                          T.full_prompt(template, "prompt_input").alias("p0"),
                          T.full_prompt(template, T.retry_prompt("prompt_input", "vi_term")).alias("p1"))
+    # Materialize the prompts once in the shared folder: every round reads the same
+    # input without re-deriving it, and a lost executor cannot change it between rounds.
+    prompts = prompts.checkpoint()
     todo = prompts
     rounds: list[DataFrame] = []
     for a in range(max_attempts):

@@ -752,3 +752,35 @@ def _enrich_with(hits_view: str) -> str:
 
 
 ORACLE["enrich_from_pages"] = _enrich_with("page_hits_body")
+
+
+# -- UDF-1 with the deterministic echo generator ------------------------------------------
+
+def _echo_attempt(body: str) -> str:
+    """Echo generator answer for a prompt whose text after the template is ``body``."""
+    flat = f"replace({body}, chr(10), ' ')"
+    return f"split_part({flat}, ' ', 1) || ' | ' || {flat} || ' | ' || {flat}"
+
+
+def _valid(raw: str) -> str:
+    parts = f"string_split({raw}, '|')"
+    vi = strip(f"{parts}[3]")
+    return (f"(len({parts}) >= 3 AND {python_int(f'{parts}[1]')} IS NOT NULL AND {vi} <> '' "
+            f"AND vi_term <> '' AND contains({vi}, vi_term))")
+
+
+_RETRY_HEAD, _RETRY_TAIL = K.RETRY_INSTRUCTION.split("{term}")
+cte("echo", f"""
+SELECT *, {_valid('raw0')} AS ok0, {_valid('raw1')} AS ok1 FROM (
+  SELECT row_no, "index", prompt_input, vi_term,
+         {_echo_attempt('prompt_input')} AS raw0,
+         {_echo_attempt(f"prompt_input || {q(_RETRY_HEAD)} || vi_term || {q(_RETRY_TAIL)}")} AS raw1
+  FROM accepted)""", "accepted")
+ORACLE["generate_batches"] = sql("""
+SELECT row_no, "index", prompt_input,
+       CASE WHEN ok0 THEN raw0 WHEN ok1 THEN raw1 WHEN coalesce(raw1, '') <> '' THEN raw1 ELSE '' END
+         AS raw_response,
+       CASE WHEN ok0 OR ok1 THEN 'success'
+            WHEN coalesce(raw1, '') <> '' THEN 'failed_validation: success'
+            ELSE 'failed_api: success' END AS status
+FROM echo""", "echo")
