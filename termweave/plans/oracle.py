@@ -485,10 +485,13 @@ def html_to_text(x: str) -> str:
     for tag in K.DROPPED_HTML_ELEMENTS:
         h = f"regexp_replace({h}, {q(rf'(?is)<{tag}\b[^>]*>.*?</{tag}\s*>')}, chr(1), 'g')"
     h = f"regexp_replace({h}, '</?[a-zA-Z][^>]*>', chr(1), 'g')"
+    from termweave.operators.mining import _ENTITIES, _NUM_ENTITIES, _entity_re
+
     p = "p"
-    for a, b in [("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"),
-                 ("&nbsp;", " "), ("&#39;", "'"), ("&amp;", "&")]:
+    for a, b in _NUM_ENTITIES:
         p = f"replace({p}, {q(a)}, {q(b)})"
+    for name, ch in _ENTITIES:
+        p = f"regexp_replace({p}, {q(_entity_re(name))}, {q(ch)} || '\\2', 'g')"
     return (f"array_to_string(list_filter(list_transform(string_split({h}, chr(1)), lambda p: {strip(p)}), "
             f"lambda p: p <> ''), chr(10))")
 

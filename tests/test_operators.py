@@ -130,8 +130,9 @@ class _Text(HTMLParser):
             self.parts.append(data.strip())
 
 
-def test_html_text_matches_stdlib_parser(spark):
-    pages = spark.read.parquet(f"{MEDIUM}/pages.parquet")
+@pytest.mark.parametrize("sf_dir", [MEDIUM, "/root/testdata/sf0.1"])
+def test_html_text_matches_stdlib_parser(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     got = {r["page_id"]: r["t"] for r in pages.select("page_id", mining.html_to_text("html").alias("t")).collect()}
     for r in pages.select("page_id", "html").collect():
         p = _Text()
