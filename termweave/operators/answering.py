@@ -108,13 +108,54 @@ def parse_response(resp) -> dict[str, Column]:
     return out
 
 
-def assemble_answers(questions: DataFrame, responses: DataFrame) -> tuple[DataFrame, DataFrame]:
+PARSED_SCHEMA = "id string, valid boolean, is_object boolean, selected_option string, reasoning string"
+
+
+def parse_responses_python(responses: DataFrame) -> DataFrame:
+    """SCA-15 with Python's own ``json.loads`` in Arrow batches (``mapInPandas``): exact
+    also for duplicate keys (last wins) and ``NaN``/``Infinity``, which the native
+    ``try_parse_json`` rejects.  Same columns as the native form."""
+
+    def run(batches):
+        import json
+
+        import pandas as pd
+
+        for pdf in batches:
+            out = []
+            for rid, resp in zip(pdf["id"], pdf["response"]):
+                try:
+                    obj = json.loads(resp) if resp is not None else None
+                    ok = resp is not None
+                except ValueError:
+                    obj, ok = None, False
+                if ok and isinstance(obj, dict):
+                    sel, rea = obj.get("selected_option", ""), obj.get("reasoning", "")
+                    out.append((rid, True, True, None if sel is None else str(sel),
+                                None if rea is None else str(rea)))
+                else:
+                    out.append((rid, ok, False, None, None))
+            yield pd.DataFrame(out, columns=["id", "valid", "is_object", "selected_option", "reasoning"])
+
+    return responses.select("id", "response").mapInPandas(run, PARSED_SCHEMA)
+
+
+def assemble_answers(questions: DataFrame, responses: DataFrame,
+                     exact_json: bool = False) -> tuple[DataFrame, DataFrame]:
     """SCA-15/20, FIL-11: (answers, rejects).  Answers ``(id, prediction, reasoning,
     choice)``; rejects ``(id, reason)`` for responses that are valid JSON but not an
-    object (the original drops those questions silently)."""
+    object (the original drops those questions silently).  ``exact_json`` parses with
+    Python's ``json.loads`` (see ``parse_responses_python``) instead of native
+    expressions."""
     q = questions.select("id", "question_type")
     j = q.join(responses.select("id", "response"), "id", "left")
-    p = parse_response("response")
+    if exact_json:
+        parsed = parse_responses_python(responses)
+        j = j.join(parsed, "id", "left")
+        p = {k: F.coalesce(F.col(k), F.lit(False)) if k in ("valid", "is_object") else F.col(k)
+             for k in ("valid", "is_object", "selected_option", "reasoning")}
+    else:
+        p = parse_response("response")
     qt = F.col("question_type")
     choice, open_ = qt.isin(*K.CHOICE_TYPES), qt == K.OPEN_TYPE
     raw = F.coalesce(F.col("response"), F.lit(""))

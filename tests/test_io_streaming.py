@@ -157,3 +157,30 @@ def test_report_and_helpers(spark):
                               "`Vietnamese example` string")
     r = mining.to_prompt_input(mining.add_missing_columns(t)).first()
     assert r["English Sentence"] == "" and r["Vietnamese Sentence"] == "a long example text"
+
+
+def test_incremental_stream_picks_up_new_files_only(spark):
+    from termweave.plans.fixtures import Fixtures
+
+    fx = Fixtures(spark, SMALL)
+    src = os.path.join(_tmp(), "docs")
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    cut = docs.agg(F.expr("percentile_approx(doc_id, 0.5)")).first()[0]
+    docs.where(F.col("doc_id") <= cut).coalesce(1).write.parquet(os.path.join(src, "a"))
+    sink, ck = incremental.scratch_paths(spark, "two-files")
+    glob_ = "part-*.parquet"
+    incremental.incremental_best_sentences(spark, os.path.join(src, "a"), fx.terms(), fx.keywords(), sink, ck,
+                                           glob=glob_)
+    first = spark.read.parquet(sink)
+    assert first.count() > 0 and first.select(F.max("doc_id")).first()[0] <= cut
+    # New data lands next to the old file; the next run processes only the new file.
+    docs.where(F.col("doc_id") > cut).coalesce(1).write.parquet(os.path.join(src, "b"))
+    for p in glob.glob(os.path.join(src, "b", "part-*.parquet")):
+        os.link(p, os.path.join(src, "a", "part-new-" + os.path.basename(p)[5:]))
+    incremental.incremental_best_sentences(spark, os.path.join(src, "a"), fx.terms(), fx.keywords(), sink, ck,
+                                           glob=glob_)
+    out = spark.read.parquet(sink)
+    assert out.select("epoch").distinct().count() == 2
+    batch = mining.best_sentences(fx.docs(), fx.terms(), fx.keywords())
+    got = out.drop("epoch")
+    assert got.exceptAll(batch).isEmpty() and batch.exceptAll(got).isEmpty()

@@ -199,3 +199,23 @@ def test_dense_row_number_sparse_keys_use_quantile_buckets(spark):
     df = spark.createDataFrame([(k,) for k in keys], "k bigint").repartition(3)
     got = [r["row_no"] for r in ordering.dense_row_number(df, "k", bucket_size=10).orderBy("k").collect()]
     assert got == list(range(1, 301))
+
+
+def test_exact_json_path_agrees_and_handles_python_only_cases(spark):
+    q = spark.createDataFrame(
+        [("q1", "open_ended"), ("q2", "multi_choice"), ("q3", "multi_choice"), ("q4", "other"),
+         ("q5", "open_ended"), ("q6", "open_ended_multi_choice"), ("q7", "multi_choice"), ("q8", "open_ended")],
+        "id string, question_type string")
+    r = spark.createDataFrame(
+        [("q1", "plain text"), ("q2", "plain text"), ("q3", "[1]"), ("q4", "[1]"),
+         ("q5", '{"selected_option": null, "reasoning": "r"}'), ("q6", '{"selected_option": "B"} x'),
+         ("q7", '{"selected_option": "A", "selected_option": "C", "reasoning": "dup"}'),
+         ("q8", '{"reasoning": NaN}')],
+        "id string, response string")
+    native = {x["id"]: tuple(x) for x in answering.assemble_answers(q, r)[0].collect()}
+    exact = {x["id"]: tuple(x) for x in answering.assemble_answers(q, r, exact_json=True)[0].collect()}
+    for k in ("q1", "q2", "q4", "q5", "q6"):
+        assert native[k] == exact[k]
+    assert exact["q7"][1:] == ("C", "dup", "C")       # Python: last duplicate wins
+    assert native["q7"][1] == ""                       # native: rejected as JSON, raw-text fallback
+    assert exact["q8"][3] == "A" and exact["q8"][1] == "nan"
