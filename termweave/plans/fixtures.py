@@ -176,7 +176,8 @@ class Fixtures:
     # -- enrichment inputs ----------------------------------------------------
     def hits(self) -> DataFrame:
         """HITS(term, lang, query_rank, result_rank, url, body): documents of the term's
-        language with ``doc_id % 50 = rk - 1``; three queries; at most 5 results each."""
+        language with ``doc_id % 50 = rk - 1``, three queries, every matching document
+        ranked (the operators take their own top-k: first two links, top snippets)."""
         t = self.terms()
         d = self.docs().withColumn("res", F.col("doc_id") % N_TERMS + 1)
         h = (d.join(t.withColumnRenamed("rk", "res"), ["lang", "res"])
@@ -184,7 +185,7 @@ class Fixtures:
         w = Window.partitionBy("term", "lang", "query_rank").orderBy("doc_id")
         url = F.concat(F.lit("http://example.org/"), F.col("doc_id").cast("string"),
                        F.when(F.col("doc_id") % 7 == 0, F.lit(".pdf")).otherwise(F.lit("")))
-        return (h.withColumn("result_rank", F.row_number().over(w)).where(F.col("result_rank") <= 5)
+        return (h.withColumn("result_rank", F.row_number().over(w))
                 .select("term", "lang", "query_rank", "result_rank", url.alias("url"),
                         F.col("text").alias("body")))
 
@@ -270,5 +271,5 @@ class Fixtures:
         h = (p.join(t.withColumnRenamed("rk", "res"), ["lang", "res"])
              .withColumn("query_rank", (F.lit(1) + F.floor(F.col("page_id") / 50) % 3).cast("int")))
         w = Window.partitionBy("term", "lang", "query_rank").orderBy("page_id")
-        return (h.withColumn("result_rank", F.row_number().over(w)).where(F.col("result_rank") <= 5)
+        return (h.withColumn("result_rank", F.row_number().over(w))
                 .select("term", "lang", "query_rank", "result_rank", "url"))

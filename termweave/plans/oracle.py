@@ -512,8 +512,7 @@ SELECT term, lang, query_rank, result_rank::INTEGER AS result_rank, url, body FR
            || CASE WHEN d.doc_id % 7 = 0 THEN '.pdf' ELSE '' END AS url,
          row_number() OVER (PARTITION BY t.term, d.lang, (1 + floor(d.doc_id / 50) % 3)::INTEGER
                             ORDER BY d.doc_id) AS result_rank
-  FROM d JOIN terms t ON d.lang = t.lang AND d.doc_id % 50 + 1 = t.rk)
-WHERE result_rank <= 5""", "d", "terms")
+  FROM d JOIN terms t ON d.lang = t.lang AND d.doc_id % 50 + 1 = t.rk)""", "d", "terms")
 cte("abstracts", """
 SELECT t.term, 'http://abstracts.example.org/' || min(b.item_id)::VARCHAR AS url,
        arg_min(b.text, b.item_id) AS body
@@ -734,8 +733,7 @@ SELECT term, lang, query_rank, result_rank::INTEGER AS result_rank, url FROM (
          row_number() OVER (PARTITION BY t.term, p.lang, (1 + floor(p.page_id / 50) % 3)::INTEGER
                             ORDER BY p.page_id) AS result_rank
   FROM (SELECT page_id, url, regexp_extract(url, '/(en|fr|de|es)/', 1) AS lang FROM pages) p
-  JOIN terms t ON p.lang = t.lang AND p.page_id % 50 + 1 = t.rk)
-WHERE result_rank <= 5""", "terms")
+  JOIN terms t ON p.lang = t.lang AND p.page_id % 50 + 1 = t.rk)""", "terms")
 cte("page_hits_body", f"""
 SELECT h.*, x.text AS body FROM page_hits h LEFT JOIN (
   SELECT url, text FROM (SELECT url, {html_to_text('html')} AS text FROM pages) WHERE length(text) >= 50) x
