@@ -154,3 +154,9 @@ def run_counts(validated: DataFrame, resolved: DataFrame) -> DataFrame:
                           .otherwise(F.lit("failed")).alias("outcome"))
     bad = validated.where(F.col("reason").isNotNull()).select(F.lit("failed").alias("outcome"))
     return gen.unionByName(bad).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+def pending(acc: DataFrame, prompt_log_done: DataFrame, key: str = "row_no") -> DataFrame:
+    """JOIN-7 / STR-1 resume: accepted rows that have no logged outcome yet.  A rerun
+    after an interruption generates only these and appends their log rows."""
+    return acc.join(prompt_log_done.select(key), key, "left_anti")

@@ -219,3 +219,10 @@ def test_exact_json_path_agrees_and_handles_python_only_cases(spark):
     assert exact["q7"][1:] == ("C", "dup", "C")       # Python: last duplicate wins
     assert native["q7"][1] == ""                       # native: rejected as JSON, raw-text fallback
     assert exact["q8"][3] == "A" and exact["q8"][1] == "nan"
+
+
+def test_pending_rows_for_resume(spark):
+    df = _rows(spark, [(1, "1", "a", "b", "a.", "b."), (2, "2", "a", "b", "a.", "b."), (3, "3", "a", "b", "a.", "b.")])
+    acc = prompting.accepted(prompting.validation_reason(prompting.assign_index(df)))
+    done = spark.createDataFrame([(2, "success")], "row_no bigint, status string")
+    assert sorted(r["row_no"] for r in prompting.pending(acc, done).collect()) == [1, 3]
