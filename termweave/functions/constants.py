@@ -26,6 +26,14 @@ CLINICAL_KEYWORDS = {
     ],
 }
 
+# Text-cleaning patterns (Python regex syntax as in the original; the Spark and SQL forms
+# add only dialect flags and the explicit whitespace class).
+BRACKET_PATTERN = r"\[.*?\]"        # square-bracket groups, not across a newline
+PAREN_PATTERN = r"\([^)]*\)"         # parenthesised groups, across newlines
+SENTENCE_END_CHARS = ".!?"            # a sentence ends at one of these before whitespace
+DECIMAL_PATTERN = r"\d+\.\d+"         # first decimal number on a report line
+BLEU_FALLBACK_PATTERN = r"BLEU\s*=\s*(\d+\.\d+)"
+
 # Phrases removed (case-insensitively, anywhere, as substrings) by clean_text.
 BOILERPLATE_PHRASES = [
     "jump to content", "from wikipedia", "navigation", "search", "encyclopedia",

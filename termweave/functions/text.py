@@ -31,6 +31,14 @@ JWS = r"(?U)[\s\x{1c}-\x{1f}]"
 JNON_WS = r"(?U)[^\s\x{1c}-\x{1f}]"
 
 
+_END = "".join("\\" + ch for ch in K.SENTENCE_END_CHARS)
+
+
+def _ASCII_DIGITS(pattern: str) -> str:
+    """Java's and RE2's ``\\d`` are ASCII digits; spell that out."""
+    return pattern.replace(r"\d", "[0-9]")
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -71,8 +79,8 @@ def clean_text(c) -> Column:
     """SCA-2: drop ``[...]`` (single line), ``(...)``, boilerplate phrases, collapse
     whitespace, strip.  Null gives ``''``."""
     t = F.coalesce(_col(c), F.lit(""))
-    t = F.regexp_replace(t, r"(?d)\[.*?\]", "")
-    t = F.regexp_replace(t, r"\([^)]*\)", "")
+    t = F.regexp_replace(t, "(?d)" + K.BRACKET_PATTERN, "")  # (?d): '.' stops only at \n
+    t = F.regexp_replace(t, K.PAREN_PATTERN, "")
     t = F.regexp_replace(t, _BOILERPLATE_RE, "")
     t = F.regexp_replace(t, JWS + "+", " ")
     return strip(t)
@@ -80,12 +88,12 @@ def clean_text(c) -> Column:
 
 def split_sentences(c) -> Column:
     """SCA-3: split on whitespace that follows ``.``, ``!`` or ``?``; delimiters stay."""
-    return F.split(_col(c), "(?<=[.!?])" + JWS + "+", -1)
+    return F.split(_col(c), f"(?<=[{_END}])" + JWS + "+", -1)
 
 
 def split_examples(c) -> Column:
     """SCA-4: split on ``[.!?]`` plus whitespace (delimiter dropped), strip, drop empties."""
-    parts = F.split(_col(c), "[.!?]" + JWS + "+", -1)
+    parts = F.split(_col(c), f"[{_END}]" + JWS + "+", -1)
     return F.filter(F.transform(parts, strip), lambda x: x != F.lit(""))
 
 
@@ -115,7 +123,7 @@ def sentence_bonus(sentence_lower, n_words, keywords) -> Column:
     wc = _col(n_words)
     kw_hits = F.size(F.filter(F.coalesce(_col(keywords), F.array().cast("array<string>")),
                               lambda x: F.contains(s, x)))
-    end = F.endswith(s, F.lit(".")) | F.endswith(s, F.lit("!")) | F.endswith(s, F.lit("?"))
+    end = _any([F.endswith(s, F.lit(ch)) for ch in K.SENTENCE_END_CHARS])
     return (kw_hits * K.SCORE_PER_KEYWORD
             + F.when(wc.between(K.MIN_WORDS, K.MAX_WORDS), K.SCORE_WORDS_IN_RANGE)
             .otherwise(K.SCORE_WORDS_OUT_OF_RANGE)
@@ -296,7 +304,7 @@ def report_score(text) -> Column:
     ``score`` (case-insensitive for ``score``), else null."""
     t = _col(text)
     hit = F.contains(t, F.lit("BLEU")) | F.contains(F.lower(t), F.lit("score"))
-    num = F.regexp_extract(t, r"([0-9]+\.[0-9]+)", 1)
+    num = F.regexp_extract(t, f"({_ASCII_DIGITS(K.DECIMAL_PATTERN)})", 1)
     return F.when(hit & (num != F.lit("")), num.cast("double"))
 
 

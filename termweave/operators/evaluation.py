@@ -147,7 +147,10 @@ def term_accuracy(sources: DataFrame, preds: DataFrame, term_map: DataFrame,
         .withColumn("term_accuracy", F.col("n_hits") / F.col("n_pairs")))
 
 
-_FALLBACK_RE = "BLEU" + T.JWS + "*=" + T.JWS + r"*([0-9]+\.[0-9]+)"
+from termweave.functions import constants as K  # noqa: E402
+
+# The fixed fallback pattern with Python's Unicode \s and ASCII digits.
+_FALLBACK_RE = K.BLEU_FALLBACK_PATTERN.replace(r"\s", T.JWS).replace(r"\d", "[0-9]")
 
 
 def report_scores(reports: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from termweave.functions.text import NON_WS, WS
 # -- expression helpers -----------------------------------------------------
 
 WS_CHARS = "(" + " || ".join(f"chr({c})" for c in K.WHITESPACE_CODEPOINTS) + ")"
+_END = "".join("\\" + ch for ch in K.SENTENCE_END_CHARS)
 
 
 def q(s: str) -> str:
@@ -34,20 +35,20 @@ def clean_sentence(x: str) -> str:
 
 def clean_text(x: str) -> str:
     t = f"coalesce({x}, '')"
-    t = f"regexp_replace({t}, '\\[.*?\\]', '', 'g')"
-    t = f"regexp_replace({t}, '\\([^)]*\\)', '', 'g')"
+    t = f"regexp_replace({t}, {q(K.BRACKET_PATTERN)}, '', 'g')"
+    t = f"regexp_replace({t}, {q(K.PAREN_PATTERN)}, '', 'g')"
     t = f"regexp_replace({t}, {q('(?i)(' + '|'.join(K.BOILERPLATE_PHRASES) + ')')}, '', 'g')"
     t = f"regexp_replace({t}, {q(WS + '+')}, ' ', 'g')"
     return strip(t)
 
 
 def split_sentences(x: str) -> str:
-    marked = f"regexp_replace({x}, {q('([.!?])' + WS + '+')}, '\\1' || chr(1), 'g')"
+    marked = f"regexp_replace({x}, {q('([' + _END + '])' + WS + '+')}, '\\1' || chr(1), 'g')"
     return f"string_split({marked}, chr(1))"
 
 
 def split_examples(x: str) -> str:
-    marked = f"regexp_replace({x}, {q('[.!?]' + WS + '+')}, chr(1), 'g')"
+    marked = f"regexp_replace({x}, {q('[' + _END + ']' + WS + '+')}, chr(1), 'g')"
     return (f"list_filter(list_transform(string_split({marked}, chr(1)), lambda p: {strip('p')}), "
             f"lambda p: p <> '')")
 
@@ -393,7 +394,7 @@ SELECT system, 2 AS line_no,
                  || ' ref_len = ' || ref_len::VARCHAR || ')'
             ELSE {_SIG} || bleu::DECIMAL(10, 2)::VARCHAR END
 FROM bl_scores""", "bl_scores")
-_FALLBACK = q("BLEU" + WS + "*=" + WS + r"*([0-9]+\.[0-9]+)")
+_FALLBACK = q(K.BLEU_FALLBACK_PATTERN.replace(r"\s", WS))
 
 ORACLE["corpus_bleu"] = sql("""
 SELECT system, round(bleu, 6) AS bleu, sys_len, ref_len, c1, c2, c3, c4, t1, t2, t3, t4
@@ -418,8 +419,8 @@ SELECT system,
                      THEN regexp_extract(string_agg(text, chr(10) ORDER BY line_no), {_FALLBACK}, 1)::DOUBLE
                 END) AS bleu
 FROM (SELECT *, CASE WHEN (contains(text, 'BLEU') OR contains(lower(text), 'score'))
-                      AND regexp_extract(text, '([0-9]+\\.[0-9]+)', 1) <> ''
-                     THEN regexp_extract(text, '([0-9]+\\.[0-9]+)', 1)::DOUBLE END AS v
+                      AND regexp_extract(text, {q('(' + K.DECIMAL_PATTERN + ')')}, 1) <> ''
+                     THEN regexp_extract(text, {q('(' + K.DECIMAL_PATTERN + ')')}, 1)::DOUBLE END AS v
       FROM reports)
 GROUP BY system""", "reports")
 ORACLE["zip_lines"] = sql(f"""
