@@ -108,11 +108,12 @@ def lexicon_translate(lines: DataFrame, lexicon: DataFrame, key: str = "line_no"
 
 def translate_batches(lines: DataFrame, fn: Callable[[list[str]], list[str]],
                       batch_size: int = K.TRANSLATE_BATCH_SIZE, key: str = "line_no",
-                      text_col: str = "text") -> DataFrame:
+                      text_col: str = "text", parallelism: int | None = None) -> DataFrame:
     """UDF-2: run a caller-supplied batch translator over Arrow batches with
     ``mapInPandas``; ``fn`` receives lists of at most ``batch_size`` strings and returns
     as many strings.  The model/function is created once per Python worker by the
-    caller's closure.  Order is kept by carrying ``key`` -- sort only at the sink."""
+    caller's closure.  Order is kept by carrying ``key`` -- sort only at the sink.
+    ``parallelism`` tasks run the translator at once (explicit count, not coalesced)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -122,4 +123,6 @@ def translate_batches(lines: DataFrame, fn: Callable[[list[str]], list[str]],
                 out.extend(fn(texts[i:i + batch_size]))
             yield pd.DataFrame({key: pdf[key].to_numpy(), text_col: out})
 
-    return lines.select(key, text_col).mapInPandas(run, f"{key} bigint, {text_col} string")
+    n = parallelism or 2 * lines.sparkSession.sparkContext.defaultParallelism
+    return lines.select(key, text_col).repartition(n, key).mapInPandas(
+        run, f"{key} bigint, {text_col} string")

@@ -28,8 +28,14 @@ BatchFn = Callable[[Sequence[str]], Sequence[tuple[str | None, str]]]
 
 
 def generate(df: DataFrame, fn: BatchFn, prompt_col: str, key: str = "row_no",
-             attempt: int = 0, batch_size: int = 8) -> DataFrame:
-    """One generation attempt per row: (key, attempt, raw_response, error)."""
+             attempt: int = 0, batch_size: int = 8, parallelism: int | None = None) -> DataFrame:
+    """One generation attempt per row: (key, attempt, raw_response, error).
+
+    ``parallelism`` is the number of tasks calling ``fn`` at once (the original ran a
+    pool of 20 threads); prompts are hash-spread over that many partitions with an
+    explicit count, so AQE cannot fold a small prompt set into one task.  Default: two
+    tasks per core."""
+    n = parallelism or 2 * df.sparkSession.sparkContext.defaultParallelism
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -43,12 +49,13 @@ def generate(df: DataFrame, fn: BatchFn, prompt_col: str, key: str = "row_no",
                                 "raw_response": texts, "error": errors})
 
     key_type = df.schema[key].dataType.simpleString()
-    return df.select(key, prompt_col).mapInPandas(
+    return df.select(key, prompt_col).repartition(n, key).mapInPandas(
         run, f"{key} {key_type}, attempt int, raw_response string, error string")
 
 
 def generate_with_retries(acc: DataFrame, fn: BatchFn, template: str = K.DEFAULT_PROMPT_TEMPLATE,
-                          max_attempts: int = K.MAX_ATTEMPTS, batch_size: int = 8) -> DataFrame:
+                          max_attempts: int = K.MAX_ATTEMPTS, batch_size: int = 8,
+                          parallelism: int | None = None) -> DataFrame:
     """UDF-1 with the retry loop of the original, as data: returns the attempts table
     that ``prompting.resolve_attempts`` consumes.  ``acc`` comes from
     ``prompting.accepted``."""
@@ -65,7 +72,7 @@ def generate_with_retries(acc: DataFrame, fn: BatchFn, template: str = K.DEFAULT
     rounds: list[DataFrame] = []
     for a in range(max_attempts):
         col = "p0" if a == 0 else "p1"
-        att = generate(todo, fn, col, "row_no", a, batch_size).checkpoint()  # reliable, shared dir
+        att = generate(todo, fn, col, "row_no", a, batch_size, parallelism).checkpoint()  # shared dir
         rounds.append(att)
         ok = (parse_attempts(att).join(todo.select("row_no", "vi_term"), "row_no")
               .where(F.col("raw_response").isNotNull() & (F.col("raw_response") != "")
