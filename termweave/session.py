@@ -71,15 +71,17 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
     * Text work is CPU-heavy per byte (several regex passes per document), so input
       splits are kept at 64 MB rather than 128 MB: more, shorter tasks and less
       straggling on long documents.
-    * The initial shuffle partition count targets ~128 MB per partition of input-sized
-      shuffles; AQE then coalesces toward the advisory size and splits skewed join
-      partitions, so one hot key cannot pin a task.
+    * The initial shuffle partition count is one per GB of input (shuffles here carry
+      a fraction of the input: partial aggregates, sentences after filtering), at
+      least three per core and at most 50,000 so map-output tracking stays manageable;
+      AQE then coalesces toward the advisory size and splits skewed join partitions, so
+      one hot key cannot pin a task.
     * Auto-broadcast stays at Spark's default size; every explicit broadcast in this
       package is behind a row-count check or a bound known by construction.
     """
     cores = executors * cores_per_executor
     per_partition = 128 * 1024 * 1024
-    shuffle = max(2 * cores, int(input_bytes // per_partition) + 1)
+    shuffle = min(50_000, max(3 * cores, int(input_bytes // 2**30) + 1))
     return {
         "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024),
         "spark.sql.adaptive.enabled": "true",
