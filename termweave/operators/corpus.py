@@ -42,9 +42,10 @@ def zip_lines(left: DataFrame, right: DataFrame, key: str = "line_no") -> DataFr
 
 
 def whitespace_tokens(c) -> Column:
-    """``s.split()`` as an array."""
-    return F.filter(F.split(c if not isinstance(c, str) else F.col(c), T.JWS + "+", -1),
-                    lambda x: x != F.lit(""))
+    """``s.split()`` as an array.  Splitting the stripped text leaves no empty piece
+    (except for an all-whitespace text, handled first), so no per-token lambda runs."""
+    s = T.strip(c if not isinstance(c, str) else F.col(c))
+    return F.when(s == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(s, T.JWS + "+", -1))
 
 
 def vocabulary(texts: DataFrame, text_col: str = "text", vocab_size: int = 32_000) -> DataFrame:
