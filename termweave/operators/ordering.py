@@ -64,6 +64,27 @@ def prefix_sum(df: DataFrame, key: str, value, out: str,
     return res.drop("__bq") if "__bq" in res.columns else res
 
 
+def scan_positions(df: DataFrame, out: str = "row_no", start: int = 0) -> DataFrame:
+    """WIN-2 at ingest: the position of each row in scan order (split order, then order
+    within the split), without leaving the JVM.  Apply it directly to a file scan:
+    ``monotonically_increasing_id`` then encodes (split, position), so per-split row
+    counts (one row per input split, a bounded table) give each split's offset, and a
+    window partitioned by split numbers its rows.  The scan is deterministic, so the
+    two branches read the same ids.  For one file this is the line/row number; with
+    several files it follows Spark's split order."""
+    mid = "__mid"
+    split_col = "__split"
+    x = df.withColumn(mid, F.monotonically_increasing_id()).withColumn(
+        split_col, F.shiftright(F.col(mid), 33))
+    counts = x.groupBy(split_col).agg(F.count(F.lit(1)).alias("__n"))
+    offsets = counts.select(split_col, F.coalesce(F.sum("__n").over(
+        Window.orderBy(split_col).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
+    w = Window.partitionBy(split_col).orderBy(mid)
+    return (x.join(F.broadcast(offsets), split_col)
+            .withColumn(out, F.col("__off") + F.row_number().over(w) - F.lit(1) + F.lit(start))
+            .drop(mid, split_col, "__off"))
+
+
 def dense_row_number(df: DataFrame, key: str, out: str = "row_no", start: int = 1,
                      bucket_size: int = DEFAULT_BUCKET) -> DataFrame:
     """WIN-2: dense position in ``key`` order, from ``start``."""

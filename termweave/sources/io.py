@@ -40,12 +40,12 @@ CSV_WRITE_OPTIONS = {
 
 
 def with_row_no(df: DataFrame, name: str = "row_no", start: int = 1) -> DataFrame:
-    """WIN-2 at ingest: file-order position from ``zipWithIndex`` (partition order, then
-    position in the partition), stable across jobs for the same input splits."""
-    spark = df.sparkSession
-    schema = Tt.StructType([Tt.StructField(name, Tt.LongType(), False)] + df.schema.fields)
-    rdd = df.rdd.zipWithIndex().map(lambda r: (r[1] + start, *r[0]))
-    return spark.createDataFrame(rdd, schema)
+    """WIN-2 at ingest: file-order position of each row of a fresh scan
+    (``ordering.scan_positions``), computed in the JVM.  Columns keep their order, the
+    position first."""
+    from termweave.operators.ordering import scan_positions
+
+    return scan_positions(df, name, start).select(name, *df.columns)
 
 
 def read_csv_rows(spark: SparkSession, path: str, columns: list[str] | None = None,

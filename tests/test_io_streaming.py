@@ -184,3 +184,20 @@ def test_incremental_stream_picks_up_new_files_only(spark):
     batch = mining.best_sentences(fx.docs(), fx.terms(), fx.keywords())
     got = out.drop("epoch")
     assert got.exceptAll(batch).isEmpty() and batch.exceptAll(got).isEmpty()
+
+
+def test_scan_positions_over_many_splits(spark):
+    d = _tmp()
+    p = os.path.join(d, "big.txt")
+    with open(p, "w", encoding="utf-8") as f:
+        for i in range(20000):
+            f.write(f"line {i}\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        raw = spark.read.text(p)
+        assert raw.rdd.getNumPartitions() > 5
+        got = io.read_lines(spark, p).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted((r["line_no"], r["text"]) for r in got) == [(i, f"line {i}") for i in range(20000)]
