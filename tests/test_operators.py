@@ -6,7 +6,6 @@ from html.parser import HTMLParser
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from termweave.functions import constants as K
 from termweave.operators import answering, evaluation, matching, mining, ordering, prompting
