@@ -176,18 +176,20 @@ class Fixtures:
     # -- enrichment inputs ----------------------------------------------------
     def hits(self) -> DataFrame:
         """HITS(term, lang, query_rank, result_rank, url, body): documents of the term's
-        language with ``doc_id % 50 = rk - 1``, three queries, every matching document
-        ranked (the operators take their own top-k: first two links, top snippets)."""
+        language with ``doc_id % 50 = rk - 1``, three queries, every matching document kept;
+        ``result_rank = floor(doc_id / 150) + 1`` orders results (the operators take their
+        own top-k: first two links, top snippets)."""
         t = self.terms()
         d = self.docs().withColumn("res", F.col("doc_id") % N_TERMS + 1)
         h = (d.join(t.withColumnRenamed("rk", "res"), ["lang", "res"])
              .withColumn("query_rank", (F.lit(1) + F.floor(F.col("doc_id") / 50) % 3).cast("int")))
-        w = Window.partitionBy("term", "lang", "query_rank").orderBy("doc_id")
         url = F.concat(F.lit("http://example.org/"), F.col("doc_id").cast("string"),
                        F.when(F.col("doc_id") % 7 == 0, F.lit(".pdf")).otherwise(F.lit("")))
-        return (h.withColumn("result_rank", F.row_number().over(w))
-                .select("term", "lang", "query_rank", "result_rank", url.alias("url"),
-                        F.col("text").alias("body")))
+        # result_rank orders the results by doc_id (no window over a growing group);
+        # it need not be dense -- operators take their own top-k by it.
+        return h.select("term", "lang", "query_rank",
+                        (F.floor(F.col("doc_id") / 150) + 1).cast("int").alias("result_rank"),
+                        url.alias("url"), F.col("text").alias("body"))
 
     def abstracts(self) -> DataFrame:
         """ABSTRACTS(term, url, body): per EN term the lowest benchmark item containing
@@ -263,13 +265,13 @@ class Fixtures:
 
     def page_hits(self) -> DataFrame:
         """PAGE_HITS(term, lang, query_rank, result_rank, url): result links that point at
-        the driver's ``pages`` (language from the URL path, ``page_id % 50 = rk - 1``)."""
+        the driver's ``pages`` (language from the URL path, ``page_id % 50 = rk - 1``,
+        ``result_rank = floor(page_id / 150) + 1``)."""
         t = self.terms()
         p = (self.table("pages").select("page_id", "url")
              .withColumn("lang", F.regexp_extract("url", "/(en|fr|de|es)/", 1))
              .withColumn("res", F.col("page_id") % N_TERMS + 1))
         h = (p.join(t.withColumnRenamed("rk", "res"), ["lang", "res"])
              .withColumn("query_rank", (F.lit(1) + F.floor(F.col("page_id") / 50) % 3).cast("int")))
-        w = Window.partitionBy("term", "lang", "query_rank").orderBy("page_id")
-        return (h.withColumn("result_rank", F.row_number().over(w))
-                .select("term", "lang", "query_rank", "result_rank", "url"))
+        return h.select("term", "lang", "query_rank",
+                        (F.floor(F.col("page_id") / 150) + 1).cast("int").alias("result_rank"), "url")

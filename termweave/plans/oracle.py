@@ -507,13 +507,12 @@ def ascii_share(x: str) -> str:
 
 
 cte("hits", """
-SELECT term, lang, query_rank, result_rank::INTEGER AS result_rank, url, body FROM (
-  SELECT t.term, d.lang, (1 + floor(d.doc_id / 50) % 3)::INTEGER AS query_rank, d.text AS body,
-         'http://example.org/' || d.doc_id::VARCHAR
-           || CASE WHEN d.doc_id % 7 = 0 THEN '.pdf' ELSE '' END AS url,
-         row_number() OVER (PARTITION BY t.term, d.lang, (1 + floor(d.doc_id / 50) % 3)::INTEGER
-                            ORDER BY d.doc_id) AS result_rank
-  FROM d JOIN terms t ON d.lang = t.lang AND d.doc_id % 50 + 1 = t.rk)""", "d", "terms")
+SELECT t.term, d.lang, (1 + floor(d.doc_id / 50) % 3)::INTEGER AS query_rank,
+       (floor(d.doc_id / 150) + 1)::INTEGER AS result_rank,
+       'http://example.org/' || d.doc_id::VARCHAR
+         || CASE WHEN d.doc_id % 7 = 0 THEN '.pdf' ELSE '' END AS url,
+       d.text AS body
+FROM d JOIN terms t ON d.lang = t.lang AND d.doc_id % 50 + 1 = t.rk""", "d", "terms")
 cte("abstracts", """
 SELECT t.term, 'http://abstracts.example.org/' || min(b.item_id)::VARCHAR AS url,
        arg_min(b.text, b.item_id) AS body
@@ -548,7 +547,8 @@ SELECT i.row_no, i.side, i.lang, i.term, l.url, l.body, 0 AS source_rank, l.url_
 FROM items i JOIN (
   SELECT *, row_number() OVER (PARTITION BY term, lang ORDER BY result_rank) AS url_rank FROM (
     SELECT *, min(query_rank) OVER (PARTITION BY term, lang) AS q0
-    FROM hits WHERE result_rank <= 2 AND {url_usable('url')})
+    FROM (SELECT *, row_number() OVER (PARTITION BY term, lang, query_rank ORDER BY result_rank) AS rn0
+          FROM hits) WHERE rn0 <= 2 AND {url_usable('url')})
   WHERE query_rank = q0) l ON l.term = i.term AND l.lang = i.lang
 WHERE i.state = 'todo' AND length(l.body) >= 50
 UNION ALL
@@ -663,8 +663,10 @@ SELECT q.id, {_CHOICE} AS is_choice, {_OPEN} AS is_open,
        ({_CHOICE} OR {_OPEN}) AND coalesce(p.valid, false) AND NOT coalesce(p.is_object, false) AS failed
 FROM questions q LEFT JOIN parsed_answers p USING (id)""", "questions", "parsed_answers")
 
-ORACLE["top_hits"] = sql(
-    "SELECT term, lang, query_rank, result_rank, url FROM hits WHERE result_rank <= 3", "hits")
+ORACLE["top_hits"] = sql("""
+SELECT term, lang, query_rank, result_rank, url FROM (
+  SELECT *, row_number() OVER (PARTITION BY term, lang, query_rank ORDER BY result_rank) AS rn FROM hits)
+WHERE rn <= 3""", "hits")
 ORACLE["ascii_evidence"] = sql("SELECT term, lang, evidence FROM ascii_ev", "ascii_ev")
 cte("evidence_text", f"""
 SELECT id, string_agg(e.k || ': ' || coalesce(ev.evidence, {q(K.NO_EVIDENCE)}), chr(10) ORDER BY pos)
@@ -729,12 +731,10 @@ FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_no FROM docu
 # -- JOIN-3: links to pages by URL ----------------------------------------------------
 
 cte("page_hits", """
-SELECT term, lang, query_rank, result_rank::INTEGER AS result_rank, url FROM (
-  SELECT t.term, p.lang, (1 + floor(p.page_id / 50) % 3)::INTEGER AS query_rank, p.url,
-         row_number() OVER (PARTITION BY t.term, p.lang, (1 + floor(p.page_id / 50) % 3)::INTEGER
-                            ORDER BY p.page_id) AS result_rank
-  FROM (SELECT page_id, url, regexp_extract(url, '/(en|fr|de|es)/', 1) AS lang FROM pages) p
-  JOIN terms t ON p.lang = t.lang AND p.page_id % 50 + 1 = t.rk)""", "terms")
+SELECT t.term, p.lang, (1 + floor(p.page_id / 50) % 3)::INTEGER AS query_rank,
+       (floor(p.page_id / 150) + 1)::INTEGER AS result_rank, p.url
+FROM (SELECT page_id, url, regexp_extract(url, '/(en|fr|de|es)/', 1) AS lang FROM pages) p
+JOIN terms t ON p.lang = t.lang AND p.page_id % 50 + 1 = t.rk""", "terms")
 cte("page_hits_body", f"""
 SELECT h.*, x.text AS body FROM page_hits h LEFT JOIN (
   SELECT url, text FROM (SELECT url, {html_to_text('html')} AS text FROM pages) WHERE length(text) >= 50) x
@@ -742,11 +742,12 @@ USING (url)""", "page_hits")
 
 
 def _enrich_with(hits_view: str) -> str:
-    cand = CTES["enrich_cand"][0].replace("FROM hits WHERE", f"FROM {hits_view} WHERE").replace(
+    cand = CTES["enrich_cand"][0].replace("FROM hits)", f"FROM {hits_view})").replace(
         "WHERE i.state = 'todo' AND length(l.body) >= 50",
         "WHERE i.state = 'todo' AND l.body IS NOT NULL AND length(l.body) >= 50")
     found = CTES["enrich_found"][0].replace("FROM enrich_cand c", "FROM enrich_cand2 c")
     out = CTES["enrich_out"][0].replace("LEFT JOIN enrich_found f", "LEFT JOIN enrich_found2 f")
+    assert hits_view in cand
     cte("enrich_cand2", cand, "items", hits_view, "abstracts")
     cte("enrich_found2", found, "enrich_cand2", "kw")
     cte("enrich_out2", out, "items", "enrich_found2")

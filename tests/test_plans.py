@@ -38,3 +38,8 @@ def test_ranked_tokens_use_window_group_limit(spark):
 
     plan = _plan(Fixtures(spark, SMALL).terms())
     assert "WindowGroupLimit" in plan
+
+
+def test_enrichment_takes_first_links_with_window_group_limit(spark):
+    plan = _plan(E.queries()["enrich_terms"](spark, SMALL))
+    assert "WindowGroupLimit" in plan
