@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from termweave.functions import constants as K
 from termweave.functions import text as T
+from termweave.operators.parallel import spread
 
 
 def pair_corpus(pairs: DataFrame, keep: DataFrame | None = None, key: str = "row_no") -> DataFrame:
@@ -53,7 +54,7 @@ def vocabulary(texts: DataFrame, text_col: str = "text", vocab_size: int = 32_00
     ``vocab_size`` entries (the vocabulary size is the feature, like a subword
     tokenizer's).  The top-k is planned as per-partition top-k plus a merge of
     ``vocab_size x partitions`` rows, never a whole-vocabulary single task."""
-    counts = (texts.select(F.explode(whitespace_tokens(text_col)).alias("token"))
+    counts = (spread(texts).select(F.explode(whitespace_tokens(text_col)).alias("token"))
               .groupBy("token").agg(F.count(F.lit(1)).alias("n")))
     top = counts.orderBy(F.desc("n"), F.asc("token")).limit(vocab_size)
     w = Window.orderBy(F.desc("n"), F.asc("token"))  # over vocab_size rows only
@@ -66,6 +67,7 @@ def encode_fixed(texts: DataFrame, vocab: DataFrame, id_col: str, text_col: str
     """SCA-23 / UDF-4: first ``max_len`` tokens to ids (unknown -> UNK_ID), right-padded
     with PAD_ID to exactly ``max_len``.  Tokens are exploded with their position, joined
     to the vocabulary and regrouped per text; each group is at most ``max_len`` rows."""
+    texts = spread(texts, id_col)
     toks = texts.select(id_col, F.posexplode(F.slice(whitespace_tokens(text_col), 1, max_len))
                         .alias("pos", "token"))
     v = vocab.select("token", "id")  # at most vocab_size rows: broadcast is bounded
