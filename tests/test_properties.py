@@ -96,3 +96,20 @@ def test_score_parts_add_up(spark):
     rows = df.select(T.score_sentence("s", "k", kws).alias("a"),
                      T.term_score(T.sentence_base("s", kws), F.lower("s"), F.lower("k")).alias("b")).collect()
     assert all(r["a"] == r["b"] for r in rows)
+
+
+ALPHA = "abcé "
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.text(alphabet=ALPHA, min_size=0, max_size=30), min_size=1, max_size=12),
+       st.lists(st.text(alphabet=ALPHA, min_size=1, max_size=5), min_size=1, max_size=10, unique=True))
+def test_anchor_join_equals_nested_loop(spark, texts, terms):
+    from termweave.operators import matching
+
+    t = spark.createDataFrame([(i, "x", s) for i, s in enumerate(texts)], "id bigint, lang string, s string")
+    d = spark.createDataFrame([("x", w) for w in terms], "lang string, term string")
+    got = sorted((r["id"], r["term"]) for r in
+                 matching.contains_join(t, d, "s", "term", ["lang"], strategy="anchor").collect())
+    want = sorted((i, w) for i, s in enumerate(texts) for w in terms if w in s)
+    assert got == want
