@@ -42,6 +42,18 @@ def zip_lines(left: DataFrame, right: DataFrame, key: str = "line_no") -> DataFr
     return j.withColumn("status", status)
 
 
+def check_aligned(zipped: DataFrame) -> dict[str, int]:
+    """JOIN-2 precondition: counts of ``zip_lines`` statuses (one small aggregate).
+    Raises ``ValueError`` when one side has lines the other lacks, as the original
+    refuses to train on files of different lengths."""
+    counts = {r["status"]: r["n"] for r in
+              zipped.groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect()}
+    missing = counts.get("missing_left", 0) + counts.get("missing_right", 0)
+    if missing:
+        raise ValueError(f"line files differ in length: {counts}")
+    return counts
+
+
 def whitespace_tokens(c) -> Column:
     """``s.split()`` as an array.  Splitting the stripped text leaves no empty piece
     (except for an all-whitespace text, handled first), so no per-token lambda runs."""

@@ -74,13 +74,19 @@ def csv_to_parquet(spark: SparkSession, src: str, dst: str, columns: list[str] |
     read_csv_rows(spark, src, columns).write.mode("overwrite").parquet(dst)
 
 
-def read_lines(spark: SparkSession, path: str, drop_blank: bool = False) -> DataFrame:
-    """SRC-3: text lines as (line_no, text) with the raw 0-based position kept; with
-    ``drop_blank`` lines are stripped and blank ones dropped *after* numbering, so a
-    blank line never shifts its neighbours (D6)."""
+def read_lines(spark: SparkSession, path: str, drop_blank: bool = False,
+               compat: bool = False) -> DataFrame:
+    """SRC-3: text lines as (line_no, text).  Default: the raw 0-based position is kept;
+    with ``drop_blank`` lines are stripped and blank ones dropped *after* numbering, so a
+    blank line never shifts its neighbours.  ``compat=True`` reproduces the original:
+    strip, drop blanks, *then* number (one blank line shifts every later pair, D6)."""
     from termweave.functions import text as T
 
-    df = with_row_no(spark.read.text(path).withColumnRenamed("value", "text"), "line_no", 0)
+    raw = spark.read.text(path).withColumnRenamed("value", "text")
+    if compat:
+        kept = raw.withColumn("text", T.strip("text")).where(F.col("text") != "")
+        return with_row_no(kept, "line_no", 0)
+    df = with_row_no(raw, "line_no", 0)
     if drop_blank:
         df = df.withColumn("text", T.strip("text")).where(F.col("text") != "")
     return df

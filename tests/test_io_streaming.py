@@ -201,3 +201,23 @@ def test_scan_positions_over_many_splits(spark):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert sorted((r["line_no"], r["text"]) for r in got) == [(i, f"line {i}") for i in range(20000)]
+
+
+def test_read_lines_compat_and_alignment_check(spark):
+    d = _tmp()
+    a, b = os.path.join(d, "a.txt"), os.path.join(d, "b.txt")
+    with open(a, "w", encoding="utf-8") as f:
+        f.write("one\n\nthree\nfour\n")
+    with open(b, "w", encoding="utf-8") as f:
+        f.write("uno\ndos\ntres\ncuatro\n")
+    kept = {r["line_no"]: r["text"] for r in io.read_lines(spark, a, drop_blank=True).collect()}
+    compat = {r["line_no"]: r["text"] for r in io.read_lines(spark, a, compat=True).collect()}
+    assert kept == {0: "one", 2: "three", 3: "four"}
+    assert compat == {0: "one", 1: "three", 2: "four"}  # the original's shift
+    z = corpus.zip_lines(io.read_lines(spark, a, compat=True), io.read_lines(spark, b, compat=True))
+    import pytest
+
+    with pytest.raises(ValueError):
+        corpus.check_aligned(z)
+    ok = corpus.zip_lines(io.read_lines(spark, b), io.read_lines(spark, b))
+    assert corpus.check_aligned(ok) == {"ok": 4}
