@@ -27,6 +27,7 @@ class Fixtures:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._ranked: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
@@ -51,13 +52,20 @@ class Fixtures:
         w = Window.partitionBy("lang").orderBy(F.desc("df"), F.asc("term"))
         return dfc.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= max_rank)
 
+    def ranked(self) -> DataFrame:
+        """The ranked vocabulary behind TERMS, KEYWORDS, PAIRS and LEXICON, computed once
+        per query and kept: at most (N_TERMS + N_KEYWORDS) rows per language."""
+        if self._ranked is None:
+            self._ranked = self.ranked_tokens().persist()
+        return self._ranked
+
     def terms(self) -> DataFrame:
         """TERMS(lang, term, rk)."""
-        return self.ranked_tokens().where(F.col("rk") <= N_TERMS).select("lang", "term", "rk")
+        return self.ranked().where(F.col("rk") <= N_TERMS).select("lang", "term", "rk")
 
     def keywords(self) -> DataFrame:
         """KEYWORDS(lang, keyword): ranks 51-69."""
-        return (self.ranked_tokens().where(F.col("rk") > N_TERMS)
+        return (self.ranked().where(F.col("rk") > N_TERMS)
                 .select("lang", F.col("term").alias("keyword")))
 
     # -- prompting inputs ---------------------------------------------------
@@ -168,7 +176,7 @@ class Fixtures:
 
     def lexicon(self) -> DataFrame:
         """LEXICON(src, tgt): EN token -> FR token of equal rank, ranks 1-69."""
-        r = self.ranked_tokens()
+        r = self.ranked()
         en = r.where(F.col("lang") == "en").select("rk", F.col("term").alias("src"))
         fr = r.where(F.col("lang") == "fr").select("rk", F.col("term").alias("tgt"))
         return en.join(fr, "rk").select("src", "tgt")
