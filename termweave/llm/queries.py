@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termweave.llm import quality_rules, toxicity
+from termweave.llm import minhash, quality_ftrl, quality_rules, toxicity
 from termweave.llm.common import table
 
 
@@ -12,15 +12,25 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_quality_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_ftrl.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "reason", "ratio", "n_chunks", "n_low_chunks", "n_high_chunks")
 
 
+def op9_minhash_inverted_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op4_toxicity": op4_toxicity,
+    "op5_quality_ftrl": op5_quality_ftrl,
     "op8_compression_bands": op8_compression_bands,
+    "op9_minhash_inverted_join": op9_minhash_inverted_join,
 }
 
 ORACLE: dict[str, str] = {}
