@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termweave.llm import minhash, quality_ftrl, quality_rules, toxicity
+from termweave.llm import minhash, packing, quality_ftrl, quality_rules, toxicity, warc_zstd
 from termweave.llm.common import table
 
 
@@ -16,6 +16,18 @@ def op5_quality_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_ftrl.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def pack_documents(docs: DataFrame, **params) -> DataFrame:
+    """Packing with the public byte-level vocabulary."""
+    import public_tokenizers as public
+
+    return packing.pack(docs, public.path("byte_bpe_50k.json"), public.path("byte_bpe_50k.tiktoken"),
+                        public.PATTERN, **params)
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -26,11 +38,17 @@ def op9_minhash_inverted_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_zstd.round_trip(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_quality_ftrl": op5_quality_ftrl,
+    "op7_packing": op7_packing,
     "op8_compression_bands": op8_compression_bands,
     "op9_minhash_inverted_join": op9_minhash_inverted_join,
+    "op10_warc_zstd": op10_warc_zstd,
 }
 
 ORACLE: dict[str, str] = {}
