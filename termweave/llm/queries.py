@@ -3,9 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from termweave.llm import minhash, packing, quality_ftrl, quality_rules, toxicity, warc_zstd
+from termweave.llm import minhash, packing, quality_ftrl, quality_rules, secret_scan, toxicity, warc_zstd
 from termweave.llm.common import table
+from termweave.llm.native_spans import written
+
+
+def _count(spans: str, kind: str):
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = secret_scan.secrets(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", *[_count("base", k) for k in secret_scan.KINDS[:3]],
+                      F.sha2(written(F.col("base")), 256).alias("base_sha256"),
+                      written(F.col("spans")).alias("spans"), _count("spans", "random"))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,6 +56,7 @@ def op10_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op4_toxicity": op4_toxicity,
     "op5_quality_ftrl": op5_quality_ftrl,
     "op7_packing": op7_packing,
