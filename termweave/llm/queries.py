@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termweave.llm import minhash, packing, quality_ftrl, quality_rules, secret_scan, toxicity, warc_zstd
+from termweave.llm import minhash, packing, pii, quality_ftrl, quality_rules, secret_scan, toxicity, warc_zstd
 from termweave.llm.common import table
 from termweave.llm.native_spans import written
 
@@ -21,6 +21,14 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                       written(F.col("spans")).alias("spans"), _count("spans", "random"))
 
 
+def op2_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = pii.private_spans(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", *[_count("base", k) for k in pii.BASE],
+                      F.sha2(written(F.col("base")), 256).alias("base_sha256"),
+                      written(F.col("spans")).alias("spans"),
+                      (F.size("spans") - F.size("base")).cast("long").alias("n_more"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -57,6 +65,7 @@ def op10_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_pii_weak_supervision": op2_pii_weak_supervision,
     "op4_toxicity": op4_toxicity,
     "op5_quality_ftrl": op5_quality_ftrl,
     "op7_packing": op7_packing,
