@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termweave.llm import minhash, packing, pii, quality_ftrl, quality_rules, secret_scan, toxicity, warc_zstd
+from termweave.llm import embed_dedup, minhash, packing, pii, quality_ftrl, quality_rules, secret_scan, toxicity, warc_zstd
 from termweave.llm.common import table
 from termweave.llm.native_spans import written
 
@@ -37,6 +37,10 @@ def op5_quality_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_ftrl.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_subspace_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def pack_documents(docs: DataFrame, **params) -> DataFrame:
     """Packing with the public byte-level vocabulary."""
     import public_tokenizers as public
@@ -68,6 +72,7 @@ QUERIES = {
     "op2_pii_weak_supervision": op2_pii_weak_supervision,
     "op4_toxicity": op4_toxicity,
     "op5_quality_ftrl": op5_quality_ftrl,
+    "op6_subspace_join": op6_subspace_join,
     "op7_packing": op7_packing,
     "op8_compression_bands": op8_compression_bands,
     "op9_minhash_inverted_join": op9_minhash_inverted_join,
