@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termweave.llm import embed_dedup, minhash, packing, pii, quality_ftrl, quality_rules, secret_scan, toxicity, warc_zstd
+from termweave.llm import (
+    embed_dedup,
+    minhash,
+    nbest,
+    packing,
+    pii,
+    quality_ftrl,
+    quality_rules,
+    secret_scan,
+    toxicity,
+    warc_zstd,
+)
 from termweave.llm.common import table
 from termweave.llm.native_spans import written
 
@@ -29,6 +40,14 @@ def op2_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.size("spans") - F.size("base")).cast("long").alias("n_more"))
 
 
+def op3_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as public
+
+    got = nbest.encode_nbest(table(spark, sf_dir, "documents"), public.path("piece_bpe_32k.model"))
+    return got.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
+                      "score", "scores", "changes", "round_trip")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -70,6 +89,7 @@ def op10_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_pii_weak_supervision": op2_pii_weak_supervision,
+    "op3_sentencepiece_nbest": op3_sentencepiece_nbest,
     "op4_toxicity": op4_toxicity,
     "op5_quality_ftrl": op5_quality_ftrl,
     "op6_subspace_join": op6_subspace_join,
