@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from termweave.llm.common import id_text, map_texts, staged
 from termweave.llm.components import connected_components
 
-SHINGLE = 4
+SHINGLE = 5
 COORDINATES = 32
 MATCHES = 16
 PERCENT = 80

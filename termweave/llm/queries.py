@@ -79,7 +79,7 @@ def op8_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_minhash_inverted_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
 def op10_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -164,9 +164,14 @@ def discovery_steps(scanned: DataFrame, rate: float = FALSE_DISCOVERIES,
 
 
 def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-            rate: float = FALSE_DISCOVERIES, most: float = MOST_DEVIATION) -> DataFrame:
-    """doc_id, base, spans: arrays of struct<kind, rank, start, end>; one row per input row."""
-    scanned = staged(scan(docs, id_col, text_col), "secrets")
+            rate: float = FALSE_DISCOVERIES, most: float = MOST_DEVIATION, rescan: bool = False) -> DataFrame:
+    """doc_id, base, spans: arrays of struct<kind, rank, start, end>; one row per input row.
+
+    What the scan finds is written to the shared folder between counting and deciding; with
+    ``rescan`` it is computed a second time instead, for keys as wide as a row."""
+    scanned = scan(docs, id_col, text_col)
+    if not rescan:
+        scanned = staged(scanned, "secrets")
     steps = discovery_steps(scanned, rate, most)
     by_band = {r["band"]: r["step"] for r in steps.collect()}  # one row per length band at most
     limits = {b: by_band.get(b, 10 ** 6) for b in range(len(BANDS) + 1)}
