@@ -49,7 +49,7 @@ PATTERNS = {
 }
 # A form that leaves little doubt, per kind.
 STRICT = {
-    "email": r"^[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}$",
+    "email": r"^[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]++\.)++[A-Za-z]{2,}$",
     "ip": r"^(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?:\.|$)){4}",
     "card": r"^(?:[0-9]{4}([\x20-]?)[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}([\x20-]?)[0-9]{6}\2[0-9]{5}|[0-9]{12,19})$",
     "phone": r"^\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{1,4}\)[\x20.-]?)?[0-9]{2,4}(?:[\x20.-]?[0-9]{2,4}){1,3}$",
