@@ -31,10 +31,10 @@ MAX_FEATURES = 3_000
 AFFIXES = (3, 4, 5, 6)
 THRESHOLD = 0.7
 HOLD_OUT_MOD, HOLD_OUT_REST = 3, 1
-L1 = 5e-5
+L1_PER_TEXT, LEAST_L1 = 0.5, 5e-5  # the penalty falls with the number of texts
 COUNTERFACTUAL = 1.0
 STEPS = 200
-MIN_DF = 8
+MIN_DF = 3
 
 # Words that name a group, by kind.  A mention is swapped within its kind.
 IDENTITY_TERMS = {
@@ -114,7 +114,7 @@ def text_features(text: str, terms: dict[str, list[str]] = IDENTITY_TERMS,
     return sorted(present), diff, ends
 
 
-def fit(feats: list, y, diffs: list = (), l1: float = L1, counterfactual: float = COUNTERFACTUAL,
+def fit(feats: list, y, diffs: list = (), l1: float | None = None, counterfactual: float = COUNTERFACTUAL,
         steps: int = STEPS, buckets: int = BUCKETS, min_df: int = MIN_DF,
         max_features: int = MAX_FEATURES) -> Model:
     """``feats``: the features of each text; ``diffs``: the signed features of each copy.
@@ -126,7 +126,9 @@ def fit(feats: list, y, diffs: list = (), l1: float = L1, counterfactual: float
     n = len(y)
     if not n:
         return Model(0.0, {}, buckets)
-    flat = np.concatenate([np.asarray(f, np.int32) for f in feats]) if n else np.empty(0, np.int32)
+    if l1 is None:
+        l1 = max(LEAST_L1, L1_PER_TEXT / n)
+    flat = np.concatenate([np.asarray(f, np.int32) for f in feats])
     owner = np.repeat(np.arange(n, dtype=np.int32), [len(f) for f in feats])
     rate = (y.sum() + 0.5) / (n + 1.0)
     df = np.bincount(flat, minlength=buckets)
