@@ -9,9 +9,11 @@ and is posted under its coordinate-value pairs:
 * the rest are ordered from rare to frequent, and only the prefix is posted that two documents
   with ``matches`` collisions must meet in; the other coordinates, which have the long lists,
   are never merged: collisions there are counted by looking at the two signatures;
-* a list is first compared with its most central member only.  Members that turn out linked are
-  one component, and pairs inside a component need no comparison; what is compared in full are
-  pairs across the components that meet in a list.
+* members of a list are compared by their signatures, in groups of a bounded size.  In a few
+  rounds every document proposes its best partners outside its component, those are confirmed,
+  and components grow; what then still meets in a list across components, and collides often
+  enough, is confirmed in full.  Pairs inside a component need no comparison, so that a large
+  group of near copies costs little more than its size.
 
 Pairs above the match threshold are confirmed on the full shingle sets.  Components of the
 confirmed links give the result.  With 32 coordinates and 16 matches, a pair at similarity 0.8
@@ -26,7 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termweave.llm.common import id_text, map_texts, staged
@@ -36,6 +38,8 @@ SHINGLE = 5
 COORDINATES = 32
 MATCHES = 16
 PERCENT = 80
+ROUNDS = (1, 4)  # partners that a document proposes in each round
+CHUNK = 1024  # members of a list that are compared at a time
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -90,18 +94,21 @@ def _features(width, coordinates):
         def fn(texts):
             sets = [shingler(t) for t in texts]
             mixed = [_mixed(s) for s in sets]
+            sigs = [signature(s, salts) if len(s) else None for s in sets]
             return {"n_shingles": [len(s) for s in sets],
                     "f1": pa.array(np.array([s.sum() for s in mixed], np.uint64).view(np.int64)),
                     "f2": pa.array(np.array([np.bitwise_xor.reduce(s * _MIX2) if len(s) else 0
                                              for s in mixed], np.uint64).view(np.int64)),
-                    "sig": [signature(s, salts).view(np.int64) if len(s) else None for s in sets]}
+                    "sig": [x.view(np.int64) if x is not None else None for x in sigs],
+                    # What signatures are compared by: 16 bits of each coordinate.
+                    "code": [x.astype(np.uint16).tobytes() if x is not None else None for x in sigs]}
         return fn
     return start
 
 
 def features(docs: DataFrame, width: int = SHINGLE, coordinates: int = COORDINATES) -> DataFrame:
     """doc_id, n_shingles, a 128-bit fingerprint of the set, the signature."""
-    return map_texts(docs, "n_shingles long, f1 long, f2 long, sig array<long>",
+    return map_texts(docs, "n_shingles long, f1 long, f2 long, sig array<long>, code binary",
                      _features(width, coordinates), as_bytes=True)
 
 
@@ -115,28 +122,103 @@ def shingle_sets(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     return map_texts(docs, "shingles array<long>", start, as_bytes=True)
 
 
-def _collisions(x: str, y: str, coordinates: int) -> Column:
-    return sum(((F.col(x)[i] == F.col(y)[i]).cast("int") for i in range(coordinates)), F.lit(0))
-
-
-def _similar_size(x: str, y: str, percent: int) -> Column:
-    return 100 * F.least(x, y) >= percent * F.greatest(x, y)
-
-
 def prefix_posts(reps: DataFrame, matches: int) -> DataFrame:
-    """(rep, key, weight): the coordinate values under which a representative is posted.
-
-    ``weight`` is how many documents the representative meets over all its values: the member
-    that most others resemble has the largest."""
+    """(rep, key): the coordinate values under which a representative is posted."""
     posts = reps.select("rep", F.explode("sig").alias("key"))
     shared = staged(posts.groupBy("key").agg(F.count("*").alias("n")).where("n >= 2"), "shared")
     mine = (posts.join(shared, "key").groupBy("rep")
             .agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("keys"))
             .where(F.size("keys") >= matches))
-    return mine.select(
-        "rep", F.aggregate("keys", F.lit(0).cast("long"), lambda s, k: s + k["n"]).alias("weight"),
-        F.explode(F.slice("keys", F.lit(1), F.size("keys") - (matches - 1))).alias("k")).select(
-        "rep", "weight", F.col("k.key").alias("key"))
+    return mine.select("rep", F.explode(F.slice("keys", F.lit(1), F.size("keys") - (matches - 1))).alias("k")).select(
+        "rep", F.col("k.key").alias("key"))
+
+
+def _only(docs: DataFrame, ids: DataFrame, bits: int = 23) -> DataFrame:
+    """Rows of ``docs`` whose id is in ``ids``.  A bitmap of id hashes, a megabyte whatever the
+    number of ids, drops most other rows before the exact join."""
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits))
+    n = place("doc_id") + 1  # positions of the bitmap functions count from 1
+    parts = (ids.select(n.alias("n")).groupBy(F.bitmap_bucket_number("n").alias("part"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("n")).alias("bits")).collect())
+    size = (1 << bits) // 8
+    held = bytearray(size)
+    for r in parts:
+        at = (r["part"] - 1) * len(r["bits"])
+        held[at:at + len(r["bits"])] = r["bits"]
+    spot = place("doc_id")
+    byte = F.conv(F.hex(F.substring(F.lit(bytes(held)), (F.shiftright(spot, 3) + 1).cast("int"), F.lit(1))), 16, 10)
+    maybe = docs.where(F.getbit(byte.cast("int"), (spot % 8).cast("int")) == 1)
+    return maybe.join(ids, "doc_id", "left_semi")
+
+
+def compare_groups(rows: DataFrame, matches: int, percent: int, best: int | None) -> DataFrame:
+    """(x, y, m): pairs of a group (key, h, v) in different parts that collide in at least
+    ``matches`` coordinates and are similar in size; per x the ``best`` ones, or all.
+
+    ``rows``: key, h, v, side (the row's chunk), rep, part, n_shingles, code, tried."""
+    kind = rows.schema["rep"].dataType.simpleString()
+    names = ["side", "rep", "part", "n_shingles"]
+
+    def pairs(side, rep, part, size, code, tried, crossing):
+        g = len(rep)
+        m = np.zeros((g, g), np.uint8)
+        for i in range(code.shape[1]):
+            m += code[:, i, None] == code[None, :, i]
+        ok = (m >= matches) & (part[:, None] != part[None, :])
+        ok &= 100 * np.minimum(size[:, None], size[None, :]) >= percent * np.maximum(size[:, None], size[None, :])
+        if crossing:
+            ok &= side[:, None] != side[None, :]
+        where = {r: i for i, r in enumerate(rep.tolist())} if any(tried) else {}
+        for i, t in enumerate(tried):
+            for y in t or ():
+                if y in where:
+                    ok[i, where[y]] = False
+        if best is None:
+            x, y = np.nonzero(np.triu(ok))
+            return rep[x], rep[y], m[x, y]
+        x, y = np.nonzero(ok)
+        order = np.lexsort((rep[y], -m[x, y].astype(int), x))
+        x, y = x[order], y[order]
+        nth = np.arange(len(x)) - np.concatenate([[0], np.cumsum(np.bincount(x, minlength=g))])[x]
+        x, y = x[nth < best], y[nth < best]
+        return rep[x], rep[y], m[x, y]
+
+    def run(batches):
+        held = None
+        for batch in _with_end(batches):
+            if batch is not None:
+                t = pa.Table.from_batches([batch])
+                held = t if held is None else pa.concat_tables([held, t])
+            if held is None or not held.num_rows:
+                continue
+            held = held.combine_chunks()
+            g = np.stack([held[c].to_numpy() for c in ("key", "h", "v")])
+            cuts = np.flatnonzero((g[:, 1:] != g[:, :-1]).any(0)) + 1
+            cuts = np.concatenate([[0], cuts, [held.num_rows]])
+            done = len(cuts) - 1 if batch is None else len(cuts) - 2  # the last group may go on
+            cols = [held[c].to_numpy() for c in names]
+            code = np.frombuffer(b"".join(held["code"].to_pylist()), np.uint16).reshape(held.num_rows, -1)
+            tried = held["tried"].to_pylist()
+            out = [[], [], []]
+            for k in range(done):
+                s, e = cuts[k], cuts[k + 1]
+                if e - s > 1:
+                    for o, c in zip(out, pairs(*(c[s:e] for c in cols), code[s:e], tried[s:e],
+                                               g[1, s] != g[2, s]), strict=True):
+                        o.append(c)
+            held = held.slice(cuts[done])
+            if out[0]:
+                x, y, m = (np.concatenate(o) for o in out)
+                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(m.astype(np.int32))],
+                                                 names=["x", "y", "m"])
+
+    dealt = rows.repartition("key", "h", "v").sortWithinPartitions("key", "h", "v")
+    return dealt.select("key", "h", "v", *names, "code", "tried").mapInArrow(run, f"x {kind}, y {kind}, m int")
+
+
+def _with_end(batches):
+    yield from batches
+    yield None
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -148,9 +230,20 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .where(100 * both >= percent * (F.size("sx") + F.size("sy") - both)).select("x", "y"))
 
 
+def _merged(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """Parts (node, component) after joining those that a link (x, y) connects."""
+    ends = parts.select(F.col("node").alias("x"), F.col("component").alias("px")), parts.select(
+        F.col("node").alias("y"), F.col("component").alias("py"))
+    between = links.join(ends[0], "x").join(ends[1], "y").select(F.col("px").alias("a"), F.col("py").alias("b"))
+    new = staged(connected_components(between).select(
+        F.col("node").alias("component"), F.col("component").alias("into")), "into")
+    return staged(parts.join(new, "component", "left").select(
+        "node", F.coalesce("into", "component").alias("component")), "parts")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     width: int = SHINGLE, coordinates: int = COORDINATES, matches: int = MATCHES,
-                    percent: int = PERCENT) -> DataFrame:
+                    percent: int = PERCENT, rounds: tuple = ROUNDS, chunk: int = CHUNK) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per input row."""
     docs = id_text(docs, id_col, text_col)
     feats = staged(features(docs, width, coordinates), "minhash")
@@ -158,45 +251,51 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = staged(worded.groupBy("n_shingles", "f1", "f2").agg(F.min("doc_id").alias("rep")), "classes")
     firsts = classes.select(F.col("rep").alias("doc_id")).distinct()
     reps = staged(worded.join(firsts, "doc_id", "left_semi")
-                  .select(F.col("doc_id").alias("rep"), "n_shingles", "sig")
+                  .select(F.col("doc_id").alias("rep"), "n_shingles", "sig", "code")
                   .dropDuplicates(["rep", "n_shingles", "sig"]), "reps")
     posts = staged(prefix_posts(reps, matches), "posts")
-    sets = staged(shingle_sets(docs.join(posts.select(F.col("rep").alias("doc_id")).distinct(),
-                                         "doc_id", "left_semi"), width), "sets")
-    left = reps.select(F.col("rep").alias("x"), F.col("n_shingles").alias("nx"), F.col("sig").alias("gx"))
-    right = reps.select(F.col("rep").alias("y"), F.col("n_shingles").alias("ny"), F.col("sig").alias("gy"))
-    alike = _similar_size("nx", "ny", percent) & (_collisions("gx", "gy", coordinates) >= matches)
-
-    def star(posts):
-        """Every member of a list against its most central one."""
-        heads = staged(posts.groupBy("key").agg(
-            F.max(F.struct("weight", "rep"))["rep"].alias("y"), F.count("*").alias("n"))
-            .where("n >= 2").select("key", "y"), "heads")
-        pairs = (posts.join(heads, "key").where("rep <> y")
-                 .select(F.least("rep", "y").alias("x"), F.greatest("rep", "y").alias("y")).distinct())
-        return pairs.join(left, "x").join(right, "y").where(alike).select("x", "y").distinct()
-
-    tried = staged(star(posts), "star-pairs")
-    links = staged(_confirm(tried, sets, percent).distinct(), "star-links")
-    parts = staged(connected_components(links, "x", "y"), "star-parts")
-
-    # Lists in which more than one component meets: compare across components.
-    placed = posts.join(parts, F.col("rep") == F.col("node"), "left").select(
-        "key", "rep", F.coalesce("component", "rep").alias("part"))
-    placed = staged(placed, "placed")
-    mixed = staged(placed.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"))
-                   .where("lo <> hi").select("key"), "mixed")
-    open_ = staged(placed.join(mixed, "key").join(
-        reps.select("rep", "n_shingles", "sig"), "rep"), "open")
-    one = open_.select("key", F.col("rep").alias("x"), F.col("part").alias("px"),
-                       F.col("n_shingles").alias("nx"), F.col("sig").alias("gx"))
-    two = open_.select("key", F.col("rep").alias("y"), F.col("part").alias("py"),
-                       F.col("n_shingles").alias("ny"), F.col("sig").alias("gy"))
-    across = one.join(two, (one["key"] == two["key"]) & (F.col("x") < F.col("y"))
-                      & (F.col("px") != F.col("py")) & alike).select("x", "y").distinct()
-    across = staged(across.join(tried, ["x", "y"], "left_anti"), "across")
-    more = staged(_confirm(across, sets, percent).distinct(), "across-links")
-    whole = staged(connected_components(links.unionByName(more), "x", "y"), "components")
+    sets = staged(shingle_sets(_only(docs, posts.select(F.col("rep").alias("doc_id")).distinct()), width), "sets")
+    members = posts.join(reps.select("rep", "n_shingles", "code"), "rep")
+    parts = reps.select(F.col("rep").alias("node")).distinct().withColumn("component", F.col("node"))
+    tried = None  # (x, y): what x has proposed, confirmed or not
+    for turn, best in enumerate([*rounds, None]):
+        rows = members.join(parts, F.col("rep") == F.col("node")).select(
+            "key", "rep", F.col("component").alias("part"), "n_shingles", "code")
+        if tried is None:
+            rows = rows.withColumn("tried", F.array().cast(f"array<{reps.schema['rep'].dataType.simpleString()}>"))
+        else:
+            mine = tried.groupBy(F.col("x").alias("rep")).agg(F.collect_list("y").alias("tried"))
+            rows = rows.join(mine, "rep", "left")
+        rows = staged(rows, "rows")
+        lists = staged(rows.groupBy("key").agg(
+            F.count("*").alias("n"), F.min("part").alias("lo"), F.max("part").alias("hi"))
+            .where("lo <> hi").select("key", F.ceil(F.col("n") / chunk).alias("chunks")), "lists")
+        rows = rows.join(lists, "key").withColumn(
+            "side", F.pmod(F.xxhash64("rep", F.lit(turn)), F.col("chunks")))
+        if best is None:  # every chunk of a list against every other
+            rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+        else:  # every chunk in itself: few comparisons that join most
+            rows = rows.withColumn("other", F.col("side"))
+        rows = rows.withColumn("h", F.least("side", "other")).withColumn("v", F.greatest("side", "other"))
+        found = staged(compare_groups(rows, matches, percent, best), "found")
+        if best is None:
+            found = found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+            if tried is not None:
+                found = found.join(tried.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(),
+                                   ["x", "y"], "left_anti")
+        else:
+            top = F.slice(F.array_sort(F.collect_set(F.struct((-F.col("m")).alias("m"), "y"))), 1, best)
+            found = found.groupBy("x").agg(top.alias("top")).select("x", F.explode("top.y").alias("y"))
+        found = staged(found, "proposed")
+        if found.isEmpty():
+            if best is not None and turn == 0 and lists.where("chunks > 1").isEmpty():
+                break  # all lists were compared in full
+            continue
+        tried = found if tried is None else staged(tried.unionByName(found), "tried")
+        links = _confirm(found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(),
+                         sets, percent)
+        parts = _merged(parts, links)
+    whole = parts
 
     named = staged(classes.join(whole, F.col("rep") == F.col("node"), "left").select(
         "n_shingles", "f1", "f2", F.coalesce("component", "rep").alias("component")), "named")
