@@ -47,6 +47,36 @@ def ascii_evidence(snippets: DataFrame, keys: list[str], k: int = K.SNIPPETS_PER
                     .otherwise(F.lit(K.NO_ENGLISH_EVIDENCE)).alias("evidence"))
 
 
+def provider_evidence(queries: DataFrame, hits: DataFrame, keys: list[str],
+                      third_answers: bool = True) -> DataFrame:
+    """JOIN-4 / WIN-4 / SRC-6: one evidence text per query through the provider chain.
+
+    ``hits``: ``keys``, provider (1, 2, 3), result_rank, title, body.  The first provider
+    with results wins: its first five as ``title: body``; else the second's first three
+    bodies; else the third's first three, less those whose ASCII share is too low, and the
+    fixed text if none is left.  ``third_answers``: whether the third provider can be
+    asked; if not, a query without results gets the other fixed text.  Ranks are unique
+    per query and provider; a group keeps five rows at most."""
+    w = Window.partitionBy(*keys, "provider").orderBy("result_rank")
+    first = (hits.withColumn("__n", F.row_number().over(w))
+             .where(F.col("__n") <= F.when(F.col("provider") == 1, K.FIRST_PROVIDER_SNIPPETS)
+                    .otherwise(K.SNIPPETS_PER_QUERY)))
+    body = F.coalesce(F.col("body"), F.lit(""))
+    text = F.when(F.col("provider") == 1, F.concat(F.coalesce("title", F.lit("")), F.lit(": "), body)).otherwise(body)
+    kept = (F.col("provider") != 3) | (T.ascii_share("body") > K.ASCII_SHARE_MIN)
+    by = first.groupBy(*keys).agg(F.array_sort(F.collect_list(F.when(
+        kept, F.struct("provider", "result_rank", text.alias("text"))))).alias("e"))
+
+    def joined(n):
+        mine = F.filter("e", lambda x: x["provider"] == n)
+        return F.when(F.size(mine) > 0, F.array_join(F.transform(mine, lambda x: x["text"]), K.EVIDENCE_SEPARATOR))
+
+    last = F.lit(K.NO_ENGLISH_EVIDENCE if third_answers else K.NO_EVIDENCE)
+    return (queries.select(*keys).distinct().join(by, keys, "left")
+            .select(*keys, F.coalesce(joined(1), joined(2), joined(3) if third_answers else F.lit(None), last)
+                    .alias("evidence")))
+
+
 def option_rows(questions: DataFrame) -> DataFrame:
     """JOIN-5 input: one row per (question, option) with its position and the evidence
     query ``option question`` (SCA-19)."""
@@ -56,13 +86,14 @@ def option_rows(questions: DataFrame) -> DataFrame:
         F.concat_ws(" ", F.col("e.value"), F.col("question")).alias("query"))
 
 
-def evidence_map(questions: DataFrame, evidence: DataFrame, on_opt: str = "opt_val") -> DataFrame:
+def evidence_map(questions: DataFrame, evidence: DataFrame, on: tuple[str, ...] = ("id", "opt_key")) -> DataFrame:
     """JOIN-5 / AGG-8 / SCA-18: per question, the map option -> evidence text (fixed
     text when an option has none) and the ``key: value`` evidence block.  ``evidence``
-    is keyed by ``on_opt`` (the option text) with column ``evidence``."""
+    has a row per (question, option); other keys of ``option_rows`` (its search text, say)
+    can be named in ``on``."""
+    ev = evidence.select(*[F.col(c).alias(f"__{c}") for c in on], "evidence")
     opts = option_rows(questions)
-    ev = evidence.select(F.col(on_opt).alias("__k"), "evidence")
-    j = opts.join(ev, opts["opt_val"] == ev["__k"], "left")
+    j = opts.join(ev, [F.col(c) == F.col(f"__{c}") for c in on], "left")
     g = j.groupBy("id").agg(F.sort_array(F.collect_list(F.struct(
         "opt_pos", "opt_key", F.coalesce("evidence", F.lit(K.NO_EVIDENCE)).alias("evidence"))))
         .alias("e"))
@@ -108,61 +139,24 @@ def parse_response(resp) -> dict[str, Column]:
     return out
 
 
-PARSED_SCHEMA = "id string, valid boolean, is_object boolean, selected_option string, reasoning string"
-
-
-def parse_responses_python(responses: DataFrame) -> DataFrame:
-    """SCA-15 with Python's own ``json.loads`` in Arrow batches (``mapInPandas``): exact
-    also for duplicate keys (last wins) and ``NaN``/``Infinity``, which the native
-    ``try_parse_json`` rejects.  Same columns as the native form."""
-
-    def run(batches):
-        import json
-
-        import pandas as pd
-
-        for pdf in batches:
-            out = []
-            for rid, resp in zip(pdf["id"], pdf["response"]):
-                try:
-                    obj = json.loads(resp) if resp is not None else None
-                    ok = resp is not None
-                except ValueError:
-                    obj, ok = None, False
-                if ok and isinstance(obj, dict):
-                    sel, rea = obj.get("selected_option", ""), obj.get("reasoning", "")
-                    out.append((rid, True, True, None if sel is None else str(sel),
-                                None if rea is None else str(rea)))
-                else:
-                    out.append((rid, ok, False, None, None))
-            yield pd.DataFrame(out, columns=["id", "valid", "is_object", "selected_option", "reasoning"])
-
-    return responses.select("id", "response").mapInPandas(run, PARSED_SCHEMA)
-
-
-def assemble_answers(questions: DataFrame, responses: DataFrame,
-                     exact_json: bool = False) -> tuple[DataFrame, DataFrame]:
+def assemble_answers(questions: DataFrame, responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     """SCA-15/20, FIL-11: (answers, rejects).  Answers ``(id, prediction, reasoning,
-    choice)``; rejects ``(id, reason)`` for responses that are valid JSON but not an
-    object (the original drops those questions silently).  ``exact_json`` parses with
-    Python's ``json.loads`` (see ``parse_responses_python``) instead of native
-    expressions."""
+    choice)``; rejects ``(id, reason)``: responses that are valid JSON but not an object
+    (the original drops those questions silently), and failed calls (null response), with
+    the call's error if ``responses`` has an ``error`` column.  A failed call keeps its
+    answer row, with null reasoning."""
     q = questions.select("id", "question_type")
-    j = q.join(responses.select("id", "response"), "id", "left")
-    if exact_json:
-        parsed = parse_responses_python(responses)
-        j = j.join(parsed, "id", "left")
-        p = {k: F.coalesce(F.col(k), F.lit(False)) if k in ("valid", "is_object") else F.col(k)
-             for k in ("valid", "is_object", "selected_option", "reasoning")}
-    else:
-        p = parse_response("response")
+    error = F.col("error") if "error" in responses.columns else F.lit(None).cast("string")
+    r = responses.select("id", "response", error.alias("__error"), F.lit(True).alias("__asked"))
+    j = q.join(r, "id", "left")
+    p = parse_response("response")
     qt = F.col("question_type")
     choice, open_ = qt.isin(*K.CHOICE_TYPES), qt == K.OPEN_TYPE
-    raw = F.coalesce(F.col("response"), F.lit(""))
+    raw = F.col("response")  # null after a failed call
     # Invalid JSON -> choice types {selected:'', reasoning:raw}; open type {reasoning:raw}.
     sel = F.when(p["is_object"], p["selected_option"]).otherwise(F.lit(""))
     rea = F.when(p["is_object"], p["reasoning"]).otherwise(raw)
-    failed = (choice | open_) & p["valid"] & ~p["is_object"]
+    failed = F.coalesce((choice | open_) & p["valid"] & ~p["is_object"], F.lit(False))
     x = j.withColumns({"__sel": sel, "__rea": rea, "__failed": failed})
     answers = x.where(~F.col("__failed")).select(
         "id",
@@ -172,7 +166,10 @@ def assemble_answers(questions: DataFrame, responses: DataFrame,
         .when(open_, F.when(F.coalesce(F.col("__sel"), F.lit("")) != "", F.col("__sel"))
               .otherwise(F.lit(K.OPEN_DEFAULT_CHOICE)))
         .otherwise(F.lit("")).alias("choice"))
-    rejects = x.where(F.col("__failed")).select("id", F.lit("response is not a JSON object").alias("reason"))
+    silent = (choice | open_) & F.col("__asked") & F.col("response").isNull()
+    rejects = x.where(F.col("__failed") | F.coalesce(silent, F.lit(False))).select("id", F.when(
+        F.col("__failed"), F.lit("response is not a JSON object")).otherwise(
+        F.coalesce("__error", F.lit("no response"))).alias("reason"))
     return answers, rejects
 
 
@@ -195,5 +192,5 @@ def answer_questions(questions: DataFrame, evidence: DataFrame, fn, batch_size:
                                 F.col("question_type"), choice_template, open_template))
     asked = q.where(F.col("prompt").isNotNull()).select("id", "prompt")
     resp = generate(asked, fn, "prompt", "id", 0, batch_size).select(
-        "id", F.col("raw_response").alias("response"))
+        "id", F.col("raw_response").alias("response"), "error")
     return assemble_answers(questions, resp)

@@ -9,12 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termweave.functions import constants as K
 from termweave.functions import text as T
-from termweave.operators.parallel import spread
+from termweave.operators.ordering import global_rank
+from termweave.operators.parallel import BROADCAST_BYTES, fits, tasks
 
 
 def pair_corpus(pairs: DataFrame, keep: DataFrame | None = None, key: str = "row_no") -> DataFrame:
@@ -61,37 +62,54 @@ def whitespace_tokens(c) -> Column:
     return F.when(s == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(s, T.JWS + "+", -1))
 
 
-def vocabulary(texts: DataFrame, text_col: str = "text", vocab_size: int = 32_000) -> DataFrame:
-    """AGG-11: token ids by (count desc, token), first id FIRST_TOKEN_ID; at most
-    ``vocab_size`` entries (the vocabulary size is the feature, like a subword
-    tokenizer's).  The top-k is planned as per-partition top-k plus a merge of
-    ``vocab_size x partitions`` rows, never a whole-vocabulary single task."""
-    counts = (spread(texts).select(F.explode(whitespace_tokens(text_col)).alias("token"))
+def vocabulary(texts: DataFrame, text_col: str = "text", vocab_size: int | None = None) -> DataFrame:
+    """AGG-11: token ids by (count desc, token), first id FIRST_TOKEN_ID, for every token.
+    Ids come from a range-partitioned ranking, so no task sees the whole vocabulary.
+    ``vocab_size`` keeps the most frequent ones only."""
+    counts = (texts.select(F.explode(whitespace_tokens(text_col)).alias("token"))
               .groupBy("token").agg(F.count(F.lit(1)).alias("n")))
-    top = counts.orderBy(F.desc("n"), F.asc("token")).limit(vocab_size)
-    w = Window.orderBy(F.desc("n"), F.asc("token"))  # over vocab_size rows only
-    return top.select("token", "n", (F.row_number().over(w) + F.lit(K.FIRST_TOKEN_ID - 1))
-                      .cast("int").alias("id"))
+    ranked = global_rank(counts, [F.desc("n"), F.asc("token")], "id", K.FIRST_TOKEN_ID)
+    if vocab_size is not None:
+        ranked = ranked.where(F.col("id") < K.FIRST_TOKEN_ID + vocab_size)
+    return ranked.select("token", "n", F.col("id").cast("int").alias("id"))
 
 
-def encode_fixed(texts: DataFrame, vocab: DataFrame, id_col: str, text_col: str = "text",
-                 max_len: int = K.MAX_SEQUENCE_LENGTH) -> DataFrame:
-    """SCA-23 / UDF-4: first ``max_len`` tokens to ids (unknown -> UNK_ID), right-padded
-    with PAD_ID to exactly ``max_len``.  Tokens are exploded with their position, joined
-    to the vocabulary and regrouped per text; each group is at most ``max_len`` rows."""
-    texts = spread(texts, id_col)
+def _token_ids(texts: DataFrame, vocab: DataFrame, id_col: str, text_col: str, max_len: int,
+               broadcast_bytes: int) -> DataFrame:
+    """(id_col, array of the first ``max_len`` token ids).  The vocabulary is broadcast below
+    a checked size, otherwise hash-joined (AQE splits frequent tokens)."""
     toks = texts.select(id_col, F.posexplode(F.slice(whitespace_tokens(text_col), 1, max_len))
                         .alias("pos", "token"))
-    v = vocab.select("token", "id")  # at most vocab_size rows: broadcast is bounded
-    ids = (toks.join(F.broadcast(v), "token", "left")
+    v = vocab.select("token", "id")
+    ids = (toks.join(F.broadcast(v) if fits(v, broadcast_bytes) else v, "token", "left")
            .groupBy(id_col)
            .agg(F.sort_array(F.collect_list(F.struct("pos", F.coalesce("id", F.lit(K.UNK_ID)).alias("id"))))
                 .alias("e")))
-    # Texts without any token keep a row (all padding): left join from the text keys.
-    full = texts.select(id_col).join(ids, id_col, "left")
-    arr = F.coalesce(F.transform("e", lambda e: e["id"]), F.array().cast("array<int>"))
-    pad = F.array_repeat(F.lit(K.PAD_ID), F.lit(max_len) - F.size(arr))
-    return full.select(id_col, F.size(arr).alias("n_tokens"), F.concat(arr, pad).alias("input_ids"))
+    # Texts without any token keep a row: left join from the text keys.
+    return texts.select(id_col).join(ids, id_col, "left").select(
+        id_col, F.coalesce(F.transform("e", lambda e: e["id"]), F.array().cast("array<int>")).alias("ids"))
+
+
+def _padded(ids: str, value: int, max_len: int) -> Column:
+    return F.concat(ids, F.array_repeat(F.lit(value), F.lit(max_len) - F.size(ids)))
+
+
+def encode_fixed(texts: DataFrame, vocab: DataFrame, id_col: str, text_col: str = "text",
+                 max_len: int = K.MAX_SEQUENCE_LENGTH, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """SCA-23: first ``max_len`` tokens to ids (unknown -> UNK_ID), right-padded with PAD_ID
+    to exactly ``max_len``."""
+    enc = _token_ids(texts, vocab, id_col, text_col, max_len, broadcast_bytes)
+    return enc.select(id_col, F.size("ids").alias("n_tokens"), _padded("ids", K.PAD_ID, max_len).alias("input_ids"))
+
+
+def encode_pairs(pairs: DataFrame, vocab: DataFrame, key: str = "row_no", max_len: int = K.MAX_SEQUENCE_LENGTH,
+                 broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """UDF-4: a training example per pair, ``input_ids`` from ``src`` and ``labels`` from
+    ``tgt``, both cut and padded to ``max_len``."""
+    src = _token_ids(pairs, vocab, key, "src", max_len, broadcast_bytes)
+    tgt = _token_ids(pairs, vocab, key, "tgt", max_len, broadcast_bytes).withColumnRenamed("ids", "tgt_ids")
+    return src.join(tgt, key).select(key, _padded("ids", K.PAD_ID, max_len).alias("input_ids"),
+                                     _padded("tgt_ids", K.PAD_ID, max_len).alias("labels"))
 
 
 def train_config(pairs: DataFrame, base_model: str, checkpoint_dir: str,
@@ -102,17 +120,14 @@ def train_config(pairs: DataFrame, base_model: str, checkpoint_dir: str,
         "num_training_samples", F.lit(seed).alias("seed"), F.lit(framework).alias("framework"))
 
 
-LEXICON_BROADCAST_ROWS = 1_000_000
-
-
 def lexicon_translate(lines: DataFrame, lexicon: DataFrame, key: str = "line_no",
-                      text_col: str = "text", broadcast_rows: int = LEXICON_BROADCAST_ROWS) -> DataFrame:
+                      text_col: str = "text", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """UDF-2 default translator: word-by-word lexicon lookup (lower-cased source
     token), unknown tokens kept; order kept by position.  The lexicon is broadcast only
-    after its row count is checked; a larger one is hash-joined on the token."""
+    after its size is checked; a larger one is hash-joined on the token."""
     toks = lines.select(key, F.posexplode(whitespace_tokens(text_col)).alias("pos", "token"))
-    lex = lexicon.select(F.col("src").alias("__src"), F.col("tgt").alias("__tgt")).persist()
-    side = F.broadcast(lex) if lex.count() <= broadcast_rows else lex
+    lex = lexicon.select(F.col("src").alias("__src"), F.col("tgt").alias("__tgt"))
+    side = F.broadcast(lex) if fits(lex, broadcast_bytes) else lex
     joined = toks.join(side, F.lower(F.col("token")) == F.col("__src"), "left")
     out = (joined.groupBy(key).agg(F.sort_array(F.collect_list(
         F.struct("pos", F.coalesce("__tgt", "token").alias("w")))).alias("e")))
@@ -138,6 +153,6 @@ def translate_batches(lines: DataFrame, fn: Callable[[list[str]], list[str]],
                 out.extend(fn(texts[i:i + batch_size]))
             yield pd.DataFrame({key: pdf[key].to_numpy(), text_col: out})
 
-    n = parallelism or 2 * lines.sparkSession.sparkContext.defaultParallelism
+    n = parallelism or tasks(lines.sparkSession)
     return lines.select(key, text_col).repartition(n, key).mapInPandas(
         run, f"{key} bigint, {text_col} string")

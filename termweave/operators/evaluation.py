@@ -56,10 +56,14 @@ def _all_ngrams(tokens: str) -> Column:
 
 
 def bleu_stats(refs: DataFrame, preds: DataFrame) -> DataFrame:
-    """Per system: clipped matches ``c1..c4``, totals ``t1..t4``, ``sys_len``, ``ref_len``."""
+    """Per system: clipped matches ``c1..c4``, totals ``t1..t4``, ``sys_len``, ``ref_len``.
+
+    Line files of unequal length are refused, as the original scorer does: a hypothesis
+    without reference, or a reference that a system has no hypothesis for, stops the job."""
     r = refs.select("line_no", tokenize_13a("text").alias("rt"))
     h = preds.select("system", "line_no", tokenize_13a("text").alias("ht"))
-    lines = h.join(r, "line_no", "inner")
+    lines = h.join(r, "line_no", "left")
+    n_refs = refs.select(F.count(F.lit(1))).scalar()
     grams = lines.select(
         "system", "line_no",
         F.explode(F.concat(
@@ -77,7 +81,12 @@ def bleu_stats(refs: DataFrame, preds: DataFrame) -> DataFrame:
         F.sum(F.size("ht")).cast("bigint").alias("sys_len"),
         F.sum(F.size("rt")).cast("bigint").alias("ref_len"),
         *[F.sum(F.greatest(F.size("ht") - n + 1, F.lit(0))).cast("bigint").alias(f"t{n}")
-          for n in range(1, MAX_ORDER + 1)])
+          for n in range(1, MAX_ORDER + 1)],
+        F.count_if(F.col("rt").isNotNull()).alias("__paired"), F.count(F.lit(1)).alias("__lines"))
+    unequal = (F.col("__paired") != F.col("__lines")) | (F.col("__paired") != n_refs)
+    said = F.concat(F.lit("hypotheses and references differ in length: "), "system")
+    lens = lens.withColumn("sys_len", F.when(unequal, F.raise_error(said).cast("bigint")).otherwise(
+        F.col("sys_len"))).drop("__paired", "__lines")
     return lens.join(clipped, "system", "left").fillna(0, subset=[f"c{n}" for n in range(1, MAX_ORDER + 1)])
 
 
@@ -126,8 +135,7 @@ def evaluation_report(scores: DataFrame, baseline: str = "baseline", tuned: str
             .select("system", "bleu", "delta", "sys_len", "ref_len"))
 
 
-def term_accuracy(sources: DataFrame, preds: DataFrame, term_map: DataFrame,
-                  broadcast_limit: int = 1_000) -> DataFrame:
+def term_accuracy(sources: DataFrame, preds: DataFrame, term_map: DataFrame) -> DataFrame:
     """AGG-4: for every (line, source term) with the source term contained in the source
     line (case-insensitive), whether the system's prediction contains the mapped target
     term (case-sensitive).  Returns per system ``n_pairs``, ``n_hits``, ``term_accuracy``.
@@ -136,9 +144,10 @@ def term_accuracy(sources: DataFrame, preds: DataFrame, term_map: DataFrame,
     ``term_map(src_term, tgt_term)``."""
     from termweave.operators.matching import contains_join
 
-    s = sources.select("line_no", F.lower("text").alias("src_l"), F.lit(1).alias("__k"))
-    tm = term_map.select(F.lower("src_term").alias("src_l_term"), "tgt_term", F.lit(1).alias("__k"))
-    hits = contains_join(s, tm, "src_l", "src_l_term", on=["__k"], broadcast_limit=broadcast_limit)
+    s = sources.select("line_no", F.lower("text").alias("src_l"))
+    tm = term_map.select(F.lower("src_term").alias("src_l_term"), "tgt_term")
+    # No language to join on: the anchor plan joins on grams, not every line with every term.
+    hits = contains_join(s, tm, "src_l", "src_l_term", strategy="anchor")
     pairs = hits.select("line_no", "tgt_term").join(
         preds.select("system", "line_no", F.col("text").alias("pred")), "line_no")
     return (pairs.groupBy("system").agg(

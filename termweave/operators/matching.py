@@ -9,13 +9,15 @@ Two exact plans:
 * **broadcast** — the term table is small (its row count is checked first): broadcast
   hash join on ``on`` with a ``contains`` residual.  No shuffle of the text side.
 * **anchor-gram** — large dictionaries: every term picks its rarest character trigram
-  (frequency estimated on a sample of the texts) as anchor; texts explode their
-  *distinct* trigrams and probe the anchor table with an equi-join on ``(on, gram)``;
-  candidates are verified with ``contains``.  A term contained in a text has all its
-  trigrams there, so no pair is lost whichever anchor was chosen.  The anchor table
-  (one row per term) is broadcast below a checked row count, otherwise hash-joined
-  (AQE splits skewed gram keys).  Terms shorter than three characters (a set bounded by
-  the alphabet, not by the data) stay on the broadcast path.
+  (frequency estimated on a hash sample of the texts) as anchor, a shorter term itself;
+  texts explode their *distinct* grams of those lengths and probe the anchor table with
+  an equi-join on ``(on, gram)``; candidates are verified with ``contains``.  A term
+  contained in a text has all its trigrams there, so no pair is lost whichever anchor
+  was chosen.  The anchor table (one row per term) is broadcast below a checked size,
+  otherwise hash-joined (AQE splits skewed gram keys).
+
+The right-hand keys are renamed before either join and dropped by name, so the texts and
+the terms may come from the same frame.
 """
 
 from __future__ import annotations
@@ -25,11 +27,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termweave.operators.parallel import BROADCAST_BYTES, fits
+
 # Measured crossover (sf0.1, best-sentence plan): broadcast wins at 500 terms, the anchor
 # join at 2,000; nested-loop work grows with terms x sentences, anchor work barely does.
 BROADCAST_TERM_LIMIT = 1_000
-ANCHOR_BROADCAST_ROWS = 2_000_000
 GRAM = 3
+SAMPLE_ONE_IN = 50
 
 
 def grams(c, n: int = GRAM):
@@ -41,59 +45,62 @@ def grams(c, n: int = GRAM):
     )
 
 
+def _right_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"__k_{c}") if c in on else F.col(c) for c in df.columns])
+
+
+def _same_keys(on: Sequence[str]) -> list:
+    return [F.col(k) == F.col(f"__k_{k}") for k in on]
+
+
 def _broadcast_join(texts: DataFrame, terms: DataFrame, text_col: str, term_col: str,
                     on: Sequence[str]) -> DataFrame:
-    cond = [texts[k] == terms[k] for k in on]
-    cond.append(F.contains(texts[text_col], terms[term_col]))
-    joined = texts.join(F.broadcast(terms), cond, "inner")
-    return joined.drop(*[terms[k] for k in on])
+    cond = [*_same_keys(on), F.contains(F.col(text_col), F.col(term_col))]
+    joined = texts.join(F.broadcast(_right_keys(terms, on)), cond, "inner")
+    return joined.drop(*[f"__k_{k}" for k in on])
 
 
 def _anchor_join(texts: DataFrame, terms: DataFrame, text_col: str, term_col: str,
-                 on: Sequence[str], sample_fraction: float = 0.02,
-                 broadcast_rows: int = ANCHOR_BROADCAST_ROWS, seed: int = 17) -> DataFrame:
+                 on: Sequence[str], sample_one_in: int = SAMPLE_ONE_IN,
+                 broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     on = list(on)
-    long_t = terms.where(F.length(term_col) >= GRAM)
-    short_t = terms.where(F.length(term_col) < GRAM)
-    term_grams = long_t.select(*on, term_col, F.explode(grams(term_col)).alias("gram")).distinct()
-    # Gram frequencies from a sample of the texts.  They only steer the choice of anchor
-    # (any trigram of a term is a correct anchor), so the result stays exact; a rare
-    # anchor keeps both the candidate count and the per-key skew low.
-    sample = texts.sample(fraction=sample_fraction, seed=seed).select(
+    distinct = terms.select(*on, term_col).distinct()
+    long_t = distinct.where(F.length(term_col) >= GRAM)
+    term_grams = long_t.select(*on, term_col, F.explode(grams(term_col)).alias("gram"))
+    # Gram frequencies from a sample of the texts, chosen by a hash of the text so that a
+    # recomputed partition chooses alike.  They only steer the choice of anchor (any
+    # trigram of a term is a correct anchor), so the result stays exact; a rare anchor
+    # keeps both the candidate count and the per-key skew low.
+    sample = texts.where(F.pmod(F.xxhash64(text_col), F.lit(sample_one_in)) == 0).select(
         *on, F.explode(grams(text_col)).alias("gram"))
     freq = (sample.join(term_grams.select(*on, "gram").distinct(), on + ["gram"], "left_semi")
             .groupBy(*on, "gram").agg(F.count(F.lit(1)).alias("__freq")))
     anchors = (term_grams.join(freq, on + ["gram"], "left")
                .groupBy(*on, term_col)
                .agg(F.min_by("gram", F.struct(F.coalesce("__freq", F.lit(0)), "gram")).alias("__anchor")))
-    anchored = long_t.join(anchors, on + [term_col]).persist()
-    n = anchored.count()  # one anchor row per term row: checked before broadcasting
-    side = F.broadcast(anchored) if n <= broadcast_rows else anchored
-    # Text trigrams as positions + substring (both inside whole-stage codegen); a gram is
-    # kept at its first occurrence only, so a (text, term) pair is produced once.
-    t = F.col(text_col)
-    x = (texts.select("*", F.explode(F.sequence(F.lit(1), F.greatest(F.length(t) - GRAM + 1, F.lit(1))))
-                      .alias("__p"))
-         .withColumn("__gram", F.substring(t, F.col("__p"), GRAM)))
-    cond = [x[k] == side[k] for k in on]
-    cond += [x["__gram"] == side["__anchor"], F.instr(x[text_col], x["__gram"]) == x["__p"],
-             F.contains(x[text_col], side[term_col])]
-    long_pairs = (x.join(side, cond, "inner").drop(*[side[k] for k in on])
-                  .drop("__gram", "__anchor", "__p"))
-    short_pairs = _broadcast_join(texts, short_t, text_col, term_col, on)
-    return long_pairs.unionByName(short_pairs.select(*long_pairs.columns))
+    short = distinct.where((F.length(term_col) < GRAM) & (F.col(term_col) != ""))
+    anchors = anchors.unionByName(short.withColumn("__anchor", F.col(term_col)))
+    anchored = terms.join(anchors, on + [term_col])
+    # Lengths of the anchors in use: at most GRAM numbers.
+    sizes = sorted(r[0] for r in terms.where(F.length(term_col) > 0)
+                   .select(F.least(F.length(term_col), F.lit(GRAM))).distinct().collect())
+    side = _right_keys(anchored, on)
+    if fits(anchored, broadcast_bytes):
+        side = F.broadcast(side)
+    every = F.concat(*[grams(text_col, n) for n in sizes]) if sizes else F.array().cast("array<string>")
+    x = texts.select("*", F.explode(every).alias("__gram"))
+    cond = [*_same_keys(on), F.col("__gram") == F.col("__anchor"), F.contains(F.col(text_col), F.col(term_col))]
+    return x.join(side, cond, "inner").drop(*[f"__k_{k}" for k in on], "__gram", "__anchor")
 
 
 def contains_join(texts: DataFrame, terms: DataFrame, text_col: str, term_col: str,
                   on: Sequence[str] = (), strategy: str = "auto",
                   broadcast_limit: int = BROADCAST_TERM_LIMIT) -> DataFrame:
     """Exact containment join; see module doc.  ``strategy`` is ``auto``, ``broadcast``
-    or ``anchor``.  ``auto`` counts the term rows once and broadcasts only below
-    ``broadcast_limit``."""
+    or ``anchor``.  ``auto`` measures the terms once and broadcasts only up to
+    ``broadcast_limit`` rows of ``BROADCAST_BYTES``."""
     if strategy == "auto":
-        # The size check materializes the (small) term table once; keep it for the join.
-        terms = terms.persist()
-        strategy = "broadcast" if terms.count() <= broadcast_limit else "anchor"
+        strategy = "broadcast" if fits(terms, BROADCAST_BYTES, broadcast_limit) else "anchor"
     if strategy == "broadcast":
         return _broadcast_join(texts, terms, text_col, term_col, list(on))
     if strategy == "anchor":

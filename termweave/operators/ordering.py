@@ -14,20 +14,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from termweave.session import scratch_path
+
 DEFAULT_BUCKET = 100_000
-MAX_BUCKETS = 100_000
+MAX_BUCKETS = 10_000
 
 
 def _bucket_column(df: DataFrame, key: str, bucket_size: int, max_buckets: int):
-    """Bucket expression for ``key``: fixed-width ranges when the key range allows at
-    most ``max_buckets`` of them (unique keys then put at most ``bucket_size`` rows in a
-    bucket); otherwise approximate-quantile ranges (sparse or clustered keys), which
-    keep every bucket near ``rows / max_buckets`` rows.  One small aggregation job."""
-    lo, hi = df.agg(F.min(key), F.max(key)).first()
+    """Bucket expression for ``key``: fixed-width ranges, widened so that there are at most
+    ``max_buckets``, when the keys fill their range at least by half (unique keys then put
+    about a bucket's width of rows in each); otherwise approximate-quantile ranges (sparse
+    or clustered keys), which keep every bucket near ``rows / max_buckets`` rows.  One
+    small aggregation job."""
+    lo, hi, n = df.agg(F.min(key), F.max(key), F.count(key)).first()
     if lo is None:
         return F.lit(0), df
-    if (hi - lo) // bucket_size + 1 <= max_buckets:
-        return F.floor((F.col(key) - F.lit(lo)) / F.lit(bucket_size)), df
+    width = max(bucket_size, (hi - lo) // max_buckets + 1)
+    if width == bucket_size or 2 * n >= hi - lo:
+        return F.floor((F.col(key) - F.lit(lo)) / F.lit(width)), df
     from pyspark.ml.feature import Bucketizer
 
     probs = [i / max_buckets for i in range(1, max_buckets)]
@@ -64,25 +68,41 @@ def prefix_sum(df: DataFrame, key: str, value, out: str,
     return res.drop("__bq") if "__bq" in res.columns else res
 
 
-def scan_positions(df: DataFrame, out: str = "row_no", start: int = 0) -> DataFrame:
-    """WIN-2 at ingest: the position of each row in scan order (split order, then order
-    within the split), without leaving the JVM.  Apply it directly to a file scan:
-    ``monotonically_increasing_id`` then encodes (split, position), so per-split row
-    counts (one row per input split, a bounded table) give each split's offset, and a
-    window partitioned by split numbers its rows.  The scan is deterministic, so the
-    two branches read the same ids.  For one file this is the line/row number; with
-    several files it follows Spark's split order."""
-    mid = "__mid"
-    split_col = "__split"
-    x = df.withColumn(mid, F.monotonically_increasing_id()).withColumn(
-        split_col, F.shiftright(F.col(mid), 33))
-    counts = x.groupBy(split_col).agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.select(split_col, F.coalesce(F.sum("__n").over(
-        Window.orderBy(split_col).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
-    w = Window.partitionBy(split_col).orderBy(mid)
-    return (x.join(F.broadcast(offsets), split_col)
+def scan_positions(df: DataFrame, out: str = "row_no", start: int = 0,
+                   path: str = "_metadata.file_path", block: str = "_metadata.file_block_start") -> DataFrame:
+    """WIN-2 at ingest: the position of each row in file order -- path, place in the file --
+    without leaving the JVM.  Apply it directly to a file scan: a split is known by its
+    file's path and the offset it starts at, and ``monotonically_increasing_id`` orders the
+    rows inside it.  Spark deals splits out by size, so part files of one folder come in
+    any order; the numbers follow the names.  Per-split row counts (one row per input
+    split) give each split's offset, and a window partitioned by split numbers its rows."""
+    mid, p, b = "__mid", "__path", "__block"
+    x = df.select("*", F.col(path).alias(p), F.col(block).alias(b)).withColumn(
+        mid, F.monotonically_increasing_id())
+    counts = x.groupBy(p, b).agg(F.count(F.lit(1)).alias("__n"))
+    offsets = counts.select(p, b, F.coalesce(F.sum("__n").over(
+        Window.orderBy(p, b).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
+    w = Window.partitionBy(p, b).orderBy(mid)
+    return (x.join(offsets, [p, b])
             .withColumn(out, F.col("__off") + F.row_number().over(w) - F.lit(1) + F.lit(start))
-            .drop(mid, split_col, "__off"))
+            .drop(mid, p, b, "__off"))
+
+
+def global_rank(df: DataFrame, order: list, out: str, start: int = 1) -> DataFrame:
+    """Dense position in any order without a single-task window: rows are range-partitioned,
+    sorted and written to the shared folder with their partition's number; the partitions'
+    counts (one row each) give offsets, and a window partitioned by that number finishes."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "rank")
+    (df.repartitionByRange(*order).sortWithinPartitions(*order)
+     .withColumn("__part", F.spark_partition_id()).write.parquet(path))
+    x = spark.read.parquet(path)
+    offsets = x.groupBy("__part").agg(F.count(F.lit(1)).alias("__n")).select(
+        "__part", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(
+            Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
+    place = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
+    return (x.join(F.broadcast(offsets), "__part")  # a row per partition
+            .withColumn(out, F.col("__off") + place + F.lit(start - 1)).drop("__part", "__off"))
 
 
 def dense_row_number(df: DataFrame, key: str, out: str = "row_no", start: int = 1,
@@ -94,8 +114,8 @@ def dense_row_number(df: DataFrame, key: str, out: str = "row_no", start: int =
 
 def first_rows(df: DataFrame, key: str, n: int) -> DataFrame:
     """LIM-1: the first ``n`` rows in ``key`` order (the testing-mode row cap of the
-    original).  Planned as a per-partition top-n plus a merge of n x partitions rows."""
-    return df.orderBy(key).limit(n)
+    original): a filter on the dense position, so no task merges them, however many."""
+    return dense_row_number(df, key, "__pos", start=0).where(F.col("__pos") < n).drop("__pos")
 
 
 def slice_rows(df: DataFrame, row_no: str, start: int = 0, end: int | None = None) -> DataFrame:

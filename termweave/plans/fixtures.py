@@ -14,9 +14,9 @@ from termweave.functions import text as T
 from termweave.operators.matching import contains_join
 from termweave.operators.ordering import dense_row_number
 from termweave.operators.parallel import spread
-from termweave.session import read_table
+from termweave.session import read_table, scratch_path
 
-TERM_LANGS = ("en", "fr")  # French stands in for the target language
+TERM_LANGS = ("en", "fr", "de", "es")  # French stands in for the target language
 N_TERMS = 50
 N_KEYWORDS = 19
 API_TIMEOUT = "LLM API error: timeout"
@@ -33,7 +33,7 @@ class Fixtures:
         return read_table(self.spark, self.sf_dir, name)
 
     def docs(self) -> DataFrame:
-        return spread(self.table("documents").select("doc_id", "lang", "text"), "doc_id")
+        return spread(self.table("documents").select("doc_id", "lang", "text"), "doc_id")  # a bare scan
 
     def pages(self) -> DataFrame:
         return spread(self.table("pages"), "page_id")
@@ -43,20 +43,26 @@ class Fixtures:
         """(lang, term, df, rk): letter tokens of length >= 5 ranked by document
         frequency per language.  ``row_number() <= k`` is planned as a partial
         WindowGroupLimit before the shuffle, so no task sees a whole vocabulary."""
+        w = Window.partitionBy("lang").orderBy(F.desc("df"), F.asc("term"))
+        return (self.document_frequencies().withColumn("rk", F.row_number().over(w))
+                .where(F.col("rk") <= max_rank))
+
+    def document_frequencies(self) -> DataFrame:
+        """(lang, term, df): letter tokens of length >= 5 and how many documents hold them."""
         toks = (self.docs().where(F.col("lang").isin(*TERM_LANGS))
                 .select("doc_id", "lang",
                         F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+", -1)))
                         .alias("term"))
                 .where(F.length("term") >= 5))
-        dfc = toks.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("df"))
-        w = Window.partitionBy("lang").orderBy(F.desc("df"), F.asc("term"))
-        return dfc.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= max_rank)
+        return toks.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("df"))
 
     def ranked(self) -> DataFrame:
         """The ranked vocabulary behind TERMS, KEYWORDS, PAIRS and LEXICON, computed once
         per query and kept: at most (N_TERMS + N_KEYWORDS) rows per language."""
         if self._ranked is None:
-            self._ranked = self.ranked_tokens().persist()
+            path = scratch_path(self.spark, "ranked")
+            self.ranked_tokens().write.parquet(path)
+            self._ranked = self.spark.read.parquet(path)
         return self._ranked
 
     def terms(self) -> DataFrame:
@@ -85,9 +91,8 @@ class Fixtures:
             "doc_id", T.split_sentences(T.clean_text("text")).alias("sents"))
         en = dense_row_number(en, "doc_id", "row_no", start=1)
         fr = docs.where(F.col("lang") == "fr").select(
-            "doc_id", F.coalesce(F.get(T.split_sentences(T.clean_text("text")), 0), F.lit(""))
-            .alias("first_fr"))
-        fr = dense_row_number(fr, "doc_id", "fr_no", start=0).select("fr_no", "first_fr")
+            "doc_id", T.clean_text("text").alias("fr_text"))
+        fr = dense_row_number(fr, "doc_id", "fr_no", start=0).select("fr_no", "fr_text")
         n_fr = fr.select(F.count(F.lit(1))).scalar()
         # PAIRS has at most N_TERMS rows, a fixed bound: broadcast is safe.
         x = (en.withColumn("term_id", F.lit(1) + F.col("doc_id") % N_TERMS)
@@ -106,7 +111,7 @@ class Fixtures:
             F.when(d % 19 == 0, F.lit("  ")).otherwise(F.col("vi_term")).alias("Vietnamese"),
             F.when(d % 5 == 0, F.concat(F.lit('"'), en_s, F.lit('"'))).otherwise(en_s)
             .alias("English Sentence"),
-            F.when(d % 23 == 0, F.lit("")).otherwise(F.coalesce("first_fr", F.lit("")))
+            F.when(d % 23 == 0, F.lit("")).otherwise(F.coalesce("fr_text", F.lit("")))
             .alias("Vietnamese Sentence"),
         )
 
@@ -246,7 +251,7 @@ class Fixtures:
         words = F.filter(F.split("text", T.JWS + "+", -1), lambda x: x != F.lit(""))
         return b.join(opts, "item_id", "left").select(
             F.concat(F.lit("q"), F.col("item_id").cast("string")).alias("id"),
-            F.array_join(F.slice(words, 1, 6), " ").alias("question"),
+            F.array_join(words, " ").alias("question"),
             "options",
             F.element_at(types, (F.col("item_id") % 4 + 1).cast("int")).alias("question_type"))
 
@@ -255,8 +260,8 @@ class Fixtures:
         q = self.questions().withColumn("item_id", F.substring("id", 2, 20).cast("bigint"))
         letter = F.element_at(F.array(*[F.lit(x) for x in "ABCD"]), (F.col("item_id") % 4 + 1).cast("int"))
         reason = F.concat(F.lit("Evidence supports "), F.coalesce(F.element_at("options", F.lit("A")), F.lit("")))
-        c = F.col("item_id") % 6
-        resp = (F.when(c == 0, F.concat(F.lit('{"selected_option": "'), letter, F.lit('", "reasoning": "'),
+        c = F.col("item_id") % 7
+        resp = (F.when(c == 6, F.lit(None).cast("string")).when(c == 0, F.concat(F.lit('{"selected_option": "'), letter, F.lit('", "reasoning": "'),
                                         reason, F.lit('"}')))
                 .when(c == 1, F.concat(F.lit('{"reasoning": "'), reason, F.lit('"}')))
                 .when(c == 2, reason)
@@ -266,10 +271,23 @@ class Fixtures:
         return q.select("id", resp.alias("response"))
 
     def snippets(self) -> DataFrame:
-        """Search snippets: first-query hits with the first sentence of their body."""
-        h = self.hits().where(F.col("query_rank") == 1)
-        first = F.coalesce(F.get(T.split_sentences(T.clean_text("body")), 0), F.lit(""))
-        return h.select("term", "lang", "result_rank", "url", first.alias("body"))
+        """Search snippets: the hits of all queries with their whole cleaned body, ordered by
+        result and then query."""
+        return self.hits().select("term", "lang", (3 * F.col("result_rank") + F.col("query_rank")).alias("result_rank"),
+                                  "url", T.clean_text("body").alias("body"))
+
+    def dictionary(self, least_df: int = 12) -> DataFrame:
+        """DICTIONARY(lang, term): letter tokens of length >= 5 in at least ``least_df``
+        documents; it grows with the data."""
+        return (self.document_frequencies().where(F.col("df") >= least_df).select("lang", "term"))
+
+    def provider_hits(self) -> DataFrame:
+        """PROVIDER_HITS(term, lang, provider, result_rank, title, body): HITS as answers of
+        three providers (its queries); some terms have none of the first, or of the first two."""
+        h = self.hits().withColumn("provider", F.col("query_rank"))
+        none = F.length("term") % 3
+        return (h.where(F.col("provider") > none)
+                .select("term", "lang", "provider", "result_rank", F.col("url").alias("title"), "body"))
 
     def page_hits(self) -> DataFrame:
         """PAGE_HITS(term, lang, query_rank, result_rank, url): result links that point at

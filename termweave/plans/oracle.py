@@ -112,7 +112,7 @@ SELECT lang, term, df, rk FROM (
          row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, term) AS rk
   FROM (SELECT DISTINCT doc_id, lang, t AS term
         FROM (SELECT doc_id, lang, unnest(string_split_regex(lower(text), '[^\\p{L}]+')) AS t
-              FROM d WHERE lang IN ('en', 'fr'))
+              FROM d WHERE lang IN ('en', 'fr', 'de', 'es'))
         WHERE length(t) >= 5)
   GROUP BY lang, term)
 WHERE rk <= 69""", "d")
@@ -144,6 +144,20 @@ SELECT doc_id, lang, term, pos::INTEGER AS pos, sentence, score FROM (
   FROM sent_scores WHERE n_words >= 8 AND score > 0)
 WHERE rn = 1""", "sent_scores")
 
+cte("dictionary", """
+SELECT lang, t AS term FROM (
+  SELECT DISTINCT doc_id, lang, t FROM (
+    SELECT doc_id, lang, unnest(string_split_regex(lower(text), '[^\\p{L}]+')) AS t FROM d) WHERE length(t) >= 5)
+GROUP BY lang, t HAVING count(*) >= 12""", "d")
+ORACLE["best_sentence_anchor"] = sql(f"""
+SELECT doc_id, lang, term, pos::INTEGER AS pos, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, term ORDER BY score DESC, pos) AS rn FROM (
+    SELECT s.doc_id, s.lang, s.pos, t.term, {score_sentence('s.sentence', 't.term', 'k.keywords')} AS score
+    FROM (SELECT *, lower(sentence) AS low FROM sents WHERE {word_count('sentence')} >= 8) s
+    JOIN dictionary t ON s.lang = t.lang AND contains(s.low, t.term) LEFT JOIN kw k ON k.lang = s.lang)
+  WHERE score > 0)
+WHERE rn = 1""", "sents", "dictionary", "kw")
+
 ORACLE["sentence_scores"] = sql("""
 SELECT doc_id, lang, pos::INTEGER AS pos, term, n_words, score FROM sent_scores""", "sent_scores")
 
@@ -182,7 +196,7 @@ SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS row_no,
 FROM d WHERE lang = 'en'""", "d")
 cte("fr_docs", f"""
 SELECT row_number() OVER (ORDER BY doc_id) - 1 AS fr_no,
-       coalesce(({split_sentences(clean_text('text'))})[1], '') AS first_fr
+       {clean_text('text')} AS fr_text
 FROM d WHERE lang = 'fr'""", "d")
 _EN_S = ("coalesce(list_filter(e.sents, lambda s: contains(lower(s), lower(p.en_term)))[1], "
          "e.sents[1], '')")
@@ -193,7 +207,7 @@ SELECT e.row_no,
   CASE WHEN e.doc_id % 17 = 0 THEN '' ELSE p.en_term END AS "English",
   CASE WHEN e.doc_id % 19 = 0 THEN '  ' ELSE p.vi_term END AS "Vietnamese",
   CASE WHEN e.doc_id % 5 = 0 THEN '"' || {_EN_S} || '"' ELSE {_EN_S} END AS "English Sentence",
-  CASE WHEN e.doc_id % 23 = 0 THEN '' ELSE coalesce(f.first_fr, '') END AS "Vietnamese Sentence"
+  CASE WHEN e.doc_id % 23 = 0 THEN '' ELSE coalesce(f.fr_text, '') END AS "Vietnamese Sentence"
 FROM en_docs e
 LEFT JOIN pairs p ON p.term_id = 1 + e.doc_id % 50
 LEFT JOIN fr_docs f ON f.fr_no = e.row_no % (SELECT count(*) FROM fr_docs)""",
@@ -435,7 +449,7 @@ FROM refs r FULL OUTER JOIN (SELECT * FROM preds WHERE system = 'baseline') p US
 cte("vocab", f"""
 SELECT token, n, (row_number() OVER (ORDER BY n DESC, token) + 1)::INTEGER AS id FROM (
   SELECT token, count(*) AS n FROM (SELECT unnest({tokens('text')}) AS token FROM d)
-  GROUP BY token ORDER BY n DESC, token LIMIT 32000)""", "d")
+  GROUP BY token)""", "d")
 cte("lexicon", """
 SELECT e.term AS src, f.term AS tgt FROM ranked e JOIN ranked f
 ON e.rk = f.rk AND e.lang = 'en' AND f.lang = 'fr'""", "ranked")
@@ -460,6 +474,30 @@ FROM d LEFT JOIN (
     SELECT doc_id, unnest(toks[1:512]) AS token, generate_subscripts(toks[1:512], 1) AS pos
     FROM (SELECT doc_id, {tokens('text')} AS toks FROM d)) tk
   LEFT JOIN vocab v USING (token) GROUP BY doc_id) e USING (doc_id)""", "d", "vocab")
+cte("pair_corpus", """
+SELECT row_no, src, tgt FROM pairs_ok
+WHERE src <> '' AND tgt <> '' AND row_no IN (SELECT row_no FROM accepted)""", "pairs_ok", "accepted")
+cte("pair_vocab", f"""
+SELECT token, (row_number() OVER (ORDER BY n DESC, token) + 1)::INTEGER AS id FROM (
+  SELECT token, count(*) AS n FROM (SELECT unnest({tokens('src')}) AS token FROM pair_corpus
+                                    UNION ALL SELECT unnest({tokens('tgt')}) FROM pair_corpus)
+  GROUP BY token)""", "pair_corpus")
+_SIDE = """
+  SELECT row_no, list(v.id ORDER BY pos) AS arr FROM (
+    SELECT row_no, unnest(toks[1:512]) AS token, generate_subscripts(toks[1:512], 1) AS pos
+    FROM (SELECT row_no, {} AS toks FROM pair_corpus)) JOIN pair_vocab v USING (token) GROUP BY row_no"""
+ORACLE["encode_pairs"] = sql(f"""
+SELECT row_no, list_resize(s.arr, 512, 0) AS input_ids, list_resize(t.arr, 512, 0) AS labels
+FROM ({_SIDE.format(tokens('src'))}) s JOIN ({_SIDE.format(tokens('tgt'))}) t USING (row_no)""", "pair_vocab")
+ORACLE["line_round_trip"] = f"""
+SELECT line_no, left_text, right_text,
+       CASE WHEN {strip('left_text')} = '' OR {strip('right_text')} = '' THEN 'blank' ELSE 'ok' END AS status
+FROM (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS line_no,
+             CASE WHEN doc_id % 11 = 0 THEN ' ' ELSE regexp_replace(text, '[\r\n]', ' ', 'g') END AS left_text,
+             CASE WHEN doc_id % 13 = 0 THEN '' ELSE lang || ' ' || doc_id::VARCHAR END AS right_text
+      FROM documents)"""
+ORACLE["translate_batches"] = """
+SELECT doc_id AS line_no, length(text)::VARCHAR || ':' || text AS text FROM documents"""
 ORACLE["lexicon_translate"] = sql(f"""
 SELECT r.line_no, coalesce(string_agg(coalesce(l.tgt, tk.token), ' ' ORDER BY tk.pos), '') AS text
 FROM refs r
@@ -607,8 +645,8 @@ FROM terms t JOIN (VALUES {_SFX}) s(l, query_rank, sfx)
 # -- evidence and answers --------------------------------------------------------------
 
 cte("snippets", f"""
-SELECT term, lang, result_rank, url, coalesce(({split_sentences(clean_text('body'))})[1], '') AS body
-FROM hits WHERE query_rank = 1""", "hits")
+SELECT term, lang, 3 * result_rank + query_rank AS result_rank, url, {clean_text('body')} AS body
+FROM hits""", "hits")
 cte("ascii_ev", f"""
 SELECT term, lang,
        CASE WHEN count(*) FILTER (WHERE keep) > 0
@@ -620,7 +658,7 @@ FROM (SELECT *, {ascii_share('body')} > 0.8 AS keep FROM (
 GROUP BY term, lang""", "snippets")
 cte("questions", f"""
 SELECT 'q' || b.item_id::VARCHAR AS id, b.item_id,
-       array_to_string(({tokens('b.text')})[1:6], ' ') AS question, o.options,
+       array_to_string({tokens('b.text')}, ' ') AS question, o.options,
        ['multi_choice', 'open_ended_multi_choice', 'open_ended', 'other'][b.item_id % 4 + 1] AS question_type
 FROM benchmark b LEFT JOIN (
   SELECT x.item_id, list({{'k': x.letter, 'v': t.term}} ORDER BY x.letter) AS options
@@ -629,7 +667,8 @@ FROM benchmark b LEFT JOIN (
   JOIN terms t ON t.lang = 'en' AND t.rk = (4 * x.item_id + x.k) % 50 + 1
   GROUP BY x.item_id) o USING (item_id)""", "terms")
 cte("answers_raw", """
-SELECT id, CASE item_id % 6
+SELECT id, CASE item_id % 7
+  WHEN 6 THEN NULL
   WHEN 0 THEN '{"selected_option": "' || letter || '", "reasoning": "' || reason || '"}'
   WHEN 1 THEN '{"reasoning": "' || reason || '"}'
   WHEN 2 THEN reason
@@ -659,10 +698,23 @@ _OPEN = "q.question_type = 'open_ended'"
 cte("answer_rows", f"""
 SELECT q.id, {_CHOICE} AS is_choice, {_OPEN} AS is_open,
        CASE WHEN p.is_object THEN p.selected_option ELSE '' END AS sel,
-       CASE WHEN p.is_object THEN p.reasoning ELSE coalesce(p.response, '') END AS rea,
-       ({_CHOICE} OR {_OPEN}) AND coalesce(p.valid, false) AND NOT coalesce(p.is_object, false) AS failed
+       CASE WHEN p.is_object THEN p.reasoning ELSE p.response END AS rea,
+       ({_CHOICE} OR {_OPEN}) AND coalesce(p.valid, false) AND NOT coalesce(p.is_object, false) AS failed,
+       ({_CHOICE} OR {_OPEN}) AND p.response IS NULL AS silent
 FROM questions q LEFT JOIN parsed_answers p USING (id)""", "questions", "parsed_answers")
 
+ORACLE["provider_evidence"] = sql(f"""
+SELECT t.term, t.lang, coalesce(e1, e2, e3, {q(K.NO_ENGLISH_EVIDENCE)}) AS evidence
+FROM terms t LEFT JOIN (
+  SELECT term, lang, string_agg(text, ' | ' ORDER BY result_rank) FILTER (WHERE provider = 1) AS e1,
+         string_agg(text, ' | ' ORDER BY result_rank) FILTER (WHERE provider = 2) AS e2,
+         string_agg(text, ' | ' ORDER BY result_rank) FILTER (WHERE provider = 3) AS e3
+  FROM (SELECT term, lang, provider, result_rank,
+               CASE WHEN provider = 1 THEN url || ': ' || body ELSE body END AS text
+        FROM (SELECT *, row_number() OVER (PARTITION BY term, lang, provider ORDER BY result_rank) AS n
+              FROM (SELECT *, query_rank AS provider FROM hits WHERE query_rank > length(term) % 3))
+        WHERE n <= CASE WHEN provider = 1 THEN 5 ELSE 3 END AND (provider <> 3 OR {ascii_share('body')} > 0.8))
+  GROUP BY term, lang) USING (term, lang)""", "hits", "terms")
 ORACLE["top_hits"] = sql("""
 SELECT term, lang, query_rank, result_rank, url FROM (
   SELECT *, row_number() OVER (PARTITION BY term, lang, query_rank ORDER BY result_rank) AS rn FROM hits)
@@ -713,7 +765,8 @@ SELECT id,
             WHEN is_open THEN CASE WHEN coalesce(sel, '') <> '' THEN sel ELSE 'A' END ELSE '' END AS choice
 FROM answer_rows WHERE NOT failed""", "answer_rows")
 ORACLE["answer_rejects"] = sql(
-    "SELECT id, 'response is not a JSON object' AS reason FROM answer_rows WHERE failed", "answer_rows")
+    "SELECT id, CASE WHEN failed THEN 'response is not a JSON object' ELSE 'no response' END AS reason "
+    "FROM answer_rows WHERE failed OR silent", "answer_rows")
 
 
 # -- incremental runs, batching and slices ------------------------------------------------

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from termweave.functions import text as T
 from termweave.functions import constants as K
-from termweave.operators import answering, corpus, evaluation, generation, mining, prompting
+from termweave.operators import answering, corpus, evaluation, generation, mining, ordering, prompting
 from termweave.operators.ordering import dense_row_number
+from termweave.session import scratch_path
+from termweave.sources import io
 from termweave.streaming import incremental
 from termweave.plans.fixtures import Fixtures
 
@@ -37,6 +39,14 @@ def sentence_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mining.sentence_scores(fx.docs(), fx.terms(), fx.keywords())
 
 
+@query
+def best_sentence_anchor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-6 over a dictionary that grows with the data: the anchor-gram plan of JOIN-1."""
+    fx = Fixtures(spark, sf_dir)
+    return mining.best_sentences(fx.docs(), fx.dictionary(), fx.keywords(), strategy="anchor").select(
+        "doc_id", "lang", "term", "pos", "score")
+
+
 @query
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixtures(spark, sf_dir)
@@ -52,14 +62,21 @@ def split_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- prompting -----------------------------------------------------------------
 
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """A frame that several branches read, written once to the shared folder."""
+    path = scratch_path(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _validated(fx: Fixtures) -> DataFrame:
-    return prompting.validation_reason(prompting.assign_index(fx.rows()))
+    return written(prompting.validation_reason(prompting.assign_index(fx.rows())), "validated")
 
 
 def _resolved(fx: Fixtures):
     v = _validated(fx)
     acc = prompting.accepted(v)
-    return v, acc, prompting.resolve_attempts(acc, fx.attempts(v))
+    return v, acc, written(prompting.resolve_attempts(acc, fx.attempts(v)), "resolved")
 
 
 @query
@@ -196,6 +213,36 @@ def encode_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.encode_fixed(docs, corpus.vocabulary(docs), "doc_id")
 
 
+@query
+def encode_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """UDF-4: input ids and labels of the pair corpus, over the vocabulary of both sides."""
+    fx = Fixtures(spark, sf_dir)
+    _, acc, res = _resolved(fx)
+    pairs = written(corpus.pair_corpus(prompting.results(res), keep=acc), "pairs")
+    both = pairs.select(F.col("src").alias("text")).unionByName(pairs.select(F.col("tgt").alias("text")))
+    return corpus.encode_pairs(pairs, corpus.vocabulary(both))
+
+
+@query
+def line_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-4/5, SRC-3, JOIN-2: aligned line files of many parts, written, read and zipped;
+    some lines are blank on either side."""
+    d = dense_row_number(Fixtures(spark, sf_dir).docs(), "doc_id", "row_no", start=0)
+    one_line = F.regexp_replace("text", "[\\r\\n]", " ")
+    pairs = d.select("row_no", F.when(F.col("doc_id") % 11 == 0, F.lit(" ")).otherwise(one_line).alias("src"),
+                     F.when(F.col("doc_id") % 13 == 0, F.lit("")).otherwise(
+                         F.concat_ws(" ", F.col("lang"), F.col("doc_id").cast("string"))).alias("tgt"))
+    src, tgt = io.write_pair_files(pairs, scratch_path(spark, "lines"), partitions=8)
+    return corpus.zip_lines(io.read_lines(spark, src), io.read_lines(spark, tgt))
+
+
+@query
+def translate_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """UDF-2 with a stand-in translator over all documents."""
+    docs = Fixtures(spark, sf_dir).docs().select(F.col("doc_id").alias("line_no"), "text")
+    return corpus.translate_batches(docs, lambda batch: [f"{len(x)}:{x}" for x in batch])
+
+
 @query
 def lexicon_translate(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixtures(spark, sf_dir)
@@ -273,6 +320,13 @@ def _evidence(fx: Fixtures) -> DataFrame:
     return answering.ascii_evidence(fx.snippets(), ["term", "lang"])
 
 
+def _option_evidence(fx: Fixtures, questions: DataFrame) -> DataFrame:
+    """(id, opt_key, evidence): what the chain gives for each option's search."""
+    ev = _evidence(fx).where(F.col("lang") == "en").select(F.col("term").alias("opt_val"), "evidence")
+    return answering.option_rows(questions).select("id", "opt_key", "opt_val").join(ev, "opt_val").select(
+        "id", "opt_key", "evidence")
+
+
 @query
 def top_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = answering.top_hits(Fixtures(spark, sf_dir).hits(), ["term", "lang"], K.SNIPPETS_PER_QUERY)
@@ -284,19 +338,26 @@ def ascii_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _evidence(Fixtures(spark, sf_dir))
 
 
+@query
+def provider_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The provider chain per search: five of the first, else three of the second, else three
+    of the third in English, else a fixed text."""
+    fx = Fixtures(spark, sf_dir)
+    return answering.provider_evidence(fx.terms(), fx.provider_hits(), ["term", "lang"])
+
+
 @query
 def evidence_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixtures(spark, sf_dir)
-    ev = _evidence(fx).where(F.col("lang") == "en").select(F.col("term").alias("opt_val"), "evidence")
-    return answering.evidence_map(fx.questions(), ev).select("id", "evidence_text")
+    q = fx.questions()
+    return answering.evidence_map(q, _option_evidence(fx, q)).select("id", "evidence_text")
 
 
 @query
 def answer_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixtures(spark, sf_dir)
     q = fx.questions()
-    ev = _evidence(fx).where(F.col("lang") == "en").select(F.col("term").alias("opt_val"), "evidence")
-    m = answering.evidence_map(q, ev)
+    m = answering.evidence_map(q, _option_evidence(fx, q))
     j = q.join(m, "id", "left")
     p = answering.answer_prompt(F.col("question"), F.col("options"), F.col("evidence_text"),
                                 F.col("question_type"))
@@ -343,9 +404,17 @@ def slice_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """LIM-1..3 as flags over every document in file (doc_id) order: head of 100,
     slice [100, 300), and everything after skipping 50."""
     d = dense_row_number(Fixtures(spark, sf_dir).docs().select("doc_id"), "doc_id", "row_no", start=0)
-    r = F.col("row_no")
-    return d.select("doc_id", "row_no", (r < 100).alias("in_head"),
-                    ((r >= 100) & (r < 300)).alias("in_slice"), (r >= 50).alias("after_skip"))
+
+    def flag(part, name):
+        return part.select("doc_id", F.lit(True).alias(name))
+
+    flags = [flag(ordering.first_rows(d, "doc_id", 100), "in_head"),
+             flag(ordering.slice_rows(d, "row_no", 100, 300), "in_slice"),
+             flag(ordering.slice_rows(d, "row_no", 50), "after_skip")]
+    for f in flags:
+        d = d.join(f, "doc_id", "left")
+    return d.select("doc_id", "row_no", *[F.coalesce(c, F.lit(False)).alias(c)
+                                          for c in ("in_head", "in_slice", "after_skip")])
 
 
 @query

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -44,17 +45,26 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Only when
-    neither is set -- local tests -- a folder is created under ``fallback`` (or a fresh
-    temporary folder) and registered, so ``DataFrame.checkpoint()`` works."""
+    neither is set and the master is local -- tests -- a folder is created under
+    ``fallback`` (or a fresh temporary folder) and registered.  On a cluster a machine's
+    own folder would lose data, so a missing setting is an error there."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if d:
         return d
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     d = fallback or tempfile.mkdtemp(prefix="termweave-ckpt-")
     os.makedirs(d, exist_ok=True)
     spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+def scratch_path(spark: SparkSession, tag: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/termweave/{tag}-{uuid.uuid4().hex}"
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 

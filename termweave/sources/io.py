@@ -52,12 +52,16 @@ def read_csv_rows(spark: SparkSession, path: str, columns: list[str] | None = No
                   row_no: bool = True) -> DataFrame:
     """SRC-1: ``csv.DictReader`` semantics: header row, every field a string, quoted
     newlines and doubled quotes, whitespace kept.  Missing trailing fields are null
-    (read them through ``coalesce(..., '')``)."""
-    r = spark.read.options(**CSV_READ_OPTIONS)
+    (read them through ``coalesce(..., '')``).  ``columns`` are taken by header name, in
+    that order; a name that the header lacks gives null."""
+    df = spark.read.options(**CSV_READ_OPTIONS).csv(path)
+    if row_no:
+        df = with_row_no(df)
     if columns:
-        r = r.schema(Tt.StructType([Tt.StructField(c, Tt.StringType()) for c in columns]))
-    df = r.csv(path)
-    return with_row_no(df) if row_no else df
+        here = set(df.columns)
+        df = df.select(*(["row_no"] if row_no else []),
+                       *[F.col(f"`{c}`") if c in here else F.lit(None).cast("string").alias(c) for c in columns])
+    return df
 
 
 def read_csv_pandas(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -81,12 +85,15 @@ def read_lines(spark: SparkSession, path: str, drop_blank: bool = False,
     blank line never shifts its neighbours.  ``compat=True`` reproduces the original:
     strip, drop blanks, *then* number (one blank line shifts every later pair, D6)."""
     from termweave.functions import text as T
+    from termweave.operators.ordering import scan_positions
 
-    raw = spark.read.text(path).withColumnRenamed("value", "text")
+    raw = spark.read.text(path)
     if compat:
-        kept = raw.withColumn("text", T.strip("text")).where(F.col("text") != "")
-        return with_row_no(kept, "line_no", 0)
-    df = with_row_no(raw, "line_no", 0)
+        raw = raw.select("*", F.col("_metadata.file_path").alias("__file"),
+                         F.col("_metadata.file_block_start").alias("__start"))
+        kept = raw.withColumn("text", T.strip("value")).where(F.col("text") != "")
+        return scan_positions(kept, "line_no", 0, "__file", "__start").select("line_no", "text")
+    df = with_row_no(raw, "line_no", 0).withColumnRenamed("value", "text")
     if drop_blank:
         df = df.withColumn("text", T.strip("text")).where(F.col("text") != "")
     return df
@@ -131,11 +138,12 @@ def write_lines(df: DataFrame, path: str, key: str = "line_no", text_col: str =
     d.sortWithinPartitions(key).select(text_col).write.mode("overwrite").text(path)
 
 
-def write_pair_files(pairs: DataFrame, path: str, key: str = "row_no") -> tuple[str, str]:
+def write_pair_files(pairs: DataFrame, path: str, key: str = "row_no",
+                     partitions: int | None = None) -> tuple[str, str]:
     """SNK-4: aligned source/target files from one frame (same order on both sides)."""
     src, tgt = f"{path}/train.src", f"{path}/train.tgt"
-    write_lines(pairs.select(key, F.col("src").alias("text")), src, key)
-    write_lines(pairs.select(key, F.col("tgt").alias("text")), tgt, key)
+    write_lines(pairs.select(key, F.col("src").alias("text")), src, key, partitions=partitions)
+    write_lines(pairs.select(key, F.col("tgt").alias("text")), tgt, key, partitions=partitions)
     return src, tgt
 
 

@@ -6,6 +6,7 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from termweave.functions import text as T
@@ -121,6 +122,86 @@ def test_generation_rounds_and_resolution(spark):
     assert res[1]["status"] == "success" and res[2]["status"] == "success"
 
 
+def test_generator_that_raises_is_a_failed_attempt(spark):
+    rows = spark.createDataFrame([(i, f"p{i}") for i in range(12)], "row_no bigint, p string")
+
+    def fn(prompts):
+        if "p3" in prompts:
+            raise RuntimeError("quota")
+        return [(x.upper(), "success") for x in prompts]
+
+    got = generation.generate(rows, fn, "p", batch_size=1, parallelism=3).collect()
+    assert sorted(r["row_no"] for r in got) == list(range(12))
+    by = {r["row_no"]: r for r in got}
+    assert by[3]["raw_response"] is None and by[3]["error"] == "LLM API error: quota"
+    assert by[4]["raw_response"] == "P4"
+
+
+def test_restarted_generation_reads_finished_rounds(spark):
+    rows = spark.createDataFrame([(1, "1", "fever", "sốt", "A fever came.", "Bị sốt.")],
+                                 "row_no bigint, index string, English string, Vietnamese string, "
+                                 "`English Sentence` string, `Vietnamese Sentence` string")
+    acc = prompting.accepted(prompting.validation_reason(prompting.assign_index(rows)))
+    path = os.path.join(_tmp(), "attempts")
+    first = generation.generate_with_retries(acc, generation.echo_generator, path=path).collect()
+
+    def never(prompts):
+        raise AssertionError("called again")
+
+    again = generation.generate_with_retries(acc, never, path=path).collect()
+    assert again == first and not any("called again" in (r["error"] or "") for r in again)
+
+
+def test_replayed_epoch_is_not_written_twice(spark):
+    sink = os.path.join(_tmp(), "sink")
+    df = spark.range(5)
+    for _ in range(2):
+        df.write.mode("overwrite").parquet(incremental.epoch_path(sink, 0))
+    df.write.mode("overwrite").parquet(incremental.epoch_path(sink, 1))
+    assert spark.read.parquet(sink).count() == 10
+
+
+def test_many_part_line_files_stay_aligned(spark):
+    pairs = spark.range(4000).selectExpr("id as row_no", "concat('s', id, repeat('x', int(id % 97))) src",
+                                         "concat('t', id) tgt").repartition(3)
+    src, tgt = io.write_pair_files(pairs, os.path.join(_tmp(), "pairs"), partitions=8)
+    z = corpus.zip_lines(io.read_lines(spark, src), io.read_lines(spark, tgt))
+    assert z.count() == 4000 and corpus.check_aligned(z) == {"ok": 4000}
+    wrong = z.where("regexp_extract(left_text, 's([0-9]+)', 1) <> substring(right_text, 2) "
+                    "or line_no <> bigint(substring(right_text, 2))")
+    assert wrong.isEmpty()
+    compat = io.read_lines(spark, tgt, compat=True).orderBy("line_no").collect()
+    assert [r["line_no"] for r in compat] == list(range(4000)) and compat[7]["text"] == "t7"
+
+
+def test_csv_columns_are_taken_by_name(spark):
+    src = os.path.join(_tmp(), "in.csv")
+    with open(src, "w", encoding="utf-8") as f:
+        f.write("POS,English,Vietnamese\nn,fever,sốt\n")
+    got = io.read_csv_rows(spark, src, ["Vietnamese", "English", "Other"]).collect()
+    assert [tuple(r) for r in got] == [(1, "sốt", "fever", None)]
+
+
+def test_no_machine_local_checkpoints_on_a_cluster():
+    from termweave.session import checkpoint_dir
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())
+
+
 def test_translate_batches_keeps_order(spark):
     lines = spark.createDataFrame([(i, f"w{i}") for i in range(20)], "line_no bigint, text string")
     out = corpus.translate_batches(lines, lambda b: [s.upper() for s in b], batch_size=8)
@@ -131,7 +212,7 @@ def test_answer_questions_end_to_end(spark):
     q = spark.createDataFrame([("q1", "stem", {"A": "fever", "B": "cough"}, "multi_choice"),
                                ("q2", "stem", {"A": "fever"}, "other")],
                               "id string, question string, options map<string,string>, question_type string")
-    ev = spark.createDataFrame([("fever", "hot body")], "opt_val string, evidence string")
+    ev = spark.createDataFrame([("q1", "A", "hot body")], "id string, opt_key string, evidence string")
     seen = []
 
     def fn(prompts):

@@ -6,9 +6,10 @@ from html.parser import HTMLParser
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from termweave.functions import constants as K
-from termweave.operators import answering, evaluation, matching, mining, ordering, prompting
+from termweave.operators import answering, corpus, evaluation, matching, mining, ordering, prompting
 from tests.conftest import MEDIUM
 
 
@@ -200,24 +201,68 @@ def test_dense_row_number_sparse_keys_use_quantile_buckets(spark):
     assert got == list(range(1, 301))
 
 
-def test_exact_json_path_agrees_and_handles_python_only_cases(spark):
-    q = spark.createDataFrame(
-        [("q1", "open_ended"), ("q2", "multi_choice"), ("q3", "multi_choice"), ("q4", "other"),
-         ("q5", "open_ended"), ("q6", "open_ended_multi_choice"), ("q7", "multi_choice"), ("q8", "open_ended")],
-        "id string, question_type string")
-    r = spark.createDataFrame(
-        [("q1", "plain text"), ("q2", "plain text"), ("q3", "[1]"), ("q4", "[1]"),
-         ("q5", '{"selected_option": null, "reasoning": "r"}'), ("q6", '{"selected_option": "B"} x'),
-         ("q7", '{"selected_option": "A", "selected_option": "C", "reasoning": "dup"}'),
-         ("q8", '{"reasoning": NaN}')],
-        "id string, response string")
-    native = {x["id"]: tuple(x) for x in answering.assemble_answers(q, r)[0].collect()}
-    exact = {x["id"]: tuple(x) for x in answering.assemble_answers(q, r, exact_json=True)[0].collect()}
-    for k in ("q1", "q2", "q4", "q5", "q6"):
-        assert native[k] == exact[k]
-    assert exact["q7"][1:] == ("C", "dup", "C")       # Python: last duplicate wins
-    assert native["q7"][1] == ""                       # native: rejected as JSON, raw-text fallback
-    assert exact["q8"][3] == "A" and exact["q8"][1] == "nan"
+def test_failed_calls_keep_null_reasoning_and_are_listed(spark):
+    q = spark.createDataFrame([("q1", "open_ended"), ("q2", "multi_choice"), ("q3", "other"), ("q4", "open_ended")],
+                              "id string, question_type string")
+    r = spark.createDataFrame([("q1", None, "LLM API error: busy"), ("q2", None, "LLM API error: busy"),
+                               ("q4", "text", "success")], "id string, response string, error string")
+    a, rej = answering.assemble_answers(q, r)
+    got = {x["id"]: (x["prediction"], x["reasoning"], x["choice"]) for x in a.collect()}
+    assert got == {"q1": (None, None, "A"), "q2": ("", None, ""), "q3": ("", K.UNSUPPORTED_REASONING, ""),
+                   "q4": ("text", "text", "A")}
+    assert sorted(tuple(x) for x in rej.collect()) == [("q1", "LLM API error: busy"), ("q2", "LLM API error: busy")]
+
+
+def test_provider_chain(spark):
+    keys = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "k string")
+    hits = spark.createDataFrame(
+        [("a", 1, i, f"t{i}", f"b{i}") for i in range(7)] + [("a", 2, 1, "x", "no")]
+        + [("b", 2, i, "t", f"é{i}") for i in range(5)] + [("b", 3, 1, "t", "no")]
+        + [("c", 3, 1, "t", "éé"), ("c", 3, 2, "t", "plain"), ("c", 3, 3, "t", "words"), ("c", 3, 4, "t", "late")],
+        "k string, provider int, result_rank int, title string, body string")
+    got = dict(answering.provider_evidence(keys, hits, ["k"]).collect())
+    assert got == {"a": "t0: b0 | t1: b1 | t2: b2 | t3: b3 | t4: b4", "b": "é0 | é1 | é2", "c": "plain | words",
+                   "d": K.NO_ENGLISH_EVIDENCE}
+    assert dict(answering.provider_evidence(keys, hits, ["k"], third_answers=False).collect())["d"] == K.NO_EVIDENCE
+
+
+def test_same_option_in_two_questions_has_its_own_evidence(spark):
+    q = spark.createDataFrame([("q1", "s", {"A": "fever"}), ("q2", "s", {"A": "fever"})],
+                              "id string, question string, options map<string,string>")
+    ev = spark.createDataFrame([("q1", "A", "one"), ("q2", "A", "two")], "id string, opt_key string, evidence string")
+    got = dict(answering.evidence_map(q, ev).select("id", "evidence_text").collect())
+    assert got == {"q1": "A: one", "q2": "A: two"}
+    by_text = answering.option_rows(q).select("query").distinct().withColumn("evidence", F.lit("same"))
+    got = dict(answering.evidence_map(q, by_text, on=("query",)).select("id", "evidence_text").collect())
+    assert got == {"q1": "A: same", "q2": "A: same"}
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "anchor"])
+def test_containment_join_of_two_sides_of_one_frame(spark, strategy):
+    df = spark.createDataFrame([("en", "a fever came"), ("en", "fever"), ("fr", "fever"), ("en", "ca"), ("en", "x")],
+                               "lang string, t string")
+    terms = df.select("lang", F.col("t").alias("term"))
+    got = matching.contains_join(df, terms, "t", "term", ["lang"], strategy=strategy)
+    assert sorted(tuple(r) for r in got.select("lang", "t", "term").collect()) == [
+        ("en", "a fever came", "a fever came"), ("en", "a fever came", "ca"), ("en", "a fever came", "fever"),
+        ("en", "ca", "ca"), ("en", "fever", "fever"), ("en", "x", "x"), ("fr", "fever", "fever")]
+
+
+def test_bleu_refuses_files_of_unequal_length(spark):
+    refs = spark.createDataFrame([(i, "a b c d e") for i in range(4)], "line_no long, text string")
+    preds = refs.withColumn("system", F.lit("s"))
+    assert evaluation.corpus_bleu(refs, preds).count() == 1
+    for bad in (preds.where("line_no < 2"), preds.union(preds.selectExpr("line_no + 9", "text", "system"))):
+        with pytest.raises(Exception, match="differ in length"):
+            evaluation.corpus_bleu(refs, bad).collect()
+
+
+def test_vocabulary_is_whole_and_ranked(spark):
+    r = spark.createDataFrame([(" ".join(f"t{j}" for j in range(i + 1)),) for i in range(60)], "text string")
+    got = [tuple(x) for x in corpus.vocabulary(r.repartition(5)).orderBy("id").collect()]
+    want = sorted(((60 - j, f"t{j}") for j in range(60)), key=lambda x: (-x[0], x[1]))
+    assert got == [(t, n, K.FIRST_TOKEN_ID + i) for i, (n, t) in enumerate(want)]
+    assert corpus.vocabulary(r, vocab_size=7).count() == 7
 
 
 def test_pending_rows_for_resume(spark):

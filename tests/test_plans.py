@@ -4,25 +4,25 @@ reaches the scan."""
 
 import pytest
 
-import __spark_entry__ as E
+from termweave.plans.queries import QUERIES
 from tests.conftest import SMALL
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
-PYTHON_OK = {"generate_batches"}
+PYTHON_OK = {"generate_batches", "translate_batches"}
 
 
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - PYTHON_OK - {"incremental_mine"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - PYTHON_OK - {"incremental_mine"}))
 def test_no_python_in_native_queries(spark, name):
-    plan = _plan(E.queries()[name](spark, SMALL))
+    plan = _plan(QUERIES[name](spark, SMALL))
     assert not any(n in plan for n in PYTHON_NODES), name
 
 
 def test_flagship_uses_broadcast_containment_join(spark):
-    plan = _plan(E.queries()["best_sentence"](spark, SMALL))
+    plan = _plan(QUERIES["best_sentence"](spark, SMALL))
     assert "BroadcastHashJoin" in plan and "Contains" in plan
 
 
@@ -36,10 +36,10 @@ def test_documents_scan_is_pruned(spark):
 def test_ranked_tokens_use_window_group_limit(spark):
     from termweave.plans.fixtures import Fixtures
 
-    plan = _plan(Fixtures(spark, SMALL).terms())
+    plan = _plan(Fixtures(spark, SMALL).ranked_tokens())
     assert "WindowGroupLimit" in plan
 
 
 def test_enrichment_takes_first_links_with_window_group_limit(spark):
-    plan = _plan(E.queries()["enrich_terms"](spark, SMALL))
+    plan = _plan(QUERIES["enrich_terms"](spark, SMALL))
     assert "WindowGroupLimit" in plan
