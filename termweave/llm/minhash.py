@@ -9,11 +9,13 @@ and is posted under its coordinate-value pairs:
 * the rest are ordered from rare to frequent, and only the prefix is posted that two documents
   with ``matches`` collisions must meet in; the other coordinates, which have the long lists,
   are never merged: collisions there are counted by looking at the two signatures;
-* members of a list are compared by their signatures, in groups of a bounded size.  In a few
-  rounds every document proposes its best partners outside its component, those are confirmed,
-  and components grow; what then still meets in a list across components, and collides often
-  enough, is confirmed in full.  Pairs inside a component need no comparison, so that a large
-  group of near copies costs little more than its size.
+* members of a list are compared in groups of a bounded size, by signature and then by how
+  often each of 512 buckets holds one of their shingles: the sum of the smaller counts is never
+  less than the intersection, so that a pair it rules out cannot be similar enough.  In a few
+  rounds, over the longest lists of its prefix, every document proposes its best partner outside
+  its component, those are confirmed, and components grow; what then still meets in any list
+  across components, and is not ruled out, is confirmed in full.  Pairs inside a component need
+  no comparison, so that a large group of near copies costs little more than its size.
 
 Pairs above the match threshold are confirmed on the full shingle sets.  Components of the
 confirmed links give the result.  With 32 coordinates and 16 matches, a pair at similarity 0.8
@@ -38,7 +40,9 @@ SHINGLE = 5
 COORDINATES = 32
 MATCHES = 16
 PERCENT = 80
-ROUNDS = (1, 4)  # partners that a document proposes in each round
+ROUNDS = 2  # of proposing the best partner
+LONGEST = 3  # lists of a document's prefix that these rounds look at
+BUCKETS = 512
 CHUNK = 1024  # members of a list that are compared at a time
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -86,6 +90,20 @@ def signature(shingles: np.ndarray, salts: np.ndarray, step: int = 8192) -> np.n
     return low ^ salts
 
 
+def counts(mixed: np.ndarray) -> np.ndarray:
+    """How many shingles fall into each bucket, 255 standing for that many or more."""
+    return np.minimum(np.bincount((mixed >> np.uint64(40)).astype(np.int64) % BUCKETS, minlength=BUCKETS),
+                      255).astype(np.uint8)
+
+
+def not_ruled_out(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int):
+    """(bound, possible) row by row: the most shingles that two documents can share, and whether
+    that is enough.  Full buckets on both sides bound nothing."""
+    most = np.minimum(a, b).sum(1, dtype=np.int64)
+    most = np.where(((a == 255) & (b == 255)).any(1), np.minimum(na, nb), most)
+    return most, 100 * most >= percent * (na + nb - most)
+
+
 def _features(width, coordinates):
     def start():
         shingler = Shingler(width)
@@ -100,8 +118,9 @@ def _features(width, coordinates):
                     "f2": pa.array(np.array([np.bitwise_xor.reduce(s * _MIX2) if len(s) else 0
                                              for s in mixed], np.uint64).view(np.int64)),
                     "sig": [x.view(np.int64) if x is not None else None for x in sigs],
-                    # What signatures are compared by: 16 bits of each coordinate.
-                    "code": [x.astype(np.uint16).tobytes() if x is not None else None for x in sigs]}
+                    # What members are compared by: 16 bits of each coordinate, counts by bucket.
+                    "code": [x.astype(np.uint16).tobytes() + counts(s).tobytes() if x is not None else None
+                             for x, s in zip(sigs, mixed, strict=True)]}
         return fn
     return start
 
@@ -123,14 +142,16 @@ def shingle_sets(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
 
 
 def prefix_posts(reps: DataFrame, matches: int) -> DataFrame:
-    """(rep, key): the coordinate values under which a representative is posted."""
+    """(rep, place, key): the coordinate values under which a representative is posted, the
+    longest list at place 0."""
     posts = reps.select("rep", F.explode("sig").alias("key"))
     shared = staged(posts.groupBy("key").agg(F.count("*").alias("n")).where("n >= 2"), "shared")
     mine = (posts.join(shared, "key").groupBy("rep")
             .agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("keys"))
             .where(F.size("keys") >= matches))
-    return mine.select("rep", F.explode(F.slice("keys", F.lit(1), F.size("keys") - (matches - 1))).alias("k")).select(
-        "rep", F.col("k.key").alias("key"))
+    prefix = F.reverse(F.slice("keys", F.lit(1), F.size("keys") - (matches - 1)))
+    return mine.select("rep", F.posexplode(prefix).alias("place", "k")).select(
+        "rep", "place", F.col("k.key").alias("key"))
 
 
 def _only(docs: DataFrame, ids: DataFrame, bits: int = 23) -> DataFrame:
@@ -151,15 +172,16 @@ def _only(docs: DataFrame, ids: DataFrame, bits: int = 23) -> DataFrame:
     return maybe.join(ids, "doc_id", "left_semi")
 
 
-def compare_groups(rows: DataFrame, matches: int, percent: int, best: int | None) -> DataFrame:
+def compare_groups(rows: DataFrame, matches: int, percent: int, coordinates: int, best: bool) -> DataFrame:
     """(x, y, m): pairs of a group (key, h, v) in different parts that collide in at least
-    ``matches`` coordinates and are similar in size; per x the ``best`` ones, or all.
+    ``matches`` coordinates and that sizes and bucket counts do not rule out; per x the best
+    one, by the similarity that the counts allow (m, in millionths), or all.
 
     ``rows``: key, h, v, side (the row's chunk), rep, part, n_shingles, code, tried."""
     kind = rows.schema["rep"].dataType.simpleString()
     names = ["side", "rep", "part", "n_shingles"]
 
-    def pairs(side, rep, part, size, code, tried, crossing):
+    def pairs(side, rep, part, size, code, buckets, tried, crossing):
         g = len(rep)
         m = np.zeros((g, g), np.uint8)
         for i in range(code.shape[1]):
@@ -173,15 +195,24 @@ def compare_groups(rows: DataFrame, matches: int, percent: int, best: int | None
             for y in t or ():
                 if y in where:
                     ok[i, where[y]] = False
-        if best is None:
-            x, y = np.nonzero(np.triu(ok))
-            return rep[x], rep[y], m[x, y]
-        x, y = np.nonzero(ok)
-        order = np.lexsort((rep[y], -m[x, y].astype(int), x))
-        x, y = x[order], y[order]
-        nth = np.arange(len(x)) - np.concatenate([[0], np.cumsum(np.bincount(x, minlength=g))])[x]
-        x, y = x[nth < best], y[nth < best]
-        return rep[x], rep[y], m[x, y]
+        x, y = np.nonzero(np.triu(ok | ok.T if best else ok & ok.T))
+        kept, scores = [], []
+        for s in range(0, len(x), 16_384):
+            i, j = x[s:s + 16_384], y[s:s + 16_384]
+            most, may = not_ruled_out(buckets[i], buckets[j], size[i], size[j], percent)
+            kept.append(np.stack([i[may], j[may]]))
+            scores.append((1_000_000 * most // (size[i] + size[j] - most))[may])
+        if not kept:
+            return rep[:0], rep[:0], size[:0]
+        (x, y), m = np.concatenate(kept, 1), np.concatenate(scores)
+        if not best:
+            return rep[x], rep[y], m
+        x, y, m = np.concatenate([x, y]), np.concatenate([y, x]), np.concatenate([m, m])
+        mine = ok[x, y]
+        x, y, m = x[mine], y[mine], m[mine]
+        order = np.lexsort((rep[y], -m, x))
+        first = order[np.concatenate([[True], x[order][1:] != x[order][:-1]])] if len(x) else order
+        return rep[x[first]], rep[y[first]], m[first]
 
     def run(batches):
         held = None
@@ -197,13 +228,15 @@ def compare_groups(rows: DataFrame, matches: int, percent: int, best: int | None
             cuts = np.concatenate([[0], cuts, [held.num_rows]])
             done = len(cuts) - 1 if batch is None else len(cuts) - 2  # the last group may go on
             cols = [held[c].to_numpy() for c in names]
-            code = np.frombuffer(b"".join(held["code"].to_pylist()), np.uint16).reshape(held.num_rows, -1)
+            both = np.frombuffer(b"".join(held["code"].to_pylist()), np.uint8).reshape(held.num_rows, -1)
+            code = np.ascontiguousarray(both[:, :2 * coordinates]).view(np.uint16)
+            buckets = both[:, 2 * coordinates:]
             tried = held["tried"].to_pylist()
             out = [[], [], []]
             for k in range(done):
                 s, e = cuts[k], cuts[k + 1]
                 if e - s > 1:
-                    for o, c in zip(out, pairs(*(c[s:e] for c in cols), code[s:e], tried[s:e],
+                    for o, c in zip(out, pairs(*(c[s:e] for c in cols), code[s:e], buckets[s:e], tried[s:e],
                                                g[1, s] != g[2, s]), strict=True):
                         o.append(c)
             held = held.slice(cuts[done])
@@ -243,7 +276,7 @@ def _merged(parts: DataFrame, links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     width: int = SHINGLE, coordinates: int = COORDINATES, matches: int = MATCHES,
-                    percent: int = PERCENT, rounds: tuple = ROUNDS, chunk: int = CHUNK) -> DataFrame:
+                    percent: int = PERCENT, rounds: int = ROUNDS, chunk: int = CHUNK) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per input row."""
     docs = id_text(docs, id_col, text_col)
     feats = staged(features(docs, width, coordinates), "minhash")
@@ -258,8 +291,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = posts.join(reps.select("rep", "n_shingles", "code"), "rep")
     parts = reps.select(F.col("rep").alias("node")).distinct().withColumn("component", F.col("node"))
     tried = None  # (x, y): what x has proposed, confirmed or not
-    for turn, best in enumerate([*rounds, None]):
-        rows = members.join(parts, F.col("rep") == F.col("node")).select(
+    for turn in range(rounds + 1):
+        best = turn < rounds
+        rows = (members.where(F.col("place") < LONGEST) if best else members).join(parts, F.col("rep") == F.col("node")).select(
             "key", "rep", F.col("component").alias("part"), "n_shingles", "code")
         if tried is None:
             rows = rows.withColumn("tried", F.array().cast(f"array<{reps.schema['rep'].dataType.simpleString()}>"))
@@ -272,24 +306,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .where("lo <> hi").select("key", F.ceil(F.col("n") / chunk).alias("chunks")), "lists")
         rows = rows.join(lists, "key").withColumn(
             "side", F.pmod(F.xxhash64("rep", F.lit(turn)), F.col("chunks")))
-        if best is None:  # every chunk of a list against every other
+        if not best:  # every chunk of a list against every other
             rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
         else:  # every chunk in itself: few comparisons that join most
             rows = rows.withColumn("other", F.col("side"))
         rows = rows.withColumn("h", F.least("side", "other")).withColumn("v", F.greatest("side", "other"))
-        found = staged(compare_groups(rows, matches, percent, best), "found")
-        if best is None:
+        found = staged(compare_groups(rows, matches, percent, coordinates, best), "found")
+        if not best:
             found = found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
             if tried is not None:
                 found = found.join(tried.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(),
                                    ["x", "y"], "left_anti")
         else:
-            top = F.slice(F.array_sort(F.collect_set(F.struct((-F.col("m")).alias("m"), "y"))), 1, best)
-            found = found.groupBy("x").agg(top.alias("top")).select("x", F.explode("top.y").alias("y"))
+            found = found.groupBy("x").agg(F.max_by("y", F.struct("m", "y")).alias("y"))
         found = staged(found, "proposed")
         if found.isEmpty():
-            if best is not None and turn == 0 and lists.where("chunks > 1").isEmpty():
-                break  # all lists were compared in full
             continue
         tried = found if tried is None else staged(tried.unionByName(found), "tried")
         links = _confirm(found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(),
