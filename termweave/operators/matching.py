@@ -39,10 +39,9 @@ SAMPLE_ONE_IN = 50
 def grams(c, n: int = GRAM):
     """Distinct character n-grams of a string column (empty for shorter strings)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.array_distinct(
-        F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - n + 1, F.lit(0))),
-                    lambda i: F.substring(c, i, n))
-    )
+    return F.when(F.length(c) < n, F.array().cast("array<string>")).otherwise(F.array_distinct(
+        F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - n + 1, F.lit(1))),
+                    lambda i: F.substring(c, i, n))))
 
 
 def _right_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
