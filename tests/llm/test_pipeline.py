@@ -1,5 +1,6 @@
 """The pipeline against its stages put together by hand, and on odd rows."""
 
+import random
 import sys
 
 import pytest
@@ -51,12 +52,19 @@ def test_run_equals_single_operators(spark):
     assert total == {i: len(x) for i, x in ids.items()}
 
 
+def prose(seed):
+    r = random.Random(seed)
+    return " ".join("".join(r.choice(["the", "on", "er", "ing", "at", "is", "ou", "me", "ra", "lo", "du", "pi",
+                                          "sk", "ve", "no", "ch", "wh", "ay"])
+                            for _ in range(r.randint(1, 4))) for _ in range(80))
+
+
 @pytest.mark.parametrize("empty", [False, True])
 def test_stages_on_odd_rows(spark, empty):
-    words = " ".join(f"word{i} stands here" for i in range(30))
+    words = prose(1)
     rows = [(1, words, None, "s", 5), (1, words, None, "s", 5), (2, words, "en", None, None),
             (None, words + " more of it", "en", "s", 1), (3, None, "en", "s", 0), (4, "", "en", "s", 0),
-            (5, " ".join(f"other{i} password=0123456789abcdefX" for i in range(25)), "en", "s", 9)]
+            (5, prose(2) + " password=0123456789abcdefX and " + prose(3), "en", "s", 9)]
     docs = spark.createDataFrame([] if empty else rows,
                                  "doc_id long, text string, lang string, source string, n_chars long")
     docs = docs.selectExpr("*", "1 as score", "2 as kept", "3 as row", "4 as spans")

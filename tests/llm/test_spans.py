@@ -92,7 +92,7 @@ def test_random_tokens_are_discovered(spark):
     alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
     secrets = ["".join(r.choice(alphabet) for _ in range(44)) for _ in range(20)]
     plain = [f"chapter-{i}-of-the-long-story-about-nothing-much-at-all" for i in range(20)]
-    plain += ["a1" * 25, "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa1"]
+    plain += ["x1" * 25, "x" * 40 + "1", "img-20240101-front-page-headline-picture", "src/main/java/org/example/HelloWorld2"]
     df = spark.createDataFrame([(i, f"so {t} it is") for i, t in enumerate(secrets + plain)], "doc_id long, text string")
     got = {r["doc_id"] for r in secret_scan.secrets(df).where(F.size("spans") > 0).collect()}
     assert not any(i >= len(secrets) for i in got)
@@ -105,7 +105,7 @@ def test_redaction_covers_overlaps(spark):
     df = spark.createDataFrame([("ab𝒳cdefgh",), ("",)], "text string")
     spans = F.when(F.col("text") == "", F.array().cast("array<struct<start:int,end:int>>")).otherwise(
         F.array(*[F.struct(F.lit(a).alias("start"), F.lit(b).alias("end")) for a, b in ((3, 5), (1, 2), (4, 6), (3, 4))]))
-    assert [x[0] for x in df.select(native_spans.replaced(F.col("text"), spans, "#")).collect()] == ["a#𝒳#gh", ""]
+    assert [x[0] for x in df.select(native_spans.replaced(F.col("text"), spans, "#")).collect()] == ["a#𝒳#fgh", ""]
 
 
 def test_em_finds_the_reliable_labelers(spark):

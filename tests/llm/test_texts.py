@@ -46,8 +46,8 @@ def test_quality_counts(spark):
 
 def test_quality_verdicts(spark):
     r = random.Random(9)
-    prose = " ".join("".join(r.choice(["the", "on", "er", "ing", "at", "is"]) for _ in range(r.randint(1, 4)))
-                     for _ in range(900))
+    syllables = ["the", "on", "er", "ing", "at", "is", "ou", "me", "ra", "lo", "du", "pi", "sk", "ve", "no", "ch", "wh", "ay"]
+    prose = " ".join("".join(r.choice(syllables) for _ in range(r.randint(1, 4))) for _ in range(900))
     noise = " ".join("".join(chr(r.randint(0x4E00, 0x9FFF)) for _ in range(8)) for _ in range(300))
     noisy = " ".join("".join(chr(r.randint(33, 126)) for _ in range(40)) for _ in range(200))
     repeated = " ".join(f"line {i % 7}{'x' * (i % 5)} of the same old story told again" for i in range(300))
