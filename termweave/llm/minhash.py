@@ -154,9 +154,10 @@ def prefix_posts(reps: DataFrame, matches: int) -> DataFrame:
         "rep", "place", F.col("k.key").alias("key"))
 
 
-def _only(docs: DataFrame, ids: DataFrame, bits: int = 23) -> DataFrame:
-    """Rows of ``docs`` whose id is in ``ids``.  A bitmap of id hashes, a megabyte whatever the
-    number of ids, drops most other rows before the exact join."""
+def _only(docs: DataFrame, ids: DataFrame, bits: int = 20) -> DataFrame:
+    """Rows of ``docs`` whose id is in ``ids``.  A bitmap of id hashes, 128 KB whatever the number
+    of ids, drops other rows before the exact join; with very many ids it drops few, and the
+    join does the work."""
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits))
     n = place("doc_id") + 1  # positions of the bitmap functions count from 1
     parts = (ids.select(n.alias("n")).groupBy(F.bitmap_bucket_number("n").alias("part"))
