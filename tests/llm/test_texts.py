@@ -205,3 +205,32 @@ def test_tokens_are_those_of_the_json_file():
     encode = packing.encoder(public.path("byte_bpe_50k.json"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN)
     texts = ["", "it's  12 o'clock\n\n  <|endoftext|> é 𝒳", " \t x", "a" * 5000, "\0\x85  y"]
     assert [encode(t) + [1] for t in texts] == [x.tolist() for x in ids_of(texts)]
+
+
+def test_special_strings_have_their_id(spark, monkeypatch):
+    """The ids of the plain call of ``tokenizers``, in the query and in the encoder's fallback."""
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+    plain = lambda x: t.encode(x, add_special_tokens=False).ids
+    texts = ["before <|endoftext|> after", "<|endoftext|>", "a<|endoftext|><|endoftext|>\n\n b", "x  \n <|endoftext|>  y",
+             "it's  <|endoftext|>'s é<|endoftext|>𝒳", "<|endoftext|", "< |endoftext|>", "<|endoftext|> " * 400, ""]
+    assert plain(texts[0]) == [19052, 220, 50256, 706]
+    paths = public.path("byte_bpe_50k.json"), public.path("byte_bpe_50k.tiktoken")
+    assert [packing.encoder(*paths, public.PATTERN, special=True)(x) for x in texts] == [plain(x) for x in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    rows = defaultdict(list)
+    for r in queries.pack_documents(df).collect():
+        rows[r["doc_id"]].append(r)
+    for i, x in enumerate(texts):
+        ids = np.array([*plain(x), 1], "<u4")
+        assert sum(r["length"] for r in rows[i]) == len(ids) == rows[i][0]["doc_tokens"]
+        for r in rows[i]:
+            assert crc32(ids[r["start"]:r["start"] + r["length"]].tobytes()) == r["ids_crc32"]
+    import tiktoken
+
+    def gives_up(*_, **__):
+        raise ValueError("stack overflow")
+
+    monkeypatch.setattr(tiktoken.Encoding, "encode", gives_up)
+    assert packing.encoder(*paths, public.PATTERN, special=True)(texts[0]) == plain(texts[0])
