@@ -5,6 +5,11 @@ text that it hardly shrinks is noise.  Each document is compressed whole, and ag
 chunks, so that a repetitive stretch inside a long clean text is seen as well.  Ratios are
 held against bands that depend on the length, because short inputs compress less.
 
+What is compressed is not UTF-8, which spends two to four bytes on a letter of most scripts and so
+compresses better the farther a script is from ASCII, but a form of about one byte a letter (see
+``units``); lengths, chunks and bands count its bytes.  The last chunk may be short and is held
+against the band of its own length.
+
 Defined results: null and empty text have no words (``base_failed``); a text shorter than two
 chunks is judged by its whole-document band only; repeated rows give repeated results.
 """
@@ -13,13 +18,14 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
+from collections import Counter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termweave.llm.common import WORD_SPACE, id_text, map_texts
 
-# Fixed values: (least UTF-8 bytes, lowest ratio, highest ratio) of zstandard level 3.
+# Fixed values: (least units, lowest ratio, highest ratio) of zstandard level 3.
 # Highest ratios lie about a tenth above what clean labelled prose of that length reaches,
 # lowest ones well below it.
 BANDS = [
@@ -37,7 +43,7 @@ BANDS = [
     (131072, 1.30, 3.20),
 ]
 CHUNK_BYTES = 1024
-MAX_BAD_CHUNKS = 0.25
+MAX_BAD_CHUNKS = 0.25  # as a share of the text's units
 LEVEL = 3
 
 MIN_WORDS = 20
@@ -46,7 +52,36 @@ MAX_REPEAT_PERCENT = 30
 _SYMBOLS = "#*$%&|<>"
 
 SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-          "n_bytes long, ratio double, n_chunks long, n_low_chunks long, n_high_chunks long")
+          "n_bytes long, n_units long, ratio double, n_chunks long, n_low_chunks long, n_high_chunks long, "
+          "low_units long, high_units long")
+
+# Han signs carry as much as a short word, Hangul syllables two or three letters.
+_HAN = re.compile("[\u2e80-\u303f\u3100-\u31ef\u3200-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+_HANGUL = re.compile("[\uac00-\ud7a3]")
+_ASCII = {i: i for i in range(128)}
+_SINGLE = 112
+
+
+def units(text: str) -> bytes:
+    """The text in about as many bytes as it has letters, whatever its script.
+
+    ASCII stands for itself.  Other characters are numbered by how often the text has them: letters
+    and signs of short syllabaries take one byte (the rarest of more than 112 two), Hangul syllables
+    two, and Han signs keep the three or four bytes of UTF-8."""
+    if text.isascii():
+        return text.encode()
+    n = Counter(text)
+    table, single, double = dict(_ASCII), 0, 0
+    for c in sorted((c for c in n if c >= "\x80"), key=lambda c: (-n[c], c)):
+        if _HAN.match(c):
+            table[ord(c)] = c.encode().decode("latin-1")
+        elif single < _SINGLE and not _HANGUL.match(c):
+            table[ord(c)] = 0x80 + single
+            single += 1
+        else:
+            table[ord(c)] = chr(0xF0 + double // 256 % 16) + chr(double % 256)
+            double += 1
+    return text.translate(table).encode("latin-1")
 
 
 def repeat_words(words: list, window: int = REPEAT_WINDOW) -> int:
@@ -87,7 +122,22 @@ def _prepare(bands, chunk_bytes, level):
 
         z = zstandard.ZstdCompressor(level=level, write_content_size=True)
         floors = [b[0] for b in bands]
-        chunk_low, chunk_high = bands[bisect_right(floors, chunk_bytes) - 1][1:]
+        limits = [b[1:] for b in bands]
+
+        def chunks(u):
+            """Chunks of ``u``, those below and above their band, and the units in these."""
+            got = [0] * 5
+            for i in range(0, len(u), chunk_bytes):
+                part = u[i:i + chunk_bytes]
+                r = len(part) / len(z.compress(part))
+                lowest, highest = limits[bisect_right(floors, len(part)) - 1]
+                got[0] += 1
+                got[1] += r < lowest
+                got[2] += r > highest
+                got[3] += len(part) * (r < lowest)
+                got[4] += len(part) * (r > highest)
+            return got
+
         symbols = re.compile("[" + re.escape(_SYMBOLS) + "]")
 
         def fn(texts):
@@ -95,15 +145,11 @@ def _prepare(bands, chunk_bytes, level):
             for t in texts:
                 b = t.encode()
                 words = b.split()
-                n_chunks = len(b) // chunk_bytes if len(b) >= 2 * chunk_bytes else 0
-                low = high = 0
-                for i in range(n_chunks):
-                    r = chunk_bytes / len(z.compress(b[i * chunk_bytes:(i + 1) * chunk_bytes]))
-                    low += r < chunk_low
-                    high += r > chunk_high
+                u = units(t)
                 row = (len(words), len(t) - sum(map(t.count, WORD_SPACE)), len(symbols.findall(t)),
-                       dup_lines(t), repeat_words(words), len(b),
-                       len(b) / len(z.compress(b)) if b else 0.0, n_chunks, low, high)
+                       dup_lines(t), repeat_words(words), len(b), len(u),
+                       len(u) / len(z.compress(u)) if u else 0.0,
+                       *(chunks(u) if len(u) >= 2 * chunk_bytes else [0] * 5))
                 for k, v in zip(out, row, strict=True):
                     out[k].append(v)
             return out
@@ -122,16 +168,16 @@ def judge(measured: DataFrame, bands=BANDS, max_bad_chunks: float = MAX_BAD_CHUN
     low = F.lit(bands[0][1])
     high = F.lit(bands[0][2])
     for floor, lo, hi in bands[1:]:
-        low = F.when(F.col("n_bytes") >= floor, F.lit(lo)).otherwise(low)
-        high = F.when(F.col("n_bytes") >= floor, F.lit(hi)).otherwise(high)
+        low = F.when(F.col("n_units") >= floor, F.lit(lo)).otherwise(low)
+        high = F.when(F.col("n_units") >= floor, F.lit(hi)).otherwise(high)
     base_failed = ((F.col("n_words") < MIN_WORDS)
                    | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
     reason = (F.when(F.col("n_words") < MIN_WORDS, "few_words")
               .when(base_failed, "repeated_windows")
               .when(F.col("ratio") > high, "repetitive")
               .when(F.col("ratio") < low, "incompressible")
-              .when(F.col("n_high_chunks") > max_bad_chunks * F.col("n_chunks"), "repetitive_chunks")
-              .when(F.col("n_low_chunks") > max_bad_chunks * F.col("n_chunks"), "incompressible_chunks"))
+              .when(F.col("high_units") > max_bad_chunks * F.col("n_units"), "repetitive_chunks")
+              .when(F.col("low_units") > max_bad_chunks * F.col("n_units"), "incompressible_chunks"))
     return (measured.withColumn("base_failed", base_failed)
             .withColumn("reason", reason).withColumn("kept", F.col("reason").isNull()))
 

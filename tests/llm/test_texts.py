@@ -8,7 +8,7 @@ from zlib import crc32
 import numpy as np
 import public_tokenizers as public
 import pytest
-from llm_data import SMALL, none, odd  # noqa: F401
+from llm_data import MEDIUM, SMALL, none, odd  # noqa: F401
 
 from termweave.llm import nbest, packing, quality_rules, queries
 
@@ -60,6 +60,47 @@ def test_quality_verdicts(spark):
     assert got[4]["reason"] in ("repetitive", "repetitive_chunks")
 
 
+def other_script(text, first):
+    """Letter by letter in another script; capitals and small letters stay apart."""
+    return "".join(chr(first + (ord(c) - 65)) if c.isalpha() and c.isascii() else c for c in text)
+
+
+@pytest.mark.parametrize("first", [0x400, 0x5D0, 0x900, 0x10A0, 0x10400])
+def test_quality_is_the_same_in_every_script(spark, first):
+    good = {r[0] for r in spark.read.parquet(f"{MEDIUM}/labels.parquet").where("quality = 1").select("doc_id").collect()}
+    docs = [(r[0], r[1]) for r in spark.read.parquet(f"{MEDIUM}/documents.parquet").select("doc_id", "text").collect()
+            if r[0] in good and r[1] and len(r[1].split()) >= 20]
+    r = random.Random(3)
+    noise = "".join(chr(r.randint(33, 126)) if r.random() < 0.9 else " " for _ in range(6000))
+    noise = " ".join("".join(chr(0x400 + r.randint(0, 105)) for _ in range(40)) for _ in range(200)), noise
+    bad = [(-1, other_script("the same words and letters " * 200, first)), *((-2 - i, x) for i, x in enumerate(noise))]
+    df = spark.createDataFrame([(i, other_script(t, first)) for i, t in docs] + bad, "doc_id long, text string")
+    plain = spark.createDataFrame(docs, "doc_id long, text string")
+    kept = {x[0] for x in quality_rules.quality_rules(df).where("kept").select("doc_id").collect()}
+    assert kept == {x[0] for x in quality_rules.quality_rules(plain).where("kept").select("doc_id").collect()}
+    assert len(docs) > 200 and len(kept) == len(docs)
+
+
+def test_quality_units():
+    u = quality_rules.units
+    assert u("plain text") == b"plain text" and u("") == b""
+    assert len(u("é à ö é")) == 7 and len(u("привет мир")) == 10 and len(u("नमस्ते")) == 6
+    assert len(u("漢字")) == 6 and len(u("한글")) == 4 and len(u("かな")) == 2
+    many = "".join(map(chr, range(0x100, 0x300)))
+    assert len(u(many)) == 112 + 2 * 400 and len(set(many)) == 512
+
+
+def test_quality_last_chunk(spark):
+    r = random.Random(5)
+    words = lambda n: " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9)))
+                               for _ in range(n))[:2048]
+    rows = [(1, words(600) + "xy" * 475), (2, words(600) + "-" * 70), (3, words(600)), (4, words(600) + " " + words(100))]
+    got = {x["doc_id"]: x for x in quality_rules.quality_rules(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1]["reason"] == "repetitive_chunks" and (got[1]["n_chunks"], got[1]["n_high_chunks"]) == (3, 1)
+    assert all(got[i]["kept"] for i in (2, 3, 4))
+
+
 def test_quality_odd_rows(odd, none):
     got = quality_rules.quality_rules(odd).collect()
     assert len(got) == odd.count()
