@@ -22,15 +22,19 @@ The number of candidates falls steeply with a block's width (for isotropic vecto
 little, so that the comparisons of short sub-vectors remain close to quadratic there; they are
 matrix products over blocks of a table, a few nanoseconds each.
 
+Vectors of every width in the table are joined, each with those of its own width.
+
 Equal vectors are one class, joined through its smallest id.  Defined results: vectors that are
-null, zero, of another width than most rows' or hold null or non-finite components link with
-nothing; rows with a null id are returned with zero links, a null component and kept.
+null, zero, empty or hold null or non-finite components link with nothing; rows with a null id are returned with zero links, a null component and kept.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -97,6 +101,12 @@ class Geometry:
         return out
 
 
+@lru_cache(maxsize=16)
+def geometry(width: int, cosine: float, block_width: int, seed: int) -> Geometry:
+    """The geometry of a width, made once per process."""
+    return Geometry(width, cosine, block_width, seed)
+
+
 def linked(geo: Geometry, b: int, home: np.ndarray, visit: np.ndarray, home_raw: np.ndarray,
            visit_raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs within the cosine whose first block within its share is ``b``.
@@ -159,10 +169,6 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                     visit_chunk: int = VISIT_CHUNK, seed: int = SEED) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per input row."""
     usable = _classes(vectors, id_col, vector_col)
-    by_width = usable.groupBy(F.size("vector").alias("w")).agg(F.count("*").alias("n"))
-    widest = by_width.orderBy(F.col("n").desc(), "w").limit(1).collect()
-    geo = Geometry(widest[0]["w"] if widest else 1, cosine, block_width, seed)
-    usable = usable.where(F.size("vector") == geo.width)
     # Zero and minus zero are the same component.
     key = F.transform("vector", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x))
     classes = staged(usable.groupBy(key.alias("vector")).agg(
@@ -177,27 +183,34 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                raw = batch.column(2).flatten().to_numpy().reshape(-1, geo.width)
-                turned = geo.turned(raw)
-                packed = np.array([r.tobytes() for r in raw.astype(dtype)], object)
-                for b in range(len(geo.blocks)):
-                    home, rows, cells = geo.cells(b, turned)
-                    own = cells == home[rows]
-                    cols = [pa.array(np.full(len(rows), b, np.int32)), pa.array(cells), pa.array(own)]
-                    if with_vectors:
-                        at = pa.array(rows)
-                        cols += [batch.column(0).take(at), batch.column(1).take(at), pa.array(packed[rows], pa.binary())]
-                    names = ["block", "cell", "own", "rep", "size", "raw"][:len(cols)]
-                    yield pa.RecordBatch.from_arrays(cols, names=names)
-
-        return classes.mapInArrow(run, "block int, cell long, own boolean" + (
+                widths = pc.list_value_length(batch.column(2)).to_numpy()
+                for width in np.unique(widths).tolist():
+                    yield from one_width(batch.take(pa.array(np.flatnonzero(widths == width))), width)
+
+        def one_width(batch, width):
+            geo = geometry(width, cosine, block_width, seed)
+            raw = batch.column(2).flatten().to_numpy().reshape(-1, width)
+            turned = geo.turned(raw)
+            packed = np.array([r.tobytes() for r in raw.astype(dtype)], object)
+            for b in range(len(geo.blocks)):
+                home, rows, cells = geo.cells(b, turned)
+                own = cells == home[rows]
+                cols = [pa.array(np.full(len(rows), width, np.int32)), pa.array(np.full(len(rows), b, np.int32)),
+                        pa.array(cells), pa.array(own)]
+                if with_vectors:
+                    at = pa.array(rows)
+                    cols += [batch.column(0).take(at), batch.column(1).take(at), pa.array(packed[rows], pa.binary())]
+                names = ["width", "block", "cell", "own", "rep", "size", "raw"][:len(cols)]
+                yield pa.RecordBatch.from_arrays(cols, names=names)
+
+        return classes.mapInArrow(run, "width int, block int, cell long, own boolean" + (
             f", rep {kind}, size long, raw binary" if with_vectors else ""))
 
-    # Blocks x cells rows; the cells are bounded by the plane that unit vectors can reach.
-    counts = staged(place(False).groupBy("block", "cell").agg(
+    # Widths x blocks x cells rows; the cells are bounded by the plane that unit vectors can reach.
+    counts = staged(place(False).groupBy("width", "block", "cell").agg(
         F.ceil(F.sum(F.col("own").cast("long")) / home_chunk).alias("homes"),
         F.ceil(F.count("*") / visit_chunk).alias("visits")).where("homes > 0"), "cells")
-    sized = place(True).join(F.broadcast(counts), ["block", "cell"])
+    sized = place(True).join(F.broadcast(counts), ["width", "block", "cell"])
     upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
     slot = F.xxhash64("rep")
     # Homes go to their chunk's meetings with every chunk of visitors, and the other way round.
@@ -205,14 +218,15 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         F.struct(F.lit(False).alias("home"), upto("homes").alias("h"), F.array(F.pmod(slot, "visits")).alias("v")),
         F.when(F.col("own"), F.struct(F.lit(True).alias("home"), F.array(F.pmod(slot, "homes")).alias("h"),
                                       upto("visits").alias("v")))), lambda r: r.isNotNull())
-    meets = (sized.select("block", "cell", "own", "rep", "size", "raw", F.explode(roles).alias("r"))
+    meets = (sized.select("width", "block", "cell", "own", "rep", "size", "raw", F.explode(roles).alias("r"))
              .select("*", F.explode("r.h").alias("h")).select("*", F.explode("r.v").alias("v"))
-             .select("block", "cell", "h", "v", F.col("r.home").alias("home"), "own", "rep", "size", "raw"))
+             .select("width", "block", "cell", "h", "v", F.col("r.home").alias("home"), "own", "rep", "size", "raw"))
 
     def compare(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
         home = group["home"].to_numpy()
         rep, size, own = (group[c].to_numpy() for c in ("rep", "size", "own"))
+        geo = geometry(group["width"][0].as_py(), cosine, block_width, seed)
         raw = np.frombuffer(b"".join(group["raw"].to_pylist()), dtype).reshape(-1, geo.width)
         turned = geo.turned(raw)
         b = group["block"][0].as_py()
@@ -230,7 +244,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                          pa.array(np.concatenate([n[got], np.zeros(len(nodes), np.int64)])),
                          pa.array(np.concatenate([rep[got], roots]))], names=["rep", "links", "root"])
 
-    found = staged(meets.groupBy("block", "cell", "h", "v").applyInArrow(
+    found = staged(meets.groupBy("width", "block", "cell", "h", "v").applyInArrow(
         compare, f"rep {kind}, links long, root {kind}"), "vector-links")
     parts = staged(connected_components(found.where("rep <> root"), "rep", "root"), "vector-parts")
     named = staged(classes.join(found.groupBy("rep").agg(F.sum("links").alias("links")), "rep", "left")

@@ -139,3 +139,20 @@ def test_subspace_join_odd_tables(spark):
     df = spark.createDataFrame([(None, [1.0, 0.0]), (2, [1.0, 0.0]), (1, [2.0, 0.0])], "vec_id long, embedding array<float>")
     got = {r["vec_id"]: tuple(r)[1:] for r in embed_dedup.near_duplicates(df).collect()}
     assert got == {None: (0, None, True), 2: (1, 1, False), 1: (1, 1, True)}
+
+
+def test_subspace_join_covers_every_width(spark):
+    """Several widths in one table: each gives what it gives alone, and none links with another."""
+    want, rows = [], []
+    for k, dim in enumerate((24, 10, 1, 37)):
+        some = [(1000 * k + i, [float(x) for x in v]) for i, v in enumerate(vectors(k, dim))]
+        rows += some
+        m = np.array([v for _, v in some])
+        m /= np.sqrt((m * m).sum(1))[:, None]
+        near = m @ m.T >= 0.9
+        near[np.diag_indices(len(m))] = False
+        part = roots([i for i, _ in some], [(some[a][0], some[b][0]) for a, b in zip(*np.nonzero(near), strict=True)])
+        want += [(i, int(near[j].sum()), part[i], part[i] == i) for j, (i, _) in enumerate(some)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3, "vec_id")
+    got = sorted(tuple(x) for x in embed_dedup.near_duplicates(df, block_width=6, home_chunk=60, visit_chunk=40).collect())
+    assert got == sorted(want)
