@@ -2,7 +2,8 @@
 
 ``contains_join(texts, terms, text_col, term_col, on)`` returns every (text row, term
 row) pair with ``term`` a substring of ``text`` (both already lower-cased by the caller
-when case-insensitive semantics are wanted), equal on the ``on`` keys.
+when case-insensitive semantics are wanted), equal on the ``on`` keys.  An empty term
+matches nothing, whichever plan runs.
 
 Two exact plans:
 
@@ -97,7 +98,8 @@ def contains_join(texts: DataFrame, terms: DataFrame, text_col: str, term_col: s
                   broadcast_limit: int = BROADCAST_TERM_LIMIT) -> DataFrame:
     """Exact containment join; see module doc.  ``strategy`` is ``auto``, ``broadcast``
     or ``anchor``.  ``auto`` measures the terms once and broadcasts only up to
-    ``broadcast_limit`` rows of ``BROADCAST_BYTES``."""
+    ``broadcast_limit`` rows of ``BROADCAST_BYTES``.  Empty terms are dropped first."""
+    terms = terms.where(F.col(term_col) != "")
     if strategy == "auto":
         strategy = "broadcast" if fits(terms, BROADCAST_BYTES, broadcast_limit) else "anchor"
     if strategy == "broadcast":

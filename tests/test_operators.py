@@ -270,3 +270,11 @@ def test_pending_rows_for_resume(spark):
     acc = prompting.accepted(prompting.validation_reason(prompting.assign_index(df)))
     done = spark.createDataFrame([(2, "success")], "row_no bigint, status string")
     assert sorted(r["row_no"] for r in prompting.pending(acc, done).collect()) == [1, 3]
+
+
+@pytest.mark.parametrize("strategy,limit", [("broadcast", 1), ("anchor", 1), ("auto", 10), ("auto", 1)])
+def test_contains_join_empty_terms_match_nothing(spark, strategy, limit):
+    texts = spark.createDataFrame([(1, "en", "a cat sat"), (2, "en", ""), (3, "en", None)], "i int, lang string, t string")
+    terms = spark.createDataFrame([("en", ""), ("en", "at"), ("en", "cat"), ("en", None)], "lang string, term string")
+    got = matching.contains_join(texts, terms, "t", "term", ["lang"], strategy=strategy, broadcast_limit=limit)
+    assert sorted((r["i"], r["term"]) for r in got.collect()) == [(1, "at"), (1, "cat")]
