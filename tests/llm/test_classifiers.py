@@ -6,8 +6,10 @@ from zlib import crc32
 import numpy as np
 import pyarrow.dataset as ds
 from llm_data import MEDIUM, none, odd  # noqa: F401
+from pyspark.sql import functions as F
 
 from termweave.llm import quality_ftrl, queries, toxicity
+from termweave.llm.learning import labelled_sample
 
 
 def held_out_accuracy(df, label, mod, rest):
@@ -95,3 +97,17 @@ def test_odd_rows(spark, odd, none):
         assert by[5] == by[6] and by[1] == by[2]
         assert run(none, labels).count() == 0
         assert {r["score"] for r in run(odd, empty).collect()} == {0.5}
+
+
+def test_sample_holds_one_text_an_id(spark):
+    """However many rows an id has, the sample is bounded by ``max_rows``, and the same in any order."""
+    rows = [(1, f"text {i}") for i in range(500)] + [(i, f"other {i}") for i in range(2, 30)] + [(2, None)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 30)], "doc_id long, toxic int")
+    got = []
+    for n in (1, 5):
+        docs = spark.createDataFrame(rows if n == 1 else rows[::-1], "doc_id long, text string").repartition(n)
+        sample = labelled_sample(docs, labels, "toxic", F.lit(True), 29)
+        assert sample.columns == ["doc_id", "text", "label"]
+        got.append(sorted(map(tuple, sample.collect())))
+        assert labelled_sample(docs, labels, "toxic", F.lit(True), 10).count() == 10
+    assert got[0] == got[1] and [i for i, _, _ in got[0]] == list(range(1, 30))
