@@ -1,7 +1,7 @@
 """Secret scan: fixed patterns, and a randomness test battery for everything else.
 
 Assignments, access keys and long hexadecimal runs are found by pattern.  Other tokens that
-might be keys (long runs of letters and digits that hold both) are tested for randomness.  The
+might be keys (all long runs of letters, digits and the signs of base64) are tested for randomness.  The
 encoding is inferred from the characters, as the smallest of the known alphabets that holds
 them, and gives each character its number.  Three tests follow:
 
@@ -13,7 +13,8 @@ Runs and serial correlation must be those of independent characters.  The chi-sq
 held against what ordinary text of the same length in that alphabet gives: the p-value is the
 probability that such text looks as uniform as this token.  It falls with the length, as short
 tokens cannot be told apart well.  The false discovery rate is controlled over all candidates of
-the corpus, separately by length band: discoveries are those below the largest p-value that the
+the corpus, separately by length band and by whether a token holds both a digit and a letter (long
+words, which do not, would raise the limit for those that do): discoveries are those below the largest p-value that the
 step-up rule allows (p-values are rounded up to a fixed grid, so the rule works on counts).
 
 Built-in functions only; one pass over the texts, whose spans are written to the shared folder.
@@ -126,15 +127,19 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         _as_spans(F.col("h_assign"), "assign", lambda h: F.length(
             F.regexp_replace(h["match"], ASSIGN_HEAD, "")) >= ASSIGN_VALUE),
         _as_spans(F.col("h_access"), "access"), _as_spans(F.col("h_hex"), "hex")).alias("base"))
-    mixed = F.filter("h_token", lambda h: h["match"].rlike("[0-9]") & h["match"].rlike("[A-Za-z]")
-                     & ~F.exists("base", lambda b: (b["start"] < h["end"]) & (h["start"] < b["end"])))
-    cands = base.select("doc_id", "base", mixed.alias("h_token"))
+    apart = F.filter("h_token", lambda h: ~F.exists(
+        "base", lambda b: (b["start"] < h["end"]) & (h["start"] < b["end"])))
+    cands = base.select("doc_id", "base", apart.alias("h_token"))
     return cands.select("doc_id", "base", F.transform("h_token", lambda h: F.struct(
-        h["start"].alias("start"), h["end"].alias("end"), battery(h["match"]).alias("test"))).alias("tokens"))
+        h["start"].alias("start"), h["end"].alias("end"),
+        (h["match"].rlike("[0-9]") & h["match"].rlike("[A-Za-z]")).alias("mixed"),
+        battery(h["match"]).alias("test"))).alias("tokens"))
 
 
-def _band(length: Column) -> Column:
-    return sum(((length >= b).cast("int") for b in BANDS), F.lit(0))
+def _band(t: Column) -> Column:
+    """Number of a token's length band, even or odd by whether it holds both a digit and a letter."""
+    length = t["end"] - t["start"]
+    return 2 * sum(((length >= b).cast("int") for b in BANDS), F.lit(0)) + t["mixed"].cast("int")
 
 
 def _step(p: Column) -> Column:
@@ -152,7 +157,7 @@ def discovery_steps(scanned: DataFrame, rate: float = FALSE_DISCOVERIES,
 
     All candidates of a band are tests.  At most bands x grid steps rows are ranked."""
     t = scanned.select(F.explode("tokens").alias("t"))
-    counts = t.select(_band(F.col("t.end") - F.col("t.start")).alias("band"),
+    counts = t.select(_band(F.col("t")).alias("band"),
                       F.when(_plausible(F.col("t"), most), _step(F.col("t.test.p_text"))).otherwise(-1).alias("step")
                       ).groupBy("band", "step").agg(F.count("*").alias("n"))
     by = Window.partitionBy("band")
@@ -173,11 +178,11 @@ def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if not rescan:
         scanned = staged(scanned, "secrets")
     steps = discovery_steps(scanned, rate, most)
-    by_band = {r["band"]: r["step"] for r in steps.collect()}  # one row per length band at most
-    limits = {b: by_band.get(b, 10 ** 6) for b in range(len(BANDS) + 1)}
-    least = lambda length: _by_encoding(_band(length), limits)
+    by_band = {r["band"]: r["step"] for r in steps.collect()}  # two rows per length band at most
+    limits = {b: by_band.get(b, 10 ** 6) for b in range(2 * len(BANDS) + 2)}
+    least = lambda t: _by_encoding(_band(t), limits)
     random = F.filter("tokens", lambda t: _plausible(t, most) & (
-        _step(t["test"]["p_text"]) >= least(t["end"] - t["start"])))
+        _step(t["test"]["p_text"]) >= least(t)))
     return scanned.select("doc_id", "base", F.concat("base", F.transform(random, lambda t: F.struct(
         F.lit("random").alias("kind"), F.lit(KINDS.index("random")).alias("rank"),
         t["start"].alias("start"), t["end"].alias("end")))).alias("spans"))

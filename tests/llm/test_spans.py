@@ -101,6 +101,24 @@ def test_random_tokens_are_discovered(spark):
     assert again == got
 
 
+def test_random_tokens_without_a_digit(spark):
+    """Keys of letters only are candidates, and long words do not hide the others."""
+    r = random.Random(6)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    keys = ["".join(r.choice(letters) for _ in range(44)) for _ in range(20)]
+    mixed = ["".join(r.choice(letters + "0123456789") for _ in range(21)) + "7a" for _ in range(20)]
+    syllables = ["the", "on", "er", "ing", "at", "is", "ou", "me", "ra", "lo", "du", "pi", "sk"]
+    words = ["".join(r.choice(syllables) for _ in range(r.randint(11, 16))) for _ in range(200)]
+    frame = lambda rows: spark.createDataFrame(
+        [(i, f"so {t} it is") for i, t in rows], "doc_id long, text string")
+    hits = lambda rows: {x["doc_id"] for x in secret_scan.secrets(frame(rows)).where(
+        F.size("spans") > 0).collect()}
+    rows = list(enumerate(keys + mixed + words))
+    got = hits(rows)
+    assert len(got & set(range(20))) >= 17 and not any(i >= 40 for i in got)
+    assert got & set(range(20, 40)) == hits(rows[20:40])
+
+
 def test_redaction_covers_overlaps(spark):
     df = spark.createDataFrame([("ab𝒳cdefgh",), ("",)], "text string")
     spans = F.when(F.col("text") == "", F.array().cast("array<struct<start:int,end:int>>")).otherwise(
