@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termweave.llm import (
+    conversations,
     embed_dedup,
+    graph_search,
+    merkle,
     minhash,
     nbest,
     packing,
@@ -19,6 +22,7 @@ from termweave.llm import (
 )
 from termweave.llm.common import table
 from termweave.llm.native_spans import written
+from termweave.llm.oracle import MERKLE_SQL
 
 
 def _count(spans: str, kind: str):
@@ -86,6 +90,20 @@ def op10_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_zstd.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = merkle.verified(table(spark, sf_dir, "documents"))
+    digests = [merkle.hex_text(F.col(c)).alias(c) for c in ("leaf", "subroot", "root", "folded_root")]
+    return got.select("doc_id", *digests, F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"), "verified")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired(table(spark, sf_dir, "conversations"))
+
+
+def op13_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_search.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_pii_weak_supervision": op2_pii_weak_supervision,
@@ -97,6 +115,9 @@ QUERIES = {
     "op8_compression_bands": op8_compression_bands,
     "op9_minhash_inverted_join": op9_minhash_inverted_join,
     "op10_warc_zstd": op10_warc_zstd,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_graph_search": op13_graph_search,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op11_merkle_manifest": MERKLE_SQL}
