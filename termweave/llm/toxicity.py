@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termweave.llm.common import crc_of_id, id_text, map_texts
+from termweave.llm.common import crc_of_id, id_text, map_texts, staged
 from termweave.llm.learning import labelled_sample
 
 BUCKETS = 1 << 18
@@ -188,7 +188,8 @@ def fit(feats: list, y, diffs: list = (), l1: float | None = None, counterfactua
 def train(docs: DataFrame, labels: DataFrame, allowed: Column, label: str = "toxic",
           max_rows: int = MAX_ROWS, id_col: str = "doc_id", text_col: str = "text",
           terms: dict[str, list[str]] = IDENTITY_TERMS, buckets: int = BUCKETS, **params) -> Model:
-    """Fit on at most ``max_rows`` labelled rows; only hashed feature numbers reach the driver."""
+    """Fit on at most ``max_rows`` labelled rows.  Features are counted and screened on the
+    executors; the chosen ones' numbers, text by text, are all that reaches the driver."""
     def start():
         def fn(texts):
             rows = [text_features(t, terms, buckets) for t in texts]
@@ -196,8 +197,10 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, label: str = "tox
         return fn
 
     sample = labelled_sample(docs, labels, label, allowed, max_rows, id_col, text_col)
-    rows = map_texts(sample, "feats array<int>, diff array<int>, ends array<int>", start,
-                     passed=("doc_id", "label")).toArrow().combine_chunks()
+    made = staged(map_texts(sample, "feats array<int>, diff array<int>, ends array<int>", start,
+                            passed=("doc_id", "label")), "toxicity-sample")
+    used = screened(made, params.get("max_features", MAX_FEATURES), params.get("min_df", MIN_DF))
+    rows = only_features(made, used, buckets).toArrow().combine_chunks()
     if not rows.num_rows:
         return fit([], [], buckets=buckets, **params)
     rows = rows.sort_by([("doc_id", "ascending")]).combine_chunks()
@@ -213,6 +216,36 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, label: str = "tox
     return fit(lists("feats"), rows["label"].to_numpy(), copies, buckets=buckets, **params)
 
 
+def screened(rows: DataFrame, max_features: int, min_df: int) -> list[int]:
+    """The features of the strongest link with the label, as ``fit`` chooses them."""
+    n, positive = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum((F.col("label") > 0).cast("long")), F.lit(0))).first()
+    rate = (positive + 0.5) / (n + 1.0)
+    counts = rows.select("label", F.explode("feats").alias("f")).groupBy("f").agg(
+        F.count(F.lit(1)).alias("df"), F.sum((F.col("label") > 0).cast("long")).alias("pos")).where(F.col("df") >= min_df)
+    z = F.abs(F.col("pos") - rate * F.col("df")) / F.sqrt(F.lit(rate * (1 - rate)) * F.col("df"))
+    top = counts.select("f", z.alias("z")).where("z > 0").orderBy(F.desc("z"), "f").limit(max_features)
+    return [r["f"] for r in top.select("f").collect()]
+
+
+def only_features(rows: DataFrame, used: list[int], buckets: int) -> DataFrame:
+    """The rows with no other features; copies keep their number, if without features."""
+    def run(batches):
+        known = np.zeros(buckets, bool)
+        known[used] = True
+        for b in batches:
+            feats, diffs, ends = [], [], []
+            for f, d, e in zip(*(b.column(c) for c in (2, 3, 4)), strict=True):
+                f, d, e = (np.asarray(x.values, np.int32) for x in (f, d, e))
+                feats.append(f[known[f]])
+                keep = known[np.where(d < 0, -d - 1, d)]
+                diffs.append(d[keep])
+                ends.append(np.concatenate([[0], np.cumsum(keep)]).astype(np.int32)[e])
+            kind = pa.list_(pa.int32())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(x, kind) for x in (feats, diffs, ends)]],
+                                             names=["doc_id", "label", "feats", "diff", "ends"])
+    return rows.select("doc_id", "label", "feats", "diff", "ends").mapInArrow(run, rows.schema)
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
           threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, score, predicted for every whole text; one pass, no shuffle."""
