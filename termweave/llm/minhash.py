@@ -156,20 +156,25 @@ def prefix_posts(reps: DataFrame, matches: int) -> DataFrame:
 
 def _only(docs: DataFrame, ids: DataFrame, bits: int = 20) -> DataFrame:
     """Rows of ``docs`` whose id is in ``ids``.  A bitmap of id hashes, 128 KB whatever the number
-    of ids, drops other rows before the exact join; with very many ids it drops few, and the
-    join does the work."""
-    place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits))
-    n = place("doc_id") + 1  # positions of the bitmap functions count from 1
+    of ids, goes out with the tasks and drops other rows before the exact join; with very many ids
+    it drops few, and the join does the work."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << bits)).cast("int")
+    n = place + 1  # positions of the bitmap functions count from 1
     parts = (ids.select(n.alias("n")).groupBy(F.bitmap_bucket_number("n").alias("part"))
              .agg(F.bitmap_construct_agg(F.bitmap_bit_position("n")).alias("bits")).collect())
-    size = (1 << bits) // 8
-    held = bytearray(size)
+    held = bytearray((1 << bits) // 8)
     for r in parts:
         at = (r["part"] - 1) * len(r["bits"])
         held[at:at + len(r["bits"])] = r["bits"]
-    spot = place("doc_id")
-    byte = F.conv(F.hex(F.substring(F.lit(bytes(held)), (F.shiftright(spot, 3) + 1).cast("int"), F.lit(1))), 16, 10)
-    maybe = docs.where(F.getbit(byte.cast("int"), (spot % 8).cast("int")) == 1)
+    held = bytes(held)
+
+    def run(batches):
+        bit = np.unpackbits(np.frombuffer(held, np.uint8), bitorder="little").astype(bool)
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(b.columns[:-1], schema=pa.schema(list(b.schema)[:-1])).filter(
+                pa.array(bit[b.column(b.num_columns - 1).to_numpy()]))
+
+    maybe = docs.withColumn("place", place).mapInArrow(run, docs.schema)
     return maybe.join(ids, "doc_id", "left_semi")
 
 
