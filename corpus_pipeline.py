@@ -52,7 +52,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def blank_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = secret_scan.secrets(_rows(docs), "row", "row.text", rescan=True)
+    found = secret_scan.secrets(_rows(docs), "row", "row.text")
     row, hit = F.col("doc_id"), F.size("spans") > 0
     text = F.when(hit, secret_scan.redacted(row["text"], F.col("spans"))).otherwise(row["text"])
     blanked = found.select("doc_id", text.alias("blanked"))
