@@ -14,8 +14,9 @@ Two exact plans:
   texts explode their *distinct* grams of those lengths and probe the anchor table with
   an equi-join on ``(on, gram)``; candidates are verified with ``contains``.  A term
   contained in a text has all its trigrams there, so no pair is lost whichever anchor
-  was chosen.  The anchor table (one row per term) is broadcast below a checked size,
-  otherwise hash-joined (AQE splits skewed gram keys).
+  was chosen.  The anchor table (one row per term) is broadcast below a checked size.  Beyond
+  it, given the texts' id columns, only ids and grams are shuffled, and texts are fetched once
+  per row with a candidate; without ids the rows go along (AQE splits skewed gram keys).
 
 The right-hand keys are renamed before either join and dropped by name, so the texts and
 the terms may come from the same frame.
@@ -62,7 +63,7 @@ def _broadcast_join(texts: DataFrame, terms: DataFrame, text_col: str, term_col:
 
 def _anchor_join(texts: DataFrame, terms: DataFrame, text_col: str, term_col: str,
                  on: Sequence[str], sample_one_in: int = SAMPLE_ONE_IN,
-                 broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+                 broadcast_bytes: int = BROADCAST_BYTES, ids: Sequence[str] | None = None) -> DataFrame:
     on = list(on)
     distinct = terms.select(*on, term_col).distinct()
     long_t = distinct.where(F.length(term_col) >= GRAM)
@@ -84,26 +85,51 @@ def _anchor_join(texts: DataFrame, terms: DataFrame, text_col: str, term_col: st
     # Lengths of the anchors in use: at most GRAM numbers.
     sizes = sorted(r[0] for r in terms.where(F.length(term_col) > 0)
                    .select(F.least(F.length(term_col), F.lit(GRAM))).distinct().collect())
+    every = F.concat(*[grams(text_col, n) for n in sizes]) if sizes else F.array().cast("array<string>")
     side = _right_keys(anchored, on)
     if fits(anchored, broadcast_bytes):
         side = F.broadcast(side)
-    every = F.concat(*[grams(text_col, n) for n in sizes]) if sizes else F.array().cast("array<string>")
+    elif ids is not None:
+        return _late_join(texts, anchored, every, text_col, term_col, on, list(ids), broadcast_bytes)
     x = texts.select("*", F.explode(every).alias("__gram"))
     cond = [*_same_keys(on), F.col("__gram") == F.col("__anchor"), F.contains(F.col(text_col), F.col(term_col))]
     return x.join(side, cond, "inner").drop(*[f"__k_{k}" for k in on], "__gram", "__anchor")
 
 
+def _late_join(texts: DataFrame, anchored: DataFrame, every, text_col: str, term_col: str,
+               on: list[str], ids: list[str], broadcast_bytes: int) -> DataFrame:
+    """The anchor plan when the anchors must be hash-joined: only row ids and grams are exploded,
+    reduced to grams that are anchors (distinct grams are few) and shuffled; what they meet is
+    gathered per row id, and the text is fetched once per row that has a candidate and verified."""
+    keys = [*ids, *[k for k in on if k not in ids]]
+    g = texts.select(*keys, F.explode(every).alias("__gram"))
+    known = anchored.select(*on, F.col("__anchor").alias("__gram")).distinct()
+    g = g.join(F.broadcast(known) if fits(known, broadcast_bytes) else known, [*on, "__gram"], "left_semi")
+    side = _right_keys(anchored, on)
+    rest = [c for c in anchored.columns if c not in on and c != "__anchor"]
+    met = g.join(side, [*_same_keys(on), F.col("__gram") == F.col("__anchor")])
+    lists = met.groupBy(*keys).agg(F.collect_list(F.struct(*rest)).alias("__ts"))
+    lists = lists.select(*[F.col(k).alias(f"__i_{k}") for k in keys], "__ts")
+    x = texts.join(lists, [F.col(k) == F.col(f"__i_{k}") for k in keys])
+    held = F.filter("__ts", lambda t: F.contains(F.col(text_col), t[term_col]))
+    return x.select(*texts.columns, F.inline(held))
+
+
 def contains_join(texts: DataFrame, terms: DataFrame, text_col: str, term_col: str,
                   on: Sequence[str] = (), strategy: str = "auto",
-                  broadcast_limit: int = BROADCAST_TERM_LIMIT) -> DataFrame:
+                  broadcast_limit: int = BROADCAST_TERM_LIMIT, ids: Sequence[str] | None = None,
+                  broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Exact containment join; see module doc.  ``strategy`` is ``auto``, ``broadcast``
     or ``anchor``.  ``auto`` measures the terms once and broadcasts only up to
-    ``broadcast_limit`` rows of ``BROADCAST_BYTES``.  Empty terms are dropped first."""
+    ``broadcast_limit`` rows of ``BROADCAST_BYTES``.  Empty terms are dropped first.
+    ``ids``: columns that identify a row of ``texts`` (without nulls); with them, a dictionary
+    whose anchors exceed ``broadcast_bytes`` is joined without moving the texts' grams along
+    with the texts."""
     terms = terms.where(F.col(term_col) != "")
     if strategy == "auto":
         strategy = "broadcast" if fits(terms, BROADCAST_BYTES, broadcast_limit) else "anchor"
     if strategy == "broadcast":
         return _broadcast_join(texts, terms, text_col, term_col, list(on))
     if strategy == "anchor":
-        return _anchor_join(texts, terms, text_col, term_col, list(on))
+        return _anchor_join(texts, terms, text_col, term_col, list(on), broadcast_bytes=broadcast_bytes, ids=ids)
     raise ValueError(f"unknown strategy {strategy!r}")

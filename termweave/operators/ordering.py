@@ -2,11 +2,10 @@
 single-task window.
 
 A window with ``orderBy`` and no ``partitionBy`` moves every row into one task.  Here
-rows are cut into buckets of the integer order key (``floor(key / bucket_size)``; at most
-``bucket_size`` rows per bucket because keys are unique), per-bucket totals are summed
-(map-side partial aggregation), the tiny bucket table gets its exclusive prefix, is
-broadcast back (its size is the key range divided by ``bucket_size``), and a window
-*partitioned by bucket* finishes the job.
+the keys alone are cut into buckets of the integer order key (``floor(key / bucket_size)``; at most
+``bucket_size`` keys per bucket because keys are unique), per-bucket totals are summed
+(map-side partial aggregation), the bucket table gets its exclusive prefix in two levels, and a
+window *partitioned by bucket* finishes the sums, which are joined to the rows by key.
 """
 
 from __future__ import annotations
@@ -14,23 +13,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from termweave.operators.parallel import tasks
 from termweave.session import scratch_path
 
 DEFAULT_BUCKET = 100_000
 MAX_BUCKETS = 10_000
+DENSE_BUCKET = 4_096  # keys a bucket of dense keys, and buckets a group of the upper level
+BUCKETS_PER_TASK = 4
 
 
 def _bucket_column(df: DataFrame, key: str, bucket_size: int, max_buckets: int):
-    """Bucket expression for ``key``: fixed-width ranges, widened so that there are at most
-    ``max_buckets``, when the keys fill their range at least by half (unique keys then put
-    about a bucket's width of rows in each); otherwise approximate-quantile ranges (sparse
-    or clustered keys), which keep every bucket near ``rows / max_buckets`` rows.  One
-    small aggregation job."""
+    """Bucket expression for ``key``: fixed-width ranges when the keys fill their range at least
+    by half (unique keys then put about a bucket's width of rows in each), of at most
+    ``bucket_size`` keys and so many that every task has a few, but at most ``max_buckets``;
+    otherwise approximate-quantile ranges (sparse or clustered keys), which keep every bucket
+    near ``rows / max_buckets`` rows.  One small aggregation job over the keys."""
     lo, hi, n = df.agg(F.min(key), F.max(key), F.count(key)).first()
     if lo is None:
         return F.lit(0), df
-    width = max(bucket_size, (hi - lo) // max_buckets + 1)
-    if width == bucket_size or 2 * n >= hi - lo:
+    span = hi - lo + 1
+    width = max(min(bucket_size, -(-span // (BUCKETS_PER_TASK * tasks(df.sparkSession)))), -(-span // max_buckets))
+    if width <= bucket_size or 2 * n >= span:
         return F.floor((F.col(key) - F.lit(lo)) / F.lit(width)), df
     from pyspark.ml.feature import Bucketizer
 
@@ -43,29 +46,40 @@ def _bucket_column(df: DataFrame, key: str, bucket_size: int, max_buckets: int):
     return F.col("__bq").cast("bigint"), out
 
 
+def _sums_before(totals: DataFrame, group: str, order: str, value: str, out: str) -> DataFrame:
+    """Per row of ``totals``: the sum of ``value`` over the earlier groups and, inside its own, over
+    the earlier rows.  Two levels: only a row per group goes through the unpartitioned window."""
+    earlier = Window.unboundedPreceding, -1
+    groups = totals.groupBy(group).agg(F.sum(value).alias("__g"))
+    starts = groups.select(group, F.coalesce(F.sum("__g").over(Window.orderBy(group).rowsBetween(*earlier)), F.lit(0))
+                           .alias("__start"))
+    inside = F.coalesce(F.sum(value).over(Window.partitionBy(group).orderBy(order).rowsBetween(*earlier)), F.lit(0))
+    return (totals.withColumn("__inside", inside).join(starts, group)
+            .withColumn(out, F.col("__start") + F.col("__inside")).drop("__start", "__inside"))
+
+
 def prefix_sum(df: DataFrame, key: str, value, out: str,
-               bucket_size: int = DEFAULT_BUCKET, max_buckets: int = MAX_BUCKETS,
+               bucket_size: int | None = None, max_buckets: int = MAX_BUCKETS,
                dense_keys: bool = False) -> DataFrame:
     """Add ``out`` = inclusive running sum of ``value`` in ``key`` order (key unique,
     integer).  ``dense_keys``: the keys are dense positions (a file's row numbers), so
-    fixed-width buckets are known to be bounded and the statistics job is skipped."""
+    fixed-width buckets are known to be bounded and the statistics job is skipped.
+
+    Only the keys and values go through buckets and windows; the rows are joined to the sums by
+    their key, so they are dealt over all tasks however few the buckets are."""
     v = F.col(value) if isinstance(value, str) else value
-    b = "__bucket"
+    b, group = "__bucket", "__group"
+    narrow = df.select(key, v.cast("bigint").alias("__v"))
     if dense_keys:
-        bucket, src = F.floor(F.col(key) / F.lit(bucket_size)), df
+        bucket, src = F.floor(F.col(key) / F.lit(bucket_size or DENSE_BUCKET)), narrow
     else:
-        bucket, src = _bucket_column(df, key, bucket_size, max_buckets)
-    x = src.withColumn(b, bucket).withColumn("__v", v.cast("bigint"))
-    totals = x.groupBy(b).agg(F.sum("__v").alias("__t"))
-    # One row per non-empty bucket, at most max_buckets: bounded broadcast and window.
-    offsets = totals.select(
-        b, (F.sum("__t").over(Window.orderBy(b).rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("__off"))
+        bucket, src = _bucket_column(narrow, key, bucket_size or DEFAULT_BUCKET, max_buckets)
+    x = src.withColumn(b, bucket)
+    totals = x.groupBy(b).agg(F.sum("__v").alias("__t")).withColumn(group, F.floor(F.col(b) / F.lit(DENSE_BUCKET)))
+    offsets = _sums_before(totals, group, b, "__t", "__off").select(b, "__off")
     w = Window.partitionBy(b).orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-    res = (x.join(F.broadcast(offsets), b, "left")
-           .withColumn(out, F.coalesce(F.col("__off"), F.lit(0)) + F.sum("__v").over(w))
-           .drop(b, "__v", "__off"))
-    return res.drop("__bq") if "__bq" in res.columns else res
+    sums = x.join(offsets, b).select(key, (F.col("__off") + F.sum("__v").over(w)).alias(out))
+    return df.join(sums, key, "left").select(*df.columns, out)
 
 
 def scan_positions(df: DataFrame, out: str = "row_no", start: int = 0,
@@ -74,20 +88,30 @@ def scan_positions(df: DataFrame, out: str = "row_no", start: int = 0,
     without leaving the JVM.  Apply it directly to a file scan: a split is known by its
     file's path and the offset it starts at, and ``monotonically_increasing_id`` orders the
     rows inside it.  Spark deals splits out by size, so part files of one folder come in
-    any order; the numbers follow the names.  Per-split row counts (one row per input
-    split) give each split's offset, and a window partitioned by split numbers its rows."""
+    any order; the numbers follow the names.  Row counts per split give each split's offset in
+    two levels (file, then split), and a window partitioned by split numbers its rows."""
     mid, p, b = "__mid", "__path", "__block"
     x = df.select("*", F.col(path).alias(p), F.col(block).alias(b)).withColumn(
         mid, F.monotonically_increasing_id())
     counts = x.groupBy(p, b).agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.select(p, b, F.coalesce(F.sum("__n").over(
-        Window.orderBy(p, b).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
+    offsets = _sums_before(counts, p, b, "__n", "__off").select(p, b, "__off")
     w = Window.partitionBy(p, b).orderBy(mid)
     return (x.join(offsets, [p, b])
             .withColumn(out, F.col("__off") + F.row_number().over(w) - F.lit(1) + F.lit(start))
             .drop(mid, p, b, "__off"))
 
 
+def rank_within(df: DataFrame, group: str, order: list, out: str, start: int = 1) -> DataFrame:
+    """Dense position in ``order`` inside each ``group``, of any size: the global position less the
+    group's first one."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "rank-within")
+    global_rank(df, [F.asc(group), *order], "__at").write.parquet(path)
+    x = spark.read.parquet(path)
+    firsts = x.groupBy(group).agg(F.min("__at").alias("__first"))
+    return x.join(firsts, group).withColumn(out, F.col("__at") - F.col("__first") + F.lit(start)).drop("__at", "__first")
+
+
 def global_rank(df: DataFrame, order: list, out: str, start: int = 1) -> DataFrame:
     """Dense position in any order without a single-task window: rows are range-partitioned,
     sorted and written to the shared folder with their partition's number; the partitions'
@@ -106,7 +130,7 @@ def global_rank(df: DataFrame, order: list, out: str, start: int = 1) -> DataFra
 
 
 def dense_row_number(df: DataFrame, key: str, out: str = "row_no", start: int = 1,
-                     bucket_size: int = DEFAULT_BUCKET) -> DataFrame:
+                     bucket_size: int | None = None) -> DataFrame:
     """WIN-2: dense position in ``key`` order, from ``start``."""
     r = prefix_sum(df, key, F.lit(1), out, bucket_size)
     return r.withColumn(out, F.col(out) + F.lit(start - 1)) if start != 1 else r

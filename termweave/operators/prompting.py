@@ -19,7 +19,7 @@ from termweave.operators.ordering import prefix_sum
 EN, VI, EN_S, VI_S = "English", "Vietnamese", "English Sentence", "Vietnamese Sentence"
 
 
-def assign_index(rows: DataFrame, bucket_size: int = 100_000) -> DataFrame:
+def assign_index(rows: DataFrame, bucket_size: int | None = None) -> DataFrame:
     """PRJ-2 / WIN-1: keep a valid integer ``index``; otherwise take the next number of
     a counter shared by all rows without one, starting at 1, in ``row_no`` order."""
     parsed = rows.withColumn("__idx", T.python_int(F.coalesce(F.col("index"), F.lit(""))))
