@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 
 from termweave.functions import text as T
 from termweave.operators.matching import contains_join
-from termweave.operators.ordering import dense_row_number
+from termweave.operators.ordering import dense_row_number, rank_within
 from termweave.operators.parallel import spread
 from termweave.session import read_table, scratch_path
 
-TERM_LANGS = ("en", "fr", "de", "es")  # French stands in for the target language
-N_TERMS = 50
-N_KEYWORDS = 19
+TERM_LANGS = ("en", "fr", "de", "es")
+PAIR_LANGS = {"en": "fr", "de": "es"}  # source language -> the one that stands in for the target
+LEAST_DF = 12  # documents a dictionary term is in
+KEYWORD_RANKS = (51, 69)  # ranks of the 19 keywords of a language
 API_TIMEOUT = "LLM API error: timeout"
 SIGNATURE_LINE = "BLEU|nrefs:1|case:mixed|eff:no|tok:13a|smooth:exp|version:2.4.0 = "
 
@@ -27,7 +28,16 @@ class Fixtures:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        self._ranked: DataFrame | None = None
+        self._kept: dict[str, DataFrame] = {}
+
+    def _once(self, tag: str, make) -> DataFrame:
+        """A frame that several views read, written once per query."""
+        if tag not in self._kept:
+            df = make()
+            path = scratch_path(self.spark, tag)
+            df.write.parquet(path)
+            self._kept[tag] = self.spark.read.schema(df.schema).parquet(path)
+        return self._kept[tag]
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
@@ -39,7 +49,7 @@ class Fixtures:
         return spread(self.table("pages"), "page_id")
 
     # -- vocabulary ranking -------------------------------------------------
-    def ranked_tokens(self, max_rank: int = N_TERMS + N_KEYWORDS) -> DataFrame:
+    def ranked_tokens(self, max_rank: int = KEYWORD_RANKS[1]) -> DataFrame:
         """(lang, term, df, rk): letter tokens of length >= 5 ranked by document
         frequency per language.  ``row_number() <= k`` is planned as a partial
         WindowGroupLimit before the shuffle, so no task sees a whole vocabulary."""
@@ -49,59 +59,76 @@ class Fixtures:
 
     def document_frequencies(self) -> DataFrame:
         """(lang, term, df): letter tokens of length >= 5 and how many documents hold them."""
-        toks = (self.docs().where(F.col("lang").isin(*TERM_LANGS))
-                .select("doc_id", "lang",
-                        F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+", -1)))
-                        .alias("term"))
-                .where(F.length("term") >= 5))
-        return toks.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("df"))
-
-    def ranked(self) -> DataFrame:
-        """The ranked vocabulary behind TERMS, KEYWORDS, PAIRS and LEXICON, computed once
-        per query and kept: at most (N_TERMS + N_KEYWORDS) rows per language."""
-        if self._ranked is None:
-            path = scratch_path(self.spark, "ranked")
-            self.ranked_tokens().write.parquet(path)
-            self._ranked = self.spark.read.parquet(path)
-        return self._ranked
+        def count():
+            toks = (self.docs().where(F.col("lang").isin(*TERM_LANGS))
+                    .select("doc_id", "lang",
+                            F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+", -1)))
+                            .alias("term"))
+                    .where(F.length("term") >= 5))
+            return toks.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("df"))
+        return self._once("token-counts", count)
+
+    def dictionary(self) -> DataFrame:
+        """DICTIONARY(lang, term): tokens in at least ``LEAST_DF`` documents; it grows with the data."""
+        return self.document_frequencies().where(F.col("df") >= LEAST_DF).select("lang", "term")
 
     def terms(self) -> DataFrame:
-        """TERMS(lang, term, rk)."""
-        return self.ranked().where(F.col("rk") <= N_TERMS).select("lang", "term", "rk")
+        """TERMS(lang, term, rk): the dictionary, ranked by document frequency in its language.
+        Ranks come from a range-partitioned order, whatever the dictionary's size."""
+        def rank():
+            known = self.document_frequencies().where(F.col("df") >= LEAST_DF)
+            return rank_within(known, "lang", [F.desc("df"), F.asc("term")], "rk").select("lang", "term", "rk")
+        return self._once("terms", rank)
+
+    def term_counts(self) -> DataFrame:
+        """(lang, n_terms): a row per language."""
+        return self.terms().groupBy("lang").agg(F.count(F.lit(1)).alias("n_terms"))
 
     def keywords(self) -> DataFrame:
-        """KEYWORDS(lang, keyword): ranks 51-69."""
-        return (self.ranked().where(F.col("rk") > N_TERMS)
+        """KEYWORDS(lang, keyword): ranks 51-69 of the tokens."""
+        return (self.ranked_tokens().where(F.col("rk") >= KEYWORD_RANKS[0])
                 .select("lang", F.col("term").alias("keyword")))
 
     # -- prompting inputs ---------------------------------------------------
     def pairs(self) -> DataFrame:
-        """PAIRS(term_id, en_term, vi_term): EN and FR terms of equal rank."""
+        """PAIRS(src_lang, tgt_lang, term_id, en_term, vi_term): terms of equal rank in the two
+        languages of each direction."""
         t = self.terms()
-        en = t.where(F.col("lang") == "en").select(F.col("rk").alias("term_id"),
-                                                   F.col("term").alias("en_term"))
-        fr = t.where(F.col("lang") == "fr").select(F.col("rk").alias("term_id"),
-                                                   F.col("term").alias("vi_term"))
-        return en.join(fr, "term_id")
+        to = F.create_map(*[F.lit(x) for kv in PAIR_LANGS.items() for x in kv])
+        src = t.where(F.col("lang").isin(*PAIR_LANGS)).select(
+            F.col("lang").alias("src_lang"), to[F.col("lang")].alias("tgt_lang"), F.col("rk").alias("term_id"),
+            F.col("term").alias("en_term"))
+        tgt = t.select(F.col("lang").alias("tgt_lang"), F.col("rk").alias("term_id"), F.col("term").alias("vi_term"))
+        return src.join(tgt, ["tgt_lang", "term_id"])
 
     def rows(self) -> DataFrame:
-        """ROWS: prompt-input rows, one per EN document (see FIXTURES.md §3)."""
-        docs = self.docs()
-        en = docs.where(F.col("lang") == "en").select(
-            "doc_id", T.split_sentences(T.clean_text("text")).alias("sents"))
-        en = dense_row_number(en, "doc_id", "row_no", start=1)
-        fr = docs.where(F.col("lang") == "fr").select(
-            "doc_id", T.clean_text("text").alias("fr_text"))
-        fr = dense_row_number(fr, "doc_id", "fr_no", start=0).select("fr_no", "fr_text")
-        n_fr = fr.select(F.count(F.lit(1))).scalar()
-        # PAIRS has at most N_TERMS rows, a fixed bound: broadcast is safe.
-        x = (en.withColumn("term_id", F.lit(1) + F.col("doc_id") % N_TERMS)
-             .join(F.broadcast(self.pairs()), "term_id", "left")
-             .withColumn("fr_no", F.col("row_no") % n_fr)
-             .join(fr, "fr_no", "left"))
-        d = F.col("doc_id")
+        """ROWS: prompt-input rows, one per EN or DE document (see FIXTURES.md §3).  Ids are
+        numbered without their texts."""
+        docs, d = self.docs(), F.col("doc_id")
+        to = F.create_map(*[F.lit(x) for kv in PAIR_LANGS.items() for x in kv])
+        ids = self.table("documents").select("doc_id", "lang")
+        src = dense_row_number(ids.where(F.col("lang").isin(*PAIR_LANGS)), "doc_id", "row_no", start=1)
+        tgt = None
+        for lang in PAIR_LANGS.values():
+            one = dense_row_number(ids.where(F.col("lang") == lang), "doc_id", "tgt_no", start=0)
+            tgt = one if tgt is None else tgt.unionByName(one)
+        tgt = tgt.select(F.col("lang").alias("tgt_lang"), "tgt_no", F.col("doc_id").alias("tgt_id"))
+        # Two rows each: a row per direction.
+        n_tgt = F.broadcast(tgt.groupBy("tgt_lang").agg(F.count(F.lit(1)).alias("n_tgt")))
+        pairs = self.pairs()
+        n_pairs = F.broadcast(pairs.groupBy("src_lang").agg(F.count(F.lit(1)).alias("n_pairs")))
+        x = (src.select("doc_id", "row_no", F.col("lang").alias("src_lang"), to[F.col("lang")].alias("tgt_lang"))
+             .join(n_pairs, "src_lang", "left").join(n_tgt, "tgt_lang", "left")
+             .withColumn("term_id", F.lit(1) + d % F.col("n_pairs"))
+             .withColumn("tgt_no", F.col("row_no") % F.col("n_tgt"))
+             .join(pairs.drop("tgt_lang"), ["src_lang", "term_id"], "left")
+             .join(tgt, ["tgt_lang", "tgt_no"], "left"))
+        x = x.join(docs.select("doc_id", "text"), "doc_id").join(
+            docs.select(F.col("doc_id").alias("tgt_id"), F.col("text").alias("tgt_text")), "tgt_id", "left")
+        x = x.withColumn("sents", T.split_sentences(T.clean_text("text")))
         first_hit = F.get(F.filter("sents", lambda s: F.contains(F.lower(s), F.lower(F.col("en_term")))), 0)
         en_s = F.coalesce(first_hit, F.get("sents", 0), F.lit(""))
+        vi_s = F.when(F.col("tgt_id").isNull(), F.lit("")).otherwise(T.clean_text("tgt_text"))
         return x.select(
             "row_no",
             F.when(d % 4 == 0, F.lit("")).when(d % 4 == 1, F.lit("x"))
@@ -111,8 +138,7 @@ class Fixtures:
             F.when(d % 19 == 0, F.lit("  ")).otherwise(F.col("vi_term")).alias("Vietnamese"),
             F.when(d % 5 == 0, F.concat(F.lit('"'), en_s, F.lit('"'))).otherwise(en_s)
             .alias("English Sentence"),
-            F.when(d % 23 == 0, F.lit("")).otherwise(F.coalesce("fr_text", F.lit("")))
-            .alias("Vietnamese Sentence"),
+            F.when(d % 23 == 0, F.lit("")).otherwise(vi_s).alias("Vietnamese Sentence"),
         )
 
     def attempts(self, validated: DataFrame) -> DataFrame:
@@ -180,29 +206,27 @@ class Fixtures:
                 .select(F.col("term").alias("src_term"), F.col("term").alias("tgt_term")))
 
     def lexicon(self) -> DataFrame:
-        """LEXICON(src, tgt): EN token -> FR token of equal rank, ranks 1-69."""
-        r = self.ranked()
-        en = r.where(F.col("lang") == "en").select("rk", F.col("term").alias("src"))
-        fr = r.where(F.col("lang") == "fr").select("rk", F.col("term").alias("tgt"))
-        return en.join(fr, "rk").select("src", "tgt")
+        """LEXICON(src, tgt): EN term -> FR term of equal rank."""
+        return self.pairs().where(F.col("src_lang") == "en").select(
+            F.col("en_term").alias("src"), F.col("vi_term").alias("tgt"))
 
     # -- enrichment inputs ----------------------------------------------------
+    def _dealt(self, rows: DataFrame, id_col: str) -> DataFrame:
+        """``rows`` (with ``lang``) dealt over all terms of their language by their id."""
+        n = F.broadcast(self.term_counts())  # a row per language
+        return (rows.join(n, "lang").withColumn("rk", F.col(id_col) % F.col("n_terms") + 1)
+                .join(self.terms(), ["lang", "rk"])
+                .withColumn("query_rank", (F.lit(1) + F.floor(F.col(id_col) / 50) % 3).cast("int"))
+                .withColumn("result_rank", (F.floor(F.col(id_col) / 150) + 1).cast("int")))
+
     def hits(self) -> DataFrame:
-        """HITS(term, lang, query_rank, result_rank, url, body): documents of the term's
-        language with ``doc_id % 50 = rk - 1``, three queries, every matching document kept;
-        ``result_rank = floor(doc_id / 150) + 1`` orders results (the operators take their
-        own top-k: first two links, top snippets)."""
-        t = self.terms()
-        d = self.docs().withColumn("res", F.col("doc_id") % N_TERMS + 1)
-        h = (d.join(t.withColumnRenamed("rk", "res"), ["lang", "res"])
-             .withColumn("query_rank", (F.lit(1) + F.floor(F.col("doc_id") / 50) % 3).cast("int")))
+        """HITS(term, lang, query_rank, result_rank, url, body): the documents of a language dealt
+        over its terms, three queries, every document kept; ``result_rank = floor(doc_id / 150) + 1``
+        orders results and need not be dense (the operators take their own top-k by it)."""
         url = F.concat(F.lit("http://example.org/"), F.col("doc_id").cast("string"),
                        F.when(F.col("doc_id") % 7 == 0, F.lit(".pdf")).otherwise(F.lit("")))
-        # result_rank orders the results by doc_id (no window over a growing group);
-        # it need not be dense -- operators take their own top-k by it.
-        return h.select("term", "lang", "query_rank",
-                        (F.floor(F.col("doc_id") / 150) + 1).cast("int").alias("result_rank"),
-                        url.alias("url"), F.col("text").alias("body"))
+        return self._dealt(self.docs(), "doc_id").select(
+            "term", "lang", "query_rank", "result_rank", url.alias("url"), F.col("text").alias("body"))
 
     def abstracts(self) -> DataFrame:
         """ABSTRACTS(term, url, body): per EN term the lowest benchmark item containing
@@ -211,7 +235,7 @@ class Fixtures:
         b = self.table("benchmark").select("item_id", "text")
         pairs = contains_join(b.select("item_id", "text", F.lower("text").alias("text_l"),
                                        F.lit("en").alias("lang")),
-                              t.withColumn("lang", F.lit("en")), "text_l", "term", on=["lang"])
+                              t.withColumn("lang", F.lit("en")), "text_l", "term", on=["lang"], ids=["item_id"])
         m = (pairs.groupBy("term").agg(F.min_by(F.struct("item_id", "text"), "item_id").alias("a")))
         return m.select("term", F.concat(F.lit("http://abstracts.example.org/"),
                                          F.col("a.item_id").cast("string")).alias("url"),
@@ -228,8 +252,9 @@ class Fixtures:
 
         r = F.col("term_id")
         url = F.concat(F.lit("http://kept.example.org/"), r.cast("string"))
+        row_no = 2 * r.cast("bigint") + (F.col("src_lang") == "de").cast("int")
         return p.select(
-            r.cast("bigint").alias("row_no"), F.col("en_term").alias("English"),
+            row_no.alias("row_no"), "src_lang", "tgt_lang", F.col("en_term").alias("English"),
             F.when(r % 13 == 0, F.lit(" ")).otherwise(F.col("vi_term")).alias("Vietnamese"),
             existing(r).alias("English example"), existing(r + 2).alias("Vietnamese example"),
             url.alias("English source URL"), url.alias("Vietnamese source URL"))
@@ -238,10 +263,11 @@ class Fixtures:
     def questions(self) -> DataFrame:
         """QUESTIONS(id, question, options, question_type) per benchmark item."""
         b = self.table("benchmark").select("item_id", "text")
-        t = F.broadcast(self.terms().where(F.col("lang") == "en").select("rk", "term"))
+        t = self.terms().where(F.col("lang") == "en").select("rk", "term")
+        n_terms = t.select(F.count(F.lit(1))).scalar()
         letters = F.array(*[F.lit(x) for x in "ABCD"])
         opts = (b.select("item_id", F.posexplode(letters).alias("k", "letter"))
-                .withColumn("rk", (F.lit(4) * F.col("item_id") + F.col("k")) % N_TERMS + 1)
+                .withColumn("rk", (F.lit(4) * F.col("item_id") + F.col("k")) % n_terms + 1)
                 .join(t, "rk")
                 .groupBy("item_id").agg(F.map_from_entries(F.transform(
                     F.sort_array(F.collect_list(F.struct("letter", "term"))),
@@ -276,11 +302,6 @@ class Fixtures:
         return self.hits().select("term", "lang", (3 * F.col("result_rank") + F.col("query_rank")).alias("result_rank"),
                                   "url", T.clean_text("body").alias("body"))
 
-    def dictionary(self, least_df: int = 12) -> DataFrame:
-        """DICTIONARY(lang, term): letter tokens of length >= 5 in at least ``least_df``
-        documents; it grows with the data."""
-        return (self.document_frequencies().where(F.col("df") >= least_df).select("lang", "term"))
-
     def provider_hits(self) -> DataFrame:
         """PROVIDER_HITS(term, lang, provider, result_rank, title, body): HITS as answers of
         three providers (its queries); some terms have none of the first, or of the first two."""
@@ -291,13 +312,7 @@ class Fixtures:
 
     def page_hits(self) -> DataFrame:
         """PAGE_HITS(term, lang, query_rank, result_rank, url): result links that point at
-        the driver's ``pages`` (language from the URL path, ``page_id % 50 = rk - 1``,
-        ``result_rank = floor(page_id / 150) + 1``)."""
-        t = self.terms()
-        p = (self.table("pages").select("page_id", "url")
-             .withColumn("lang", F.regexp_extract("url", "/(en|fr|de|es)/", 1))
-             .withColumn("res", F.col("page_id") % N_TERMS + 1))
-        h = (p.join(t.withColumnRenamed("rk", "res"), ["lang", "res"])
-             .withColumn("query_rank", (F.lit(1) + F.floor(F.col("page_id") / 50) % 3).cast("int")))
-        return h.select("term", "lang", "query_rank",
-                        (F.floor(F.col("page_id") / 150) + 1).cast("int").alias("result_rank"), "url")
+        the driver's ``pages`` (language from the URL path, dealt over its terms)."""
+        p = self.table("pages").select("page_id", "url").withColumn(
+            "lang", F.regexp_extract("url", "/(en|fr|de|es)/", 1))
+        return self._dealt(p, "page_id").select("term", "lang", "query_rank", "result_rank", "url")

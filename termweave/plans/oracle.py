@@ -115,9 +115,10 @@ SELECT lang, term, df, rk FROM (
               FROM d WHERE lang IN ('en', 'fr', 'de', 'es'))
         WHERE length(t) >= 5)
   GROUP BY lang, term)
-WHERE rk <= 69""", "d")
-cte("terms", "SELECT lang, term, rk FROM ranked WHERE rk <= 50", "ranked")
-cte("keywords", "SELECT lang, term AS keyword FROM ranked WHERE rk > 50", "ranked")
+WHERE rk <= 69 OR df >= 12""", "d")
+cte("terms", "SELECT lang, term, rk FROM ranked WHERE df >= 12", "ranked")
+cte("term_counts", "SELECT lang, count(*) AS n_terms FROM terms GROUP BY lang", "terms")
+cte("keywords", "SELECT lang, term AS keyword FROM ranked WHERE rk BETWEEN 51 AND 69", "ranked")
 cte("kw", "SELECT lang, list(keyword ORDER BY keyword) AS keywords FROM keywords GROUP BY lang",
     "keywords")
 cte("dclean", f"SELECT doc_id, lang, {clean_text('text')} AS clean FROM d", "d")
@@ -130,7 +131,7 @@ cte("sent_scores", f"""
 SELECT s.doc_id, s.lang, s.pos, t.term, s.sentence,
        {word_count('s.sentence')}::INTEGER AS n_words,
        {score_sentence('s.sentence', 't.term', 'k.keywords')} AS score
-FROM sents s JOIN terms t ON s.lang = t.lang AND contains(lower(s.sentence), lower(t.term))
+FROM (SELECT *, lower(sentence) AS low FROM sents) s JOIN terms t ON s.lang = t.lang AND contains(s.low, t.term)
 LEFT JOIN kw k ON k.lang = s.lang""", "sents", "terms", "kw")
 
 
@@ -188,16 +189,16 @@ def prepare_vi_examples(x: str) -> str:
 
 
 cte("pairs", """
-SELECT e.rk AS term_id, e.term AS en_term, f.term AS vi_term
-FROM terms e JOIN terms f ON e.rk = f.rk AND e.lang = 'en' AND f.lang = 'fr'""", "terms")
+SELECT e.lang AS src_lang, f.lang AS tgt_lang, e.rk AS term_id, e.term AS en_term, f.term AS vi_term
+FROM terms e JOIN terms f ON e.rk = f.rk AND (e.lang = 'en' AND f.lang = 'fr' OR e.lang = 'de' AND f.lang = 'es')""", "terms")
 cte("en_docs", f"""
-SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS row_no,
+SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) AS row_no,
        {split_sentences(clean_text('text'))} AS sents
-FROM d WHERE lang = 'en'""", "d")
+FROM d WHERE lang IN ('en', 'de')""", "d")
 cte("fr_docs", f"""
-SELECT row_number() OVER (ORDER BY doc_id) - 1 AS fr_no,
-       {clean_text('text')} AS fr_text
-FROM d WHERE lang = 'fr'""", "d")
+SELECT CASE lang WHEN 'fr' THEN 'en' ELSE 'de' END AS src_lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS fr_no,
+       count(*) OVER (PARTITION BY lang) AS n, {clean_text('text')} AS fr_text
+FROM d WHERE lang IN ('fr', 'es')""", "d")
 _EN_S = ("coalesce(list_filter(e.sents, lambda s: contains(lower(s), lower(p.en_term)))[1], "
          "e.sents[1], '')")
 cte("rows", f"""
@@ -209,8 +210,9 @@ SELECT e.row_no,
   CASE WHEN e.doc_id % 5 = 0 THEN '"' || {_EN_S} || '"' ELSE {_EN_S} END AS "English Sentence",
   CASE WHEN e.doc_id % 23 = 0 THEN '' ELSE coalesce(f.fr_text, '') END AS "Vietnamese Sentence"
 FROM en_docs e
-LEFT JOIN pairs p ON p.term_id = 1 + e.doc_id % 50
-LEFT JOIN fr_docs f ON f.fr_no = e.row_no % (SELECT count(*) FROM fr_docs)""",
+LEFT JOIN (SELECT *, count(*) OVER (PARTITION BY src_lang) AS n FROM pairs) p
+  ON p.src_lang = e.lang AND p.term_id = 1 + e.doc_id % p.n
+LEFT JOIN fr_docs f ON f.src_lang = e.lang AND f.fr_no = e.row_no % f.n""",
     "en_docs", "fr_docs", "pairs")
 cte("indexed", f"""
 SELECT * EXCLUDE (pidx, "index"),
@@ -451,8 +453,7 @@ SELECT token, n, (row_number() OVER (ORDER BY n DESC, token) + 1)::INTEGER AS id
   SELECT token, count(*) AS n FROM (SELECT unnest({tokens('text')}) AS token FROM d)
   GROUP BY token)""", "d")
 cte("lexicon", """
-SELECT e.term AS src, f.term AS tgt FROM ranked e JOIN ranked f
-ON e.rk = f.rk AND e.lang = 'en' AND f.lang = 'fr'""", "ranked")
+SELECT en_term AS src, vi_term AS tgt FROM pairs WHERE src_lang = 'en'""", "pairs")
 cte("pairs_ok", f"""
 SELECT row_no, {strip("coalesce(en_sentence, '')")} AS src, {strip("coalesce(vi_sentence_gen, '')")} AS tgt
 FROM resolved WHERE status = 'success'""", "resolved")
@@ -550,7 +551,8 @@ SELECT t.term, d.lang, (1 + floor(d.doc_id / 50) % 3)::INTEGER AS query_rank,
        'http://example.org/' || d.doc_id::VARCHAR
          || CASE WHEN d.doc_id % 7 = 0 THEN '.pdf' ELSE '' END AS url,
        d.text AS body
-FROM d JOIN terms t ON d.lang = t.lang AND d.doc_id % 50 + 1 = t.rk""", "d", "terms")
+FROM d JOIN term_counts n ON d.lang = n.lang JOIN terms t ON d.lang = t.lang AND d.doc_id % n.n_terms + 1 = t.rk""",
+    "d", "terms", "term_counts")
 cte("abstracts", """
 SELECT t.term, 'http://abstracts.example.org/' || min(b.item_id)::VARCHAR AS url,
        arg_min(b.text, b.item_id) AS body
@@ -565,7 +567,7 @@ def _existing(r: str) -> str:
 
 
 cte("enriched", f"""
-SELECT term_id::BIGINT AS row_no, en_term AS "English",
+SELECT 2 * term_id::BIGINT + (src_lang = 'de')::INTEGER AS row_no, src_lang, tgt_lang, en_term AS "English",
        CASE WHEN term_id % 13 = 0 THEN ' ' ELSE vi_term END AS "Vietnamese",
        {_existing('term_id')} AS "English example", {_existing('(term_id + 2)')} AS "Vietnamese example",
        'http://kept.example.org/' || term_id::VARCHAR AS "English source URL",
@@ -575,10 +577,10 @@ cte("items", f"""
 SELECT *, CASE WHEN value IS NOT NULL AND value NOT IN ('PENDING', 'UNOBSERVED') AND length(value) > 10
                THEN 'done'
                WHEN coalesce({strip('term')}, '') = '' THEN 'blank' ELSE 'todo' END AS state
-FROM (SELECT row_no, 'en' AS side, 'en' AS lang, "English" AS term, "English example" AS value,
+FROM (SELECT row_no, 'en' AS side, src_lang AS lang, "English" AS term, "English example" AS value,
              "English source URL" AS url FROM enriched
       UNION ALL
-      SELECT row_no, 'vi', 'fr', "Vietnamese", "Vietnamese example", "Vietnamese source URL"
+      SELECT row_no, 'vi', tgt_lang, "Vietnamese", "Vietnamese example", "Vietnamese source URL"
       FROM enriched)""", "enriched")
 cte("enrich_cand", f"""
 SELECT i.row_no, i.side, i.lang, i.term, l.url, l.body, 0 AS source_rank, l.url_rank
@@ -664,8 +666,9 @@ FROM benchmark b LEFT JOIN (
   SELECT x.item_id, list({{'k': x.letter, 'v': t.term}} ORDER BY x.letter) AS options
   FROM (SELECT b.item_id, l.k, l.letter FROM benchmark b,
         (VALUES (0, 'A'), (1, 'B'), (2, 'C'), (3, 'D')) l(k, letter)) x
-  JOIN terms t ON t.lang = 'en' AND t.rk = (4 * x.item_id + x.k) % 50 + 1
-  GROUP BY x.item_id) o USING (item_id)""", "terms")
+  JOIN term_counts n ON n.lang = 'en'
+  JOIN terms t ON t.lang = 'en' AND t.rk = (4 * x.item_id + x.k) % n.n_terms + 1
+  GROUP BY x.item_id) o USING (item_id)""", "terms", "term_counts")
 cte("answers_raw", """
 SELECT id, CASE item_id % 7
   WHEN 6 THEN NULL
@@ -787,7 +790,8 @@ cte("page_hits", """
 SELECT t.term, p.lang, (1 + floor(p.page_id / 50) % 3)::INTEGER AS query_rank,
        (floor(p.page_id / 150) + 1)::INTEGER AS result_rank, p.url
 FROM (SELECT page_id, url, regexp_extract(url, '/(en|fr|de|es)/', 1) AS lang FROM pages) p
-JOIN terms t ON p.lang = t.lang AND p.page_id % 50 + 1 = t.rk""", "terms")
+JOIN term_counts n ON p.lang = n.lang
+JOIN terms t ON p.lang = t.lang AND p.page_id % n.n_terms + 1 = t.rk""", "terms", "term_counts")
 cte("page_hits_body", f"""
 SELECT h.*, x.text AS body FROM page_hits h LEFT JOIN (
   SELECT url, text FROM (SELECT url, {html_to_text('html')} AS text FROM pages) WHERE length(text) >= 50) x

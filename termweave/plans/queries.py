@@ -264,9 +264,13 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
                        mining.url_usable("url").alias("usable"))
 
 
+def _langs() -> dict:
+    return {"en": F.col("src_lang"), "vi": F.col("tgt_lang")}
+
+
 def _enrich(fx: Fixtures) -> DataFrame:
     return mining.enrich(fx.enrichment_input(), fx.hits(), fx.abstracts(), fx.keywords(),
-                         lang_map={"en": "en", "vi": "fr"})
+                         lang_map=_langs())
 
 
 @query
@@ -281,7 +285,7 @@ def enrich_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixtures(spark, sf_dir)
     hits = mining.hits_with_pages(fx.page_hits(), fx.pages())
     return mining.enrich(fx.enrichment_input(), hits, fx.abstracts(), fx.keywords(),
-                         lang_map={"en": "en", "vi": "fr"})
+                         lang_map=_langs())
 
 
 @query
@@ -298,7 +302,7 @@ def enriched_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def resume_work_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixtures(spark, sf_dir)
-    items = mining.work_items(fx.enrichment_input(), lang_map={"en": "en", "vi": "fr"})
+    items = mining.work_items(fx.enrichment_input(), lang_map=_langs())
     done = items.where(F.col("state") == "done").select("row_no", "side")
     # JOIN-7: only rows without a finished value are (re)processed.
     return (items.where(F.col("state") != "blank")
