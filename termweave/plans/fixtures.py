@@ -57,16 +57,16 @@ class Fixtures:
         return (self.document_frequencies().withColumn("rk", F.row_number().over(w))
                 .where(F.col("rk") <= max_rank))
 
-    def document_frequencies(self) -> DataFrame:
+    def document_frequencies(self, docs: DataFrame | None = None) -> DataFrame:
         """(lang, term, df): letter tokens of length >= 5 and how many documents hold them."""
-        def count():
-            toks = (self.docs().where(F.col("lang").isin(*TERM_LANGS))
+        def count(docs):
+            toks = (docs.where(F.col("lang").isin(*TERM_LANGS))
                     .select("doc_id", "lang",
                             F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+", -1)))
                             .alias("term"))
                     .where(F.length("term") >= 5))
             return toks.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("df"))
-        return self._once("token-counts", count)
+        return count(docs) if docs is not None else self._once("token-counts", lambda: count(self.docs()))
 
     def dictionary(self) -> DataFrame:
         """DICTIONARY(lang, term): tokens in at least ``LEAST_DF`` documents; it grows with the data."""

@@ -723,12 +723,38 @@ SELECT term, lang, query_rank, result_rank, url FROM (
   SELECT *, row_number() OVER (PARTITION BY term, lang, query_rank ORDER BY result_rank) AS rn FROM hits)
 WHERE rn <= 3""", "hits")
 ORACLE["ascii_evidence"] = sql("SELECT term, lang, evidence FROM ascii_ev", "ascii_ev")
+cte("postings", """
+SELECT token, doc_id, count(*) AS tf, any_value(dl) AS dl FROM (
+  SELECT doc_id, len(w) AS dl, unnest(w) AS token FROM (
+    SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w FROM d))
+GROUP BY token, doc_id""", "d")
+cte("collection", "SELECT count(*) AS n, sum(dl) / count(*) AS mean FROM (SELECT doc_id, any_value(dl) AS dl FROM postings GROUP BY doc_id)",
+    "postings")
+cte("searches", """
+SELECT DISTINCT id, opt_key, unnest(string_split_regex(lower(opt || ' ' || question), '[^\\p{L}\\p{N}]+')) AS token
+FROM (SELECT id, question, unnest(options).k AS opt_key, unnest(options).v AS opt FROM questions)""", "questions")
+cte("option_hits", """
+SELECT id, opt_key, rank, doc, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY id, opt_key ORDER BY score DESC, doc) AS rank FROM (
+    SELECT s.id, s.opt_key, p.doc_id AS doc,
+           sum(round(1e6 * ln(1 + (c.n - f.df + 0.5) / (f.df + 0.5)) * p.tf * 2.2
+                     / (p.tf + 1.2 * (0.25 + 0.75 * p.dl / c.mean)))::BIGINT)::BIGINT AS score
+    FROM searches s JOIN postings p USING (token)
+    JOIN (SELECT token, count(*) AS df FROM postings GROUP BY token) f USING (token) CROSS JOIN collection c
+    WHERE f.df <= 0.5 * c.n
+    GROUP BY ALL))
+WHERE rank <= 3""", "searches", "postings", "collection")
+ORACLE["search_evidence"] = sql("SELECT id, opt_key, rank::INTEGER AS rank, doc, score FROM option_hits", "option_hits")
 cte("evidence_text", f"""
-SELECT id, string_agg(e.k || ': ' || coalesce(ev.evidence, {q(K.NO_EVIDENCE)}), chr(10) ORDER BY pos)
+SELECT o.id, string_agg(e.k || ': ' || coalesce(evidence, {q(K.NO_EVIDENCE)}), chr(10) ORDER BY pos)
          AS evidence_text
 FROM (SELECT id, unnest(options) AS e, generate_subscripts(options, 1) AS pos FROM questions) o
-LEFT JOIN (SELECT term, evidence FROM ascii_ev WHERE lang = 'en') ev ON ev.term = o.e.v
-GROUP BY id""", "questions", "ascii_ev")
+LEFT JOIN (
+  SELECT id, opt_key, coalesce(string_agg(body, ' | ' ORDER BY rank) FILTER (WHERE {ascii_share('body')} > 0.8),
+                               {q(K.NO_ENGLISH_EVIDENCE)}) AS evidence
+  FROM option_hits JOIN (SELECT doc_id AS doc, clean AS body FROM dclean) USING (doc) GROUP BY id, opt_key) ev
+  ON ev.id = o.id AND ev.opt_key = o.e.k
+GROUP BY o.id""", "questions", "option_hits", "dclean")
 ORACLE["evidence_map"] = sql("SELECT id, evidence_text FROM evidence_text", "evidence_text")
 
 
@@ -775,6 +801,9 @@ ORACLE["answer_rejects"] = sql(
 # -- incremental runs, batching and slices ------------------------------------------------
 
 ORACLE["incremental_mine"] = ORACLE["best_sentence"]
+ORACLE["incremental_delta"] = ORACLE["best_sentence"]
+ORACLE["append_batches"] = sql("""
+SELECT doc_id, lang, length(text)::INTEGER AS n_chars, clean FROM d JOIN dclean USING (doc_id, lang)""", "d", "dclean")
 ORACLE["slice_rows"] = """
 SELECT doc_id, row_no, row_no < 100 AS in_head, row_no >= 100 AND row_no < 300 AS in_slice,
        row_no >= 50 AS after_skip

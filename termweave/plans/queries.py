@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 
 from termweave.functions import text as T
 from termweave.functions import constants as K
-from termweave.operators import answering, corpus, evaluation, generation, mining, ordering, prompting
+from termweave.operators import answering, corpus, evaluation, generation, mining, ordering, prompting, retrieval
 from termweave.operators.ordering import dense_row_number
 from termweave.session import scratch_path
 from termweave.sources import io
 from termweave.streaming import incremental
-from termweave.plans.fixtures import Fixtures
+from termweave.plans.fixtures import LEAST_DF, Fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -324,11 +324,27 @@ def _evidence(fx: Fixtures) -> DataFrame:
     return answering.ascii_evidence(fx.snippets(), ["term", "lang"])
 
 
+def _option_hits(fx: Fixtures, questions: DataFrame) -> DataFrame:
+    """(id, opt_key, rank, doc, score): the documents found for each option's search text,
+    ``option question``."""
+    index = retrieval.postings(fx.docs())
+    return written(retrieval.search(index, answering.option_rows(questions), ["id", "opt_key"], K.SNIPPETS_PER_QUERY),
+                   "option-hits")
+
+
 def _option_evidence(fx: Fixtures, questions: DataFrame) -> DataFrame:
-    """(id, opt_key, evidence): what the chain gives for each option's search."""
-    ev = _evidence(fx).where(F.col("lang") == "en").select(F.col("term").alias("opt_val"), "evidence")
-    return answering.option_rows(questions).select("id", "opt_key", "opt_val").join(ev, "opt_val").select(
-        "id", "opt_key", "evidence")
+    """(id, opt_key, evidence): what the search finds for each option, texts fetched for the hits alone."""
+    hits = _option_hits(fx, questions)
+    bodies = fx.docs().select(F.col("doc_id").alias("doc"), "text").join(hits.select("doc").distinct(), "doc", "left_semi")
+    found = hits.join(bodies.select("doc", T.clean_text("text").alias("body")), "doc")
+    return answering.ascii_evidence(found.withColumnRenamed("rank", "result_rank"), ["id", "opt_key"])
+
+
+@query
+def search_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-6 / SCA-19: ranked retrieval over all documents for every question's options."""
+    fx = Fixtures(spark, sf_dir)
+    return _option_hits(fx, fx.questions())
 
 
 @query
@@ -403,6 +419,38 @@ def incremental_mine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(sink).drop("epoch")
 
 
+@query
+def incremental_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-1 / SNK-10 / JOIN-7: documents arrive in two parts and the dictionary grows with them; each
+    run mines what is new on either side.  Equal to ``best_sentence``."""
+    fx = Fixtures(spark, sf_dir)
+    state = scratch_path(spark, "delta")
+    docs, keywords = fx.docs(), written(fx.keywords(), "keywords")
+    first = docs.where(F.crc32(F.col("doc_id").cast("string")) % 2 == 0)
+    counts = fx.document_frequencies(first)
+    incremental.mine_increment(spark, first, counts.where(F.col("df") >= LEAST_DF), keywords, state)
+    incremental.mine_increment(spark, docs, fx.terms(), keywords, state)
+    return incremental.mined(spark, state)
+
+
+@query
+def append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-2 / SNK-6 / SET-2: documents as JSON files, read by a stream a few files at a time and
+    appended an epoch at a time.  A further folder without a commit record, as an ended run leaves it,
+    is not read: every document is there once."""
+    docs = Fixtures(spark, sf_dir).docs()
+    source, (sink, ckpt) = scratch_path(spark, "json"), incremental.scratch_paths(spark, "append")
+    docs.select("doc_id", "lang", "text").write.json(source)
+
+    def fn(df: DataFrame) -> DataFrame:
+        return df.select("doc_id", "lang", F.length("text").alias("n_chars"), T.clean_text("text").alias("clean"))
+
+    incremental.append_batches(spark, source, "doc_id bigint, lang string, text string", fn, sink, ckpt,
+                               max_files_per_trigger=4)
+    fn(docs).write.json(incremental.epoch_path(sink, 1 << 20))  # halfway: no commit record
+    return incremental.read_committed(spark, sink, "doc_id bigint, lang string, n_chars int, clean string", "json")
+
+
 @query
 def slice_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """LIM-1..3 as flags over every document in file (doc_id) order: head of 100,
