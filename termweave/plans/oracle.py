@@ -519,21 +519,35 @@ def url_usable(x: str) -> str:
             f"{_FILE_EXT}), false)")
 
 
-def html_to_text(x: str) -> str:
-    h = f"regexp_replace({x}, '(?s)<!--.*?-->', '', 'g')"
-    h = f"regexp_replace({h}, '(?i)<!doctype[^>]*>', '', 'g')"
-    for tag in K.DROPPED_HTML_ELEMENTS:
-        h = f"regexp_replace({h}, {q(rf'(?is)<{tag}\b[^>]*>.*?</{tag}\s*>')}, chr(1), 'g')"
-    h = f"regexp_replace({h}, '</?[a-zA-Z][^>]*>', chr(1), 'g')"
-    from termweave.operators.mining import _ENTITIES, _NUM_ENTITIES, _entity_re
-
-    p = "p"
-    for a, b in _NUM_ENTITIES:
-        p = f"replace({p}, {q(a)}, {q(b)})"
-    for name, ch in _ENTITIES:
-        p = f"regexp_replace({p}, {q(_entity_re(name))}, {q(ch)} || '\\2', 'g')"
-    return (f"array_to_string(list_filter(list_transform(string_split({h}, chr(1)), lambda p: {strip(p)}), "
-            f"lambda p: p <> ''), chr(10))")
+# Pages in SQL, independently: all markup is unnested with its place; a running sum of opened and
+# closed removed elements tells what is inside one; references are replaced name by name.
+_REMOVED = "|".join(e for e in K.DROPPED_HTML_ELEMENTS if e not in ("script", "style"))
+_MARKS = (r"(?is)<!--.*?-->|<![^>]*>|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
+          r"""|</?[a-z](?:[^>"']|"[^"]*"|'[^']*')*>""")
+
+
+def _references(x: str) -> str:
+    for name, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("nbsp", "\u00a0"),
+                       ("eacute", "é"), ("#39", "'"), ("#x27", "'")):
+        x = f"regexp_replace({x}, '&{name}(;|([^A-Za-z0-9])|\\z)', {q(char)} || '\\2', 'g')"
+    # Twice: the character behind a reference without ; may itself start one.
+    for _ in range(2):
+        x = f"regexp_replace({x}, '&amp(;|([^A-Za-z0-9;])|\\z)', chr(3) || '\\2', 'g')"
+    return f"replace({x}, chr(3), '&')"
+
+
+cte("page_pieces", f"""
+SELECT page_id, i, {strip(_references('piece'))} AS piece,
+       sum(CASE WHEN regexp_matches(mark, '(?i)^<({_REMOVED})[\\s/>]') AND NOT ends_with(mark, '/>') THEN 1
+                WHEN regexp_matches(mark, '(?i)^</({_REMOVED})[\\s/>]') THEN -1 ELSE 0 END)
+         OVER (PARTITION BY page_id ORDER BY i) AS inside
+FROM (SELECT page_id, unnest(string_split_regex(html, {q(_MARKS)})) AS piece,
+             unnest(list_prepend('', regexp_extract_all(html, {q(_MARKS)}))) AS mark,
+             generate_subscripts(string_split_regex(html, {q(_MARKS)}), 1) AS i FROM pages)""")
+cte("page_texts", """
+SELECT p.page_id, p.url, coalesce(x.text, '') AS text FROM pages p LEFT JOIN (
+  SELECT page_id, string_agg(piece, chr(10) ORDER BY i) AS text FROM page_pieces WHERE inside = 0 AND piece <> ''
+  GROUP BY page_id) x USING (page_id)""", "page_pieces")
 
 
 def last_word(x: str) -> str:
@@ -621,9 +635,7 @@ SELECT i.row_no, i.side,
        CASE WHEN i.state = 'done' THEN i.url WHEN f.sentence IS NOT NULL THEN f.url ELSE '' END AS source_url
 FROM items i LEFT JOIN enrich_found f USING (row_no, side)""", "items", "enrich_found")
 
-ORACLE["html_text"] = sql(f"""
-SELECT page_id, text FROM (SELECT page_id, {html_to_text('html')} AS text FROM pages)
-WHERE length(text) >= 50""")
+ORACLE["html_text"] = sql("SELECT page_id, text FROM page_texts WHERE length(text) >= 50", "page_texts")
 ORACLE["url_filter"] = sql(f"""
 SELECT url, regexp_extract(url, {_URL_PATH}, 1) AS path, {url_usable('url')} AS usable
 FROM (SELECT url FROM hits UNION ALL SELECT url FROM pages)""", "hits")
@@ -821,10 +833,9 @@ SELECT t.term, p.lang, (1 + floor(p.page_id / 50) % 3)::INTEGER AS query_rank,
 FROM (SELECT page_id, url, regexp_extract(url, '/(en|fr|de|es)/', 1) AS lang FROM pages) p
 JOIN term_counts n ON p.lang = n.lang
 JOIN terms t ON p.lang = t.lang AND p.page_id % n.n_terms + 1 = t.rk""", "terms", "term_counts")
-cte("page_hits_body", f"""
-SELECT h.*, x.text AS body FROM page_hits h LEFT JOIN (
-  SELECT url, text FROM (SELECT url, {html_to_text('html')} AS text FROM pages) WHERE length(text) >= 50) x
-USING (url)""", "page_hits")
+cte("page_hits_body", """
+SELECT h.*, x.text AS body FROM page_hits h LEFT JOIN (SELECT url, text FROM page_texts WHERE length(text) >= 50) x
+USING (url)""", "page_hits", "page_texts")
 
 
 def _enrich_with(hits_view: str) -> str:
