@@ -18,7 +18,8 @@ from termweave.functions import text as T
 MAX_ORDER = 4
 
 # mteval-13a: ASCII symbols isolated except apostrophe, comma, hyphen, period, digits.
-_SYMBOLS = r"([\x{7b}-\x{7e}\x{5b}-\x{60}\x{20}-\x{26}\x{28}-\x{2b}\x{3a}-\x{40}/])"
+# The symbols that stand alone.
+_SYMBOLS = r"""([ !"#$%&()*+/:;<=>?@\[\\\]^_`{|}~])"""
 
 
 def tokenize_13a(c) -> Column:

@@ -327,7 +327,8 @@ GROUP BY outcome""", "resolved", "validated")
 
 # -- evaluation --------------------------------------------------------------------
 
-_SYMBOLS = r"([\x{7b}-\x{7e}\x{5b}-\x{60}\x{20}-\x{26}\x{28}-\x{2b}\x{3a}-\x{40}/])"
+# The symbols that stand alone.
+_SYMBOLS = r"""([ !"#$%&()*+/:;<=>?@\[\\\]^_`{|}~])"""
 
 
 def tokens(x: str) -> str:
