@@ -64,3 +64,53 @@ SELECT doc_id, leaf, sub.digest AS subroot, top.digest AS root, sha256(proof) AS
        folded = top.digest AS verified
 FROM climb JOIN low sub ON sub.tree = climb.leaf_tree AND sub.n = 1 CROSS JOIN (SELECT digest FROM up WHERE n = 1) top
 WHERE done"""
+
+
+def _components(nodes: str, links: str) -> str:
+    """part(id, root): the smallest id that links (a, b) lead to, for every id of ``nodes``."""
+    return f"""reach AS (
+    SELECT id, id AS other FROM {nodes}
+    UNION
+    SELECT r.id, l.b FROM reach r JOIN (SELECT a, b FROM {links} UNION SELECT b, a FROM {links}) l ON r.other = l.a),
+part AS (SELECT id, min(other) AS root FROM reach GROUP BY id)"""
+
+
+# Cosines of all pairs, in double precision.
+VECTOR_SQL = f"""
+WITH RECURSIVE rows AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings),
+usable AS (
+    SELECT *, sqrt(list_dot_product(v, v)) AS length FROM rows
+    WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS (
+    SELECT x.id AS a, y.id AS b FROM usable x JOIN usable y
+    ON x.id < y.id AND len(x.v) = len(y.v) AND list_dot_product(x.v, y.v) / (x.length * y.length) >= 0.9),
+{_components('rows', 'links')}
+SELECT r.id AS vec_id, coalesce(n.n, 0)::BIGINT AS n_links, p.root AS component_id, p.root = r.id AS kept
+FROM rows r JOIN part p ON p.id = r.id
+LEFT JOIN (SELECT a, count(*) AS n FROM (SELECT a, b FROM links UNION ALL SELECT b, a FROM links) GROUP BY a) n ON n.a = r.id"""
+
+# Shingles of four words; every pair that shares one is held against 80 percent.
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+SHINGLE_SQL = f"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+    SELECT x.doc_id AS a, y.doc_id AS b FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id
+    JOIN sizes p ON p.doc_id = x.doc_id JOIN sizes q ON q.doc_id = y.doc_id
+    GROUP BY x.doc_id, y.doc_id, p.n, q.n HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))),
+ids AS (SELECT doc_id AS id FROM documents),
+{_components('ids', 'links')}
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, p.root AS component_id, p.root = d.doc_id AS kept
+FROM documents d JOIN part p ON p.id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id"""
+
+# Of equal payloads of 1000 bytes and more, the page with the largest id is the response.
+ARCHIVE_SQL = """
+SELECT page_id, strlen(body)::BIGINT AS payload_bytes, sha1(body) AS payload_digest,
+       CASE WHEN strlen(body) >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN strlen(body) >= 1000 AND page_id <> last THEN last END AS refers_to
+FROM (SELECT page_id, coalesce(html, '') AS body, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages)"""

@@ -22,7 +22,7 @@ from termweave.llm import (
 )
 from termweave.llm.common import table
 from termweave.llm.native_spans import written
-from termweave.llm.oracle import MERKLE_SQL
+from termweave.llm.oracle import ARCHIVE_SQL, MERKLE_SQL, SHINGLE_SQL, VECTOR_SQL
 
 
 def _count(spans: str, kind: str):
@@ -120,4 +120,9 @@ QUERIES = {
     "op13_graph_search": op13_graph_search,
 }
 
-ORACLE: dict[str, str] = {"op11_merkle_manifest": MERKLE_SQL}
+ORACLE: dict[str, str] = {
+    "op6_subspace_join": VECTOR_SQL,
+    "op9_minhash_inverted_join": SHINGLE_SQL,
+    "op10_warc_zstd": ARCHIVE_SQL,
+    "op11_merkle_manifest": MERKLE_SQL,
+}
