@@ -217,11 +217,11 @@ class Fixtures:
         return (rows.join(n, "lang").withColumn("rk", F.col(id_col) % F.col("n_terms") + 1)
                 .join(self.terms(), ["lang", "rk"])
                 .withColumn("query_rank", (F.lit(1) + F.floor(F.col(id_col) / 50) % 3).cast("int"))
-                .withColumn("result_rank", (F.floor(F.col(id_col) / 150) + 1).cast("int")))
+                .withColumn("result_rank", F.col(id_col) + 1))  # unique, however few the terms
 
     def hits(self) -> DataFrame:
         """HITS(term, lang, query_rank, result_rank, url, body): the documents of a language dealt
-        over its terms, three queries, every document kept; ``result_rank = floor(doc_id / 150) + 1``
+        over its terms, three queries, every document kept; ``result_rank = doc_id + 1``
         orders results and need not be dense (the operators take their own top-k by it)."""
         url = F.concat(F.lit("http://example.org/"), F.col("doc_id").cast("string"),
                        F.when(F.col("doc_id") % 7 == 0, F.lit(".pdf")).otherwise(F.lit("")))

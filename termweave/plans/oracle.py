@@ -562,7 +562,7 @@ def ascii_share(x: str) -> str:
 
 cte("hits", """
 SELECT t.term, d.lang, (1 + floor(d.doc_id / 50) % 3)::INTEGER AS query_rank,
-       (floor(d.doc_id / 150) + 1)::INTEGER AS result_rank,
+       d.doc_id + 1 AS result_rank,
        'http://example.org/' || d.doc_id::VARCHAR
          || CASE WHEN d.doc_id % 7 = 0 THEN '.pdf' ELSE '' END AS url,
        d.text AS body
@@ -830,7 +830,7 @@ FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_no FROM docu
 
 cte("page_hits", """
 SELECT t.term, p.lang, (1 + floor(p.page_id / 50) % 3)::INTEGER AS query_rank,
-       (floor(p.page_id / 150) + 1)::INTEGER AS result_rank, p.url
+       p.page_id + 1 AS result_rank, p.url
 FROM (SELECT page_id, url, regexp_extract(url, '/(en|fr|de|es)/', 1) AS lang FROM pages) p
 JOIN term_counts n ON p.lang = n.lang
 JOIN terms t ON p.lang = t.lang AND p.page_id % n.n_terms + 1 = t.rk""", "terms", "term_counts")
