@@ -440,6 +440,11 @@ FROM (SELECT *, CASE WHEN (contains(text, 'BLEU') OR contains(lower(text), 'scor
                      THEN regexp_extract(text, {q('(' + K.DECIMAL_PATTERN + ')')}, 1)::DOUBLE END AS v
       FROM reports)
 GROUP BY system""", "reports")
+ORACLE["evaluation_report"] = sql("""
+SELECT system, round(bleu, 6) AS bleu,
+       CASE WHEN system = 'tuned' THEN round(bleu - (SELECT bleu FROM bl_scores WHERE system = 'baseline'), 6) END AS delta,
+       sys_len, ref_len
+FROM bl_scores""", "bl_scores")
 ORACLE["zip_lines"] = sql(f"""
 SELECT coalesce(r.line_no, p.line_no) AS line_no, r.text AS left_text, p.text AS right_text,
        CASE WHEN r.text IS NULL THEN 'missing_left' WHEN p.text IS NULL THEN 'missing_right'
@@ -498,6 +503,16 @@ FROM (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS line_no,
              CASE WHEN doc_id % 11 = 0 THEN ' ' ELSE regexp_replace(text, '[\r\n]', ' ', 'g') END AS left_text,
              CASE WHEN doc_id % 13 = 0 THEN '' ELSE lang || ' ' || doc_id::VARCHAR END AS right_text
       FROM documents)"""
+ORACLE["csv_round_trip"] = """
+SELECT row_number() OVER (ORDER BY doc_id) AS row_no, doc_id, nullif(lang, '') AS lang,
+       CASE doc_id % 9 WHEN 0 THEN 'NA' WHEN 1 THEN ' NA ' ELSE nullif(source, '') END AS source,
+       '"' || lang || '", "' AS quoted, nullif(text, '') AS text,
+       CASE doc_id % 9 WHEN 0 THEN true WHEN 1 THEN false ELSE coalesce(source, '') = '' END AS no_source
+FROM documents"""
+ORACLE["json_lines_round_trip"] = """
+SELECT doc_id, lang, CASE WHEN doc_id % 5 > 0 THEN source END AS note, text, false AS torn, NULL AS torn_id FROM documents
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, true, doc_id::VARCHAR FROM documents WHERE doc_id % 10 = 0"""
 ORACLE["translate_batches"] = """
 SELECT doc_id AS line_no, length(text)::VARCHAR || ':' || text AS text FROM documents"""
 ORACLE["lexicon_translate"] = sql(f"""
@@ -588,6 +603,11 @@ SELECT 2 * term_id::BIGINT + (src_lang = 'de')::INTEGER AS row_no, src_lang, tgt
        'http://kept.example.org/' || term_id::VARCHAR AS "English source URL",
        'http://kept.example.org/' || term_id::VARCHAR AS "Vietnamese source URL"
 FROM pairs""", "pairs")
+ORACLE["prompt_inputs"] = sql("""
+SELECT row_no, '' AS "index", "English", "Vietnamese",
+       CASE WHEN "English example" IN ('PENDING', 'UNOBSERVED') THEN '' ELSE "English example" END AS en_sentence,
+       '' AS vi_sentence, 'PENDING' AS state
+FROM enriched""", "enriched")
 cte("items", f"""
 SELECT *, CASE WHEN value IS NOT NULL AND value NOT IN ('PENDING', 'UNOBSERVED') AND length(value) > 10
                THEN 'done'
@@ -797,6 +817,16 @@ WHERE q.question_type IN ('multi_choice', 'open_ended_multi_choice', 'open_ended
 
 
 ORACLE["answer_prompts"] = _answer_prompt_sql()
+ORACLE["answer_batches"] = f"""
+SELECT a.id,
+       CASE WHEN NOT asked THEN '' WHEN is_open THEN reasoning ELSE selected END AS prediction,
+       CASE WHEN NOT asked THEN {q(K.UNSUPPORTED_REASONING)} ELSE reasoning END AS reasoning_trace,
+       CASE WHEN NOT asked THEN '' WHEN is_open AND coalesce(selected, '') = '' THEN 'A' ELSE selected END AS choice
+FROM (SELECT 'q' || item_id::VARCHAR AS id, p.id IS NOT NULL AS asked, item_id % 4 = 2 AS is_open,
+             CASE WHEN length(prompt) % 7 IN (0, 1) THEN '' ELSE 'B' END AS selected,
+             CASE length(prompt) % 7 WHEN 0 THEN NULL WHEN 1 THEN 'free text ' || length(prompt)::VARCHAR
+                  ELSE length(prompt)::VARCHAR || ' characters' END AS reasoning
+      FROM benchmark b LEFT JOIN ({ORACLE["answer_prompts"]}) p ON p.id = 'q' || item_id::VARCHAR) a"""
 ORACLE["parse_answers"] = sql(
     "SELECT id, valid, is_object, selected_option, reasoning FROM parsed_answers", "parsed_answers")
 ORACLE["answers"] = sql(f"""

@@ -179,6 +179,15 @@ def report_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.report_scores(fx.reports(_scores(fx)))
 
 
+@query
+def evaluation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-9: the report of the run, written as JSON and read again."""
+    path = scratch_path(spark, "report")
+    io.write_json_config(evaluation.evaluation_report(_scores(Fixtures(spark, sf_dir))), path)
+    r = io.read_jsonl(spark, path, "system string, bleu double, delta double, sys_len bigint, ref_len bigint")
+    return r.select("system", F.round("bleu", 6).alias("bleu"), F.round("delta", 6).alias("delta"), "sys_len", "ref_len")
+
+
 @query
 def zip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixtures(spark, sf_dir)
@@ -236,6 +245,38 @@ def line_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.zip_lines(io.read_lines(spark, src), io.read_lines(spark, tgt))
 
 
+@query
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-1/2, SNK-1/2: documents written as CSV files with quoted newlines, read by splits; a source
+    spelled as a missing-value token is null where the file is read as pandas does."""
+    docs = Fixtures(spark, sf_dir).table("documents")
+    source = F.when(F.col("doc_id") % 9 == 0, F.lit("NA")).when(F.col("doc_id") % 9 == 1, F.lit(" NA ")).otherwise(F.col("source"))
+    rows = docs.select("doc_id", "lang", source.alias("source"), F.concat(F.lit('"'), "lang", F.lit('", "')).alias("quoted"), "text")
+    path = scratch_path(spark, "csv")
+    io.write_csv(rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id"), path)
+    every = io.read_csv_rows(spark, path, ["doc_id", "lang", "source", "quoted", "text"], splits=True)
+    missing = io.read_csv_pandas(spark, path, ["source"], splits=True)
+    return every.join(missing.select("row_no", F.col("source").isNull().alias("no_source")), "row_no").select(
+        "row_no", F.col("doc_id").cast("bigint").alias("doc_id"), "lang", "source", "quoted", "text", "no_source")
+
+
+@query
+def json_lines_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-4, SNK-3, SCA-16: a log of records as JSON lines, nulls and letters of all alphabets kept;
+    lines torn off by an ended writer are rows without fields, not an error."""
+    docs = Fixtures(spark, sf_dir).table("documents")
+    log = docs.select("doc_id", "lang", F.when(F.col("doc_id") % 5 > 0, F.col("source")).alias("note"), "text")
+    whole, torn = scratch_path(spark, "jsonl"), scratch_path(spark, "jsonl-torn")
+    io.write_jsonl(log, whole)
+    line = T.json_line("doc_id", "lang", "note", "text")
+    log.where(F.col("doc_id") % 10 == 0).select(F.substring(line, F.lit(1), F.length(line) - 1)).write.text(torn)
+    schema = "doc_id bigint, lang string, note string, text string"
+    read = io.read_jsonl(spark, whole, schema).unionByName(io.read_jsonl(spark, torn, schema))
+    bad = F.col("_corrupt_record")
+    return read.select("doc_id", "lang", "note", "text", bad.isNotNull().alias("torn"),
+                       F.regexp_extract(bad, r'^\{"doc_id":([0-9]+),', 1).alias("torn_id"))
+
+
 @query
 def translate_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """UDF-2 with a stand-in translator over all documents."""
@@ -310,6 +351,16 @@ def resume_work_set(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("row_no", "side", "lang", "term"))
 
 
+@query
+def prompt_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ-1 / PRJ-5: a table that lacks the columns of one side, completed and handed on as rows to prompt."""
+    bare = Fixtures(spark, sf_dir).enrichment_input().drop("Vietnamese example", "Vietnamese source URL")
+    full = mining.add_missing_columns(bare)
+    p = mining.to_prompt_input(full).join(full.select("row_no", F.col("Vietnamese example").alias("state")), "row_no")
+    return p.select("row_no", "index", "English", "Vietnamese", F.col("English Sentence").alias("en_sentence"),
+                    F.col("Vietnamese Sentence").alias("vi_sentence"), "state")
+
+
 @query
 def search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Fixtures(spark, sf_dir).terms()
@@ -384,6 +435,25 @@ def answer_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select("id", p.alias("prompt")).where(F.col("prompt").isNotNull())
 
 
+def _stand_in_answers(prompts):
+    """Answers of a stand-in model: JSON for most prompts, free text, or a failed call."""
+    def one(n: int):
+        if n % 7 == 0:
+            return None, K.API_ERROR_PREFIX + "busy"
+        return (f"free text {n}" if n % 7 == 1 else f'{{"selected_option": "B", "reasoning": "{n} characters"}}'), "success"
+
+    return [one(len(p)) for p in prompts]
+
+
+@query
+def answer_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """UDF-3: every question through evidence, prompt, batch generator (a stand-in) and strict parsing."""
+    fx = Fixtures(spark, sf_dir)
+    q = fx.questions()
+    answered, _ = answering.answer_questions(q, _option_evidence(fx, q), _stand_in_answers, K.QUESTION_BATCH_SIZE)
+    return answering.answers_csv(answered)
+
+
 @query
 def parse_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = Fixtures(spark, sf_dir).answers_raw()

@@ -1,8 +1,8 @@
 """Readers and writers with the options that reproduce the original file formats.
 
-SRC-1..4 and SNK-1..9.  CSV input with quoted newlines is not splittable, so the
-recommended pattern at scale is to convert it once to parquet (``csv_to_parquet``) with
-a stable ``row_no`` and run every job on the parquet copy.
+SRC-1..4 and SNK-1..9.  Spark reads a CSV file with quoted newlines in one task; ``splits=True``
+reads it in many (``csv_splits``).  At scale, convert such files once to parquet
+(``csv_to_parquet``) with a stable ``row_no`` and run every job on the parquet copy.
 """
 
 from __future__ import annotations
@@ -49,14 +49,20 @@ def with_row_no(df: DataFrame, name: str = "row_no", start: int = 1) -> DataFram
 
 
 def read_csv_rows(spark: SparkSession, path: str, columns: list[str] | None = None,
-                  row_no: bool = True) -> DataFrame:
+                  row_no: bool = True, splits: bool = False) -> DataFrame:
     """SRC-1: ``csv.DictReader`` semantics: header row, every field a string, quoted
     newlines and doubled quotes, whitespace kept.  Missing trailing fields are null
     (read them through ``coalesce(..., '')``).  ``columns`` are taken by header name, in
-    that order; a name that the header lacks gives null."""
-    df = spark.read.options(**CSV_READ_OPTIONS).csv(path)
-    if row_no:
-        df = with_row_no(df)
+    that order; a name that the header lacks gives null.  ``splits`` reads every file by as
+    many tasks as its size asks for (quotes in quoted fields only, see ``csv_splits``)."""
+    if splits:
+        from termweave.sources.csv_splits import read_csv_splits
+
+        df = read_csv_splits(spark, path, CSV_READ_OPTIONS)
+        df = df if row_no else df.drop("row_no")
+    else:
+        df = spark.read.options(**CSV_READ_OPTIONS).csv(path)
+        df = with_row_no(df) if row_no else df
     if columns:
         here = set(df.columns)
         df = df.select(*(["row_no"] if row_no else []),
@@ -64,18 +70,20 @@ def read_csv_rows(spark: SparkSession, path: str, columns: list[str] | None = No
     return df
 
 
-def read_csv_pandas(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+def read_csv_pandas(spark: SparkSession, path: str, columns: list[str] | None = None,
+                    splits: bool = False) -> DataFrame:
     """SRC-2: as SRC-1 but the pandas default NA tokens become null (so a term spelled
     ``NA`` is missing, as in the original)."""
-    df = read_csv_rows(spark, path, columns)
+    df = read_csv_rows(spark, path, columns, splits=splits)
     return df.select(*[F.when(F.col(f"`{c}`").isin(PANDAS_NA_TOKENS), F.lit(None).cast("string"))
                        .otherwise(F.col(f"`{c}`")).alias(c) if c != "row_no" else F.col(c)
                        for c in df.columns])
 
 
-def csv_to_parquet(spark: SparkSession, src: str, dst: str, columns: list[str] | None = None) -> None:
-    """Convert a (multi-line, unsplittable) CSV once; later jobs read parquet splits."""
-    read_csv_rows(spark, src, columns).write.mode("overwrite").parquet(dst)
+def csv_to_parquet(spark: SparkSession, src: str, dst: str, columns: list[str] | None = None,
+                   splits: bool = False) -> None:
+    """Convert a multi-line CSV once (``splits``: by many tasks); later jobs read parquet splits."""
+    read_csv_rows(spark, src, columns, splits=splits).write.mode("overwrite").parquet(dst)
 
 
 def read_lines(spark: SparkSession, path: str, drop_blank: bool = False,
