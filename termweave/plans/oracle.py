@@ -524,6 +524,36 @@ LEFT JOIN lexicon l ON lower(tk.token) = l.src
 GROUP BY r.line_no""", "refs", "lexicon")
 
 
+cte("al_e", f"""
+SELECT row_no, e, count(*) AS n_e FROM (SELECT row_no, unnest({tokens('lower(src)')}) AS e FROM pair_corpus) GROUP BY ALL
+UNION ALL SELECT row_no, '', 1 FROM pair_corpus""", "pair_corpus")
+cte("al_f", f"""
+SELECT row_no, f, count(*) AS n_f FROM (SELECT row_no, unnest({tokens('lower(tgt)')}) AS f FROM pair_corpus) GROUP BY ALL""",
+    "pair_corpus")
+cte("al_t0", "SELECT DISTINCT e, f, 1000000000::BIGINT AS t FROM al_e JOIN al_f USING (row_no)", "al_e", "al_f")
+for _i in range(1, 5):
+    cte(f"al_c{_i}", f"""
+SELECT e, f, sum(n_f * floor(1e6 * part::DOUBLE / whole::DOUBLE)::BIGINT) AS c FROM (
+  SELECT row_no, e, f, n_f, n_e * t AS part, sum(n_e * t) OVER (PARTITION BY row_no, f) AS whole
+  FROM al_e JOIN al_f USING (row_no) JOIN al_t{_i - 1} USING (e, f))
+WHERE whole > 0 GROUP BY e, f""", "al_e", "al_f", f"al_t{_i - 1}")
+    cte(f"al_t{_i}", f"""
+SELECT e, f, CASE WHEN total > 0 THEN floor(1e9 * c::DOUBLE / total::DOUBLE)::BIGINT ELSE 0 END AS t
+FROM (SELECT *, sum(c) OVER (PARTITION BY e) AS total FROM al_c{_i})""", f"al_c{_i}")
+cte("aligned", """
+SELECT e AS src, f AS tgt, t AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY e ORDER BY t DESC, f) AS n FROM al_t4 WHERE e <> '')
+WHERE n = 1""", "al_t4")
+ORACLE["align_lexicon"] = sql("SELECT src, tgt, score FROM aligned", "aligned")
+ORACLE["aligned_translate"] = sql(f"""
+SELECT r.line_no, coalesce(string_agg(coalesce(l.tgt, tk.token), ' ' ORDER BY tk.pos), '') AS text
+FROM refs r
+LEFT JOIN (SELECT line_no, unnest(toks) AS token, generate_subscripts(toks, 1) AS pos
+           FROM (SELECT line_no, {tokens('text')} AS toks FROM refs)) tk USING (line_no)
+LEFT JOIN aligned l ON lower(tk.token) = l.src
+GROUP BY r.line_no""", "refs", "aligned")
+
+
 # -- web pages, search and enrichment ------------------------------------------------
 
 _FILE_EXT = q(r"(?i)\.(pdf|docx?|xlsx?|pptx?|zip)\z")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from termweave.functions import text as T
 from termweave.functions import constants as K
-from termweave.operators import answering, corpus, evaluation, generation, mining, ordering, prompting, retrieval
+from termweave.operators import alignment, answering, corpus, evaluation, generation, mining, ordering, prompting, retrieval
 from termweave.operators.ordering import dense_row_number
 from termweave.session import scratch_path
 from termweave.sources import io
@@ -290,6 +290,25 @@ def lexicon_translate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.lexicon_translate(fx.refs(), fx.lexicon())
 
 
+def _aligned(fx: Fixtures) -> DataFrame:
+    _, acc, res = _resolved(fx)
+    return alignment.lexicon(alignment.align(corpus.pair_corpus(prompting.results(res), keep=acc)))
+
+
+@query
+def align_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """UDF-2's lexicon learnt from the pair corpus: likeliest target word of every source word after
+    a fixed number of rounds of word alignment."""
+    return _aligned(Fixtures(spark, sf_dir))
+
+
+@query
+def aligned_translate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """UDF-2: the evaluation lines translated word by word with the aligned lexicon."""
+    fx = Fixtures(spark, sf_dir)
+    return corpus.lexicon_translate(fx.refs(), _aligned(fx).select("src", "tgt"))
+
+
 # -- web pages, search and enrichment ---------------------------------------------
 
 @query
