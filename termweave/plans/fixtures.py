@@ -101,9 +101,18 @@ class Fixtures:
         tgt = t.select(F.col("lang").alias("tgt_lang"), F.col("rk").alias("term_id"), F.col("term").alias("vi_term"))
         return src.join(tgt, ["tgt_lang", "term_id"])
 
+    def own_tokens(self) -> DataFrame:
+        """(doc_id, en_term): a letter token of the document, the one whose hash with the id is least."""
+        words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+", -1))
+        hashed = F.transform(F.filter(words, lambda t: F.length(t) >= 5), lambda t: F.struct(
+            F.md5(F.concat(F.col("doc_id").cast("string"), F.lit(":"), t)).alias("h"), t.alias("t")))
+        return self.docs().where(F.col("lang").isin(*PAIR_LANGS)).select(
+            "doc_id", F.array_min(hashed)["t"].alias("en_term"))
+
     def rows(self) -> DataFrame:
-        """ROWS: prompt-input rows, one per EN or DE document (see FIXTURES.md §3).  Ids are
-        numbered without their texts."""
+        """ROWS: prompt-input rows, one per EN or DE document (see FIXTURES.md §3), its term a token
+        of its own (some spelled backwards); a token that no pair of terms has comes without a
+        translation.  Ids are numbered without their texts."""
         docs, d = self.docs(), F.col("doc_id")
         to = F.create_map(*[F.lit(x) for kv in PAIR_LANGS.items() for x in kv])
         ids = self.table("documents").select("doc_id", "lang")
@@ -113,15 +122,13 @@ class Fixtures:
             one = dense_row_number(ids.where(F.col("lang") == lang), "doc_id", "tgt_no", start=0)
             tgt = one if tgt is None else tgt.unionByName(one)
         tgt = tgt.select(F.col("lang").alias("tgt_lang"), "tgt_no", F.col("doc_id").alias("tgt_id"))
-        # Two rows each: a row per direction.
+        # Two rows: a row per direction.
         n_tgt = F.broadcast(tgt.groupBy("tgt_lang").agg(F.count(F.lit(1)).alias("n_tgt")))
-        pairs = self.pairs()
-        n_pairs = F.broadcast(pairs.groupBy("src_lang").agg(F.count(F.lit(1)).alias("n_pairs")))
         x = (src.select("doc_id", "row_no", F.col("lang").alias("src_lang"), to[F.col("lang")].alias("tgt_lang"))
-             .join(n_pairs, "src_lang", "left").join(n_tgt, "tgt_lang", "left")
-             .withColumn("term_id", F.lit(1) + d % F.col("n_pairs"))
+             .join(n_tgt, "tgt_lang", "left")
              .withColumn("tgt_no", F.col("row_no") % F.col("n_tgt"))
-             .join(pairs.drop("tgt_lang"), ["src_lang", "term_id"], "left")
+             .join(self.own_tokens(), "doc_id", "left")
+             .join(self.pairs().select("src_lang", "en_term", "vi_term"), ["src_lang", "en_term"], "left")
              .join(tgt, ["tgt_lang", "tgt_no"], "left"))
         x = x.join(docs.select("doc_id", "text"), "doc_id").join(
             docs.select(F.col("doc_id").alias("tgt_id"), F.col("text").alias("tgt_text")), "tgt_id", "left")
@@ -134,7 +141,7 @@ class Fixtures:
             F.when(d % 4 == 0, F.lit("")).when(d % 4 == 1, F.lit("x"))
             .when(d % 4 == 2, d.cast("string"))
             .otherwise(F.concat(F.lit("  "), d.cast("string"), F.lit(" "))).alias("index"),
-            F.when(d % 17 == 0, F.lit("")).otherwise(F.col("en_term")).alias("English"),
+            F.when(d % 17 == 0, F.lit("")).when(d % 7 == 3, F.reverse("en_term")).otherwise(F.col("en_term")).alias("English"),
             F.when(d % 19 == 0, F.lit("  ")).otherwise(F.col("vi_term")).alias("Vietnamese"),
             F.when(d % 5 == 0, F.concat(F.lit('"'), en_s, F.lit('"'))).otherwise(en_s)
             .alias("English Sentence"),

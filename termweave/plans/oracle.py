@@ -199,21 +199,26 @@ cte("fr_docs", f"""
 SELECT CASE lang WHEN 'fr' THEN 'en' ELSE 'de' END AS src_lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS fr_no,
        count(*) OVER (PARTITION BY lang) AS n, {clean_text('text')} AS fr_text
 FROM d WHERE lang IN ('fr', 'es')""", "d")
-_EN_S = ("coalesce(list_filter(e.sents, lambda s: contains(lower(s), lower(p.en_term)))[1], "
+_EN_S = ("coalesce(list_filter(e.sents, lambda s: contains(lower(s), lower(o.en_term)))[1], "
          "e.sents[1], '')")
+cte("own_tokens", """
+SELECT doc_id, arg_min(t, md5(doc_id::VARCHAR || ':' || t)) AS en_term FROM (
+  SELECT DISTINCT doc_id, unnest(string_split_regex(lower(text), '[^\\p{L}]+')) AS t
+  FROM d WHERE lang IN ('en', 'de'))
+WHERE length(t) >= 5 GROUP BY doc_id""", "d")
 cte("rows", f"""
 SELECT e.row_no,
   CASE e.doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'x' WHEN 2 THEN e.doc_id::VARCHAR
        ELSE '  ' || e.doc_id::VARCHAR || ' ' END AS "index",
-  CASE WHEN e.doc_id % 17 = 0 THEN '' ELSE p.en_term END AS "English",
+  CASE WHEN e.doc_id % 17 = 0 THEN '' WHEN e.doc_id % 7 = 3 THEN reverse(o.en_term) ELSE o.en_term END AS "English",
   CASE WHEN e.doc_id % 19 = 0 THEN '  ' ELSE p.vi_term END AS "Vietnamese",
   CASE WHEN e.doc_id % 5 = 0 THEN '"' || {_EN_S} || '"' ELSE {_EN_S} END AS "English Sentence",
   CASE WHEN e.doc_id % 23 = 0 THEN '' ELSE coalesce(f.fr_text, '') END AS "Vietnamese Sentence"
 FROM en_docs e
-LEFT JOIN (SELECT *, count(*) OVER (PARTITION BY src_lang) AS n FROM pairs) p
-  ON p.src_lang = e.lang AND p.term_id = 1 + e.doc_id % p.n
+LEFT JOIN own_tokens o USING (doc_id)
+LEFT JOIN pairs p ON p.src_lang = e.lang AND p.en_term = o.en_term
 LEFT JOIN fr_docs f ON f.src_lang = e.lang AND f.fr_no = e.row_no % f.n""",
-    "en_docs", "fr_docs", "pairs")
+    "en_docs", "fr_docs", "pairs", "own_tokens")
 cte("indexed", f"""
 SELECT * EXCLUDE (pidx, "index"),
        coalesce(pidx, sum(CASE WHEN pidx IS NULL THEN 1 ELSE 0 END)
