@@ -8,7 +8,8 @@ pair has, in proportion to ``t``; the shares, summed over all pairs, give the ne
 * The links (pair, source word, target word) are built once and written; a round joins them with
   ``t`` on both words, takes the sums of a target word in its pair in a window (no more rows than the
   source text has words), and adds up by both words with partial sums before the shuffle.
-* Every round's ``t`` is written, so a plan is one round long.
+* Every round's ``t`` is written, so a plan is one round long.  Written tables of words are far smaller
+  on disk than in memory, so their joins are merge joins and never a broadcast by file size.
 * Shares are whole millionths and probabilities whole billionths: sums don't depend on the order they are
   added in, and the result is the same on every run and any number of tasks.
 
@@ -50,14 +51,14 @@ def word_links(pairs: DataFrame, key: str = "row_no", src: str = "src", tgt: str
     words = _counted(same, "src", "e", "n_e")
     e = words.unionByName(words.select("pair").distinct().select(
         "pair", F.lit(EMPTY).alias("e"), F.lit(1).cast("bigint").alias("n_e")))
-    f = _counted(same, "tgt", "f", "n").join(same.select("pair", "weight"), "pair").select(
+    f = _counted(same, "tgt", "f", "n").join(same.select("pair", "weight").hint("merge"), "pair").select(
         "pair", "f", (F.col("n") * F.col("weight")).alias("n_f"))
-    return e.join(f, "pair")
+    return e.join(f.hint("merge"), "pair")
 
 
 def _round(links: DataFrame, t: DataFrame | None) -> DataFrame:
     """(e, f, t) after one more round; ``t`` is None before the first, when all words are alike."""
-    x = links.withColumn("t", F.lit(int(UNIT))) if t is None else links.join(t, ["e", "f"])
+    x = links.withColumn("t", F.lit(int(UNIT))) if t is None else links.join(t.hint("merge"), ["e", "f"])
     part = (F.col("n_e") * F.col("t")).cast("double")
     whole = F.sum(F.col("n_e") * F.col("t")).over(Window.partitionBy("pair", "f")).cast("double")
     share = F.when(F.col("__whole") > 0, F.floor(F.lit(SHARE) * F.col("__part") / F.col("__whole"))).otherwise(F.lit(0))
@@ -66,7 +67,7 @@ def _round(links: DataFrame, t: DataFrame | None) -> DataFrame:
     sums = _written(sums, "shares")
     totals = sums.groupBy("e").agg(F.sum(F.col("__c").cast("decimal(20,0)")).cast("double").alias("__total"))
     new = F.when(F.col("__total") > 0, F.floor(F.lit(UNIT) * F.col("__c").cast("double") / F.col("__total"))).otherwise(F.lit(0))
-    return _written(sums.join(totals, "e").select("e", "f", new.alias("t")), "translations")
+    return _written(sums.join(totals.hint("merge"), "e").select("e", "f", new.alias("t")), "translations")
 
 
 def align(pairs: DataFrame, rounds: int = ROUNDS, key: str = "row_no", src: str = "src", tgt: str = "tgt") -> DataFrame:
