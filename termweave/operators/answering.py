@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from termweave.functions import constants as K
 from termweave.functions import text as T
+from termweave.session import scratch_path
 
 # Default answer prompts (our own wording; pass others as parameters).
 CHOICE_PROMPT = (
@@ -183,7 +184,8 @@ def answer_questions(questions: DataFrame, evidence: DataFrame, fn, batch_size:
                      ) -> tuple[DataFrame, DataFrame]:
     """UDF-3 end to end: evidence map -> prompts (SCA-21) -> caller's batch generator
     (``mapInPandas``) -> strict parsing and assembly.  Unsupported question types are
-    never sent to the generator.  Returns (answers, rejects)."""
+    never sent to the generator.  Its responses are written once, before answers and rejects read
+    them, so no question is asked twice.  Returns (answers, rejects)."""
     from termweave.operators.generation import generate
 
     m = evidence_map(questions, evidence)
@@ -193,4 +195,6 @@ def answer_questions(questions: DataFrame, evidence: DataFrame, fn, batch_size:
     asked = q.where(F.col("prompt").isNotNull()).select("id", "prompt")
     resp = generate(asked, fn, "prompt", "id", 0, batch_size).select(
         "id", F.col("raw_response").alias("response"), "error")
-    return assemble_answers(questions, resp)
+    path = scratch_path(questions.sparkSession, "responses")
+    resp.write.parquet(path)
+    return assemble_answers(questions, questions.sparkSession.read.schema(resp.schema).parquet(path))
