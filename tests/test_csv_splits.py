@@ -8,6 +8,7 @@ import tempfile
 import pytest
 
 from termweave.sources import io
+from termweave.sources.csv_splits import read_csv_splits
 
 
 @pytest.fixture
@@ -79,3 +80,46 @@ def test_equal_to_the_one_task_reader(spark, small_splits):
     assert one.columns == many.columns
     assert sorted(map(repr, one.collect())) == sorted(map(repr, many.collect()))
     assert io.read_csv_rows(spark, p, ["c", "nosuch"], splits=True).columns == ["row_no", "c", "nosuch"]
+
+
+def _split_rows(spark, path, **how):
+    return sorted(map(repr, read_csv_splits(spark, path, io.CSV_READ_OPTIONS, **how).collect()))
+
+
+def test_rows_of_splits_not_broadcast(spark, small_splits):
+    """Beyond the broadcast limit the lines are joined with their splits: the same rows."""
+    d = tempfile.mkdtemp(prefix="tw-csv-")
+    rnd = random.Random(9)
+    for name in ("x", "y"):
+        _write(os.path.join(d, f"{name}.csv"), [["k", _field(rnd), "many \n" * rnd.choice([1, 2000])] for _ in range(200)])
+    assert _split_rows(spark, d) == _split_rows(spark, d, broadcast_bytes=0)
+
+
+def test_records_are_not_shuffled_as_lines(spark, small_splits):
+    """Only pieces of records that cross splits go through an exchange: none above the scan of lines."""
+    d = tempfile.mkdtemp(prefix="tw-csv-")
+    _write(os.path.join(d, "x.csv"), [["k", "a\nb", "c"] for _ in range(2000)])
+    plan = read_csv_splits(spark, d, io.CSV_READ_OPTIONS)._jdf.queryExecution().executedPlan().toString()
+    scans = [i for i, s in enumerate(plan.splitlines()) if "FileScan text" in s]
+    depth = [len(s) - len(s.lstrip(" :+-*()0123456789")) for s in plan.splitlines()]
+    assert len(scans) == 1
+    above, level = [], depth[scans[0]]
+    for i in range(scans[0], -1, -1):
+        if depth[i] < level:
+            level = depth[i]
+            above.append(plan.splitlines()[i])
+    assert any("MapInArrow" in s for s in above) and not any("Exchange hash" in s or "Exchange range" in s for s in above)
+
+
+def test_unclosed_quote_and_header_over_splits(spark, small_splits):
+    d = tempfile.mkdtemp(prefix="tw-csv-")
+    p = os.path.join(d, "x.csv")
+    wide = "a\n" * 5000
+    _write(p, [["1", "x", "y"], ["2", "\n" * 9000, "z"], ["3", "", "\n"]], header=("k", wide, "c"), end="\n")
+    rows = read_csv_splits(spark, p, io.CSV_READ_OPTIONS).orderBy("row_no").collect()
+    assert [(r["row_no"], r["k"], r[wide] or "", r["c"]) for r in rows] == [
+        (1, "1", "x", "y"), (2, "2", "\n" * 9000, "z"), (3, "3", "", "\n")]
+    with open(p, "w", encoding="utf-8") as f:
+        f.write('k,b\n1,x\n2,"never\n' + "closed, \n" * 3000)
+    rows = read_csv_splits(spark, p, io.CSV_READ_OPTIONS).orderBy("row_no").collect()
+    assert [r["row_no"] for r in rows] == [1, 2] and rows[0]["b"] == "x" and "never" in rows[1]["b"]
