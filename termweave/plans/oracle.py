@@ -886,6 +886,9 @@ ORACLE["slice_rows"] = """
 SELECT doc_id, row_no, row_no < 100 AS in_head, row_no >= 100 AND row_no < 300 AS in_slice,
        row_no >= 50 AS after_skip
 FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_no FROM documents)"""
+ORACLE["append_batches"] = f"""
+SELECT doc_id, lang, {word_count('text')}::INTEGER AS n_words, {clean_text('text')} AS clean FROM documents"""
+
 ORACLE["batch_ids"] = """
 SELECT doc_id, row_no, (row_no // 5)::BIGINT AS q_batch, (row_no // 8)::BIGINT AS t_batch
 FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_no FROM documents)"""

@@ -566,6 +566,28 @@ def batch_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.batch_ids(d, "row_no", K.TRANSLATE_BATCH_SIZE, "t_batch")
 
 
+@query
+def append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-6, STR-2, SET-2: document files processed a few at a time by a stream, each batch's rows in
+    an epoch of their own.  Files come in two lots, the second run goes on where the first ended.  Then
+    a writer dies in the middle of an epoch: its rows lie in the folder, but readers, who go by the
+    commit records, don't see them."""
+    docs = Fixtures(spark, sf_dir).table("documents").select("doc_id", "lang", "text")
+    source, schema = scratch_path(spark, "append-in"), "doc_id bigint, lang string, text string"
+    sink, log = incremental.scratch_paths(spark, "append")
+
+    def counted(batch: DataFrame) -> DataFrame:
+        return batch.select("doc_id", "lang", T.word_count("text").alias("n_words"), T.clean_text("text").alias("clean"))
+
+    for first in (True, False):
+        lot = docs.where((F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0) == F.lit(first))
+        io.write_jsonl(lot, source, mode="append")
+        incremental.append_batches(spark, source, schema, counted, sink, log, max_files_per_trigger=64)
+    torn = len(incremental.committed(spark, sink))
+    io.write_jsonl(counted(docs.where(F.col("doc_id") % 5 == 0)), incremental.epoch_path(sink, torn))
+    return incremental.read_committed(spark, sink, "doc_id bigint, lang string, n_words int, clean string", "json")
+
+
 @query
 def generate_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """UDF-1 with the deterministic echo generator over accepted rows (rows-only)."""
