@@ -19,8 +19,12 @@ step-up rule allows (p-values are rounded up to a fixed grid, so the rule works
 
 Built-in functions only; one pass over the texts, whose spans are written to the shared folder.
 
-Defined results: null and empty texts have no spans; repeated rows are scanned alike.  Found
-tokens that touch a pattern's span are not reported again.
+Candidates are runs of 20 and more characters; shorter keys are found by the patterns only, as the
+tests cannot tell them from words.  Where patterns found spans in a token, what is left before,
+between and behind them is tested, each piece of that length by itself.
+
+Defined results: null and empty texts have no spans; repeated rows are scanned alike; an empty table
+has no rows.  Texts are scanned whole, however long.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -117,6 +121,20 @@ def battery(token: Column) -> Column:
     return tested(token, _encoding(token))
 
 
+def _outside(token: Column, spans: Column) -> Column:
+    """The stretches of a token that no span covers, as long as tokens must be."""
+    touching = F.filter(spans, lambda b: (b["start"] < token["end"]) & (token["start"] < b["end"]))
+
+    def blanked(t, b):
+        at = F.greatest(b["start"] - token["start"], F.lit(0))
+        size = F.least(b["end"], token["end"]) - token["start"] - at
+        return F.overlay(t, F.repeat(F.lit(" "), size), at + 1, size)
+
+    left = F.transform(found(F.aggregate(touching, token["match"], blanked), TOKEN), lambda h: F.struct(
+        (token["start"] + h["start"]).alias("start"), (token["start"] + h["end"]).alias("end"), h["match"].alias("match")))
+    return F.when(F.size(touching) == 0, F.array(token)).otherwise(left)
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, base (array of spans), tokens (tested candidates outside them)."""
     rows = id_text(docs, id_col, text_col)
@@ -127,8 +145,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         _as_spans(F.col("h_assign"), "assign", lambda h: F.length(
             F.regexp_replace(h["match"], ASSIGN_HEAD, "")) >= ASSIGN_VALUE),
         _as_spans(F.col("h_access"), "access"), _as_spans(F.col("h_hex"), "hex")).alias("base"))
-    apart = F.filter("h_token", lambda h: ~F.exists(
-        "base", lambda b: (b["start"] < h["end"]) & (h["start"] < b["end"])))
+    apart = F.when(F.size("base") == 0, F.col("h_token")).otherwise(
+        F.flatten(F.transform("h_token", lambda h: _outside(h, F.col("base")))))
     cands = base.select("doc_id", "base", apart.alias("h_token"))
     return cands.select("doc_id", "base", F.transform("h_token", lambda h: F.struct(
         h["start"].alias("start"), h["end"].alias("end"),

@@ -1,6 +1,7 @@
 """Secret scan and personal data against plain regular expressions."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -119,6 +120,83 @@ def test_random_tokens_without_a_digit(spark):
     assert got & set(range(20, 40)) == hits(rows[20:40])
 
 
+def battery_by_hand(t):
+    """The battery of one token, from its definitions."""
+    names = [(k, a, x) for k, (a, x) in secret_scan.ENCODINGS.items() if set(t) <= set(a)]
+    name, alphabet, excess = names[0]
+    n, size = len(t), len(alphabet)
+    chi = sum((t.count(c) - n / size) ** 2 / (n / size) for c in alphabet)
+    z = (chi - (size - 1 + excess * n)) / math.sqrt(2 * (size - 1 + 2 * excess * n))
+    p = 1 / (1 + math.exp(-(1.5976 * z + 0.07056 * z ** 3)))
+    high = [alphabet.index(c) >= size // 2 for c in t]
+    h, two = sum(high), 2 * sum(high) * (n - sum(high))
+    changes = sum(a != b for a, b in zip(high, high[1:]))
+    spread = math.sqrt(max(two * (two - n) / (n * n * (n - 1)), 1e-9))
+    z_runs = 99.0 if h in (0, n) else (changes - two / n) / spread
+    x = [alphabet.index(c) for c in t]
+    mean = sum(x) / n
+    sq = sum((v - mean) ** 2 for v in x)
+    lag = sum((a - mean) * (b - mean) for a, b in zip(x, x[1:]))
+    return name, z_runs, (99.0 if sq < 1e-9 else (lag / sq + 1 / n) * math.sqrt(n)), p
+
+
+def test_battery_equals_its_definitions(spark):
+    r = random.Random(12)
+    tokens = ["".join(r.choice(a[:r.randint(2, len(a))]) for _ in range(r.randint(20, 90)))
+              for a, _ in secret_scan.ENCODINGS.values() for _ in range(25)]
+    tokens += ["a" * 20, "ab" * 12, "Z" * 33, "the-quick-brown-fox-jumps", "0" * 19 + "1"]
+    df = spark.createDataFrame([(t,) for t in tokens], "t string")
+    for row in df.select("t", secret_scan.battery(F.col("t")).alias("b")).collect():
+        name, runs, serial, p = battery_by_hand(row["t"])
+        b = row["b"]
+        assert b["encoding"] == name, row["t"]
+        assert b["z_runs"] == pytest.approx(runs, abs=1e-6) and b["p_text"] == pytest.approx(p, abs=1e-9)
+        assert b["z_serial"] == pytest.approx(serial, abs=1e-6), row["t"]
+
+
+def test_discoveries_follow_the_step_up_rule(spark):
+    """Spans of the query's operator against the rule applied by hand to the scan's own p-values."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    r = random.Random(13)
+    keys = spark.createDataFrame([(-1 - i, "key " + "".join(r.choice("ABCDEFGHabcdefgh0123456789+/xyzXYZ") for _ in range(
+        r.randint(20, 60)))) for i in range(60)], docs.schema)
+    both = docs.unionByName(keys)
+    bands = {}
+    for row in secret_scan.scan(both).select("doc_id", F.explode("tokens").alias("t")).collect():
+        t = row["t"]
+        size, b = t["end"] - t["start"], t["test"]
+        fine = abs(b["z_runs"]) <= 3 and abs(b["z_serial"]) <= 3
+        step = math.floor(-20 * math.log10(max(b["p_text"], 1e-30))) if fine else -1
+        bands.setdefault((sum(size >= x for x in secret_scan.BANDS), t["mixed"]), []).append(
+            (step, row["doc_id"], t["start"], t["end"]))
+    want = set()
+    for tests in bands.values():
+        passing = [s for s in {x[0] for x in tests} if s >= 0 and 10 ** (-s / 20) <= 0.05 * sum(
+            x[0] >= s for x in tests) / len(tests)]
+        want |= {x[1:] for x in tests if passing and x[0] >= min(passing)}
+    got = {(x["doc_id"], x["s"]["start"], x["s"]["end"]) for x in secret_scan.secrets(both).select(
+        "doc_id", F.explode("spans").alias("s")).where("s.kind = 'random'").collect()}
+    assert got == want and len(want) > 20
+
+
+def test_rest_of_a_token_beside_pattern_spans(spark):
+    """What patterns leave of a token is tested by itself, at its own place."""
+    r = random.Random(8)
+    key = lambda: "".join(r.choice("GHIJKLMNOPQRSTUVWXYZghijklmnopqrstuvwxyz") for _ in range(44))
+    rows, want = [], {}
+    for i in range(20):
+        a, b = key(), key()
+        rows.append((i, f"é {a}0123456789abcdef{b} short0123456789abcdefleft"))
+        want[i] = {("hex", 46, 62), ("random", 2, 46), ("random", 62, 106), ("hex", 112, 128)}
+    rows.append((20, "/" * 4 + "0123456789abcdef" * 3))
+    want[20] = {("hex", 4, 52)}
+    got = {x["doc_id"]: {(s["kind"], s["start"], s["end"]) for s in x["spans"]} for x in secret_scan.secrets(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[20] == want[20] and sum(len(want[i] - got[i]) for i in range(20)) <= 6
+    for i in range(20):
+        assert got[i] <= want[i] and {s for s in want[i] if s[0] == "hex" and s[1] == 46} <= got[i], got[i]
+
+
 def test_redaction_covers_overlaps(spark):
     df = spark.createDataFrame([("ab𝒳cdefgh",), ("",)], "text string")
     spans = F.when(F.col("text") == "", F.array().cast("array<struct<start:int,end:int>>")).otherwise(
