@@ -127,3 +127,18 @@ def test_retrieval_by_blocks_equals_sums_of_all_pairs(spark):
     assert {(r["id"], r["rank"], r["doc"]) for r in got.collect()} == want
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapCoGroupsInArrow" in plan and "sum(part" not in plan
+
+
+@pytest.mark.parametrize("held", [0, 2_000, 1 << 20])
+def test_terms_of_letters_meet_distinct_runs(spark, held):
+    """No row per gram of a text; the same pairs whether runs are broadcast, split or shuffled; a term that
+    several runs of a text hold comes once, equal rows of terms come each."""
+    rows = [(i, "en" if i % 3 else "fr", f"Concat cat, cats{'s' * (i % 3)}-x{i} alpha alphabet{i % 5} ábćd") for i in range(60)]
+    texts = spark.createDataFrame(rows, "id long, lang string, s string")
+    terms = spark.createDataFrame([(t, lang) for lang in ("en", "fr") for t in ("cat", "alpha", "alphabet", "x", "bc", "oncat", "no", "cat")],
+                                  "term string, lang string")
+    got = matching.contains_join(texts, terms, "s", "term", ["lang"], strategy="anchor", broadcast_bytes=held)
+    want = matching.contains_join(texts, terms, "s", "term", ["lang"], strategy="broadcast")
+    assert got.columns == want.columns and got.count() == want.count() > 0
+    assert got.exceptAll(want).isEmpty()
+    assert "__gram" not in _plan(got)
