@@ -302,3 +302,18 @@ def test_read_lines_compat_and_alignment_check(spark):
         corpus.check_aligned(z)
     ok = corpus.zip_lines(io.read_lines(spark, b), io.read_lines(spark, b))
     assert corpus.check_aligned(ok) == {"ok": 4}
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_incremental_reads_a_table_that_is_a_folder(spark, tmp_path, files):
+    from termweave.plans.fixtures import Fixtures
+
+    fx = Fixtures(spark, SMALL)
+    docs, terms, keywords = fx.docs(), fx.terms(), fx.keywords()
+    docs.repartition(files).write.parquet(str(tmp_path / "in" / "documents.parquet"))
+    docs.limit(3).write.parquet(str(tmp_path / "in" / "others.parquet"))
+    sink, ckpt = incremental.scratch_paths(spark, f"folder{files}")
+    incremental.incremental_best_sentences(spark, str(tmp_path / "in"), terms, keywords, sink, ckpt, glob="documents.parquet")
+    got, want = spark.read.parquet(sink).drop("epoch"), mining.best_sentences(docs, terms, keywords)
+    assert got.count() == want.count() > 0
+    assert got.select(want.columns).exceptAll(want).isEmpty()
