@@ -142,3 +142,13 @@ def test_terms_of_letters_meet_distinct_runs(spark, held):
     assert got.columns == want.columns and got.count() == want.count() > 0
     assert got.exceptAll(want).isEmpty()
     assert "__gram" not in _plan(got)
+
+
+def test_prompt_rows_join_sentences_not_source_texts(spark):
+    """A target text is cleaned before rows multiply it, and source texts are not joined to rows at all."""
+    rows = Fixtures(spark, SMALL).rows()
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    top = plan[:plan.index("Join ")]
+    assert "regexp_replace" not in top and "split(" not in top
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").where("lang in ('en', 'de')")
+    assert rows.count() == docs.count()

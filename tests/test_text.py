@@ -105,3 +105,10 @@ def test_report_score_line(spark):
     got = one(spark, T.report_score("a"), "BLEU = 31.20 55.0/40.1", "score: 12", "nothing 1.5",
               "BLEU|version:2.4.0 = 31.20")
     assert got == [31.2, None, None, 2.4]
+
+
+def test_sentences_of_clean_text_are_those_of_any_text(spark):
+    texts = ["", "One. Two!  Three?\nFour", "a.b. c .d ! e", "(x) A. [y] B. C? D", " . ! ? ", ".", "no end", "end. ", None]
+    df = spark.createDataFrame([(t,) for t in texts], "a string").select(T.clean_text("a").alias("c"))
+    for r in df.select(T.split_sentences("c").alias("any"), T.split_clean_sentences("c").alias("clean")).collect():
+        assert r["clean"] == r["any"]
