@@ -152,3 +152,15 @@ def test_prompt_rows_join_sentences_not_source_texts(spark):
     assert "regexp_replace" not in top and "split(" not in top
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").where("lang in ('en', 'de')")
     assert rows.count() == docs.count()
+
+
+def test_prompt_rows_and_token_counts_share_one_pass_over_texts(spark, monkeypatch):
+    """Rows, their terms' ranks and their targets read what one scan of the texts has written."""
+    scans = []
+    docs = Fixtures.docs
+    monkeypatch.setattr(Fixtures, "docs", lambda self: scans.append(1) or docs(self))
+    fx = Fixtures(spark, SMALL)
+    rows = fx.rows()
+    assert rows.count() > 0 and len(scans) == 1
+    counts = Fixtures(spark, SMALL).document_frequencies()
+    assert fx.document_frequencies().exceptAll(counts).isEmpty() and counts.count() == fx.document_frequencies().count()

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from termweave.functions import constants as K
 from termweave.functions import text as T
 from tests.conftest import one
 
@@ -112,3 +113,35 @@ def test_sentences_of_clean_text_are_those_of_any_text(spark):
     df = spark.createDataFrame([(t,) for t in texts], "a string").select(T.clean_text("a").alias("c"))
     for r in df.select(T.split_sentences("c").alias("any"), T.split_clean_sentences("c").alias("clean")).collect():
         assert r["clean"] == r["any"]
+
+
+def test_clean_text_runs_phrases_where_they_may_be(spark):
+    """The tests before the patterns pass every text that the plain patterns change, also with letters
+    that fold to a phrase's letter."""
+    hits = [p for q in K.BOILERPLATE_PHRASES for p in (q, q.upper(), q.title(), q.replace("s", "\u017f"), q.replace("i", "\u0130"),
+            q.replace("i", "\u0131"), q.replace("k", "\u212a"), q[:-1])]
+    texts = [f"x{h}y [a] (b\nc) [d\ne] {h} \u2003 z" for h in hits] + ["a[b]c", "a(b)c", "a  b", "(searCh)", "sea[x]rch", "[(]x)", "", None]
+    plain = F.coalesce(F.col("a"), F.lit(""))
+    for pattern in ("(?d)" + K.BRACKET_PATTERN, K.PAREN_PATTERN, "(?iu)(" + "|".join(K.BOILERPLATE_PHRASES) + ")"):
+        plain = F.regexp_replace(plain, pattern, "")
+    plain = T.strip(F.regexp_replace(plain, T.JWS + "+", " "))
+    df = spark.createDataFrame([(t,) for t in texts], "a string").select("a", T.clean_text("a").alias("got"), plain.alias("want"))
+    assert [r for r in df.collect() if r["got"] != r["want"]] == []
+    # A text without a phrase's letters in reach is not given to the phrases' pattern.
+    assert one(spark, T._may_hold_boilerplate(F.col("a")), "a plain text", "his story", "My HISTORY", "hi\u017ftory") == [
+        False, False, True, True]
+
+
+def test_folded_letters_are_all_that_the_pattern_takes(spark):
+    letters = sorted({c for p in K.BOILERPLATE_PHRASES for c in p if c.isalpha()})
+    df = spark.range(128, 0x10000).where("id < 55296 or id > 57343").select(F.expr("decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE')").alias("c"))
+    for x in letters:
+        got = {r["c"] for r in df.where(F.regexp_like("c", F.lit(f"(?iu)^{x}$"))).collect()}
+        assert got == set(T._FOLDED.get(x, "")), x
+
+
+def test_examples_split_a_sentence_once(spark):
+    df = spark.createDataFrame([("One. Two. Three.",), ("One",), ("",), (None,), ("\"A! B\"",), (". . ",)], "a string")
+    got = df.select(T.prepare_vi_examples("a").alias("x"))
+    assert [r["x"] for r in got.collect()] == ["One\nTwo", "One\nOne", "", "", "A\nB", ".\n."]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
