@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from termweave.functions import constants as K
 from termweave.operators import corpus, matching, mining, ordering, retrieval
+from termweave.plans import queries
 from termweave.plans.fixtures import Fixtures
 from termweave.streaming import incremental
 from tests.conftest import SMALL
@@ -178,3 +179,9 @@ def test_pairs_are_encoded_with_one_grouping(spark):
             1: ([3, 4, 5], [6, p, p]), 2: ([p, p, p], [7, 3, p]), 3: ([4, p, p], [p, p, p]),
             4: ([p, p, p], [p, p, p]), 5: ([u, 3, p], [3, u, 3])}
         assert enc._jdf.queryExecution().optimizedPlan().toString().count("Aggregate ") == 1
+
+
+def test_validated_rows_keep_a_sentence_once(spark):
+    v = queries._validated(Fixtures(spark, SMALL))
+    assert {"en_sentence", "vi_sentence"} <= set(v.columns) and not {"English Sentence", "Vietnamese Sentence"} & set(v.columns)
+    assert all(".zstd." in f for f in v.inputFiles())
