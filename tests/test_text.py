@@ -145,3 +145,15 @@ def test_examples_split_a_sentence_once(spark):
     got = df.select(T.prepare_vi_examples("a").alias("x"))
     assert [r["x"] for r in got.collect()] == ["One\nTwo", "One\nOne", "", "", "A\nB", ".\n."]
     assert got._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+
+
+def test_sentences_split_before_their_white_space_is_collapsed(spark):
+    values = ["", " \n ", "A  b.\n\tC\u2003 d!e ?  F", "  x. \u00a0[1](y) . !\r\nZ ", "...  ?", "\u3000A.\x1c\x1dB\u2028c.", None]
+    whole = one(spark, T.split_clean_sentences(T.clean_text("a")), *values)
+    late = one(spark, F.transform(T.split_uncollapsed(T.drop_noise("a")), T.collapse), *values)
+    assert late == whole
+
+
+def test_strip_text(spark):
+    values = ["", " ", "\u3000", "a", " a", "a\u2028", "\x1c a b \u00a0", "a b", "\u200ba\u200b", None]
+    assert one(spark, T.strip_text("a"), *values) == one(spark, T.strip("a"), *values)
