@@ -71,35 +71,42 @@ class Graph:
 
     def _far(self, q: np.ndarray, rows: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Squared distances less the query's own squared norm."""
-        return self.norms[ids] - 2 * np.einsum("pd,pd->p", self.points[ids], q[rows])
+        return self.norms[ids] - 2 * np.einsum("pd,pd->p", self.points.take(ids, 0), q.take(rows, 0))
 
     def _beam(self, q: np.ndarray, width: int, n: int) -> np.ndarray:
         m = len(q)
         ids = np.full((m, width), -1)
         far = np.full((m, width), np.inf, np.float32)
         opened = np.ones((m, width), bool)
-        seen = np.zeros((m, n), bool)
-        ids[:, 0], seen[:, self.entry], opened[:, 0] = self.entry, True, False
+        seen, met = np.zeros(m * n, bool), np.empty(m * n, np.int32)
+        ids[:, 0], seen[self.entry::n], opened[:, 0] = self.entry, True, False
         far[:, 0] = self._far(q, np.arange(m), np.full(m, self.entry))
         live = np.arange(m)
         while len(live):
             front = np.argsort(opened[live], axis=1, kind="stable")[:, :FRONT]
             nodes = np.where(np.take_along_axis(opened[live], front, 1), -1, np.take_along_axis(ids[live], front, 1))
             opened[live[:, None], front] = True
-            near = np.where(nodes[..., None] >= 0, self.edges[nodes], -1).reshape(len(live), -1)
-            rows, cols = np.nonzero(near >= 0)
-            found = near[rows, cols]
-            fresh = ~seen[live[rows], found]
-            rows, found = rows[fresh], found[fresh]
-            pair = np.unique(rows * np.int64(n) + found)  # the same node may be met twice in a step
-            rows, found = pair // n, pair % n
-            seen[live[rows], found] = True
+            near = self.edges.take(nodes.ravel(), 0, mode="wrap")
+            near[nodes.ravel() < 0] = -1
+            places = np.flatnonzero(near >= 0)
+            rows, found = places // (near.size // len(live)), near.ravel()[places]
+            pair = live[rows] * n + found
+            fresh = np.flatnonzero(~seen[pair])
+            pair = pair[fresh]
+            met[pair] = fresh  # the same node may be met twice in a step: one of its places counts
+            once = met[pair] == fresh
+            rows, found = rows[fresh[once]], found[fresh[once]]
+            seen[pair] = True
+            apart = self._far(q, live[rows], found)
+            closer = apart < far[live, -1][rows]  # others would fall out of the list at once
+            rows, found, apart = rows[closer], found[closer], apart[closer]
             if len(rows):
-                place = np.arange(len(rows)) - np.searchsorted(rows, rows)
-                more = place.max() + 1
+                count = np.bincount(rows, minlength=len(live))
+                place = np.arange(len(rows)) - np.repeat(np.cumsum(count) - count, count)
+                more = count.max()
                 new_ids = np.full((len(live), more), -1)
                 new_far = np.full((len(live), more), np.inf, np.float32)
-                new_ids[rows, place], new_far[rows, place] = found, self._far(q, live[rows], found)
+                new_ids[rows, place], new_far[rows, place] = found, apart
                 all_ids, all_far = np.hstack([ids[live], new_ids]), np.hstack([far[live], new_far])
                 all_open = np.hstack([opened[live], new_ids < 0])
                 best = np.argsort(all_far, axis=1, kind="stable")[:, :width]
@@ -143,7 +150,7 @@ def build(vectors: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA, beam:
     n = len(vectors)
     order = np.random.default_rng(seed).permutation(n)
     points = _points(vectors[order])
-    graph = Graph(points, np.full((n, degree + SLACK), -1), 0)
+    graph = Graph(points, np.full((n, degree + SLACK), -1, np.int32), 0)
     start = points[:min(batch, 128)]  # the entry is one of the first batch
     graph.entry = int(((start - start.mean(0)) ** 2).sum(1).argmin())
     entered = 0
@@ -210,7 +217,7 @@ def _join_rest(graph: Graph, degree: int) -> None:
             host = found[with_room[0]]
             graph.edges[host, int(free[with_room[0]].argmax())] = lost
         else:
-            graph.edges = np.hstack([graph.edges, np.full((n, 1), -1)])
+            graph.edges = np.hstack([graph.edges, np.full((n, 1), -1, np.int32)])
             graph.edges[found[0], -1] = lost
         spread(np.array([lost]))
 

@@ -92,3 +92,18 @@ def test_pruning_keeps_the_nearest_and_diverse_ones():
     graph = graph_search.Graph(line.astype(np.float32), np.full((5, 4), -1), 0)
     kept = graph_search.robust_prune(graph, np.array([0]), np.array([[1, 2, 3, 4]]), 4, 1.0)
     assert [i for i in kept[0] if i >= 0] == [1, 3]
+
+
+def test_a_search_marks_what_it_met(monkeypatch):
+    """Nodes met twice in a step are told by marks, not by sorting all that was met."""
+    x = np.random.default_rng(5).normal(size=(700, 8))
+    graph, order = graph_search.build(x, degree=8, beam=24, batch=64)
+    q = np.hstack([x[:40], np.zeros((40, 1))]).astype(np.float32)
+    want = np.argsort(-(x[:40] @ x[order].T), 1)[:, :10]
+
+    def none(*args, **kwargs):
+        raise AssertionError("np.unique in a search")
+    monkeypatch.setattr(np, "unique", none)
+    found = graph.search(q, 64)
+    assert all(len(set(row)) == 64 for row in found)
+    assert np.mean([len(set(a) & set(b)) / 10 for a, b in zip(want, found)]) > 0.95
