@@ -1,5 +1,7 @@
 """Mining at size: texts are made ready once, rows meet lists of terms by their runs of letters."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,3 +68,15 @@ def test_clean_sentences_are_split_alike(spark):
     both = docs.unionByName(odd).select("c", F.lower("c").alias("l"))
     for c in ("c", "l"):
         assert both.where(T.split_sentences(c) != T.split_clean_sentences(c)).isEmpty()
+
+
+def test_winners_are_dealt_by_the_number_of_pairs(spark, monkeypatch):
+    """A task's share of pairs is bounded, however few shuffle partitions the session has."""
+    fx = Fixtures(spark, SMALL)
+    docs, terms, keywords = fx.docs(), fx.dictionary(), fx.keywords()
+    want = mining.best_sentences(docs, terms, keywords, strategy="broadcast")
+    monkeypatch.setattr(mining, "PAIRS_PER_TASK", 100)
+    got = mining.best_sentences(docs, terms, keywords, strategy="anchor")
+    assert got.count() == want.count() > 0 and got.exceptAll(want).isEmpty()
+    counts = {int(n) for n in re.findall(r"hashpartitioning\((?:doc_id|__id)#\w+, (\d+)\)", _plan(got))}
+    assert max(counts) > 20 and "ShuffledHashJoin" in _plan(got)
